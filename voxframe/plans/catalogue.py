@@ -1,6 +1,573 @@
-"""Queries of the engine over the shared tables, with the SQL that gives the same rows."""
+"""Queries of the engine over the shared tables, with the SQL that gives the same rows.
+
+Embeddings serve as positions (their first three values), labels as groups, events as scored picks, orders and line
+items as work units. Doubles are rounded to six places on both sides.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import geometry as G
+from ..functions import text as X
+from ..operators import aggregates as A
+from ..operators import filters as P
+from ..operators import grouping as C
+from ..operators import joins as J
+from ..operators import review as R
+from ..operators import windows as W
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function under its name, with its SQL if there is one."""
+
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def r6(c: Column | str) -> Column:
+    return F.round(c, 6) + F.lit(0.0)
+
+
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, label, x, y, z: positions spread around 50 by the first three values."""
+    e = table(spark, sf_dir, "embeddings")
+    at = lambda k: (F.col("embedding")[k].cast("double") * 200 + 50).alias("xyz"[k])
+    return e.select("vec_id", "label", at(0), at(1), at(2))
+
+
+POINTS = "select vec_id, label, embedding[1]::double * 200 + 50 as x, embedding[2]::double * 200 + 50 as y, embedding[3]::double * 200 + 50 as z from embeddings"
+NORMALS = "select vec_id, embedding[1]::double as x, embedding[2]::double as y, embedding[3]::double as z from embeddings"
+
+
+def normals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", *(F.col("embedding")[k].cast("double").alias("xyz"[k]) for k in range(3)))
+
+
+# scalar functions
+
+
+@query(f"""
+with v as ({NORMALS}), n as (select vec_id, x / sqrt(x*x+y*y+z*z) as x, y / sqrt(x*x+y*y+z*z) as y, z / sqrt(x*x+y*y+z*z) as z from v)
+select vec_id, round((1+z)/sqrt((1+z)*(1+z)+x*x+y*y), 6) + 0.0 as w, round(-y/sqrt((1+z)*(1+z)+x*x+y*y), 6) + 0.0 as qx,
+    round(x/sqrt((1+z)*(1+z)+x*x+y*y), 6) + 0.0 as qy, 0.0::double as qz from n
+""")
+def fn2_quaternion_from_normal(spark, sf_dir):
+    q = normals(spark, sf_dir).withColumn("q", G.quaternion_from_normal(*map(F.col, "xyz")))
+    return q.select("vec_id", r6("q.w").alias("w"), r6("q.x").alias("qx"), r6("q.y").alias("qy"), r6("q.z").alias("qz"))
+
+
+@query(f"""
+with v as ({NORMALS}), n as (select vec_id, x / sqrt(x*x+y*y+z*z) as x, y / sqrt(x*x+y*y+z*z) as y, z / sqrt(x*x+y*y+z*z) as z from v),
+q as (select vec_id, (1+z)/sqrt((1+z)*(1+z)+x*x+y*y) as w, -y/sqrt((1+z)*(1+z)+x*x+y*y) as x, x/sqrt((1+z)*(1+z)+x*x+y*y) as y, radians((vec_id % 360)::double)/2 as h from n),
+p as (select vec_id, w*cos(h) as w, x*cos(h)+y*sin(h) as x, y*cos(h)-x*sin(h) as y, w*sin(h) as z from q)
+select vec_id, round(w/sqrt(w*w+x*x+y*y+z*z), 6) + 0.0 as w, round(x/sqrt(w*w+x*x+y*y+z*z), 6) + 0.0 as qx,
+    round(y/sqrt(w*w+x*x+y*y+z*z), 6) + 0.0 as qy, round(z/sqrt(w*w+x*x+y*y+z*z), 6) + 0.0 as qz from p
+""")
+def fn3_roll_about_normal(spark, sf_dir):
+    q = normals(spark, sf_dir).withColumn("q", G.quaternion_from_normal(*map(F.col, "xyz")))
+    p = q.withColumn("p", G.roll_about_normal(F.col("q"), (F.col("vec_id") % 360).cast("double")))
+    return p.select("vec_id", r6("p.w").alias("w"), r6("p.x").alias("qx"), r6("p.y").alias("qy"), r6("p.z").alias("qz"))
+
+
+@query(f"""
+with v as ({NORMALS}), n as (select vec_id, x / sqrt(x*x+y*y+z*z) as x, y / sqrt(x*x+y*y+z*z) as y, z / sqrt(x*x+y*y+z*z) as z from v)
+select vec_id, round(x, 5) + 0.0 as m02, round(y, 5) + 0.0 as m12, round(z, 5) + 0.0 as m22 from n
+""")
+def fn4_rotation_matrix(spark, sf_dir):
+    """The matrix takes +z to the normal, so its last column is the normal."""
+    q = normals(spark, sf_dir).withColumn("m", G.rotation_rows(G.quaternion_from_normal(*map(F.col, "xyz"))))
+    return q.select("vec_id", *((F.round(F.col("m")[k], 5) + F.lit(0.0)).alias(n) for k, n in ((2, "m02"), (5, "m12"), (8, "m22"))))
+
+
+@query(f"""
+with v as ({NORMALS}), n as (select vec_id, x / sqrt(x*x+y*y+z*z) as x, y / sqrt(x*x+y*y+z*z) as y, z / sqrt(x*x+y*y+z*z) as z from v)
+select vec_id, round(degrees(acos(least(greatest(z, -1), 1))), 5) + 0.0 as tilt, round(degrees(atan2(y, x)), 5) + 0.0 as psi from n
+""")
+def fn5_tilt_psi(spark, sf_dir):
+    q = normals(spark, sf_dir).withColumn("t", G.tilt_psi(G.quaternion_from_normal(*map(F.col, "xyz"))))
+    return q.select("vec_id", (F.round("t.tilt", 5) + F.lit(0.0)).alias("tilt"), (F.round("t.psi", 5) + F.lit(0.0)).alias("psi"))
+
+
+@query(f"with v as ({NORMALS}) select vec_id, round(degrees(asin(least(abs(z)/sqrt(x*x+y*y+z*z), 1))), 6) + 0.0 as angle from v")
+def fn6_beam_angle(spark, sf_dir):
+    return normals(spark, sf_dir).select("vec_id", r6(G.beam_angle(*map(F.col, "xyz"))).alias("angle"))
+
+
+@query("select doc_id, printf('p%06d', row_number() over (order by lang, doc_id) - 1) as particle_id from documents")
+def fn12_numbered(spark, sf_dir):
+    return X.numbered(table(spark, sf_dir, "documents").select("doc_id", "lang"), "p", [F.col("lang"), F.col("doc_id")]).select("doc_id", "particle_id")
+
+
+@query("select vec_id, case when label % 5 = 0 then 'noise' else printf('c%02d', label) end as cluster_id from embeddings")
+def fn11_cluster_name(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", X.cluster_name(F.when(F.col("label") % 5 == 0, F.lit(-1)).otherwise(F.col("label"))).alias("cluster_id"))
+
+
+@query("select vec_id, case when label > 0 then printf('t%d:v%04d', vec_id % 7, label) else '' end as vesicle_id from embeddings")
+def fn10_vesicle_name(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", X.vesicle_name(F.format_string("t%d", F.col("vec_id") % 7), F.col("label")).alias("vesicle_id"))
+
+
+@query("select user_id, string_agg(distinct event_type, '+' order by event_type) as sources from events group by user_id")
+def fn17_joined_sources(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(X.joined_sources(F.col("event_type")).alias("sources"))
+
+
+@query("select event_id, nullif(trim(event_type), '') as kind, json_extract(props, '$.k')::bigint as k from events")
+def fn19_blank_and_json(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", X.blank_to_null(F.col("event_type")).alias("kind"), F.from_json("props", "k bigint")["k"].alias("k"))
+
+
+@query("select p_partkey, regexp_extract(p_name, '^(c[0-9]+)', 1) as class_id, regexp_replace(p_type, '[^\\w.-]', '_', 'g') as file_name, starts_with(p_brand, 'decoy-') as decoy from part")
+def fn20_names(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", X.class_of_file(F.col("p_name")).alias("class_id"), X.safe_file_name(F.col("p_type")).alias("file_name"), X.is_decoy(F.col("p_brand")).alias("decoy"))
+
+
+@query("select doc_id, array_to_string(list_filter(list_transform(string_split(lang || ' , ' || source || ',,', ','), lambda x: trim(x)), lambda x: x <> ''), ';') as items from documents")
+def fn21_comma_list(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.array_join(X.comma_list(F.concat("lang", F.lit(" , "), "source", F.lit(",,"))), ";").alias("items"))
+
+
+@query("select doc_id, sha256(text) as digest from documents")
+def fn23_sha256(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+
+
+# filters
+
+
+@query(f"select vec_id from ({POINTS}) where x between 12 and 87 and y between 12 and 87 and z between 12 and 87")
+def flt1_inside_margin(spark, sf_dir):
+    return points(spark, sf_dir).where(P.inside_margin([F.col(c) for c in "xyz"], [100, 100, 100], 12)).select("vec_id")
+
+
+@query("""
+with m as (select median(l_quantity) as c from lineitem), s as (select c, 1.4826 * median(abs(l_quantity - c)) as s from lineitem, m group by c)
+select l_returnflag, count(*) filter (where (l_quantity - c) / s >= 0.5 + sqrt(2 * ln(2))) as accepted, count(*) filter (where (l_quantity - c) / s < 0.5 + sqrt(2 * ln(2))) as rejected
+from lineitem, s group by l_returnflag
+""")
+def flt2_threshold(spark, sf_dir):
+    z = A.robust_normalise(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity"), "l_quantity")
+    ok = P.accepted(F.col("z"), G.effective_threshold(0.5, 2))
+    return z.groupBy("l_returnflag").agg(F.count_if(ok).alias("accepted"), F.count_if(~ok).alias("rejected"))
+
+
+@query(f"select vec_id from ({POINTS}) where x between 11*sqrt(3) and 100-11*sqrt(3) and y between 11*sqrt(3) and 100-11*sqrt(3) and z between 11*sqrt(3) and 100-11*sqrt(3)")
+def flt4_box_fits(spark, sf_dir):
+    return points(spark, sf_dir).where(P.box_fits([F.col(c) for c in "xyz"], [100.0] * 3, 23)).select("vec_id")
+
+
+@query(f"select label, count(*) filter (where vec_id % 3 <> 0 and x between 20 and 80) as kept, count(*) filter (where not (vec_id % 3 <> 0 and x between 20 and 80)) as skipped from ({POINTS}) group by label")
+def flt5_kept_and_skipped(spark, sf_dir):
+    kept, skipped = P.kept_and_skipped(points(spark, sf_dir), (F.col("vec_id") % 3 != 0) & F.col("x").between(20, 80))
+    both = kept.select("label", F.lit(1).alias("k")).unionByName(skipped.select("label", F.lit(0).alias("k")))
+    return both.groupBy("label").agg(F.sum("k").alias("kept"), F.sum(1 - F.col("k")).alias("skipped"))
+
+
+@query("select event_id from events where event_type = 'x' or value is null or value <= 40")
+def flt6_beam_angle(spark, sf_dir):
+    return table(spark, sf_dir, "events").where((F.col("event_type") == "x") | P.under_angle(F.col("value"), 40)).select("event_id")
+
+
+@query(f"select vec_id from ({POINTS}) where abs(z - 50) <= 6")
+def flt7_slab(spark, sf_dir):
+    return points(spark, sf_dir).where(P.in_slab(F.col("z"), 50, 6)).select("vec_id")
+
+
+@query("select vec_id from embeddings where len(list_filter(embedding, lambda x: x <> 0)) > 0 and label <> 3")
+def flt8_not_degenerate(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").where(P.not_degenerate(F.col("embedding")) & (F.col("label") != 3)).select("vec_id")
+
+
+@query(f"""select vec_id from ({POINTS}) where
+    ((((30 > y) <> (70 > y)) and x < (70.0-40.0)*(y-30.0)/(70.0-30.0)+40.0)::int + (((70 > y) <> (50 > y)) and x < (30.0-70.0)*(y-70.0)/(50.0-70.0)+70.0)::int
+    + (((50 > y) <> (30 > y)) and x < (40.0-30.0)*(y-50.0)/(30.0-50.0)+30.0)::int) % 2 = 1""")
+def flt11_lasso(spark, sf_dir):
+    return points(spark, sf_dir).where(P.in_polygon(F.col("x"), F.col("y"), [(40, 30), (70, 70), (30, 50)])).select("vec_id")
+
+
+@query("select count(distinct toxic) as n_flags, count(distinct toxic) = 1 as pure from labels")
+def flt16_purity(spark, sf_dir):
+    return P.is_pure(table(spark, sf_dir, "labels"), F.col("toxic"))
+
+
+@query("select count(*) filter (where toxic = 0) as real_count, count(*) filter (where toxic = 1) as decoy_count, count(*) filter (where toxic = 1) >= 0.5 * count(*) filter (where toxic = 0) as enough from labels")
+def flt17_comparable(spark, sf_dir):
+    t = table(spark, sf_dir, "labels")
+    return P.comparable(t.where("toxic = 0"), t.where("toxic = 1"))
+
+
+@query("select doc_id, substr(text, 31, 8) as x, coalesce(nullif(trim(substr(text, 77, 2)), ''), nullif(substr(trim(substr(text, 13, 4)), 1, 1), ''), 'H') as element from documents where starts_with(text, 'The ')")
+def src13_fixed_width(spark, sf_dir):
+    from ..sources.records import atom_element
+
+    d = table(spark, sf_dir, "documents").where(F.col("text").startswith("The "))
+    return d.select("doc_id", F.substring("text", 31, 8).alias("x"), atom_element(F.col("text")).alias("element"))
+
+
+# joins
+
+PREFIXES = ["ECONOMY", "ECONOMY ANODIZED", "LARGE", "LARGE B", "MEDIUM", "PROMO", "PROMO P", "S", "STANDARD", "STANDARD POLISHED TIN", "type", "type1", "Type", "TYPE"]
+
+
+@query(f"""
+with p as (select unnest({PREFIXES!r}) as prefix), m as (
+    select p_partkey, p_type, prefix, row_number() over (partition by p_partkey order by length(prefix) desc) as r from part left join p on starts_with(p_type, prefix))
+select p_partkey, p_type, prefix from m where r = 1
+""")
+def join1_longest_prefix(spark, sf_dir):
+    prefixes = spark.createDataFrame([(x,) for x in PREFIXES], "prefix string")
+    return J.longest_prefix(table(spark, sf_dir, "part").select("p_partkey", "p_type"), "p_type", prefixes, "prefix")
+
+
+@query("select o_orderkey, c_name is null as missing, coalesce(c_mktsegment, 'none') as segment from orders left join customer on o_custkey = c_custkey and c_acctbal > 0")
+def join2_left_outer(spark, sf_dir):
+    o, c = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), table(spark, sf_dir, "customer").where("c_acctbal > 0")
+    return o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", F.col("c_name").isNull().alias("missing"), F.coalesce("c_mktsegment", F.lit("none")).alias("segment"))
+
+
+@query(f"with p as ({POINTS}) select vec_id from p a where label <> 0 and not exists (select 1 from p b where b.label = 0 and (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) < 100)")
+def join5_far_from(spark, sf_dir):
+    p = points(spark, sf_dir)
+    return J.far_from(p.where("label <> 0"), p.where("label = 0"), ["x", "y", "z"], 10.0).select("vec_id")
+
+
+@query(f"with p as ({POINTS}) select a.vec_id, count(*) as n from p a join p b on (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) <= 16 group by a.vec_id")
+def join6_within(spark, sf_dir):
+    p = points(spark, sf_dir)
+    return J.within(p, p, ["x", "y", "z"], 4.0).groupBy(F.col("l.vec_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"with p as ({POINTS}) select a.vec_id, round(min(sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z))), 6) + 0.0 as distance from p a, p b where a.label <> 0 and b.label = 0 group by a.vec_id")
+def join7_nearest(spark, sf_dir):
+    p = points(spark, sf_dir)
+    return J.nearest(p.where("label <> 0"), p.where("label = 0"), "vec_id", ["x", "y", "z"], ["vec_id"], 8.0).select("vec_id", r6("distance").alias("distance"))
+
+
+@query("select case when o_custkey % 2 = 0 then 'A' else 'B' end as half_set, count(*) as n from orders where exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R') group by 1")
+def join8_members_by_half(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("particle_id"), F.when(F.col("o_custkey") % 2 == 0, "A").otherwise("B").alias("half_set"))
+    a = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("particle_id"), F.col("l_returnflag").alias("cluster_id"))
+    return J.members_by_half(o, a, "R").groupBy("half_set").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select n_name, r_name from nation, region")
+def join10_all_candidates(spark, sf_dir):
+    return J.all_candidates(table(spark, sf_dir, "nation").select("n_name"), table(spark, sf_dir, "region").select("r_name"))
+
+
+@query("""
+with c as (select label, vec_id % 2 as h, generate_subscripts(embedding, 1) as k, unnest(embedding)::double as v from embeddings),
+m as (select label, h, k, avg(v) as v from c group by all)
+select a.label as label_a, b.label as label_b, round(sqrt(sum((a.v-b.v)*(a.v-b.v))), 6) + 0.0 as distance from m a join m b on a.k = b.k where a.h = 0 and b.h = 1 group by all
+""")
+def join11_centroid_pairs(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").withColumn("half", F.col("vec_id") % 2)
+    return C.centroid_pairs(A.elementwise_mean(e, ["half", "label"], "embedding"), "half", "label").select("label_a", "label_b", r6("distance").alias("distance"))
+
+
+@query("""
+with o as (select o_custkey as k, count(*) as n from orders where o_orderpriority like '1%' or o_orderpriority like '2%' group by 1), c as (select c_custkey as k, abs(c_acctbal) as area from customer where c_custkey % 3 <> 0)
+select coalesce(o.k, c.k) as k, coalesce(n, 0) as n_picks, round(coalesce(area, 0), 6) + 0.0 as area, round(case when coalesce(area, 0) = 0 then 0 else coalesce(n, 0) / area * 1000 end, 6) + 0.0 as per_1000 from o full join c on o.k = c.k
+""")
+def join12_density(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_orderpriority like '1%' or o_orderpriority like '2%'").groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n_picks"))
+    c = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), F.abs("c_acctbal").alias("area"))
+    return J.density(o, c, "k").select("k", "n_picks", r6("area").alias("area"), r6("per_1000").alias("per_1000"))
+
+
+@query("select vec_id, case label when 1 then 4 when 2 then 7 else label end as label from embeddings")
+def join13_remapped(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("label_b"))
+    return J.remapped(e, spark.createDataFrame([(1, 4), (2, 7)], "label_b int, label_a int")).select("vec_id", "label")
+
+
+@query("select (select count(*) from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_quantity > 49)) as accepted, (select count(*) from orders where exists (select 1 from lineitem where l_orderkey = o_orderkey and l_quantity > 49)) as rejected")
+def join15_accepted_rejected(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    bad = table(spark, sf_dir, "lineitem").where("l_quantity > 49").select(F.col("l_orderkey").alias("o_orderkey"))
+    accepted, rejected = J.split_accepted(o, bad, "o_orderkey")
+    return accepted.agg(F.count(F.lit(1)).alias("accepted")).crossJoin(rejected.agg(F.count(F.lit(1)).alias("rejected")))
+
+
+@query("select o_orderkey from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_linestatus = 'F')")
+def join17_pending(spark, sf_dir):
+    done = table(spark, sf_dir, "lineitem").where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return J.pending(table(spark, sf_dir, "orders").select("o_orderkey"), done, ["o_orderkey"])
+
+
+# aggregates
+
+
+@query("select value, n from (select round(p_retailprice, 1) as value, count(*) as n, min(p_partkey) as first_at from part group by 1 order by n desc, first_at limit 1)")
+def agg1_modal_value(spark, sf_dir):
+    return A.modal_value(table(spark, sf_dir, "part"), F.col("p_retailprice"), F.col("p_partkey"), 1)
+
+
+@query("""
+with m as (select l_returnflag as f, median(l_extendedprice) as c from lineitem group by 1), s as (select f, c, 1.4826 * median(abs(l_extendedprice - c)) as s from lineitem join m on f = l_returnflag group by f, c)
+select l_orderkey, l_linenumber, round((l_extendedprice - c) / s, 6) + 0.0 as z from lineitem join s on f = l_returnflag
+""")
+def agg2_robust_normalise(spark, sf_dir):
+    z = A.robust_normalise(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"), "l_extendedprice", ["l_returnflag"])
+    return z.select("l_orderkey", "l_linenumber", r6("z").alias("z"))
+
+
+@query(f"""
+with p as (select *, x + 2 * y as v from ({POINTS})), near as (select a.vec_id as i, b.v from p a join p b on (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) <= 36),
+own as (select i, count(*) as n, median(v) as m from near group by i), mad as (select near.i, n, m, 1.4826 * median(abs(v - m)) as s from near join own on own.i = near.i group by near.i, n, m),
+g as (select median(v) as c from p), gs as (select c, 1.4826 * median(abs(v - c)) as s from p, g group by c)
+select vec_id, round(case when n < 5 then (v - c) / gs.s else (v - m) / case when mad.s > 0 then mad.s else gs.s end end, 6) + 0.0 as z, n < 5 as fell_back from p join mad on i = vec_id, gs
+""")
+def agg3_normalise_locally(spark, sf_dir):
+    p = points(spark, sf_dir).withColumn("v", F.col("x") + 2 * F.col("y"))
+    return A.normalise_locally(p, "v", ["x", "y", "z"], 6.0, 5, "vec_id", out="score").select("vec_id", r6("score").alias("z"), "fell_back")
+
+
+@query("""
+with e as (select event_id, value as v, case when user_id % 4 = 0 then '' else event_type end as g from events),
+m as (select g, median(v) as c from e where g <> '' group by g), s as (select m.g, c, 1.4826 * median(abs(v - c)) as s from e join m on m.g = e.g group by m.g, c),
+wm as (select median(v) as c from e), ws as (select c, 1.4826 * median(abs(v - c)) as s from e, wm group by c)
+select event_id, round(case when e.g = '' then (v - ws.c) / ws.s else (v - s.c) / s.s end, 6) + 0.0 as z, e.g = '' as fell_back from e left join s on s.g = e.g, ws
+""")
+def agg4_normalise_by_vesicle(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", F.col("value").alias("v"), F.when(F.col("user_id") % 4 == 0, "").otherwise(F.col("event_type")).alias("g"))
+    return A.normalise_by_vesicle(e, "v", "g").select("event_id", r6("z").alias("z"), "fell_back")
+
+
+@query("with e as (select label, generate_subscripts(embedding, 1) - 1 as pos, unnest(embedding)::double as v from embeddings where label <> 0) select label, pos::int as pos, count(*) as n, round(avg(v), 6) + 0.0 as mean from e group by label, pos")
+def agg7_class_average(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").withColumn("cluster_id", F.when(F.col("label") == 0, "noise").otherwise(F.col("label").cast("string")))
+    m = A.class_averages(e, "embedding")
+    return m.select(F.col("cluster_id").cast("int").alias("label"), "n", F.posexplode("mean").alias("pos", "m")).select("label", "pos", "n", r6("m").alias("mean"))
+
+
+@query("select least(floor(abs(value) / 15), 5)::int as bin, count(*) as n, round(100.0 * count(*) / sum(count(*)) over (), 6) + 0.0 as percent from events where value is not null group by 1")
+def agg12_closed_histogram(spark, sf_dir):
+    return A.closed_histogram(table(spark, sf_dir, "events"), F.abs("value"), 15, 6).select("bin", "n", r6("percent").alias("percent"))
+
+
+@query("""
+with e as (select value as s, event_type in ('click', 'view') as d from events), b as (
+    select max(s) filter (where not d) as real_best, max(s) filter (where d) as decoy_best, avg(s) filter (where d) as m, stddev_samp(s) filter (where d) as sd, count(*) filter (where not d) as n_real, count(*) filter (where d) as n_decoy from e),
+c as (select s, count(*) filter (where not d) as r, count(*) filter (where d) as f from e group by s), w as (select r, f, coalesce(sum(f) over (order by s rows between unbounded preceding and 1 preceding), 0) as below from c)
+select round(real_best, 6) + 0.0 as real_best, round(decoy_best, 6) + 0.0 as decoy_best, n_real, n_decoy, round(case when coalesce(sd, 0) = 0 then 'inf'::double else (real_best - m) / sd end, 6) + 0.0 as separation, (select sum(r * (below + f / 2))::double from w) as u from b
+""")
+def agg13_control_statistics(spark, sf_dir):
+    s = A.control_statistics(table(spark, sf_dir, "events"), "value", F.col("event_type").isin("click", "view"))
+    return s.select(r6("real_best").alias("real_best"), r6("decoy_best").alias("decoy_best"), "n_real", "n_decoy", r6("separation").alias("separation"), F.col("u").cast("double").alias("u"))
+
+
+@query("select lang, count(*) as n_files, sha256(string_agg(doc_id::varchar || ':' || sha256(text), chr(10) order by doc_id::varchar || ':' || sha256(text))) as digest from documents group by lang")
+def agg15_directory_digest(spark, sf_dir):
+    return A.directory_digest(table(spark, sf_dir, "documents"), F.col("doc_id").cast("string"), F.sha2(F.col("text").cast("binary"), 256), ["lang"])
+
+
+@query("""
+with e as (select vec_id, generate_subscripts(embedding, 1) - 1 as pos, unnest(embedding)::double as v from embeddings), s as (select vec_id, avg(v) as m, stddev_pop(v) as sd from e group by vec_id)
+select e.vec_id, pos::int as pos, round((v - m) / case when sd < 1e-6 then 1 else sd end, 5) + 0.0 as z from e join s on s.vec_id = e.vec_id
+""")
+def agg21_row_standardise(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(A.row_standardise(F.col("embedding"))).alias("pos", "z"))
+    return e.select("vec_id", "pos", (F.round("z", 5) + F.lit(0.0)).alias("z"))
+
+
+@query("""
+with e as (select vec_id, label, generate_subscripts(embedding, 1) - 1 as pos, unnest(embedding)::double as v from embeddings), w as (select pos, avg(v) as m, stddev_pop(v) as s from e group by pos), g as (select label, pos, count(*) as n, avg(v) as m, stddev_pop(v) as s from e group by all)
+select vec_id, e.pos::int as pos, round(case when n >= 50 then (v - g.m) / case when g.s = 0 then 1 else g.s end else (v - w.m) / case when w.s = 0 then 1 else w.s end end, 5) + 0.0 as z from e join w on w.pos = e.pos join g on g.pos = e.pos and g.label = e.label
+""")
+def agg22_column_standardise(spark, sf_dir):
+    z = A.column_standardise(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    return z.select("vec_id", "pos", (F.round("z", 5) + F.lit(0.0)).alias("z"))
+
+
+@query("with e as (select vec_id, generate_subscripts(embedding, 1) - 1 as pos, unnest(embedding)::double as v from embeddings), s as (select vec_id, sqrt(sum(v * v)) as n from e group by 1) select e.vec_id, pos::int as pos, round(case when n = 0 then 0 else v / n end, 6) + 0.0 as v from e join s on s.vec_id = e.vec_id")
+def agg23_power_normalise(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(A.power_normalise(F.col("embedding"))).alias("pos", "v"))
+    return e.select("vec_id", "pos", r6("v").alias("v"))
+
+
+@query("with e as (select vec_id, generate_subscripts(embedding, 1) - 1 as i, unnest(embedding)::double as v from embeddings), s as (select vec_id, v, exp(-0.5 * ((i - 31.5) / 16.0) * ((i - 31.5) / 16.0)) as g from e) select vec_id, round(corr(v, g), 6) + 0.0 as r from s group by vec_id")
+def agg24_profile_correlation(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", r6(A.profile_correlation(F.col("embedding"), A.bump(64))).alias("r"))
+
+
+@query("select count(*) filter (where value < 20) as below, count(*) filter (where value between 20 and 60) as visible, count(*) filter (where value > 60) as above from events")
+def agg18_z_diagram(spark, sf_dir):
+    return R.z_diagram(table(spark, sf_dir, "events"), F.col("value"), 40, 20)
+
+
+# windows, ranking, halves
+
+
+@query("select l_orderkey, l_linenumber, round(l_extendedprice, 6) + 0.0 as score from (select *, row_number() over (partition by l_orderkey order by l_extendedprice desc, l_linenumber) as r from lineitem) where r = 1")
+def win1_best_window(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return W.best_of(li, ["l_orderkey"], "l_extendedprice", "l_linenumber").select("l_orderkey", "l_linenumber", r6("l_extendedprice").alias("score"))
+
+
+@query("""
+with s as (select c_nationkey, c_mktsegment, sum(o_totalprice) as score from orders join customer on o_custkey = c_custkey group by all),
+r as (select *, row_number() over (partition by c_nationkey order by score desc, c_mktsegment) as n, score - lead(score) over (partition by c_nationkey order by score desc, c_mktsegment) as gap from s)
+select c_nationkey, c_mktsegment, round(score, 2) + 0.0 as score, round(gap, 2) + 0.0 as gap from r where n = 1
+""")
+def win2_rank_candidates(spark, sf_dir):
+    """Flagship: the best market segment of each nation by order value, and how far the next one is behind."""
+    o, c = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice"), table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    s = o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_nationkey", "c_mktsegment").agg(F.sum("o_totalprice").alias("score"))
+    out = W.rank_with_gap(s, ["c_nationkey"], "score", "c_mktsegment")
+    return out.select("c_nationkey", "c_mktsegment", (F.round("score", 2) + F.lit(0.0)).alias("score"), (F.round("gap", 2) + F.lit(0.0)).alias("gap"))
+
+
+@query(f"""
+with p as (select *, vec_id % 3 as picker from ({POINTS})), m as (select label, picker, avg(x) as mx, avg(y) as my, avg(z) as mz from p group by all),
+r as (select p.label, p.picker, vec_id, row_number() over (partition by p.label, p.picker order by (x-mx)*(x-mx)+(y-my)*(y-my)+(z-mz)*(z-mz), vec_id) as n from p join m on m.label = p.label and m.picker = p.picker)
+select label, picker, vec_id from r where n = 1
+""")
+def win3_representatives(spark, sf_dir):
+    p = points(spark, sf_dir).withColumn("picker", F.col("vec_id") % 3)
+    return W.representatives(p, ["label"], "picker", ["x", "y", "z"], "vec_id").select("label", "picker", "vec_id")
+
+
+@query(f"""
+with p as ({POINTS}), m as (select label, avg(x) as mx, avg(y) as my, avg(z) as mz, count(*) as n from p group by label),
+r as (select p.label, n, mx, vec_id, row_number() over (partition by p.label order by (x-mx)*(x-mx)+(y-my)*(y-my)+(z-mz)*(z-mz), vec_id) as k from p join m on m.label = p.label)
+select label, n, round(mx, 6) + 0.0 as centre_x, vec_id from r where k = 1
+""")
+def win4_nearest_attributes(spark, sf_dir):
+    return W.nearest_attributes(points(spark, sf_dir), ["label"], ["x", "y", "z"], "vec_id", ["vec_id"]).select("label", "n", r6("centre_x").alias("centre_x"), "vec_id")
+
+
+@query("""
+with c as (select o_custkey, count(*) as n from orders group by 1), t as (select sum(n) as t from c), r as (select o_custkey, n, coalesce(sum(n) over (order by md5(o_custkey::varchar), o_custkey rows between unbounded preceding and 1 preceding), 0) as before from c)
+select o_custkey, n, case when before < (t + 1) // 2 then 'A' else 'B' end as half_set from r, t
+""")
+def win5_half_set_split(spark, sf_dir):
+    counts = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return W.split_halves(counts, "o_custkey", "n", F.md5(F.col("o_custkey").cast("string").cast("binary"))).select("o_custkey", "n", "half_set")
+
+
+@query("""
+with e as (select label, generate_subscripts(embedding, 1) - 1 as shell, unnest(embedding)::double as v from embeddings), m as (select label, shell, abs(avg(v)) as v from e group by all)
+select label, coalesce(min(shell) filter (where v < 0.02 and shell > 0), max(shell))::int as crossing, min(shell) filter (where v < 0.02 and shell > 0) is not null as crossed from m group by label
+""")
+def win6_crossing(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("shell", "v"))
+    m = e.groupBy("label", "shell").agg(F.abs(F.avg(F.col("v").cast("double"))).alias("v"))
+    return W.crossing(m, ["label"], "shell", "v", 0.02)
+
+
+@query("""
+with l as (select *, row_number() over (partition by l_returnflag order by l_extendedprice, l_orderkey * 10 + l_linenumber) as r from lineitem), k as (select *, row_number() over (partition by l_returnflag order by md5((l_orderkey * 10 + l_linenumber)::varchar), l_orderkey * 10 + l_linenumber) as q from l where r <= 100)
+select l_returnflag, l_orderkey, l_linenumber from k where q <= 20
+""")
+def top1_decoy_pool(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("i"))
+    return W.lowest_pool(li, ["l_returnflag"], "l_extendedprice", "i", 20, F.md5(F.col("i").cast("string").cast("binary"))).select("l_returnflag", "l_orderkey", "l_linenumber")
+
+
+# sets and groups
+
+CONSENSUS = "with e as (select user_id, round_even(value / 10, 0)::int as cell, event_type, value from events) select user_id, cell, count(distinct event_type) as n_pickers, string_agg(distinct event_type, '+' order by event_type) as sources, round(avg(value), 6) + 0.0 as confidence from e group by user_id, cell having count(distinct event_type) >= {k}"
+
+
+def _consensus(spark, sf_dir, rule):
+    e = table(spark, sf_dir, "events").withColumn("cell", F.expr("cast(rint(value / 10) as int)"))
+    out = C.consensus(e, ["user_id", "cell"], "event_type", "value", rule, 3)
+    return out.select("user_id", "cell", "n_pickers", "sources", r6("confidence").alias("confidence"))
+
+
+@query(CONSENSUS.format(k=1))
+def set1_consensus_union(spark, sf_dir):
+    return _consensus(spark, sf_dir, "union")
+
+
+@query(CONSENSUS.format(k=3))
+def set1_consensus_intersection(spark, sf_dir):
+    return _consensus(spark, sf_dir, "intersection")
+
+
+@query("(select o_orderkey from orders where o_orderkey % 4 = 0 union select o_orderkey from orders where o_orderkey % 6 = 0) except select o_orderkey from orders where o_orderkey % 24 = 0")
+def set4_rejected_sets(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    return R.toggled(o.where("o_orderkey % 4 = 0"), o.where("o_orderkey % 6 = 0"), o.where("o_orderkey % 24 = 0"))
+
+
+@query(f"with p as ({POINTS}) select vec_id, side::int as side, round(x * side, 6) + 0.0 as nx from p, (select unnest([1, -1]) as side)")
+def set2_both_faces(spark, sf_dir):
+    return C.both_faces(points(spark, sf_dir), ["x"]).select("vec_id", "side", r6("n_x").alias("nx"))
+
+
+@query(f"select vec_id from (select vec_id, row_number() over (partition by floor(x / 8), floor(y / 8), floor(z / 8) order by vec_id) as r from ({POINTS})) where r = 1")
+def grp1_downsample(spark, sf_dir):
+    return C.downsample(points(spark, sf_dir), ["x", "y", "z"], 8.0, "vec_id").select("vec_id")
+
+
+@query()
+def grp2_suppress(spark, sf_dir):
+    p = points(spark, sf_dir).withColumn("score", F.col("x") + F.col("y"))
+    return C.suppress(p, "label", ["x", "y", "z"], "score", "vec_id", 6.0)
+
+
+@query()
+def grp2_suppress_distributed(spark, sf_dir):
+    p = points(spark, sf_dir).withColumn("score", F.col("x") + F.col("y"))
+    return C.suppress_distributed(p, ["label"], ["x", "y", "z"], "score", "vec_id", 6.0)
+
+
+@query()
+def grp3_reconcile(spark, sf_dir):
+    p = points(spark, sf_dir).select(F.col("label").cast("string").alias("tomogram_id"), F.col("vec_id").alias("idx"), "x", "y", "z", F.format_string("p%d", F.col("vec_id") % 2).alias("picker"), (F.col("x") / 100).alias("confidence"))
+    return C.reconcile(p, 12.0, "union", 2)
+
+
+@query()
+def grp5_greedy_match(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").withColumn("half", F.col("vec_id") % 2)
+    return C.match_halves(A.elementwise_mean(e, ["half", "label"], "embedding"), "half", "label")
+
+
+@query()
+def grp6_pca(spark, sf_dir):
+    return C.reduce(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 3)
+
+
+@query()
+def grp8_k_means(spark, sf_dir):
+    return C.cluster(C.reduce(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 3), "vec_id", "scores", "kmeans", k=4)
+
+
+@query()
+def grp7_density_clusters(spark, sf_dir):
+    reduced = C.reduce(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 3).withColumn("half", F.when(F.col("vec_id") % 2 == 0, "A").otherwise("B"))
+    return C.cluster(reduced, "vec_id", "scores", "density", by="half", least_size=5)
+
+
+@query(f"""
+with recursive p as ({POINTS}), e as (select a.vec_id as a, b.vec_id as b from p a join p b on a.label = b.label and (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) < 25),
+w(a, r) as (select vec_id, vec_id from p union select e.a, w.r from w join e on e.b = w.a)
+select a as vec_id, min(r) as component from w group by a
+""")
+def grp16_single_linkage(spark, sf_dir):
+    return C.single_linkage(points(spark, sf_dir), ["label"], ["x", "y", "z"], "vec_id", 5.0)
