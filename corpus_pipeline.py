@@ -29,8 +29,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (similarity 0.8 or more) the smallest doc_id stays."""
     found = neardup.near_duplicates(docs, percent=80)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

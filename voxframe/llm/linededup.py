@@ -9,8 +9,8 @@ Runs are written to the shared folder; a run is listed only once it is whole, so
 rerun of its tasks.
 
 Null and empty texts have one empty line. Rows with the same doc_id are one document; a null doc_id is a document
-of its own kind, before all others. An empty table gives no rows. Extra columns of `documents` are kept by
-`dedup_lines` as they are.
+of its own kind, before all others. An empty table gives no rows. `dedup_lines` keeps
+extra columns as they are, but for kept_text, n_lines and n_dropped, which it puts anew.
 """
 
 from __future__ import annotations
@@ -106,17 +106,17 @@ def dedup_lines(docs: DataFrame, least: int = 40, copies: int = 5, batches: int
         lines.join(repeated, HASH)
         .where("doc <> last_doc")
         .groupBy("doc")
-        .agg(F.collect_set("hash_a").alias("_drop"))
-        .withColumnRenamed("doc", "_doc")
+        .agg(F.collect_set("hash_a").alias("__drop"))
+        .withColumnRenamed("doc", "__doc")
     )
-    taken = docs.withColumn("_lines", F.split(F.coalesce(column, F.lit("")), "\n", -1))
-    joined = taken.join(drops, F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)) == F.col("_doc"), "left")
-    dropped = lambda x: (F.length(stripped(x)) >= least) & F.array_contains("_drop", line_hash(x))
-    kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x: ~dropped(x)))
+    taken = docs.withColumn("__lines", F.split(F.coalesce(column, F.lit("")), "\n", -1))
+    joined = taken.join(drops, F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)) == F.col("__doc"), "left")
+    dropped = lambda x: (F.length(stripped(x)) >= least) & F.array_contains("__drop", line_hash(x))
+    kept = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(F.filter("__lines", lambda x: ~dropped(x)))
     return (
-        joined.withColumn("_kept", kept)
-        .withColumn("n_lines", F.size("_lines").cast("long"))
-        .withColumn("n_dropped", (F.size("_lines") - F.size("_kept")).cast("long"))
-        .withColumn("kept_text", F.array_join("_kept", "\n"))
-        .drop("_lines", "_kept", "_doc", "_drop")
+        joined.withColumn("__kept", kept)
+        .withColumn("n_lines", F.size("__lines").cast("long"))
+        .withColumn("n_dropped", (F.size("__lines") - F.size("__kept")).cast("long"))
+        .withColumn("kept_text", F.array_join("__kept", "\n"))
+        .drop("__lines", "__kept", "__doc", "__drop")
     )

@@ -205,12 +205,12 @@ def plan_rows(plan: list[tuple[tuple[tuple[int, int], ...], int]]) -> list[tuple
     return rows
 
 
-def pack(docs: DataFrame, path: str, size: int = SIZE, key: str = "doc_id", column: str = "text", nodes: int = 6000, salts: int = 256) -> DataFrame:
+def pack(docs: DataFrame, path: str, size: int = SIZE, key: str = "doc_id", column: str = "text", nodes: int = 6000, salts: int = 32) -> DataFrame:
     """Pieces of `docs` with sequence_id and offset."""
     return place(materialise(token_pieces(docs, path, size, key, column), "pieces"), size, nodes, salts)
 
 
-def place(pieces: DataFrame, size: int = SIZE, nodes: int = 6000, salts: int = 256) -> DataFrame:
+def place(pieces: DataFrame, size: int = SIZE, nodes: int = 6000, salts: int = 32) -> DataFrame:
     """sequence_id and offset for pieces (doc_id, piece, length, ...), which must not change when read again.
 
     Ranks among equal lengths come from counts by (length, salt), at most size * salts rows, and a window over each
