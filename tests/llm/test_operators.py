@@ -346,12 +346,12 @@ def test_line_dedup_of_odd_rows(docs, none):
 def test_runs(spark):
     store = linededup.LineRuns(spark, fan=2)
     for k in range(5):
-        lines = spark.createDataFrame([(k, j, j) for j in range(k, k + 3)], "doc long, hash_a long, hash_b long")
+        lines = spark.createDataFrame([(-k, j, j) for j in range(k, k + 3)], "doc long, hash_a long, hash_b long")
         fresh = {r.hash_a for r in store.unseen(lines).collect()}
         assert fresh == ({0, 1, 2} if k == 0 else {k + 2})
         store.add(lines)
     assert [len(x) for x in store.levels] == [1, 0, 1]
-    assert {r.hash_a: (r.n_docs, r.last_doc) for r in store.whole().collect()} == {0: (1, 0), 1: (2, 1), 2: (3, 2), 3: (3, 3), 4: (3, 4), 5: (2, 4), 6: (1, 4)}
+    assert {r.hash_a: (r.n_docs, r.last_doc) for r in store.whole().collect()} == {0: (1, 0), 1: (2, 0), 2: (3, 0), 3: (3, -1), 4: (3, -2), 5: (2, -3), 6: (1, -4)}
 
 
 # 6 quality

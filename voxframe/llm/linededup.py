@@ -4,6 +4,8 @@ A store keeps runs: tables (hash_a, hash_b, n_docs, last_doc) sorted by hash, ea
 Level 0 holds the newest; when a level has `fan` runs they are merged into one of the next level. A batch is
 merged against the runs by an anti-join on the hash, which gives its new lines, and then adds its own run. Every
 stored line is thus rewritten once a level, and a batch reads as many runs as there are levels times `fan`.
+Batches come by falling doc_id, so the batch to which a line is new has the largest doc_id that holds it; later
+runs only add to the count.
 
 Runs are written to the shared folder; a run is listed only once it is whole, so a lost executor costs a
 rerun of its tasks.
@@ -61,9 +63,10 @@ class LineRuns:
         return reduce(lambda rest, run: rest.join(run.select(*HASH), HASH, "left_anti"), self.runs(), lines)
 
     def add(self, lines: DataFrame) -> None:
-        """Store a batch's lines (doc, hash_a, hash_b); a document must not come in two batches."""
-        run = lines.groupBy(*HASH, "doc").agg(F.count(F.lit(1)).alias("times")).groupBy(*HASH).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("last_doc"))
-        self._put(0, [run])
+        """Store a batch's lines (doc, hash_a, hash_b), all of lower doc than those before; last_doc goes to new ones."""
+        each = lines.groupBy(*HASH, "doc").agg(F.count(F.lit(1)).alias("times"))
+        own = each.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc").alias("last_doc"))
+        self._put(0, [own.drop("last_doc").join(self.unseen(own).drop("n_docs"), HASH, "left") if self.runs() else own])
 
     def _put(self, level: int, parts: list[DataFrame]) -> None:
         """One run from these, at this level; a full level goes on to the next."""
@@ -87,7 +90,9 @@ def merged(runs: list[DataFrame]) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, least: int, copies: int, batches: int, key: str = "doc_id", column: str = "text") -> tuple[DataFrame, DataFrame]:
     """All long lines (doc, hashes), and the hashes that at least `copies` documents hold, with the last of these."""
-    batch = F.pmod(F.xxhash64("doc"), F.lit(batches)).cast("int").alias("batch")
+    spread = docs.select(F.col(key).cast("long").alias("doc")).where("doc is not null").approxQuantile("doc", [k / batches for k in range(1, batches)], 0.01)
+    cuts = F.array(*map(F.lit, sorted({int(x) for x in spread}))).cast("array<bigint>")
+    batch = F.size(F.filter(cuts, lambda c: c > F.col("doc"))).alias("batch")
     lines = materialise(lines_of(docs, least, key, column).select("*", batch), "lines", ["batch"])
     store = LineRuns(docs.sparkSession)
     for k in range(batches):
