@@ -2,7 +2,7 @@
 
 First tier: a broadcast table of the lengths of frequent pre-tokens, of at most `table_size` entries. Each
 task counts the pre-tokens of its rows in a bounded summary (counters; when full, the rarer half goes) and
-hands on one row; these rows, one a task, are merged in two steps under the same bound. Second tier: a miss is
+hands on one row; these rows, one a task, are merged as a tree under the same bound. Second tier: a miss is
 encoded and kept in a bounded cache of the worker. The table only saves time: a piece that it lacks is encoded,
 so every count is exact whatever the table holds.
 
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .pretokens import encoder, split
 
 TABLE_SIZE = 32_768
+#: Summaries that one task merges.
+FAN = 16
 SUMMARY = "pieces array<string>, seen array<long>"
 
 
@@ -57,8 +59,11 @@ def frequent_pieces(docs: DataFrame, column: str = "text", table_size: int = TAB
         yield _rows(counts, table_size)
 
     each = docs.select(F.col(column)).mapInArrow(summarise, SUMMARY)
-    some = each.repartition(16).mapInArrow(merge, SUMMARY)
-    row = some.coalesce(1).mapInArrow(merge, SUMMARY).first()
+    parts = docs.rdd.getNumPartitions()  # known from the plan, without a job
+    while parts > 1:
+        parts = -(-parts // FAN)
+        each = each.repartition(parts).mapInArrow(merge, SUMMARY)
+    row = each.first()
     return list(row.pieces) if row else []
 
 
