@@ -522,20 +522,27 @@ def test_votes():
     votes = np.zeros(fingerprint.BITS)
     for k in range(len(h) - 1):
         term = h[k : k + 1] * np.uint64(0xD6E8FEB86659FD93) + mix(h[k + 1 : k + 2], 11)
-        bits = np.unpackbits(np.concatenate([mix(term, 31), mix(term, 37)]).view(np.uint8))
+        bits = np.unpackbits(np.concatenate([mix(term, seed) for seed in fingerprint.SEEDS]).view(np.uint8))
         votes += min(n[k] + n[k + 1], fingerprint.LONGEST) * (2.0 * bits - 1)
     assert np.array_equal(np.packbits(votes > 0), fingerprint.fingerprints([text])[0])
 
 
-def test_radius_search(spark):
+@pytest.mark.parametrize(("radius", "blocks"), [(3, 4), (6, 8), (7, 8)])
+def test_radius_search(spark, radius, blocks):
     rng = random.Random(8)
-    base = [rng.getrandbits(128) for _ in range(40)]
-    prints = {x ^ sum(1 << b for b in rng.sample(range(128), rng.randrange(6))) for x in base for _ in range(4)}
-    hexed = {f"{x:032x}": x for x in prints}
+    base = [rng.getrandbits(256) for _ in range(30)]
+    prints = {x ^ sum(1 << b for b in rng.sample(range(256), rng.randrange(6))) for x in base for _ in range(4)}
+    hexed = {f"{x:064x}": x for x in prints}
     df = spark.createDataFrame([(x,) for x in hexed], "fingerprint string")
-    got = {(r.query, r.fingerprint, r.bits_apart) for r in fingerprint.within_radius(df, df, radius=3, blocks=8).collect()}
-    want = {(a, b, d) for a in hexed for b in hexed if a != b and (d := (hexed[a] ^ hexed[b]).bit_count()) <= 3}
-    assert got == want and want
+    got = [(r.query, r.fingerprint, r.bits_apart) for r in fingerprint.within_radius(df, df, radius, blocks).collect()]
+    want = {(a, b, d) for a in hexed for b in hexed if a != b and (d := (hexed[a] ^ hexed[b]).bit_count()) <= radius}
+    assert set(got) == want and len(got) == len(want) and want
+
+
+def test_near_counts(spark):
+    df = spark.createDataFrame([(k, f"{x:064x}") for k, x in enumerate((0, 1, 3, 1 << 200, 0, (1 << 30) - 1))] + [(None, "0" * 64)], "doc_id long, fingerprint string")
+    rows = fingerprint.with_near_counts(df, F.col("doc_id") % 2 == 0).collect()
+    assert len(rows) == 7 and {r.doc_id: r.n_near for r in rows} == {0: 3, 1: None, 2: 3, 3: None, 4: 3, 5: None, None: None}
 
 
 # queries

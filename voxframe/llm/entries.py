@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, fingerprint, langid, linededup, media, neardup, packing, quality, tokencount, urlfilter
-from ._common import read
+from ._common import materialise, read
 
 
 def tokenizer_path(name: str) -> str:
@@ -53,7 +53,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.edited_likeness(read(spark, sf_dir, "documents"))
+    found = materialise(fingerprint.edited_likeness(read(spark, sf_dir, "documents")), "fingerprints")
+    return fingerprint.with_near_counts(found, F.col("doc_id") % 100 == 0)
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_language_id, op3_media, op4_near_duplicates, op5_line_dedup, op6_quality, op7_token_counts, op8_bpe, op9_url_filter, op10_fingerprints)}

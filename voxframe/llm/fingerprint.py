@@ -2,11 +2,13 @@
 
 Terms are pairs of neighbouring words (a text of one word has that word); each adds its weight, which grows with
 its length, to the bits that its hash has set and takes it from the others, so the weight of a term in a text is its count
-times that. Bits with a positive sum are set. Fingerprints have 128 bits, kept as 32 hex digits.
+times that. Bits with a positive sum are set. Fingerprints have 256 bits, kept as 64 hex digits.
 
 Search: bits are cut into blocks; two fingerprints within the radius differ in `radius` blocks at most, so with
 `blocks` blocks they agree in `blocks - radius` whole ones. For each choice of that many blocks there is a table
-keyed by them: the permuted block tables. Equal fingerprints are one class beforehand.
+keyed by them: the permuted block tables. A pair that agrees in more blocks counts in the table of the first of
+them alone. Equal fingerprints are one class beforehand. Blocks should be so long that those a table is keyed by
+have more bits than the number of fingerprints.
 
 Null and empty texts, and texts without words, have a fingerprint of zeros. Repeated rows have equal fingerprints.
 An empty table gives no rows.
@@ -25,8 +27,9 @@ from pyspark.sql import functions as F
 
 from ._textnp import buffers, mix, words
 
-BITS = 128
+BITS = 256
 LONGEST = 24
+SEEDS = tuple(range(31, 31 + BITS // 64))
 
 
 def fingerprints(texts: list[str | None]) -> np.ndarray:
@@ -56,7 +59,7 @@ def fingerprints(texts: list[str | None]) -> np.ndarray:
             continue
         votes = np.zeros((b - a, BITS), dtype=np.float64)
         starts = np.searchsorted(own_row, np.arange(a, b + 1))
-        both = np.stack([mix(own, 31), mix(own, 37)], axis=1).view(np.uint8)
+        both = np.stack([mix(own, seed) for seed in SEEDS], axis=1).view(np.uint8)
         for k in range(b - a):
             for i in range(starts[k], starts[k + 1], 1 << 14):
                 j = min(starts[k + 1], i + (1 << 14))
@@ -88,19 +91,24 @@ def _bits_apart(a: Column, b: Column) -> Column:
     return sum((F.bit_count(half(a, k).bitwiseXOR(half(b, k))) for k in range(BITS // 32)), F.lit(0))
 
 
-def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 12, blocks: int = 16) -> DataFrame:
+def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 7, blocks: int = 8) -> DataFrame:
     """All pairs of distinct fingerprints (query, fingerprint, bits_apart) within the radius, query from `queries`.
 
     Both frames have a column fingerprint. Tables: all choices of blocks - radius blocks.
     """
     if radius >= blocks or BITS // 4 % blocks:
         raise ValueError("there must be more blocks than the radius, of whole hex digits each")
-    digits = BITS // 4 // blocks
-    choices = [F.concat(F.lit(f"{k}:"), *(F.substring("fingerprint", 1 + digits * i, digits) for i in chosen)) for k, chosen in enumerate(combinations(range(blocks), blocks - radius))]
-    tables = lambda df, name: df.select(F.col("fingerprint")).distinct().select(F.col("fingerprint").alias(name), F.explode(F.array(*choices)).alias("block"))
-    pairs = tables(queries, "query").join(tables(prints, "found"), "block").where(F.col("query") != F.col("found"))
-    near = pairs.withColumn("bits_apart", _bits_apart(F.col("query"), F.col("found"))).where(F.col("bits_apart") <= radius)
-    return near.select("query", F.col("found").alias("fingerprint"), "bits_apart").distinct()
+    digits, agreeing = BITS // 4 // blocks, blocks - radius
+    block = lambda c, i: F.substring(c, 1 + digits * i, digits)
+    name = lambda chosen: ",".join(map(str, chosen))
+    choices = [F.struct(F.lit(name(chosen)).alias("chosen"), F.concat(*(block("fingerprint", i) for i in chosen)).alias("bits")) for chosen in combinations(range(blocks), agreeing)]
+    tables = lambda df, own: df.select("fingerprint").distinct().select(F.col("fingerprint").alias(own), F.explode(F.array(*choices)).alias("t")).select(own, "t.*")
+    one, two = tables(queries, "query"), tables(prints, "found")
+    same = F.array_compact(F.array(*(F.when(block("query", i) == block("found", i), F.lit(str(i))) for i in range(blocks))))
+    first = F.array_join(F.slice(same, 1, agreeing), ",") == one["chosen"]
+    apart = _bits_apart(F.col("query"), F.col("found"))
+    on = (one["chosen"] == two["chosen"]) & (one["bits"] == two["bits"]) & (F.col("query") != F.col("found")) & first & (apart <= radius)
+    return one.join(two, on).select("query", F.col("found").alias("fingerprint"), apart.cast("int").alias("bits_apart"))
 
 
 def with_next(docs: DataFrame, buckets: int, key: str = "doc_id", column: str = "text") -> DataFrame:
@@ -183,3 +191,11 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", column: str = "text",
             yield finish(waiting)
 
     return with_next(docs, buckets, key, column).mapInArrow(walk, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+
+
+def with_near_counts(prints: DataFrame, query: Column, radius: int = 7, blocks: int = 8) -> DataFrame:
+    """prints with n_near: of rows that are queries, how many other distinct fingerprints are within the radius; else null."""
+    asked = prints.where(query)
+    near = within_radius(prints, asked, radius, blocks).groupBy("query").agg(F.count(F.lit(1)).alias("n_near"))
+    counted = asked.join(near, F.col("fingerprint") == F.col("query"), "left").select(*prints.columns, F.coalesce("n_near", F.lit(0)).alias("n_near"))
+    return counted.unionByName(prints.where(~F.coalesce(query, F.lit(False))).withColumn("n_near", F.lit(None).cast("long")))
