@@ -196,3 +196,29 @@ def test_arrivals(spark, data, tmp_path):
         (tmp_path / "seg" / f"t{k:02d}_mask.mrc").write_bytes((data / "seg" / f"t{k:02d}_mask.mrc").read_bytes())
         pick_arrivals(spark, f"{tmp_path}/seg", f"{data}/tomo", f"{tmp_path}/out", lambda m: m, f"arrivals-{tmp_path.name}").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+
+
+def test_whole_run(spark, data, tmp_path):
+    from voxframe.operators.preview import slice_at, slices, thinned
+    from voxframe.plans.run import Run, RunSettings
+
+    atom = "HETATM%5d  C   LIG A   1    %8.3f%8.3f%8.3f  1.00  0.00           C\n"
+    (tmp_path / "small.pdb").write_text(atom % (1, 0, 0, 0))
+    (tmp_path / "large.pdb").write_text("".join(atom % (k, 8 * k, 0, 0) for k in range(8)))
+    (tmp_path / "panel.yaml").write_text("candidates:\n- {name: small, structure_path: small.pdb}\n- {name: large, structure_path: large.pdb}\n")
+    (tmp_path / "run.toml").write_text(
+        f'[run]\nsegmentation_dir = "{data}/seg"\nraw_dir = "{data}/tomo"\noutput_dir = "out"\n'
+        "[stage.pick]\nwindows = [[20.0, 60.0]]\nseparation_angstrom = 80.0\n"
+        "[stage.classify]\nbox_angstrom = 90.0\nk = 1\ncomponents = 3\n"
+        '[stage.identify]\ncandidates = "panel.yaml"\nresolution = 20.0\nsearch = {turns = 1, tilts = [0], shifts = [0]}\n'
+    )
+    settings = RunSettings.from_file(str(tmp_path / "run.toml"))
+    run = Run(spark, settings)
+    assert [x for x in run.go() if x[0] == "real"] == [("real", s) for s in ("pick", "classify", "identify", "refine")]
+    assert (tmp_path / "out/report.md").read_text().startswith("# Run report")
+    assert "separation_sigma" in (tmp_path / "out/identify/decoy_control.json").read_text()
+    assert Run(spark, settings).go() == []
+    assert Run(spark, settings).go(start="refine") == [("real", "refine")]
+    path = f"{data}/tomo/t00.mrc"
+    assert slice_at(path, most=16).shape == (16, 16) and thinned(np.zeros((8, 8, 8)), 4).shape == (4, 4, 4)
+    assert slices(mrc.volumes(spark, f"{data}/tomo", voxels=False)).count() == 4
