@@ -74,6 +74,13 @@ def is_pure(df: DataFrame, flag: Column) -> DataFrame:
     return df.agg(F.countDistinct(flag).alias("n_flags")).withColumn("pure", F.col("n_flags") == 1)
 
 
+def single_half(df: DataFrame, half: str = "half_set") -> DataFrame:
+    """df, after a check that all its rows are of one half and that there are some."""
+    if df.select(half).distinct().limit(2).count() != 1:
+        raise ValueError("the rows must be of exactly one half")
+    return df
+
+
 def comparable(real: DataFrame, decoy: DataFrame, least_share: float = 0.5) -> DataFrame:
     """One row: real_count, decoy_count and whether there are enough decoys."""
     counts = real.agg(F.count(F.lit(1)).alias("real_count")).crossJoin(decoy.agg(F.count(F.lit(1)).alias("decoy_count")))

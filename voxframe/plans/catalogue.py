@@ -571,3 +571,103 @@ select a as vec_id, min(r) as component from w group by a
 """)
 def grp16_single_linkage(spark, sf_dir):
     return C.single_linkage(points(spark, sf_dir), ["label"], ["x", "y", "z"], "vec_id", 5.0)
+
+
+# bookkeeping joins, listings and checks
+
+
+@query("""
+with m as (select 't' || lpad(n_nationkey::varchar, 2, '0') as tomogram_id, n_nationkey as k from nation), l as (select tomogram_id || case k % 3 when 0 then '_labelled' else '_a' end as stem from m where k % 4 <> 3 union all select tomogram_id || '_0' from m where k % 3 = 0),
+r as (select tomogram_id, stem, row_number() over (partition by tomogram_id order by (stem <> tomogram_id || '_labelled')::int, stem) as n from m left join l on starts_with(stem, tomogram_id))
+select tomogram_id, stem from r where n = 1
+""")
+def join4_labels_for(spark, sf_dir):
+    m = table(spark, sf_dir, "nation").select(F.format_string("t%02d", "n_nationkey").alias("tomogram_id"), F.col("n_nationkey").alias("k"))
+    some = m.where("k % 4 <> 3").select(F.concat("tomogram_id", F.when(F.col("k") % 3 == 0, "_labelled").otherwise("_a")).alias("stem"))
+    stems = some.unionByName(m.where("k % 3 = 0").select(F.concat("tomogram_id", F.lit("_0")).alias("stem")))
+    return J.labels_for(m.select("tomogram_id"), stems)
+
+
+@query(f"""
+with v as ({NORMALS}), n as (select vec_id, x / sqrt(x*x+y*y+z*z) as x, y / sqrt(x*x+y*y+z*z) as y, z / sqrt(x*x+y*y+z*z) as z from v),
+q as (select vec_id, (1+z)/sqrt((1+z)*(1+z)+x*x+y*y) as w, -y/sqrt((1+z)*(1+z)+x*x+y*y) as x, x/sqrt((1+z)*(1+z)+x*x+y*y) as y, radians((vec_id % 90)::double)/2 as h from n)
+select vec_id, round(case when vec_id % 3 = 0 then w else w*cos(h) end, 6) + 0.0 as w, round(case when vec_id % 3 = 0 then 0 else w*sin(h) end, 6) + 0.0 as qz from q
+""")
+def join9_with_roll(spark, sf_dir):
+    p = normals(spark, sf_dir).withColumn("orientation", G.quaternion_from_normal(*map(F.col, "xyz")))
+    angles = p.where("vec_id % 3 <> 0").select("vec_id", (F.col("vec_id") % 90).cast("double").alias("inplane_angle_degrees"))
+    return J.with_roll(p, angles, "vec_id").select("vec_id", r6("orientation.w").alias("w"), r6("orientation.z").alias("qz"))
+
+
+@query("select o_orderpriority as class_id, case when o_custkey % 2 = 0 then 'A' else 'B' end as half_set, min(o_orderpriority || '_' || (o_custkey % 2)::varchar || '_' || o_orderkey::varchar) as path from orders group by 1, 2")
+def join14_first_reference(spark, sf_dir):
+    half = F.when(F.col("o_custkey") % 2 == 0, "A").otherwise("B").alias("half_set")
+    path = F.concat_ws("_", "o_orderpriority", (F.col("o_custkey") % 2).cast("string"), F.col("o_orderkey").cast("string")).alias("path")
+    return J.first_reference(table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("class_id"), half, path))
+
+
+@query("select c_mktsegment, count(*) filter (where o_custkey is not null) as matched, count(*) filter (where o_custkey is null) as missing from customer left join (select distinct o_custkey from orders where o_totalprice > 400000) on o_custkey = c_custkey group by c_mktsegment")
+def join16_matched_and_missing(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+    found, missing = P.kept_and_skipped(table(spark, sf_dir, "customer").join(o.distinct().withColumn("hit", F.lit(True)), "c_custkey", "left"), F.col("hit"))
+    both = found.select("c_mktsegment", F.lit(1).alias("k")).unionByName(missing.select("c_mktsegment", F.lit(0).alias("k")))
+    return both.groupBy("c_mktsegment").agg(F.sum("k").alias("matched"), F.sum(1 - F.col("k")).alias("missing"))
+
+
+@query("select count(*) as n from orders where o_custkey % 2 = 0")
+def agg16_single_half(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.when(F.col("o_custkey") % 2 == 0, "A").otherwise("B").alias("half_set"))
+    return P.single_half(o.where("half_set = 'A'")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select count(*) as total, count(*) filter (where event_id % 7 <> 0) as accepted, count(*) filter (where event_id % 7 <> 0 and abs(value - 50) <= 10) as visible from events")
+def agg19_review_counts(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return R.review_counts(e, e.where("event_id % 7 = 0").select("event_id"), "event_id", P.in_slab(F.col("value"), 50, 10))
+
+
+@query("select user_id, event_type, round(avg(value), 6) + 0.0 as confidence from events group by all")
+def agg20_confidence(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(r6(F.avg("value")).alias("confidence"))
+
+
+@query("select s_suppkey from supplier where s_suppkey % 3 = 0 except select l_suppkey from lineitem where l_orderkey % 500 = 0")
+def set5_unknown_ids(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select("s_suppkey")
+    return s.exceptAll(table(spark, sf_dir, "lineitem").where("l_orderkey % 500 = 0").select(F.col("l_suppkey").alias("s_suppkey")).distinct())
+
+
+@query("select 'a' as source, event_id from events where event_type = 'click' union all select 'b', event_id from events where value > 50")
+def set3_concatenated(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.where("event_type = 'click'").select(F.lit("a").alias("source"), "event_id").unionByName(e.where("value > 50").select(F.lit("b").alias("source"), "event_id"))
+
+
+@query("select p_brand, p_type, rank from (select p_brand, p_type, row_number() over (partition by p_brand order by sum(p_retailprice) desc, p_type) as rank from part group by p_brand, p_type) where rank <= 3")
+def win7_ranked_listing(spark, sf_dir):
+    from pyspark.sql import Window
+
+    sums = table(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(F.sum("p_retailprice").alias("s"))
+    rank = F.row_number().over(Window.partitionBy("p_brand").orderBy(F.desc("s"), "p_type"))
+    return sums.select("p_brand", "p_type", rank.cast("bigint").alias("rank")).where("rank <= 3")
+
+
+@query("select vec_id from embeddings where label in (1, 4, 7)")
+def flt10_select_tomograms(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").cast("string").alias("tomogram_id"))
+    return P.select_tomograms(e, ["1", "4", "7"]).select("vec_id")
+
+
+@query("select label, half_set, count(*) as n, round(avg(v), 6) + 0.0 as mean0 from (select label, case when vec_id % 2 = 0 then 'A' else 'B' end as half_set, embedding[1]::double as v from embeddings) group by all")
+def agg17_means_by_half(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("label", F.when(F.col("vec_id") % 2 == 0, "A").otherwise("B").alias("half_set"), F.slice("embedding", 1, 1).alias("v"))
+    m = A.elementwise_mean(e, ["label", "half_set"], "v")
+    return m.select("label", "half_set", "n", r6(F.col("mean")[0]).alias("mean0"))
+
+
+@query("select vec_id, tile_column, tile_row from (select vec_id, floor(x / 25)::int as tile_column, floor(y / 25)::int as tile_row from (" + POINTS + "))")
+def review_tiles(spark, sf_dir):
+    from ..operators.preview import tile
+
+    t = points(spark, sf_dir).withColumn("t", tile(F.col("x"), F.col("y"), 25))
+    return t.select("vec_id", F.col("t.column").alias("tile_column"), F.col("t.row").alias("tile_row"))

@@ -11,7 +11,7 @@ from ..functions.text import cluster_name
 from ..kernels import signal as S
 from ..kernels import volume as V
 from ..operators.aggregates import elementwise_mean
-from ..operators.filters import box_fits
+from ..operators.filters import box_fits, single_half
 from ..operators.grouping import centroids, cluster, match_halves, reduce
 from ..operators.joins import remapped
 from ..scratch import written
@@ -73,7 +73,7 @@ def assign(features: DataFrame, method: str = "kmeans", k: int = 8, least_size:
     if {r[0] for r in reduced.select("half_set").distinct().collect()} != {"A", "B"}:
         raise ValueError("both halves need particles")
     labels = written(cluster(reduced, "particle_id", "scores", method, "half_set", k, least_size).join(reduced.select("particle_id", "half_set"), "particle_id"), "labels")
-    means = [centroids(reduced.where(F.col("half_set") == h), labels.select("particle_id", "label"), "particle_id", "scores").withColumn("half", F.lit(i)) for i, h in enumerate("AB")]
+    means = [centroids(single_half(reduced.where(F.col("half_set") == h)), labels.select("particle_id", "label"), "particle_id", "scores").withColumn("half", F.lit(i)) for i, h in enumerate("AB")]
     both = means[0].unionByName(means[1])
     mapping = match_halves(both, "half", "label")
     used = {r[0] for r in labels.where("half_set = 'A'").select("label").distinct().collect()}
