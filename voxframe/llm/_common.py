@@ -27,6 +27,19 @@ def materialise(df: DataFrame, name: str, by: list[str] | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch. Texts are long, and a batch is held by the JVM and by Python at once.
+BATCH_ROWS = 500
+
+
+def mapped(df: DataFrame, function, schema) -> DataFrame:
+    """df.mapInArrow in batches of BATCH_ROWS rows, or fewer if the session says so; the setting stays for the session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(name))
+    if not 0 < now <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import mapped
 from .pretokens import Ids, split, tiktoken_ranks
 
 
@@ -158,4 +159,4 @@ def _mapped(docs: DataFrame, path: str, key: str, column: str, schema: str, colu
                 decoded = [b"".join(map(token, array.array("I", x))) for x in ids]
                 yield pa.RecordBatch.from_arrays(list(columns(some.column(0), ids, decoded)), names)
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")).mapInArrow(encode, schema)
+    return mapped(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")), encode, schema)

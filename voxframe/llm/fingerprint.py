@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._common import mapped
 from ._textnp import buffers, mix, words
 
 BITS = 256
@@ -83,7 +84,7 @@ def fingerprint_column(docs: DataFrame, key: str = "doc_id", column: str = "text
                 some = batch.slice(at, 256)
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array([bytes(x).hex() for x in fingerprints(some.column(1).to_pylist())], pa.string())], ["doc_id", "fingerprint"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")).mapInArrow(take, "doc_id long, fingerprint string")
+    return mapped(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")), take, "doc_id long, fingerprint string")
 
 
 def _bits_apart(a: Column, b: Column) -> Column:
@@ -190,7 +191,7 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", column: str = "text",
         if waiting:
             yield finish(waiting)
 
-    return with_next(docs, buckets, key, column).mapInArrow(walk, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return mapped(with_next(docs, buckets, key, column), walk, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def with_near_counts(prints: DataFrame, query: Column, radius: int = 7, blocks: int = 8) -> DataFrame:

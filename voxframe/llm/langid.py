@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import crc_of_id, draw
+from ._common import crc_of_id, draw, mapped
 
 BITS = 16
 ORDERS = (1, 2, 3)
@@ -155,7 +155,7 @@ def apply(docs: DataFrame, model: LanguageModel, key: str = "doc_id", column: st
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x for x, _ in out], pa.string()), pa.array([p for _, p in out], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), (crc_of_id(F.col(key), 4) == 2).alias("held_out"), F.col(column).alias("text"))
-    return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    return mapped(rows, predict, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, least: float = 0.5, per_label: int = 500) -> DataFrame:
@@ -169,4 +169,4 @@ def keep_known(docs: DataFrame, least: float = 0.5, per_label: int = 500) -> Dat
             told = (own.predict(text) for text in batch.column("text").to_pylist())
             yield batch.filter(pa.array([x != "und" and p >= least for x, p in told], pa.bool_()))
 
-    return docs.mapInArrow(keep, schema)
+    return mapped(docs, keep, schema)

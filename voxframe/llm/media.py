@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import mapped
+
 UNIT = 192
 
 
@@ -306,4 +308,4 @@ def text_payloads(docs: DataFrame, key: str = "doc_id", column: str = "text") ->
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, media_type string, n_embedded int"
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")).mapInArrow(store, schema)
+    return mapped(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")), store, schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import if_small, materialise
+from ._common import if_small, mapped, materialise
 from ._textnp import buffers, mix, shingles, words
 
 BANDS, ROWS = 32, 6
@@ -79,7 +79,7 @@ def signatures(docs: DataFrame, width: int, key: str, column: str, bands: int, r
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), lists], ["doc_id", "n_shingles", "set_a", "set_b", "bands"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")).mapInArrow(sign, SIGNATURE)
+    return mapped(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")), sign, SIGNATURE)
 
 
 def full_sets(docs: DataFrame, width: int, key: str, column: str) -> DataFrame:
@@ -93,7 +93,7 @@ def full_sets(docs: DataFrame, width: int, key: str, column: str) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own)))], ["id", "own"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(column).alias("text")).mapInArrow(collect, "id long, own array<long>")
+    return mapped(docs.select(F.col(key).cast("long").alias("id"), F.col(column).alias("text")), collect, "id long, own array<long>")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

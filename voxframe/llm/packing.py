@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import materialise
+from ._common import mapped, materialise
 from .pretokens import encoder
 
 SIZE = 2048
@@ -52,7 +52,7 @@ def token_pieces(docs: DataFrame, path: str, size: int = SIZE, key: str = "doc_i
                 numbers.append(number)
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(numbers, pa.int32()), *(pa.array(columns[k], pa.int64()) for k in (2, 3, 4))], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")).mapInArrow(cut, PIECES)
+    return mapped(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")), cut, PIECES)
 
 
 def best_fit(counts: dict[int, int], size: int) -> list[tuple[tuple[tuple[int, int], ...], int]]:

@@ -75,7 +75,7 @@ def tiktoken_ranks(path: str) -> dict[bytes, int]:
 class Ids(dict):
     """Little-endian unsigned 32-bit ids by piece. Holds at most `most` pieces, then begins anew."""
 
-    def __init__(self, encode: Callable[[bytes], list[int]], most: int = 800_000):
+    def __init__(self, encode: Callable[[bytes], list[int]], most: int = 400_000):
         super().__init__()
         self.encode, self.most = encode, most
 

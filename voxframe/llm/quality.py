@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import crc_of_id, draw
+from ._common import crc_of_id, draw, mapped
 
 BLOCK, LEVEL, DICTIONARY = 1024, 3, 112_640
 #: Bytes at which a text's evidence counts half.
@@ -120,7 +120,7 @@ def score(docs: DataFrame, labels: DataFrame, per_label: int = 1000, key: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), (crc_of_id(F.col(key), 3) == 1).alias("held_out"), F.col(column).alias("text"))
-    return rows.mapInArrow(judge, "doc_id long, held_out boolean, score double, predicted int")
+    return mapped(rows, judge, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, per_label: int = 1000) -> DataFrame:
@@ -133,4 +133,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, per_label: int = 1000) -> Data
         for batch in batches:
             yield batch.filter(pa.array([model.score(text, pair) >= 0.5 for text in batch.column("text").to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(keep, schema)
+    return mapped(docs, keep, schema)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import mapped
 from .pretokens import encoder, split
 
 TABLE_SIZE = 32_768
@@ -58,11 +59,11 @@ def frequent_pieces(docs: DataFrame, column: str = "text", table_size: int = TAB
                 counts = _prune(counts, 4 * table_size) if len(counts) > 8 * table_size else counts
         yield _rows(counts, table_size)
 
-    each = docs.select(F.col(column)).mapInArrow(summarise, SUMMARY)
+    each = mapped(docs.select(F.col(column)), summarise, SUMMARY)
     parts = docs.rdd.getNumPartitions()  # known from the plan, without a job
     while parts > 1:
         parts = -(-parts // FAN)
-        each = each.repartition(parts).mapInArrow(merge, SUMMARY)
+        each = mapped(each.repartition(parts), merge, SUMMARY)
     row = each.first()
     return list(row.pieces) if row else []
 
@@ -99,7 +100,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, key: str = "doc_
                 n_tokens.append(sum(1 if k % 2 else sum(map(get, split(part))) for k, part in enumerate(coder.parts(text))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
-    out = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")).mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")
+    out = mapped(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text")), count, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
