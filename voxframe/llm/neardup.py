@@ -7,7 +7,8 @@
    members. Edges are confirmed on the full sets and joined into components.
 3. A star can miss a link between two members of which neither is near the centre. All members of buckets
    that still hold several components therefore go through an exact join: shingles are ordered by rarity, and
-   two sets that are near enough must share one among the first few of each, how few depending on both sizes.
+   two sets that are near enough must share one among the first few of each, how few depending on both sizes, and
+   far enough from each one's end for the overlap that is needed.
    For texts that are too far from a common origin these few are mostly their own edits, so groups of far
    copies don't meet pair by pair. Only pairs across components are confirmed.
 
@@ -155,8 +156,8 @@ def rare_prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> Data
     prefix = F.least("n", F.greatest(F.lit(1), F.col("n") - overlap + 1)).cast("int")
     keys = spread.select(
         "id", "component",
-        F.least("own_class", "other_class").alias("low"), F.greatest("own_class", "other_class").alias("high"), "own_class",
-        F.explode(F.transform(F.slice("ordered", F.lit(1), prefix), lambda x: x["shingle"])).alias("shingle"),
+        F.least("own_class", "other_class").alias("low"), F.greatest("own_class", "other_class").alias("high"), "own_class", "n",
+        F.posexplode(F.transform(F.slice("ordered", F.lit(1), prefix), lambda x: x["shingle"])).alias("place", "shingle"),
     )
     keys = materialise(keys, "prefixes")
     at = ["low", "high", "shingle"]
@@ -165,7 +166,10 @@ def rare_prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> Data
     one, two = keys.alias("x"), keys.alias("y")
     on = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in at]
     crossed = (F.col("x.component") != F.col("y.component")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.own_class") + F.col("y.own_class") == F.col("x.low") + F.col("x.high"))
-    return one.join(two, [*on, crossed]).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    # at the first shingle that two sets share, what follows it in each bounds the overlap
+    rest = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    enough = F.lit(100 + percent) * rest >= F.lit(percent) * (F.col("x.n") + F.col("y.n"))
+    return one.join(two, [*on, crossed, enough]).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", column: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
