@@ -545,6 +545,64 @@ def test_near_counts(spark):
     assert len(rows) == 7 and {r.doc_id: r.n_near for r in rows} == {0: 3, 1: None, 2: 3, 3: None, 4: 3, 5: None, None: None}
 
 
+def test_near_lists(spark):
+    rng = random.Random(3)
+    base = [rng.getrandbits(256) for _ in range(25)]
+    every = [x ^ sum(1 << b for b in rng.sample(range(256), rng.randrange(60))) for x in base for _ in range(12)]
+    every += every[:40] + every[:3] * 20
+    rows = [(k if k % 50 != 7 else None, f"{x:064x}") for k, x in enumerate(every)]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string")
+    classes: dict[str, list] = {}
+    for doc, x in rows:
+        classes.setdefault(x, []).append(doc)
+    for chunk in (1000, 10):
+        got = fingerprint.near_lists(df, F.col("doc_id") % 5 == 0, chunk=chunk).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            if r.doc_id is None or r.doc_id % 5:
+                assert (r.near, r.n_near, r.n_near_docs) == (None, None, None)
+                continue
+            apart = {x: (int(x, 16) ^ int(r.fingerprint, 16)).bit_count() for x in classes}
+            want = sorted((d, x, min(k for k in classes[x] if k is not None) if any(k is not None for k in classes[x]) else None, len(classes[x])) for x, d in apart.items() if d <= fingerprint.RADIUS)
+            assert [tuple(x) for x in r.near] == want
+            assert (r.n_near, r.n_near_docs) == (len(want) - 1, sum(x[3] for x in want) - 1)
+    assert max(len(r.near or ()) for r in got) > 3
+    assert fingerprint.near_lists(df.limit(0), F.col("doc_id") % 5 == 0).count() == 0
+
+
+@pytest.mark.parametrize("radius", [0, 5, 16, 31, 44, 47])
+def test_block_tables(radius):
+    rng = np.random.default_rng(radius)
+    one = rng.integers(0, 256, (40, 32), dtype=np.uint8)
+    flips = np.zeros((40, 256), np.uint8)
+    for k in range(40):
+        flips[k, rng.choice(256, rng.integers(0, 60), replace=False)] = 1
+    two = np.concatenate([one ^ np.packbits(flips, axis=1), one])
+    got = [x for part in fingerprint.BlockTables(one, radius).find(two, 7) for x in zip(*(p.tolist() for p in part), strict=True)]
+    apart = np.bitwise_count(two[:, None] ^ one[None]).sum(axis=2)
+    assert sorted(got) == [(i, j, apart[i, j]) for i, j in np.argwhere(apart <= radius).tolist()] and got
+
+
+def test_edited_copies_are_within_the_radius(texts):
+    rng = random.Random(1)
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    own, edited = [], []
+    for text in texts.values():
+        w = text.split()[:300]
+        if len(w) < 100:
+            continue
+        out, a = list(w), shingles(w)
+        for i in rng.sample(range(len(w)), len(w)):
+            tried = [*out[:i], f"word{rng.randrange(10**6)}", *out[i + 1 :]]
+            if len(a & shingles(tried)) < 0.8 * len(a | shingles(tried)):
+                break
+            out = tried
+        own.append(" ".join(w))
+        edited.append(" ".join(out))
+    found = {(i, j) for i, j, _ in (x for part in fingerprint.BlockTables(fingerprint.fingerprints(own)).find(fingerprint.fingerprints(edited)) for x in zip(*part, strict=True))}
+    assert len(own) > 20 and sum((k, k) in found for k in range(len(own))) >= 0.98 * len(own)
+
+
 # queries
 
 

@@ -54,7 +54,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = materialise(fingerprint.edited_likeness(read(spark, sf_dir, "documents")), "fingerprints")
-    return fingerprint.with_near_counts(found, F.col("doc_id") % 100 == 0)
+    return fingerprint.near_lists(found, F.col("doc_id") % 100 == 0)
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_language_id, op3_media, op4_near_duplicates, op5_line_dedup, op6_quality, op7_token_counts, op8_bpe, op9_url_filter, op10_fingerprints)}
