@@ -114,6 +114,14 @@ def test_fit_prefers_the_right_shape():
     assert V.fit_score(own, own, **few) > 0.99 > V.fit_score(own, dot, **few)
 
 
+def test_fit_turns_a_candidate_upside_down_and_by_small_tilts():
+    points = np.array([[x, y, 9.0] for x in np.linspace(-12, 12, 9) for y in np.linspace(-12, 12, 9)] + [[0.0, 0.0, z] for z in np.linspace(-12, 6, 9)])
+    own = V.gaussian(V.splat(points / 3 + 7, np.ones(len(points)), 15), 1.0)
+    few = {"tilts": (0,), "shifts": (-1, 0, 1), "absolute": False}
+    assert V.fit_score(own[:, :, ::-1], own, **few) > 0.999
+    assert V.fit_score(V.turn(own, 6, (1, 2)), own, turns=1, shifts=(0,), absolute=False) > 0.999
+
+
 def test_rank_test_by_enumeration():
     rng = np.random.default_rng(9)
     for n, m in itertools.product(range(2, 5), repeat=2):

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from voxframe.kernels import volume as V
 from voxframe.operators import decoys as D
 from voxframe.operators.review import Review
 from voxframe.plans import classify, identify, pick
@@ -125,6 +126,21 @@ def test_classify_to_resolution(spark, data, picked, tmp_path):
     assert "_rlnTomoParticleName #8" in (tmp_path / "p.star").read_text()
 
 
+def test_averages_are_made_comparable_and_candidates_flipped(spark):
+    top = np.array([[x, y, 30.0] for x in np.linspace(-40, 40, 9) for y in np.linspace(-40, 40, 9)])
+    atoms = {"cap": (np.concatenate([top, [[0.0, 0.0, z] for z in np.linspace(-60, 20, 9)]]), np.ones(90))}
+    panel = spark.createDataFrame([("cap", 0)], "name string, at int")
+    own = V.simulate_density(*atoms["cap"], 15, 10.0, 25.0)
+    few = {"tilts": (0,), "shifts": (0,), "absolute": False}
+    rng = np.random.default_rng(4)
+    means = [("c00", V.gaussian(own, 1.06)), ("c01", own[:, :, ::-1] + rng.normal(0, 0.1, own.shape))]
+    averages = spark.createDataFrame([(c, m.ravel().tolist(), 15, 10.0) for c, m in means], "cluster_id string, mean array<double>, box int, voxel double")
+    got = {r.cluster_id: r.fit_score for r in identify.fit_all(averages, panel, atoms, 25.0, **few).collect()}
+    sigma, want = V.blur_sigma(25.0, 10.0), V.to_comparable(own)
+    for c, m in means:
+        assert np.isclose(got[c], V.fit_score(V.to_comparable(m, sigma), want, **few)) and got[c] > 0.85
+
+
 def test_records(spark, tmp_path):
     particle = {"particle_id": "p000000", "tomogram_id": "t", "position": [1, 2, 3], "orientation": [1, 0, 0, 0], "source_picker": "native", "half_set": "A"}
     doc = tmp_path / "set.json"

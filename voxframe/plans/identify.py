@@ -39,9 +39,16 @@ def load_averages(spark: SparkSession, folder: str) -> DataFrame:
 def fit_all(averages: DataFrame, panel: DataFrame, atoms: dict[str, tuple[np.ndarray, np.ndarray]], resolution: float, done: DataFrame | None = None, absolute: bool = True, **search) -> DataFrame:
     """cluster_id, candidate_protein, at, fit_score for every class with every candidate; finished pairs are left out.
 
-    Each pair is a task's row of its own; candidates' atoms are a few thousand numbers each.
+    Each pair is a task's row of its own; candidates' atoms are a few thousand numbers each. Averages and candidates are
+    compared at one resolution and smeared about z.
     """
-    pairs = all_candidates(averages, panel.select(F.col("name").alias("candidate_protein"), F.col("at")))
+
+    def comparable(batches):
+        for rows in batches:
+            means = [V.to_comparable(np.array(r.mean).reshape((r.box,) * 3), V.blur_sigma(resolution, r.voxel)).ravel().tolist() for r in rows.itertuples()]
+            yield rows.assign(mean=means)
+
+    pairs = all_candidates(averages.mapInPandas(comparable, averages.schema), panel.select(F.col("name").alias("candidate_protein"), F.col("at")))
     if done is not None:
         pairs = pending(pairs, done, ["cluster_id", "candidate_protein"])
     shared = averages.sparkSession.sparkContext.broadcast(atoms)
