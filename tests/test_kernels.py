@@ -2,10 +2,12 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from voxframe.kernels import cluster as K
 from voxframe.kernels import signal as S
 from voxframe.kernels import volume as V
+from voxframe.operators import aggregates
 from voxframe.operators.aggregates import decoy_control, mann_whitney_greater
 
 
@@ -137,3 +139,25 @@ def test_decoy_control():
     assert not decoy_control([0.2], [0.1, 0.3, 0.2])["passed"]
     assert decoy_control([0.9], [0.1])["separation_sigma"] == np.inf
     assert not decoy_control([], [0.1])["passed"]
+
+
+def test_medians_and_rank_sums_hold_no_group(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(g, float(v)) for g, n in (("a", 501), ("b", 40), ("c", 2), ("d", 1)) for v in rng.integers(0, 60, n)] + [("a", None), ("e", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    monkeypatch.setattr(F, "median", None)  # its buffer has every value of a group
+    for by in (["g"], []):
+        got = {r["g"] if by else "": r for r in aggregates.centre_and_scale(df, "v", by).collect()}
+        for name, r in got.items():
+            x = np.array([v for g, v in rows if v is not None and (not by or g == name)])
+            if not len(x):
+                assert (r.centre, r.scale) == (None, 0)
+                continue
+            mad = np.median(np.abs(x - np.median(x)))
+            assert r.centre == np.median(x) and np.isclose(r.scale, aggregates.MAD_SCALE * mad if mad > 0 else x.std())
+        assert len(got) == (5 if by else 1)
+    scored = df.where("v is not null").withColumn("d", F.col("g") != "a")
+    out = aggregates.control_statistics(scored, "v", F.col("d"))
+    real, fake = ([v for g, v in rows if v is not None and (g == "a") == own] for own in (True, False))
+    assert out.first().u == sum((r > f) + 0.5 * (r == f) for r in real for f in fake)
+    assert "windowspecdefinition(s#" not in out._jdf.queryExecution().analyzed().toString()

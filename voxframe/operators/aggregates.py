@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import written
+
 MAD_SCALE = 1.4826
 
 
@@ -16,20 +18,48 @@ def modal_value(df: DataFrame, value: Column, position: Column, digits: int = 3)
     return rounded.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("_at")).orderBy(F.desc("n"), "_at").limit(1).select("value", "n")
 
 
+def _ranged(counts: DataFrame, order: list[str]) -> DataFrame:
+    """The rows with the number of their range of the order as _p, kept in a table: ranges drawn anew could differ."""
+    parts = max(1, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return written(counts.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()), "ranges")
+
+
+def medians(df: DataFrame, value: Column, by: list[str], out: str) -> DataFrame:
+    """by and the median, nulls dropped.
+
+    Counts by value go into ranges of (group, value); the ranges' sums tell which one or two of them have a group's
+    middle, and only those are added up value by value. So no task holds a group.
+    """
+    counts = df.select(*by, value.cast("double").alias("_v")).where("_v is not null").groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranged = _ranged(counts, [*by, "_v"])
+    earlier = lambda c, keys, order: F.coalesce(F.sum(c).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    has_middle = lambda before, n: (before <= F.floor(F.col("_n") / 2)) & (before + F.col(n) > F.floor((F.col("_n") - 1) / 2))
+    # a row for each range that a group is in
+    sums = ranged.groupBy(*by, "_p").agg(F.sum("_c").alias("_s"))
+    starts = sums.withColumn("_before", earlier("_s", by, "_p")).withColumn("_n", F.sum("_s").over(Window.partitionBy(*by)))
+    middle = ranged.join(starts.where(has_middle(F.col("_before"), "_s")), [*by, "_p"])
+    middle = middle.withColumn("_at", F.col("_before") + earlier("_c", [*by, "_p"], "_v")).where(has_middle(F.col("_at"), "_c"))
+    return middle.groupBy(*by).agg((0.5 * F.min("_v") + 0.5 * F.max("_v")).alias(out))
+
+
 def centre_and_scale(df: DataFrame, x: str, by: list[str]) -> DataFrame:
-    """median and scale of x for each group: 1.4826 MAD, else the population deviation, else 0."""
-    median = df.groupBy(*by).agg(F.median(x).alias("centre"), F.stddev_pop(x).alias("_std"))
-    joined = df.join(median, by) if by else df.crossJoin(F.broadcast(median))
-    mad = joined.groupBy(*by, "centre", "_std").agg(F.median(F.abs(F.col(x) - F.col("centre"))).alias("_mad"))
+    """median and scale of x for each group: 1.4826 MAD, else the population deviation, else 0. Without groups, one row."""
+    keys = by or ["_all"]
+    rows = df.select(*(by or [F.lit(0).alias("_all")]), x)
+    std = rows.groupBy(*keys).agg(F.stddev_pop(x).alias("_std"))
+    centre = written(std.join(medians(rows, F.col(x), keys, "centre"), keys, "left"), "centres")
+    # without groups there is one key, so its row has to be sent to the others
+    joined = rows.join(centre if by else F.broadcast(centre), keys)
+    mad = centre.join(medians(joined, F.abs(F.col(x) - F.col("centre")), keys, "_mad"), keys, "left")
     scale = F.when(F.col("_mad") > 0, MAD_SCALE * F.col("_mad")).otherwise(F.coalesce("_std", F.lit(0.0)))
-    return mad.select(*by, "centre", scale.alias("scale"))
+    return written(mad.select(*by, "centre", scale.alias("scale")), "scales")
 
 
 def robust_normalise(df: DataFrame, x: str, by: list[str] | None = None, out: str = "z") -> DataFrame:
     """(x - median) / scale of each group; 0 where the scale is 0.
 
-    Medians come from grouped aggregates, which the engine spills, and go back by a join; a window would hold a group in
-    one task.
+    Medians come from ranges of values and go back by a join; a window, or a buffer of values, would hold a group in one
+    task.
     """
     by = by or []
     stats = centre_and_scale(df, x, by)
@@ -89,7 +119,7 @@ def closed_histogram(df: DataFrame, value: Column, width: float, bins: int) -> D
 def control_statistics(df: DataFrame, score: str, decoy: Column) -> DataFrame:
     """One row: best of both sides, the decoys' mean and sample deviation, separation, and the rank sum U of the real ones.
 
-    Midranks come from counts by distinct score.
+    Midranks come from counts by distinct score, added up in ranges of the score.
     """
     marked = df.select(F.col(score).alias("s"), decoy.alias("d"))
     best = marked.agg(
@@ -98,10 +128,12 @@ def control_statistics(df: DataFrame, score: str, decoy: Column) -> DataFrame:
         F.count_if(~F.col("d")).alias("n_real"), F.count_if(F.col("d")).alias("n_decoy"),
     )
     by_score = marked.groupBy("s").agg(F.count_if(~F.col("d")).alias("real"), F.count_if(F.col("d")).alias("fake"))
-    from pyspark.sql import Window
-
-    below = F.coalesce(F.sum("fake").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    u = by_score.withColumn("below", below).agg(F.sum(F.col("real") * (F.col("below") + F.col("fake") / 2)).alias("u"))
+    ranged = _ranged(by_score, ["s"])
+    earlier = lambda c, keys, order: F.coalesce(F.sum(c).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = ranged.withColumn("_below", earlier("fake", ["_p"], "s")).groupBy("_p").agg(F.sum(F.col("real") * (F.col("_below") + F.col("fake") / 2)).alias("_u"), F.sum("real").alias("_real"), F.sum("fake").alias("_fake"))
+    # a row for each range
+    offset = earlier("_fake", [F.lit(0)], "_p")
+    u = own.withColumn("_offset", offset).agg(F.sum(F.col("_u") + F.col("_real") * F.col("_offset")).alias("u"))
     separation = F.when(F.coalesce("decoy_std", F.lit(0.0)) == 0, F.lit(float("inf"))).otherwise((F.col("real_best") - F.col("decoy_mean")) / F.col("decoy_std"))
     return best.crossJoin(u).withColumn("separation", separation)
 
