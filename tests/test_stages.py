@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from voxframe.kernels import signal as S
 from voxframe.kernels import volume as V
 from voxframe.operators import decoys as D
 from voxframe.operators.review import Review
@@ -141,6 +142,27 @@ def test_averages_are_made_comparable_and_candidates_flipped(spark):
         assert np.isclose(got[c], V.fit_score(V.to_comparable(m, sigma), want, **few)) and got[c] > 0.85
 
 
+def test_features_are_standardised_by_column(spark):
+    rng = np.random.default_rng(7)
+    names = ["big"] * 60 + ["small"] * 9
+    boxes = [rng.normal(size=(9, 9, 9)).astype(np.float32) + (k % 3) for k in range(len(names))]
+    boxes[3] = np.zeros((9, 9, 9), np.float32)
+    rows = [(f"p{k:02d}", t, "A", "", True, b.tobytes()) for k, (t, b) in enumerate(zip(names, boxes, strict=True))]
+    df = spark.createDataFrame([*rows, ("cut", "big", "A", "", False, None)], classify.BOXES).repartition(4)
+    options = {"radial": 6, "angular": 16, "modes": 3}
+    raw = np.stack([S.features(b.astype(float), **options) for b in boxes])
+    z = lambda x: (x - x.mean(axis=0)) / np.where(x.std(axis=0) == 0, 1, x.std(axis=0))
+    flat = 6 * 9
+    for by_tomogram in (True, False):
+        want = raw.copy()
+        want[:, flat:] = z(raw[:, flat:])
+        if by_tomogram:
+            want[:60, flat:] = z(want[:60, flat:])
+        got = {r.particle_id: np.array(r.features) for r in classify.feature_rows(df, 9, by_tomogram, **options).collect()}
+        assert len(got) == 68 and "p03" not in got
+        assert all(np.allclose(got[f"p{k:02d}"], want[k]) for k in range(69) if k != 3)
+
+
 def test_records(spark, tmp_path):
     particle = {"particle_id": "p000000", "tomogram_id": "t", "position": [1, 2, 3], "orientation": [1, 0, 0, 0], "source_picker": "native", "half_set": "A"}
     doc = tmp_path / "set.json"

@@ -52,16 +52,80 @@ def extract(particles: DataFrame, manifests: DataFrame, box: int, subtract: bool
     return salted.mapInPandas(cut, BOXES)
 
 
-def feature_rows(boxes: DataFrame, box: int, **options) -> DataFrame:
-    """particle_id, half_set, tomogram_id, features; boxes that are empty or cut off are left out."""
+def feature_rows(boxes: DataFrame, box: int, by_tomogram: bool = True, least: int = 50, **options) -> DataFrame:
+    """particle_id, half_set, tomogram_id, features; boxes that are empty or cut off are left out.
+
+    The columns of the further modes are standardised over all particles that aren't cut off, empty ones with their zeros,
+    and then, by_tomogram, within each tomogram of `least` or more. Tasks add up their own rows' sums, so two rows of
+    statistics a task and tomogram are all that moves.
+    """
 
     def compute(batches):
         for rows in batches:
             f = [S.features(np.frombuffer(d, np.float32).reshape((box,) * 3).astype(float), **options).tolist() for d in rows["data"]]
             yield pd.DataFrame({"particle_id": rows["particle_id"], "half_set": rows["half_set"], "tomogram_id": rows["tomogram_id"], "features": f})
 
-    out = boxes.where("kept").mapInPandas(compute, "particle_id string, half_set string, tomogram_id string, features array<double>")
-    return out.where(F.exists("features", lambda x: x != 0))
+    raw = written(boxes.where("kept").mapInPandas(compute, "particle_id string, half_set string, tomogram_id string, features array<double>"), "features")
+    flat = S.mode_zero_width(box, **options)
+    return standardised(raw, flat, by_tomogram, least).where(F.exists("features", lambda x: x != 0))
+
+
+def standardised(raw: DataFrame, flat: int, by_tomogram: bool = True, least: int = 50) -> DataFrame:
+    """raw with the features from place `flat` on as z-scores; constant columns give zeros, rows of zeros stay."""
+    if not raw.where(F.size("features") > flat).limit(1).count():
+        return raw
+
+    def moments(batches):
+        # mean and sum of squares about it, joined batch by batch: sums of squares alone would lose small deviations
+        have: dict = {}
+        for rows in batches:
+            for tomogram, own in rows.groupby("tomogram_id", dropna=False):
+                x = np.stack(own["features"].to_numpy())[:, flat:].astype(float)
+                now = len(x), x.mean(axis=0), ((x - x.mean(axis=0)) ** 2).sum(axis=0)
+                tomogram = None if pd.isna(tomogram) else tomogram
+                have[tomogram] = _joined(have[tomogram], now) if tomogram in have else now
+        yield pd.DataFrame([(t, n, m.tolist(), q.tolist()) for t, (n, m, q) in have.items()], columns=["tomogram_id", "n", "m", "q"])
+
+    def add(key, rows: pd.DataFrame) -> pd.DataFrame:
+        n, m, q = 0, 0.0, 0.0
+        for r in rows.itertuples():
+            n, m, q = _joined((n, m, q), (r.n, np.array(r.m), np.array(r.q))) if n else (r.n, np.array(r.m), np.array(r.q))
+        return pd.DataFrame([(key[0], n, m.tolist(), q.tolist())], columns=["tomogram_id", "n", "m", "q"])
+
+    form = "tomogram_id string, n long, m array<double>, q array<double>"
+    own = written(raw.mapInPandas(moments, form).groupBy("tomogram_id").applyInPandas(add, form), "moments")
+    whole = None
+    for r in own.toLocalIterator():  # a row for each tomogram
+        now = r.n, np.array(r.m), np.array(r.q)
+        whole = _joined(whole, now) if whole else now
+    n, mean, q = whole
+    spread = np.sqrt(q / n)
+    spread[spread == 0] = 1.0
+
+    def scale(batches):
+        for rows in batches:
+            out = []
+            for f, k, m, s in rows[["features", "_n", "_m", "_q"]].itertuples(index=False):
+                f = np.array(f, float)
+                if f.any():
+                    z = (f[flat:] - mean) / spread
+                    if m is not None:
+                        # of the tomogram's z-scores
+                        about, wide = (np.array(m) - mean) / spread, np.sqrt(np.array(s) / k) / spread
+                        z = (z - about) / np.where(wide == 0, 1.0, wide)
+                    f = np.concatenate([f[:flat], z])
+                out.append(f.tolist())
+            yield rows.drop(columns=["_n", "_m", "_q"]).assign(features=out)
+
+    large = own.where(F.lit(by_tomogram) & (F.col("n") >= least)).select(F.col("tomogram_id").alias("_t"), F.col("n").alias("_n"), F.col("m").alias("_m"), F.col("q").alias("_q"))
+    joined = raw.join(large, F.col("tomogram_id").eqNullSafe(F.col("_t")), "left").select(*raw.columns, F.coalesce("_n", F.lit(0)).alias("_n"), "_m", "_q")
+    return joined.mapInPandas(scale, raw.schema)
+
+
+def _joined(a: tuple, b: tuple) -> tuple:
+    """Number, mean and sum of squares about the mean of two sets together."""
+    n, apart = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + apart * (b[0] / n), a[2] + b[2] + apart * apart * (a[0] * b[0] / n)
 
 
 def assign(features: DataFrame, method: str = "kmeans", k: int = 8, least_size: int = 10, components: int = 10, strict: bool = False) -> DataFrame:
