@@ -7,6 +7,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import before_ranges, in_ranges
+
 
 def cluster_name(label: Column) -> Column:
     return F.when(label == -1, "noise").otherwise(F.format_string("c%02d", label))
@@ -20,18 +22,14 @@ def vesicle_name(tomogram: Column, label: Column) -> Column:
 def numbered(df: DataFrame, prefix: str, order: list[Column], name: str = "particle_id") -> DataFrame:
     """Zero-based ids of six digits in a total order.
 
-    The order's ranges are numbered apart and their sizes added up, so no task holds all rows.
+    The order's ranges are written once and numbered apart; each range's own count is all that is added up, so no task
+    holds all rows. Equal rows of the order take their numbers in no order of their own, but each number comes once.
     """
-    spark = df.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    sizes = {r["_part"]: r["count"] for r in ranged.groupBy("_part").count().collect()}
-    before, offset = 0, F.lit(0)
-    for part in sorted(sizes):
-        offset = F.when(F.col("_part") == part, F.lit(before)).otherwise(offset)
-        before += sizes[part]
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return ranged.withColumn("_at", within).withColumn(name, F.format_string(f"{prefix}%06d", (F.col("_at") + offset).cast("long"))).drop("_part", "_at")
+    ranged = in_ranges(df, order)
+    offsets, _ = before_ranges(ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")), "_n")
+    within = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
+    placed = ranged.withColumn("_at", within).join(offsets, "_p")
+    return placed.withColumn(name, F.format_string(f"{prefix}%06d", (F.col("_at") + F.col("_before")).cast("long"))).drop("_p", "_at", "_before")
 
 
 def blank_to_null(c: Column) -> Column:

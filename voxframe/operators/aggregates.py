@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import written
+from ..scratch import before_ranges, in_ranges, written
 
 MAD_SCALE = 1.4826
 
@@ -18,12 +18,6 @@ def modal_value(df: DataFrame, value: Column, position: Column, digits: int = 3)
     return rounded.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("_at")).orderBy(F.desc("n"), "_at").limit(1).select("value", "n")
 
 
-def _ranged(counts: DataFrame, order: list[str]) -> DataFrame:
-    """The rows with the number of their range of the order as _p, kept in a table: ranges drawn anew could differ."""
-    parts = max(1, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return written(counts.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()), "ranges")
-
-
 def medians(df: DataFrame, value: Column, by: list[str], out: str) -> DataFrame:
     """by and the median, nulls dropped.
 
@@ -31,7 +25,7 @@ def medians(df: DataFrame, value: Column, by: list[str], out: str) -> DataFrame:
     middle, and only those are added up value by value. So no task holds a group.
     """
     counts = df.select(*by, value.cast("double").alias("_v")).where("_v is not null").groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranged = _ranged(counts, [*by, "_v"])
+    ranged = in_ranges(counts, [*by, "_v"])
     earlier = lambda c, keys, order: F.coalesce(F.sum(c).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     has_middle = lambda before, n: (before <= F.floor(F.col("_n") / 2)) & (before + F.col(n) > F.floor((F.col("_n") - 1) / 2))
     # a row for each range that a group is in
@@ -128,12 +122,11 @@ def control_statistics(df: DataFrame, score: str, decoy: Column) -> DataFrame:
         F.count_if(~F.col("d")).alias("n_real"), F.count_if(F.col("d")).alias("n_decoy"),
     )
     by_score = marked.groupBy("s").agg(F.count_if(~F.col("d")).alias("real"), F.count_if(F.col("d")).alias("fake"))
-    ranged = _ranged(by_score, ["s"])
+    ranged = in_ranges(by_score, ["s"])
     earlier = lambda c, keys, order: F.coalesce(F.sum(c).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     own = ranged.withColumn("_below", earlier("fake", ["_p"], "s")).groupBy("_p").agg(F.sum(F.col("real") * (F.col("_below") + F.col("fake") / 2)).alias("_u"), F.sum("real").alias("_real"), F.sum("fake").alias("_fake"))
-    # a row for each range
-    offset = earlier("_fake", [F.lit(0)], "_p")
-    u = own.withColumn("_offset", offset).agg(F.sum(F.col("_u") + F.col("_real") * F.col("_offset")).alias("u"))
+    own = written(own, "rank_sums")  # a row for each range
+    u = own.join(before_ranges(own, "_fake")[0], "_p").agg(F.sum(F.col("_u") + F.col("_real") * F.col("_before")).alias("u"))
     separation = F.when(F.coalesce("decoy_std", F.lit(0.0)) == 0, F.lit(float("inf"))).otherwise((F.col("real_best") - F.col("decoy_mean")) / F.col("decoy_std"))
     return best.crossJoin(u).withColumn("separation", separation)
 

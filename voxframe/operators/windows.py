@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import before_ranges, in_ranges
+
 
 def best_of(df: DataFrame, by: list[str], score: str, tie: str) -> DataFrame:
     """The row of each group with the highest score, the least tie value among equals."""
@@ -21,20 +23,15 @@ def rank_with_gap(df: DataFrame, by: list[str], score: str, tie: str) -> DataFra
 def split_halves(counts: DataFrame, group: str, count: str, order: Column) -> DataFrame:
     """half_set A or B for whole groups in shuffled order: A while fewer than half of all rows came before.
 
-    `counts` has a row for each group. Running sums go by ranges of the order, whose sums alone come to the driver.
+    `counts` has a row for each group. Groups are written once in ranges of the order; running sums go by range, and
+    the ranges' own sums, a row each, give where a range begins.
     """
-    spark = counts.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keyed = counts.withColumn("_o", order)
-    ranged = keyed.repartitionByRange(parts, "_o", group).withColumn("_p", F.spark_partition_id())
-    sums = {r["_p"]: r["s"] for r in ranged.groupBy("_p").agg(F.sum(count).alias("s")).collect()}
-    before, offset = 0, F.lit(0)
-    for p in sorted(sums):
-        offset = F.when(F.col("_p") == p, F.lit(before)).otherwise(offset)
-        before += sums[p]
+    ranged = in_ranges(counts.withColumn("_o", order), ["_o", group])
+    offsets, total = before_ranges(ranged.groupBy("_p").agg(F.sum(count).alias("_s")), "_s")
     w = Window.partitionBy("_p").orderBy("_o", group).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.coalesce(F.sum(count).over(w), F.lit(0)) + offset
-    return ranged.withColumn("half_set", F.when(earlier < (before + 1) // 2, "A").otherwise("B")).drop("_o", "_p")
+    placed = ranged.withColumn("_own", F.coalesce(F.sum(count).over(w), F.lit(0))).join(offsets, "_p")
+    half = F.when(F.col("_own") + F.col("_before") < (total + 1) // 2, "A").otherwise("B")
+    return placed.withColumn("half_set", half).drop("_o", "_p", "_own", "_before")
 
 
 def representatives(df: DataFrame, by: list[str], picker: str, xyz: list[str], tie: str) -> DataFrame:
