@@ -1,12 +1,15 @@
 """Best-fit packing of documents into token sequences by bin completion.
 
 Only the histogram of piece lengths goes to the driver: at most `size` entries, however many pieces there are.
-There, bin completion works on lengths with multiplicities: around the largest length left it lists the
-undominated fillings of the rest of a sequence, tries them by rising waste, prunes where the waste so far
-passes what an improvement on the incumbent allows, and takes best-fit decreasing for the incumbent from
-each node. A filling is used as often as its lengths' counts allow, so the work depends on the number of
-distinct lengths and not on the number of pieces; `nodes` bounds the search. The plan, a few rows for each
-length, is joined to the pieces by their rank among those of their length.
+There, bin completion works on lengths with multiplicities. Around the largest length left it goes through the
+undominated fillings of the rest of a sequence, by rising waste; sums that the lengths left can't make are never
+tried. It branches on the filling and on how often it is used, most first: as often as the counts allow, so the
+first descent has no more levels than there are lengths. A branch is pruned where the waste so far passes what an
+improvement on the incumbent allows. Incumbents are best-fit decreasing, from the beginning and from nodes on the way.
+Fillings are made when they are asked for, none is left out: the search ends when the incumbent meets a lower bound, when
+all is searched, or after `steps` lengths looked at, its one limit. `search` says which it was and how far the bound is.
+
+The plan, a few rows for each length, is joined to the pieces by their rank among those of their length.
 
 Null texts and texts without tokens are one piece of the end mark alone. Repeated rows are packed as often as
 they occur. An empty table gives no pieces. Extra columns are left out.
@@ -15,8 +18,9 @@ they occur. An empty table gives no pieces. Extra columns are left out.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +31,8 @@ from ._common import mapped, materialise
 from .pretokens import encoder
 
 SIZE = 2048
+#: Lengths looked at by the search; some seconds of the driver.
+STEPS = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -77,118 +83,227 @@ def best_fit(counts: dict[int, int], size: int) -> list[tuple[tuple[tuple[int, i
     return out
 
 
-def fillings(left: dict[int, int], lengths: list[int], size: int, most: int, steps: int = 20_000) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
-    """(waste, filling) around the largest length, by rising waste: the `most` best undominated ones found in `steps`.
+Filling = tuple[tuple[int, int], ...]
+
+
+def lower_bound(counts: dict[int, int], size: int) -> int:
+    """Sequences that any packing needs.
+
+    For each k: lengths over size - k are alone with regard to those of k or more, lengths over half of size are in
+    sequences of their own, and of the rest only what doesn't fit beside the latter needs more.
+    """
+    number, total = [0] * (size + 2), [0] * (size + 2)  # of the lengths under each
+    for x in range(size + 1):
+        number[x + 1], total[x + 1] = number[x] + counts.get(x, 0), total[x] + x * counts.get(x, 0)
+    half, best = size // 2 + 1, -(-total[-1] // size)
+    for k in range(half):
+        alone, own = number[-1] - number[size - k + 1], number[size - k + 1] - number[half]
+        beside = size * own - (total[size - k + 1] - total[half])
+        best = max(best, alone + own + max(0, -(-(total[half] - total[k] - beside) // size)))
+    return best
+
+
+def reachable(left: dict[int, int], lengths: list[int], size: int) -> list[int]:
+    """For each length x up to size, the sums up to size that lengths of x or less make, as bits. Stays an upper bound as counts fall."""
+    within, made, out, at = (1 << size + 1) - 1, 1, [], 0
+    for x in range(size + 1):
+        if at < len(lengths) and lengths[at] == x:
+            at, times, by = at + 1, min(left[x], size // x), 1
+            while times:
+                by = min(by, times)
+                made |= made << x * by & within
+                times -= by
+                by *= 2
+        out.append(made)
+    return out
+
+
+def fillings(left: dict[int, int], lengths: list[int], size: int, sums: list[int] | None = None, step: Callable[[int], None] = lambda n: None) -> Iterator[tuple[int, Filling]]:
+    """(waste, filling) around the largest of lengths, by rising waste and then by falling lengths, made one by one.
 
-    A filling is dominated by one that holds, in place of one of its lengths, a greater one that still fits:
-    so only those are listed whose waste is less than every gap to the next greater length at hand.
+    A filling is dominated by one that holds, in place of one of its lengths, a greater one that still fits, or one
+    more. So a length only goes in where the greater ones that are within the waste of it are used up, and those no
+    longer than the waste all go in. sums: of `reachable`, from these counts or greater ones. step(n) is told of the
+    work. While the next filling is made, left and lengths must be as at the beginning.
     """
     largest = lengths[-1]
     room = size - largest
-    found: list[tuple[int, tuple[tuple[int, int], ...]]] = []
-    budget = [steps]
-
-    def after(x: int, used: dict[int, int]) -> int:
-        k = bisect_right(lengths, x)
-        while k < len(lengths) and left[lengths[k]] - used.get(lengths[k], 0) <= 0:
-            k += 1
-        return lengths[k] if k < len(lengths) else size + 1
-
-    def down(room: int, below: int, used: dict[int, int]) -> bool:
-        budget[0] -= 1
-        k = bisect_right(lengths, min(room, below)) - 1
-        tried = False
-        while k >= 0 and budget[0] > 0:
-            x = lengths[k]
-            if left[x] - used.get(x, 0) > 0:
-                tried = True
-                used[x] = used.get(x, 0) + 1
-                done = down(room - x, x, used)
-                used[x] -= 1
-                if done:
-                    return True
+    sums = sums or reachable(left, lengths, size)
+    used: dict[int, int] = {}
+
+    def at_hand(x: int) -> int:
+        return left[x] - (x == largest)
+
+    def used_up(k: int, beyond: int) -> bool:
+        """Of the lengths from place k on that are no longer than that, none is left; those over the room don't count."""
+        return all(used.get(y, 0) == at_hand(y) for y in lengths[k : bisect_right(lengths, min(beyond, room))])
+
+    def exactly(k: int, need: int, waste: int, least: int) -> Iterator[Filling]:
+        """Of lengths from place `least` on and under place k."""
+        if not need:
+            yield ()
+            return
+        k = min(k, bisect_right(lengths, need))
+        while k > least and sums[lengths[k - 1]] >> need & 1:
+            step(1)
+            x = lengths[k - 1]
+            if not waste or used_up(k, x + waste):
+                under = sums[x - 1]
+                for times in range(min(at_hand(x), need // x), 0, -1):
+                    if under >> need - times * x & 1:
+                        used[x] = times
+                        for rest in exactly(k - 1, need - times * x, waste, least):
+                            yield ((x, times), *rest)
+                used[x] = 0
             k -= 1
-        if not tried:
-            smallest = next((x for x in lengths if left[x] - used.get(x, 0) > 0), size + 1)
-            inside = [x for x, n in used.items() if n]
-            if smallest > room and all(after(x, used) - x > room for x in inside if x != largest):
-                found.append((room, tuple((x, used[x]) for x in sorted(inside, reverse=True))))
-                return len(found) >= most and found[-1][0] == 0 or found[-1][0] == 0 and most == 1
-        return False
 
-    down(room, largest, {largest: 1})
-    best = sorted(set(found), key=lambda x: (x[0], x[1]))[:most]
-    return best or [(-1, ())]
+    for waste in range(room + 1):
+        least = bisect_right(lengths, min(waste, room))
+        small = tuple((x, at_hand(x)) for x in reversed(lengths[:least]) if at_hand(x))
+        need = room - waste - sum(x * n for x, n in small)
+        if need < 0:
+            return  # with more waste still more lengths would have to go in
+        step(1 + len(small))
+        used.update(small)
+        for rest in exactly(len(lengths), need, waste, least) if sums[room] >> need & 1 else ():
+            if not all(used_up(bisect_right(lengths, x), x + waste) for x, _ in small):
+                continue
+            rest += small
+            more = rest[0][1] if rest and rest[0][0] == largest else 0
+            yield waste, ((largest, 1 + more), *(rest[1:] if more else rest))
+
+
+@dataclass
+class Search:
+    """A packing, the least number of sequences that any has, the steps taken, and whether it is proven the best."""
+
+    plan: list[tuple[Filling, int]]
+    least: int
+    steps: int
+    proven: bool
+
+    @property
+    def sequences(self) -> int:
+        return sum(n for _, n in self.plan)
+
+
+@dataclass
+class _Level:
+    largest: int
+    options: Iterator[tuple[int, Filling]]
+    sums: list[int]
+    age: int
+    filling: Filling = ()
+    waste: int = 0
+    times: int = 0
+    tried: int = 0
+
+
+#: Choices tried at each level in a pass, and the share of the steps at which a pass ends. A mistake near the top is
+#: mended by a narrow pass; the last one leaves nothing out.
+PASSES = [(3, 0.3), (12, 0.6), (None, 1.0)]
 
 
-def completion(counts: dict[int, int], size: int = SIZE, nodes: int = 6000) -> list[tuple[tuple[tuple[int, int], ...], int]]:
-    """Fillings and how often each is used: bin completion branch-and-bound over a histogram of lengths."""
+def search(counts: dict[int, int], size: int = SIZE, steps: int = STEPS) -> Search:
+    """Bin completion branch-and-bound over a histogram of lengths."""
     counts = {k: n for k, n in counts.items() if n}
+    state = Search(best_fit(counts, size), lower_bound(counts, size), 0, False)
+    for width, share in PASSES:
+        whole = _pass(counts, size, state, width, int(share * steps))
+        state.proven = whole or state.sequences <= state.least
+        if state.proven:
+            break
+    return state
+
+
+def _pass(counts: dict[int, int], size: int, state: Search, width: int | None, until: int) -> bool:
+    """Look for better packings than the state has; whether nothing is left to try."""
     total = sum(k * n for k, n in counts.items())
-    least = -(-total // size)
-    incumbent = best_fit(counts, size)
-    state = {"best": incumbent, "bins": sum(n for _, n in incumbent), "nodes": nodes}
-    left = dict(counts)
-    lengths = sorted(left)
+    left, lengths = dict(counts), sorted(counts)
+    levels: list[_Level] = []  # a stack of our own: there are as many levels as lengths
+    bins, used, waste, since, whole = state.sequences, 0, 0, 0, True
 
-    def take(filling: tuple[tuple[int, int], ...], often: int) -> None:
+    def step(n: int) -> None:
+        state.steps += n
+        if state.steps > until:
+            raise _Enough
+
+    def take(filling: Filling, times: int) -> None:
         for x, t in filling:
-            left[x] -= t * often
-            if left[x] == 0:
-                del lengths[bisect_right(lengths, x) - 1]
-            elif left[x] == t * -often:  # given back
-                lengths.insert(bisect_right(lengths, x), x)
-
-    # An explicit stack, as there are as many levels as fillings: (fillings still to try, the one in use).
-    chosen: list[tuple[tuple[tuple[int, int], ...], int]] = []
-    stack: list[list] = []
-    used, waste, since = 0, 0, 0
-
-    def open_node() -> bool:
-        nonlocal since
-        state["nodes"] -= 1
+            had = left[x]
+            left[x] -= t * times
+            if not left[x]:
+                del lengths[bisect_left(lengths, x)]
+            elif not had:  # given back
+                lengths.insert(bisect_left(lengths, x), x)
+
+    def spare() -> int:
+        """Waste that a packing with one sequence less than the incumbent has."""
+        return (bins - 1) * size - total
+
+    def go_down(after: _Level | None = None) -> None:
+        """A level below, or a packing that is complete. Below the same largest length, only fillings that come later."""
+        nonlocal bins, since
         since += 1
-        if not lengths:
-            if used < state["bins"]:
-                state["best"], state["bins"] = list(chosen), used
-            return False
-        if len(lengths) <= 64 or since >= 64:  # best-fit from here is a new incumbent where it is better
+        if since >= 64 or len(lengths) <= 64:
             since = 0
+            step(len(lengths))
             rest = best_fit({x: left[x] for x in lengths}, size)
-            if (bins := used + sum(n for _, n in rest)) < state["bins"]:
-                state["best"], state["bins"] = [*chosen, *rest], bins
-        stack.append([fillings(left, lengths, size, 4), None])
-        return True
-
-    open_node()
-    while stack and state["bins"] > least and state["nodes"] > 0:
-        options, in_use = stack[-1]
-        if in_use:
-            take(in_use[0], -in_use[1])
-            chosen.pop()
-            used -= in_use[1]
-            waste -= in_use[2] * in_use[1]
-            stack[-1][1] = None
-        if not options:
-            stack.pop()
-            continue
-        lost, filling = options.pop(0)
-        if lost < 0:  # no undominated filling was found in time: best-fit's first
-            filling, _ = best_fit({x: left[x] for x in lengths}, size)[0]
-            lost = size - sum(x * t for x, t in filling)
-        often = min(left[x] // t for x, t in filling)
-        if waste + lost * often > (state["bins"] - 1) * size - total:
-            often = max(1, ((state["bins"] - 1) * size - total - waste) // lost) if lost else often
-            if waste + lost * often > (state["bins"] - 1) * size - total:
-                stack[-1][0] = []  # the others waste more
+            if (now := used + sum(n for _, n in rest)) < bins:
+                state.plan, bins = [*((x.filling, x.times) for x in levels), *rest], now
+        if lengths:
+            sums, age = (after.sums, after.age + 1) if after and after.age < 32 else (reachable(left, lengths, size), 0)
+            options = fillings(left, lengths, size, sums, step)
+            if after and after.largest == lengths[-1]:
+                last = _order(after.waste, after.filling)
+                options = (x for x in options if _order(*x) > last)
+            levels.append(_Level(lengths[-1], options, sums, age))
+
+    try:
+        go_down()
+        while levels and bins > state.least:
+            level = levels[-1]
+            if level.times:  # once less often, or the next filling
+                take(level.filling, -1)
+                used, waste = used - 1, waste - level.waste
+                level.times -= 1
+            if level.tried == width:
+                whole = False
+                if level.times:
+                    take(level.filling, -level.times)
+                    used, waste = used - level.times, waste - level.waste * level.times
+                levels.pop()
                 continue
-        take(filling, often)
-        chosen.append((filling, often))
-        used += often
-        waste += lost * often
-        stack[-1][1] = (filling, often, lost)
-        open_node()
-    return state["best"]
+            level.tried += 1
+            step(1)
+            if not level.times:
+                lost, filling = next(level.options, (spare() + 1, ()))
+                if waste + lost > spare():  # the fillings after this one waste more
+                    levels.pop()
+                    continue
+                level.filling, level.waste = filling, lost
+                level.times = min(left[x] // t for x, t in filling)
+                if lost:
+                    level.times = min(level.times, (spare() - waste) // lost)
+                take(filling, level.times)
+                used, waste = used + level.times, waste + lost * level.times
+            go_down(level)
+    except _Enough:
+        return False
+    return whole and not levels
+
+
+class _Enough(Exception):
+    """The steps are used up."""
+
+
+def _order(waste: int, filling: Filling) -> tuple:
+    return waste, tuple((-x, -t) for x, t in filling)
+
+
+def completion(counts: dict[int, int], size: int = SIZE, steps: int = STEPS) -> list[tuple[Filling, int]]:
+    """Fillings and how often each is used."""
+    return search(counts, size, steps).plan
 
 
 def plan_rows(plan: list[tuple[tuple[tuple[int, int], ...], int]]) -> list[tuple[int, int, int, int, int, int]]:
@@ -205,27 +320,35 @@ def plan_rows(plan: list[tuple[tuple[tuple[int, int], ...], int]]) -> list[tuple
     return rows
 
 
-def pack(docs: DataFrame, path: str, size: int = SIZE, key: str = "doc_id", column: str = "text", nodes: int = 6000, salts: int = 32) -> DataFrame:
+def pack(docs: DataFrame, path: str, size: int = SIZE, key: str = "doc_id", column: str = "text", steps: int = STEPS) -> DataFrame:
     """Pieces of `docs` with sequence_id and offset."""
-    return place(materialise(token_pieces(docs, path, size, key, column), "pieces"), size, nodes, salts)
+    return place(materialise(token_pieces(docs, path, size, key, column), "pieces"), size, steps)
+
+
+#: Ranks among equal lengths are taken in groups of so many pieces at most, and of no more than this share of all.
+GROUP, SHARE = 500_000, 1 / 256
 
 
-def place(pieces: DataFrame, size: int = SIZE, nodes: int = 6000, salts: int = 32) -> DataFrame:
+def place(pieces: DataFrame, size: int = SIZE, steps: int = STEPS) -> DataFrame:
     """sequence_id and offset for pieces (doc_id, piece, length, ...), which must not change when read again.
 
-    Ranks among equal lengths come from counts by (length, salt), at most size * salts rows, and a window over each
-    such group; the salts split lengths that a large share of the pieces has.
+    Ranks among equal lengths come from counts by (length, salt) and a window over each such group. A length has as
+    many salts as its count needs for groups of GROUP pieces, or of a SHARE of all of them; so a length that most pieces
+    have is dealt out, and what is broadcast is a row for each length and one more for each GROUP pieces.
     """
     spark = pieces.sparkSession
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int"))
-    counts = salted.groupBy("length", "salt").count().orderBy("length", "salt").collect()
+    by_length = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
+    most = max(1, min(GROUP, int(SHARE * sum(by_length.values()))))
+    salts = spark.createDataFrame([(x, -(-n // most)) for x, n in by_length.items()], "s_length long, s_salts int")
+    salted = pieces.join(F.broadcast(salts), F.col("length") == F.col("s_length"))
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("s_salts")).cast("int")).drop("s_length", "s_salts")
     total: dict[int, int] = {}
     before = []
-    for r in counts:
+    for r in salted.groupBy("length", "salt").count().orderBy("length", "salt").collect():
         before.append((r.length, r.salt, total.get(r.length, 0)))
         total[r.length] = total.get(r.length, 0) + r["count"]
     schema = T.StructType([T.StructField(n, T.LongType()) for n in ("p_length", "p_rank", "p_ranks", "p_sequence", "p_times", "p_offset")])
-    rows = plan_rows(completion(total, size, nodes))
+    rows = plan_rows(completion(by_length, size, steps))
     # which plan row a group's rank falls into is known by length: the rows of a length in order of rank
     plan = spark.createDataFrame(rows, schema).groupBy("p_length").agg(F.array_sort(F.collect_list(F.struct("p_rank", "p_ranks", "p_sequence", "p_times", "p_offset"))).alias("p_rows"))
     firsts = spark.createDataFrame(before, "f_length long, f_salt int, f_rank long")
