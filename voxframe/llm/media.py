@@ -2,7 +2,8 @@
 
 Aho-Corasick finds all magic strings in one pass over the bytes. A validator for each format then reads the
 structure from that place on (chunk lengths, checksums, end marks) and gives the length, or rejects the find; so a
-chance occurrence of two letters is no media. The find at place 0 that fills the value corrects a wrong declared
+chance occurrence of two letters is no media. Validators share what they find in a value, so the work on one grows in
+proportion to its length however many magic strings it has. The find at place 0 that fills the value corrects a wrong declared
 type; confirmed finds elsewhere are embedded media and can be carved out. Inside a confirmed find no further ones
 are looked for, except where its samples are raw, as in WAV and PGM.
 
@@ -12,9 +13,12 @@ Null bytes have no finds; empty ones neither. A format that isn't known leaves t
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -27,162 +31,232 @@ from ._common import mapped
 UNIT = 192
 
 
-def _png(b: bytes, at: int) -> int | None:
-    i, first = at + 8, True
-    while i + 12 <= len(b):
-        n, kind = struct.unpack_from(">I4s", b, i)
-        if i + 12 + n > len(b) or first and (kind != b"IHDR" or n != 13) or zlib.crc32(memoryview(b)[i + 4 : i + 8 + n]) != struct.unpack_from(">I", b, i + 8 + n)[0]:
-            return None
-        i, first = i + 12 + n, False
-        if kind == b"IEND":
-            return i - at
-    return None
+class Value:
+    """One value's bytes, and what the validators have found in it so far.
+
+    Many magic strings may lie before the same chunks or end marks. Where a walk through chunks goes on from a place
+    doesn't depend on where it began, so each place is looked at once; end marks are found once, in one pass.
+    """
 
+    def __init__(self, data: bytes):
+        self.data = data
+        self.walks: dict[object, dict[int, tuple[int | None, bool]]] = {}
+
+    def walk(self, kind: object, at: int, step: Callable[[bytes, int], tuple[int | None, bool, bool]]) -> tuple[int | None, bool]:
+        """Where the walk from `at` ends (None: not well formed), and whether a place on it was marked.
+
+        step(data, place) gives the next place or the end or None, whether the walk is over, and the place's mark.
+        """
+        known, passed, over, here = self.walks.setdefault(kind, {}), [], False, at
+        while not over and here not in known:
+            after, over, mark = step(self.data, here)
+            passed.append((here, mark))
+            over = over or after is None
+            here = after
+        end, marked = (here, False) if over else known[here]
+        for place, mark in reversed(passed):
+            marked |= mark
+            known[place] = end, marked
+        return end, marked
+
+    @cached_property
+    def pdf_ends(self) -> tuple[list[int], list[int]]:
+        """Ends of the end marks that a well-formed number stands before, and how far right a file that ends there can begin, the furthest so far."""
+        ends, latest = [], []
+        for m in re.finditer(rb"startxref\s{1,8}(\d{1,20})\s{1,8}%%EOF", self.data):
+            begins = min(m.start(), m.end() - 5 - int(m[1]) - 1)
+            if begins >= 0 and begins > (latest[-1] if latest else -1):  # else an earlier end serves all that begin there
+                ends.append(m.end())
+                latest.append(begins)
+        return ends, latest
+
+    @cached_property
+    def zip_ends(self) -> dict[int, int]:
+        """Where an archive begins, by its first end record whose directory lies where it says: where it ends."""
+        out: dict[int, int] = {}
+        for m in re.finditer(rb"(?=PK\x05\x06)", self.data):
+            i = m.start()
+            if i + 22 > len(self.data):
+                break
+            n, size, start, comment = struct.unpack_from("<HIIH", self.data, i + 10)
+            begins, directory = i - size - start, i - size
+            if begins >= 0 and (not n or self.data[directory : directory + 4] == b"PK\x01\x02") and i + 22 + comment <= len(self.data):
+                out.setdefault(begins, i + 22 + comment)
+        return out
+
+
+def _span(at: int, end: int | None) -> int | None:
+    return None if end is None else end - at
+
+
+def _png(v: Value, at: int) -> int | None:
+    def chunk(b: bytes, i: int) -> tuple[int | None, bool, bool]:
+        if i + 12 > len(b):
+            return None, True, False
+        n, kind = struct.unpack_from(">I4s", b, i)
+        good = i + 12 + n <= len(b) and zlib.crc32(memoryview(b)[i + 4 : i + 8 + n]) == struct.unpack_from(">I", b, i + 8 + n)[0]
+        return i + 12 + n if good else None, kind == b"IEND", False
 
-def _gif(b: bytes, at: int) -> int | None:
-    if at + 13 > len(b):
+    if v.data[at + 8 : at + 16] != b"\0\0\0\rIHDR":
         return None
-    flags = b[at + 10]
-    i = at + 13 + (3 << (flags & 7) + 1 if flags & 0x80 else 0)
-    while i < len(b):
+    return _span(at, v.walk("png", at + 8, chunk)[0])
+
+
+def _gif(v: Value, at: int) -> int | None:
+    def blocks(b: bytes, i: int) -> tuple[int | None, bool, bool]:
+        """A run of data blocks: place of its next length byte, until one is zero."""
+        if i >= len(b):
+            return None, True, False
+        return (i + 1, True, False) if not b[i] else (i + 1 + b[i], False, False)
+
+    def part(b: bytes, i: int) -> tuple[int | None, bool, bool]:
+        if i >= len(b):
+            return None, True, False
         if b[i] == 0x3B:
-            return i + 1 - at
+            return i + 1, True, False
         if b[i] == 0x21:
-            i += 2
+            first = i + 2
         elif b[i] == 0x2C and i + 10 < len(b):
-            i += 11 + (3 << (b[i + 9] & 7) + 1 if b[i + 9] & 0x80 else 0)
+            first = i + 11 + (3 << (b[i + 9] & 7) + 1 if b[i + 9] & 0x80 else 0)
         else:
-            return None
-        while i < len(b) and b[i]:
-            i += 1 + b[i]
-        i += 1
-    return None
-
-
-def _jpeg(b: bytes, at: int) -> int | None:
-    i, frames = at + 2, 0
-    while i + 4 <= len(b):
-        if b[i] != 0xFF:
-            return None
+            return None, True, False
+        return v.walk("gif blocks", first, blocks)[0], False, False
+
+    if at + 13 > len(v.data):
+        return None
+    flags = v.data[at + 10]
+    return _span(at, v.walk("gif", at + 13 + (3 << (flags & 7) + 1 if flags & 0x80 else 0), part)[0])
+
+
+def _jpeg(v: Value, at: int) -> int | None:
+    def segment(b: bytes, i: int) -> tuple[int | None, bool, bool]:
+        if i + 2 > len(b) or b[i] != 0xFF:
+            return None, True, False
         kind = b[i + 1]
         if kind == 0xD9:
-            return i + 2 - at if frames else None
-        n = struct.unpack_from(">H", b, i + 2)[0]
+            return i + 2, True, False
+        n = struct.unpack_from(">H", b, i + 2)[0] if i + 4 <= len(b) else 0
         if n < 2:
-            return None
-        frames += 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC)
-        i += 2 + n
+            return None, True, False
+        frame, i = 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC), i + 2 + n
         if kind == 0xDA:  # scan data last to the next marker that isn't a restart or a stuffed byte
-            while True:
-                i = b.find(b"\xff", i)
-                if i < 0 or i + 1 >= len(b):
-                    return None
-                if b[i + 1] != 0 and not 0xD0 <= b[i + 1] <= 0xD7:
-                    break
-                i += 2
-    return i + 2 - at if frames and b[i : i + 2] == b"\xff\xd9" else None
-
-
-def _riff(b: bytes, at: int, form: bytes, needed: tuple[bytes, ...]) -> int | None:
-    if at + 12 > len(b) or b[at + 8 : at + 12] != form:
+            i = v.walk("jpeg scan", i, scan)[0]
+        return i, False, frame
+
+    def scan(b: bytes, i: int) -> tuple[int | None, bool, bool]:
+        i = b.find(b"\xff", i)
+        if i < 0 or i + 1 >= len(b):
+            return None, True, False
+        return (i, True, False) if b[i + 1] != 0 and not 0xD0 <= b[i + 1] <= 0xD7 else (i + 2, False, False)
+
+    end, frames = v.walk("jpeg", at + 2, segment)
+    return _span(at, end) if frames else None
+
+
+def _riff(v: Value, at: int, form: bytes, needed: tuple[bytes, ...]) -> int | None:
+    if at + 12 > len(v.data) or v.data[at + 8 : at + 12] != form:
         return None
-    end = at + 8 + struct.unpack_from("<I", b, at + 4)[0]
-    if end > len(b):
+    end = at + 8 + struct.unpack_from("<I", v.data, at + 4)[0]
+    if end > len(v.data):
         return None
-    i, seen = at + 12, set()
-    while i + 8 <= end:
+
+    def chunk(b: bytes, i: int) -> tuple[int | None, bool, bool]:
+        if i in (end, end + 1):
+            return end, True, False
+        if i + 8 > end:
+            return None, True, False
         kind, n = struct.unpack_from("<4sI", b, i)
-        seen.add(kind)
-        i += 8 + n + n % 2
-    return end - at if i in (end, end + 1) and any(k in seen for k in needed) else None
+        return i + 8 + n + n % 2, False, kind in needed
+
+    found, marked = v.walk((form, end), at + 12, chunk)
+    return _span(at, found) if marked else None
 
 
-def _wav(b: bytes, at: int) -> int | None:
-    return _riff(b, at, b"WAVE", (b"data",)) if b[at + 12 : at + 16] == b"fmt " else None
+def _wav(v: Value, at: int) -> int | None:
+    return _riff(v, at, b"WAVE", (b"data",)) if v.data[at + 12 : at + 16] == b"fmt " else None
 
 
-def _webp(b: bytes, at: int) -> int | None:
-    return _riff(b, at, b"WEBP", (b"VP8 ", b"VP8L", b"VP8X"))
+def _webp(v: Value, at: int) -> int | None:
+    return _riff(v, at, b"WEBP", (b"VP8 ", b"VP8L", b"VP8X"))
 
 
-def _bmp(b: bytes, at: int) -> int | None:
-    if at + 30 > len(b):
+def _bmp(v: Value, at: int) -> int | None:
+    if at + 30 > len(v.data):
         return None
-    size, zero, start, header, _, _, planes, depth = struct.unpack_from("<IIIIiiHH", b, at + 2)
-    good = zero == 0 and header in (12, 40, 52, 56, 64, 108, 124) and planes == 1 and depth in (1, 4, 8, 16, 24, 32) and 14 + header <= start <= size <= len(b) - at
+    size, zero, start, header, _, _, planes, depth = struct.unpack_from("<IIIIiiHH", v.data, at + 2)
+    good = zero == 0 and header in (12, 40, 52, 56, 64, 108, 124) and planes == 1 and depth in (1, 4, 8, 16, 24, 32) and 14 + header <= start <= size <= len(v.data) - at
     return size if good else None
 
 
-def _gzip(b: bytes, at: int) -> int | None:
+def _gzip(v: Value, at: int) -> int | None:
+    b = v.data
     if at + 18 > len(b) or b[at + 3] & 0xE0:
         return None
     stream = zlib.decompressobj(31)
     try:
         i = at
         while i < len(b) and not stream.eof:
-            stream.decompress(b[i : i + 65536])
+            rest = b[i : i + 65536]
+            while rest and not stream.eof:  # a little at a time: a few bytes may stand for very many
+                stream.decompress(rest, 1 << 20)
+                rest = stream.unconsumed_tail
             i += 65536
     except zlib.error:
         return None
     return min(i, len(b)) - at - len(stream.unused_data) if stream.eof else None
 
 
-def _zip(b: bytes, at: int) -> int | None:
-    i = at
-    while True:  # the end record must point back to a directory that begins where it says, counted from here
-        i = b.find(b"PK\x05\x06", i + 1)
-        if i < 0 or i + 22 > len(b):
-            return None
-        n, size, start, comment = struct.unpack_from("<HIIH", b, i + 10)
-        if at + start + size == i and (not n or b[at + start : at + start + 4] == b"PK\x01\x02"):
-            return i + 22 + comment - at if i + 22 + comment <= len(b) else None
-
-
-def _pdf(b: bytes, at: int) -> int | None:
-    i = b.find(b"%%EOF", at)
-    while i >= 0:
-        back = b.rfind(b"startxref", at, i)
-        where = b[back + 9 : i].strip() if back >= 0 else b""
-        if where.isdigit() and int(where) < i - at:
-            return i + 5 - at
-        i = b.find(b"%%EOF", i + 5)
-    return None
-
-
-def _flac(b: bytes, at: int) -> int | None:
-    i = at + 4
-    while i + 4 <= len(b):
-        head, n = b[i], int.from_bytes(b[i + 1 : i + 4], "big")
-        if i == at + 4 and (head & 0x7F or n != 34) or i + 4 + n > len(b):
-            return None
-        i += 4 + n
-        if head & 0x80:  # frames have no total length: the stream lasts to the end
-            return len(b) - at if b[i : i + 1] == b"\xff" else None
-    return None
-
-
-def _ogg(b: bytes, at: int) -> int | None:
-    i, last = at, False
-    while b[i : i + 4] == b"OggS" and i + 27 <= len(b) and not last:
+def _zip(v: Value, at: int) -> int | None:
+    return _span(at, v.zip_ends.get(at))
+
+
+def _pdf(v: Value, at: int) -> int | None:
+    ends, latest = v.pdf_ends
+    k = bisect_left(latest, at)
+    return ends[k] - at if k < len(ends) else None
+
+
+def _flac(v: Value, at: int) -> int | None:
+    def block(b: bytes, i: int) -> tuple[int | None, bool, bool]:
+        if i + 4 > len(b):
+            return None, True, False
+        after = i + 4 + int.from_bytes(b[i + 1 : i + 4], "big")
+        if b[i] & 0x80:  # frames have no total length: the stream lasts to the end
+            return len(b) if b[after : after + 1] == b"\xff" else None, True, False
+        return after, False, False
+
+    if at + 8 > len(v.data) or v.data[at + 4] & 0x7F or v.data[at + 5 : at + 8] != b"\0\0\x22":
+        return None
+    return _span(at, v.walk("flac", at + 4, block)[0])
+
+
+def _ogg(v: Value, at: int) -> int | None:
+    def page(b: bytes, i: int) -> tuple[int | None, bool, bool]:
+        if b[i : i + 4] != b"OggS" or i + 27 > len(b):
+            return i if i <= len(b) else None, True, False
         if b[i + 4]:
-            return None
+            return None, True, False
         n = b[i + 26]
-        last = bool(b[i + 5] & 4)
-        i += 27 + n + sum(b[i + 27 : i + 27 + n])
-    return i - at if i > at and i <= len(b) else None
+        after = i + 27 + n + sum(b[i + 27 : i + 27 + n])
+        return after if after <= len(b) else None, bool(b[i + 5] & 4), True
+
+    end, pages = v.walk("ogg", at, page)
+    return _span(at, end) if pages else None
 
 
-def _mp4(b: bytes, at: int) -> int | None:
-    i, kinds = at, []
-    while i + 8 <= len(b):
+def _mp4(v: Value, at: int) -> int | None:
+    def box(b: bytes, i: int) -> tuple[int | None, bool, bool]:
+        if i + 8 > len(b):
+            return i, True, False
         n, kind = struct.unpack_from(">I4s", b, i)
         if n == 1 and i + 16 <= len(b):
             n = struct.unpack_from(">Q", b, i + 8)[0]
         if n < 8 or i + n > len(b) or not kind.isalnum():
-            break
-        kinds.append(kind)
-        i += n
-    return i - at if kinds[:1] == [b"ftyp"] and {b"moov", b"mdat", b"meta", b"moof"} & set(kinds) else None
+            return i, True, False
+        return i + n, False, kind in (b"moov", b"mdat", b"meta", b"moof")
+
+    end, media = v.walk("mp4", at, box) if at >= 0 else (None, False)
+    return _span(at, end) if media else None
 
 
 # Magic bytes, how far they stand behind the beginning, the type and its validator.
@@ -222,11 +296,11 @@ def sniff(data: bytes | None) -> list[tuple[int, int, str]]:
     """(place, length, type) of the confirmed media, in order; the longest at each place, none inside another's coded data."""
     if not data:
         return []
-    found, beyond = [], 0
+    value, found, beyond = Value(data), [], 0
     for last, formats in AUTOMATON.iter(data.decode("latin-1")):
         for back, kind, valid in formats:
             at = last - back
-            if at >= beyond and (n := valid(data, at)):
+            if at >= beyond and (n := valid(value, at)):
                 found.append((at, n, kind))
                 if kind not in RAW:
                     beyond = at + n
