@@ -12,7 +12,12 @@
    For texts that are too far from a common origin these few are mostly their own edits, so groups of far
    copies don't meet pair by pair. Only pairs across components are confirmed.
 
-With 32 bands of 6 bins, two texts at similarity 0.85 miss all buckets with a chance of about 3e-7.
+Bands have 6 bins from similarity 0.85 on and fewer below; their number is such that two texts at the similarity
+that is asked for miss all buckets with a chance of at most 1e-8 (`bands_for`: 39 of 6 at 0.85, 47 of 5 at 0.8).
+
+The exact join's worst case: texts that share many rare shingles and are yet not near enough, so that they stay in
+components of their own, meet pair by pair in step 3; as many pairs as there are such neighbours. A shingle that very
+many of them have is dealt out over several tasks.
 
 Rows: null and empty texts, and texts without words, have no shingles and are alone. A repeated row gets the same
 result each time; a doc_id names one text. Rows with a null doc_id are left out of the links, with a null
@@ -21,6 +26,7 @@ component, and kept. An empty table gives no rows; extra columns are left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,13 +35,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import discard
 from ._common import if_small, mapped, materialise
 from ._textnp import buffers, mix, shingles, words
 
-BANDS, ROWS = 32, 6
+#: The chance at which two texts that are just near enough may miss all buckets.
+MISS = 1e-8
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 #: Sizes of sets are classed by powers of this for the exact join.
 STEP = 1.05
+#: Members of one shingle's join that one task takes at once.
+DEALT = 256
+
+
+def bands_for(percent: int) -> tuple[int, int]:
+    """Number of bands and bins in each."""
+    rows = max(1, min(6, round(math.log(0.36) / math.log(percent / 100)))) if percent < 100 else 6
+    agree = (percent / 100) ** rows
+    return (max(8, math.ceil(math.log(MISS) / math.log1p(-agree))) if agree < 1 else 8), rows
 
 
 @lru_cache(maxsize=4)
@@ -46,7 +63,7 @@ def _layout(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return edges, orders, mix(np.arange(rows, dtype=np.uint64), 17) | np.uint64(1)
 
 
-def band_keys(own: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+def band_keys(own: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """Bucket keys of a sorted array of distinct hashes, which isn't empty."""
     edges, orders, factors = _layout(bands, rows)
     at = np.searchsorted(own, edges)
@@ -126,6 +143,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
         small = materialise(small, "small")
         sums = [x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (now, small)]
+        discard(now, large)
         now = small
         if sums[0] == sums[1]:
             break
@@ -161,10 +179,12 @@ def rare_prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> Data
     )
     keys = materialise(keys, "prefixes")
     at = ["low", "high", "shingle"]
-    mixed = keys.groupBy(*at).agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select(*at)
-    keys = keys.join(mixed, at)
-    one, two = keys.alias("x"), keys.alias("y")
-    on = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in at]
+    mixed = keys.groupBy(*at).agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.ceil(F.count(F.lit(1)) / DEALT).cast("int").alias("deals")).where("c0 <> c1")
+    keys = keys.join(mixed.select(*at, "deals"), at)
+    # a shingle that many have is dealt out: one side's members by their id, the other's to each part
+    one = keys.withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals")).cast("int")).alias("x")
+    two = keys.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).alias("y")
+    on = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in [*at, "deal"]]
     crossed = (F.col("x.component") != F.col("y.component")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.own_class") + F.col("y.own_class") == F.col("x.low") + F.col("x.high"))
     # at the first shingle that two sets share, what follows it in each bounds the overlap
     rest = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
@@ -172,9 +192,9 @@ def rare_prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> Data
     return one.join(two, [*on, crossed, enough]).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", column: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", column: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; links at 100 * intersection >= percent * union."""
-    signed = materialise(signatures(docs, width, key, column, bands, rows), "signatures")
+    signed = materialise(signatures(docs, width, key, column, *bands_for(percent)), "signatures")
     found = signed.where("doc_id is not null and n_shingles > 0")
     classes = found.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
     classes = materialise(classes, "classes")
@@ -193,6 +213,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str
     rest = materialise(placed.join(open_buckets, ["band", "bucket"]).select("id", "component").distinct(), "rest")
     more = confirm(rare_prefix_pairs(rest, sets, percent), sets, percent)
     final = materialise(components(links.unionByName(more)), "components")
+    discard(members, candidates, sets, links, rest)
     named = classes.join(final, "id", "left").select("set_a", "set_b", F.col("n_shingles").alias("size"), F.coalesce("component", "id").alias("component"))
     s, n = signed.alias("s"), named.alias("n")
     same = (F.col("s.set_a") == F.col("n.set_a")) & (F.col("s.set_b") == F.col("n.set_b")) & (F.col("s.n_shingles") == F.col("n.size"))
