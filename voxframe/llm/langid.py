@@ -1,7 +1,8 @@
 """Language ID: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Features are character 1- to 3-grams of the lower-cased text, hashed to 2**16; a feature's value is its share of the text's
-n-grams times its inverse document frequency among the training texts. Weights are trained by follow the
+n-grams times its inverse document frequency over all texts that may be learned from. Tasks add up the document
+frequencies of their own rows, 2**16 numbers each, and these sums are merged as a tree. Weights are trained by follow the
 regularised leader with L1 and L2 penalties, which leaves most of them at zero, on a sample of at most about
 `per_label` texts of each language (whole texts); a fifth of the sample is held back to set the temperature
 that makes the probabilities match. As a value is linear in the n-grams' counts, a text is scored by adding one row of
@@ -86,8 +87,47 @@ def _sparse(text: str) -> tuple[np.ndarray, np.ndarray]:
     return at, counts[at] / len(all_grams)
 
 
-def train(rows: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 2e-4, l2: float = 1e-3) -> LanguageModel:
-    """Fit on (text, label) pairs."""
+#: Sums of document frequencies that one task merges.
+FAN = 16
+
+
+def document_frequencies(docs: DataFrame, column: str) -> tuple[np.ndarray, int]:
+    """How many texts with a letter have each hashed n-gram, and how many there are."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, here = np.zeros(1 << BITS, np.int64), 0, np.zeros(1 << BITS, bool)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text and LETTER.search(text):
+                    here[:] = False
+                    for hashed in grams(text):
+                        here[hashed] = True
+                    df += here
+                    n += 1
+        yield _frequency_row(df, n)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n = np.zeros(1 << BITS, np.int64), 0
+        for batch in batches:
+            n += sum(batch.column(0).to_pylist())
+            df += batch.column(1).flatten().to_numpy().reshape(-1, 1 << BITS).sum(axis=0)
+        yield _frequency_row(df, n)
+
+    form = "n long, df array<long>"
+    each, parts = mapped(docs.select(column), count, form), docs.rdd.getNumPartitions()
+    while parts > 1:
+        parts = -(-parts // FAN)
+        each = mapped(each.repartition(parts), merge, form)
+    row = each.first()
+    return (np.array(row.df, float), row.n) if row else (np.zeros(1 << BITS), 0)
+
+
+def _frequency_row(df: np.ndarray, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(df)], pa.int32()), pa.array(df))], ["n", "df"])
+
+
+def train(rows: list[tuple[str, str]], frequencies: tuple[np.ndarray, int] | None = None, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 2e-4, l2: float = 1e-3) -> LanguageModel:
+    """Fit on (text, label) pairs; frequencies: of n-grams in all texts and their number, else in the texts to fit on."""
     rows = sorted((t, y) for t, y in rows if t and LETTER.search(t))
     labels = sorted({y for _, y in rows})
     if not labels:
@@ -97,10 +137,11 @@ def train(rows: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta
     held = set(order[: len(rows) // 5].tolist())
     data = [(*_sparse(t), labels.index(y)) for t, y in rows]
     fit = [k for k in range(len(rows)) if k not in held]
-    df = np.zeros(1 << BITS)
-    for k in fit:
-        df[data[k][0]] += 1
-    idf = np.log((1 + len(fit)) / (1 + df)) + 1
+    if frequencies is None:
+        frequencies = np.zeros(1 << BITS), len(fit)
+        for k in fit:
+            frequencies[0][data[k][0]] += 1
+    idf = np.log((1 + frequencies[1]) / (1 + frequencies[0])) + 1
     n_labels = len(labels)
     z, s = np.zeros((1 << BITS, n_labels)), np.zeros((1 << BITS, n_labels))
     z0, s0 = np.zeros(n_labels), np.zeros(n_labels)
@@ -134,15 +175,15 @@ def train(rows: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta
     return model
 
 
-def sample_for_training(docs: DataFrame, per_label: int, key: str, column: str, label: str) -> list[tuple[str, str]]:
+def fit(docs: DataFrame, per_label: int = 500, key: str = "doc_id", column: str = "text", label: str = "lang") -> LanguageModel:
     known = docs.where(F.col(label).isNotNull() & F.col(column).isNotNull() & (crc_of_id(F.col(key), 4) != 2)).select(F.col(key).alias("id"), F.col(label).alias("label"), F.col(column).alias("text"))
-    return [(r.text, r.label) for r in draw(known, "label", "id", per_label, "langid").select("text", "label").collect()]
+    sample = [(r.text, r.label) for r in draw(known, "label", "id", per_label, "langid").select("text", "label").collect()]
+    return train(sample, document_frequencies(known, "text") if sample else None)
 
 
 def identify(docs: DataFrame, per_label: int = 500, key: str = "doc_id", column: str = "text", label: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred and score for every row."""
-    model = train(sample_for_training(docs, per_label, key, column, label))
-    return apply(docs, model, key, column)
+    return apply(docs, fit(docs, per_label, key, column, label), key, column)
 
 
 def apply(docs: DataFrame, model: LanguageModel, key: str = "doc_id", column: str = "text") -> DataFrame:
@@ -160,7 +201,7 @@ def apply(docs: DataFrame, model: LanguageModel, key: str = "doc_id", column: st
 
 def keep_known(docs: DataFrame, least: float = 0.5, per_label: int = 500) -> DataFrame:
     """The rows of docs whose language is told with at least that score; all columns stay."""
-    model = train(sample_for_training(docs, per_label, "doc_id", "text", "lang"))
+    model = fit(docs, per_label)
     shared, schema = docs.sparkSession.sparkContext.broadcast(model), docs.schema
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
