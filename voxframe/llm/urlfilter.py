@@ -7,12 +7,12 @@ score is the mean over its characters of the log of the models' ratio. A logisti
 of the scores of labelled urls that were kept out of the models, puts the threshold.
 
 Counts are kept by n-gram, so they follow the training data's distinct n-grams; scores join each url's n-grams
-to the distinct n-grams' log ratios. That table is broadcast if it is small, else Spark's skew join deals
-with frequent n-grams.
+to the distinct n-grams' log ratios. Of that table the most frequent ones, at most FREQUENT, are broadcast, and give
+their share where the url lies; only places with rarer n-grams are shuffled, and no n-gram of those has many.
 
 A null url, or one without "://", has an empty host and path, meets no rule, and is judged by the models on its
-own characters; an empty one gets score 0 and, like all urls where nothing could be learned, `allow`. Pages are
-judged by url, so repeated rows get equal verdicts. An empty table gives no rows.
+own characters; a null or empty one has no characters, so no score, and like all urls where nothing could be learned
+`allow`. Pages are judged by url, so repeated rows get equal verdicts. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import if_small, materialise
+from ..scratch import discard
+from ._common import materialise
 from .linededup import LOWER, UPPER
 
 # The rules as (verdict, host, path).
@@ -37,6 +38,8 @@ ORDER = 4
 EDGE = "\x02"
 BINS = 512
 REACH = 8.0
+#: N-grams that are broadcast with their ratios, some tens of bytes each.
+FREQUENT = 200_000
 
 
 def host_of(url: Column) -> Column:
@@ -105,7 +108,23 @@ def calibrated(bins: list[tuple[int, str, int]]) -> tuple[float, float]:
     return slope, shift
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], key: str = "page_id", column: str = "url", order: int = ORDER) -> DataFrame:
+def url_scores(urls: DataFrame, ratios: DataFrame, order: int = ORDER, most: int = FREQUENT) -> DataFrame:
+    """url, told, score: the mean ratio over the url's characters.
+
+    ratios: gram, times (it is met), ratio.
+    """
+    frequent = F.broadcast(ratios.orderBy(F.desc("times"), "gram").limit(most).select(F.col("gram").alias("_often"), F.col("ratio").alias("_ratio")))
+    places = n_grams(urls.select("url", "told", F.col("url").alias("_key")), order).join(frequent, F.col("gram") == F.col("_often"), "left")
+    add = lambda df, ratio: df.groupBy("_key", "told").agg(F.coalesce(F.sum(ratio), F.lit(0.0)).alias("s"), F.count(ratio).alias("n"))
+    known = add(places, "_ratio")
+    if ratios.count() <= most:
+        return known.select(F.col("_key").alias("url"), "told", (F.col("s") / F.col("n")).alias("score"))
+    rest = places.where("_often is null").select("_key", "told", "gram").join(ratios.select("gram", "ratio"), "gram")
+    both = known.unionByName(add(rest, "ratio")).groupBy("_key", "told").agg((F.sum("s") / F.sum("n")).alias("score"))
+    return both.withColumnRenamed("_key", "url")
+
+
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], key: str = "page_id", column: str = "url", order: int = ORDER, most: int = FREQUENT) -> DataFrame:
     """page_id, host, path, rule, verdict and the model's score (null where a rule decides) for every row."""
     url = F.col(column)
     parsed = pages.select(F.col(key).alias("page_id"), url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
@@ -113,21 +132,28 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], key: str = "page_
     parsed = parsed.select("page_id", "host", "path", F.col("by_rule.rule").alias("rule"), F.col("by_rule.verdict").alias("told"), F.coalesce("url", F.lit("")).alias("url"))
     parsed = materialise(parsed, "urls")
     # a url counts once however many pages have it; a fifth of the labelled ones is for the curve
-    urls = parsed.groupBy("url").agg(F.first("told").alias("told"))
-    grams = materialise(n_grams(urls.withColumn("id", F.xxhash64("url")).withColumn("fold", F.when(F.col("told").isNotNull(), F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(5)))), order), "grams")
-    counts = grams.where("fold <> 0").groupBy("gram").agg(F.count_if(F.col("told") == "allow").alias("accepted"), F.count_if(F.col("told") == "block").alias("rejected"))
+    each = parsed.where("url <> ''").groupBy("url").agg(F.first("told").alias("told"))
+    fold = F.when(F.col("told").isNotNull(), F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(5)))
+    # every url becomes as many rows as it has characters, so all tasks should have their part
+    parts = max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    urls = materialise(each.withColumn("fold", fold).repartition(parts), "distinct")
+    scored = F.col("told").isNull() | (F.col("fold") == 0)
+    grams = n_grams(urls.select("url", "told", "fold", scored.alias("scored")), order)
+    use = lambda verdict: F.count_if((F.col("fold") != 0) & (F.col("told") == verdict))
+    counts = grams.groupBy("gram").agg(use("allow").alias("accepted"), use("block").alias("rejected"), F.count_if("scored").alias("times"))
     counts = materialise(counts, "counts")
-    scored = grams.where("told is null or fold = 0")
-    ratios = if_small(materialise(log_ratios(scored.select("gram").distinct(), counts, order), "ratios"), 200_000)
-    scores = scored.join(ratios, "gram").groupBy("id", "told").agg((F.sum("ratio") / F.count("ratio")).alias("score"))
-    scores = materialise(scores, "scores")
+    wanted = counts.where("times > 0").select("gram", "times")
+    ratios = log_ratios(wanted.select("gram"), counts.where("accepted + rejected > 0").drop("times"), order)
+    ratios = materialise(ratios.join(wanted, "gram"), "ratios")
+    scores = materialise(url_scores(urls.where(scored), ratios, order, most), "scores")
+    discard(urls, counts, ratios)
     at = F.least(F.greatest(F.floor((F.col("score") + REACH) / (2 * REACH) * BINS), F.lit(0)), F.lit(BINS - 1))
     bins = [(r.b, r.told, r["count"]) for r in scores.where("told is not null").groupBy(at.cast("int").alias("b"), "told").count().collect()]
     slope, shift = calibrated(bins) if bins else (1.0, 0.0)
-    mine = scores.where("told is null").select(F.col("id").alias("_id"), (1 / (1 + F.exp(-(F.col("score") * slope + shift)))).alias("score"))
-    # of a url that a rule decided no score is wanted: it gets no partner, and its null key needs no place
-    asked = parsed.withColumn("_key", F.when(F.col("told").isNull(), F.xxhash64("url")))
-    joined = asked.where("_key is not null").join(mine, F.col("_key") == F.col("_id"), "left").drop("_id")
-    decided = asked.where("_key is null").withColumn("score", F.lit(None).cast("double"))
+    mine = scores.where("told is null").select(F.col("url").alias("_url"), (1 / (1 + F.exp(-(F.col("score") * slope + shift)))).alias("score"))
+    # of a url that a rule decided, or that is empty, no score is wanted: it needs no partner
+    asked = F.col("told").isNull() & (F.col("url") != "")
+    joined = parsed.where(asked).join(mine, F.col("url") == F.col("_url"), "left").drop("_url")
+    decided = parsed.where(~asked).withColumn("score", F.lit(None).cast("double"))
     verdict = F.coalesce(F.col("told"), F.when(F.col("score") < 0.5, "block").otherwise("allow"))
     return joined.unionByName(decided).select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
