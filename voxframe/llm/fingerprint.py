@@ -28,10 +28,12 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import discard, in_ranges
 from ._common import mapped
 from ._textnp import buffers, mix, words
 
@@ -42,6 +44,8 @@ RADIUS = 44
 BLOCKS = BITS // 16
 #: Queries that are sent to all tasks at once (32 bytes each, and 4 more a block in the tables).
 CHUNK = 200_000
+#: Stands for a null id where numbers must not become fractions.
+NO_ID = -(1 << 63)
 
 
 def fingerprints(texts: list[str | None]) -> np.ndarray:
@@ -126,25 +130,31 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 7, blocks
 def with_next(docs: DataFrame, buckets: int, key: str = "doc_id", column: str = "text") -> DataFrame:
     """Rows (bucket, lead, doc_id, text) for a pass in falling order of doc_id within each bucket.
 
-    Buckets are ranges of doc_id; the first row of each bucket is also sent, as a lead, to the bucket before it (of the
-    first one, to the last), so each row's next stands in its own bucket. Besides these few copies every text is moved once.
+    The ids alone are range-partitioned first and written; the greatest of each range begins a bucket. The first row of each
+    bucket is also sent, as a lead, to the bucket before it (of the first one, to the last), so each row's next stands in
+    its own bucket. Besides these few copies every text is moved once. What all tasks get is one number a bucket.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text"))
-    cuts = [int(x) for x in rows.where("doc_id is not null").approxQuantile("doc_id", [k / buckets for k in range(1, buckets)], 0.2 / buckets)]
-    cuts = sorted(set(cuts), reverse=True)
-    above = F.array(*map(F.lit, cuts)).cast("array<bigint>")
-    placed = rows.withColumn("bucket", F.coalesce(F.size(F.filter(above, lambda c: c > F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0))
-    placed = placed.withColumn("bucket", F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(F.col("bucket")))
-    heads = sorted((r.bucket, r.top) for r in placed.groupBy("bucket").agg(F.max("doc_id").alias("top")).collect())
-    if heads:
-        top = F.create_map(*(F.lit(x).cast(t) for own, first in heads for x, t in ((own, "int"), (first, "long"))))
-        previous = F.create_map(*(F.lit(x) for k, (own, _) in enumerate(heads) for x in (own, heads[k - 1][0])))
-        before = F.when(F.col("doc_id").eqNullSafe(F.element_at(top, F.col("bucket"))), F.element_at(previous, F.col("bucket")))
-    else:
-        before = F.lit(None).cast("int")
-    copies = F.array(F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("lead")), F.struct(before.alias("bucket"), F.lit(True).alias("lead")))
-    sent = placed.withColumn("to", F.explode(F.filter(copies, lambda x: x["bucket"].isNotNull()))).select("to.bucket", "to.lead", "doc_id", "text")
-    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "lead", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    ranged = in_ranges(rows.where("doc_id is not null").select("doc_id"), [F.col("doc_id")], buckets)
+    tops = [r.top for r in ranged.groupBy("_p").agg(F.max("doc_id").alias("top")).collect()]
+    discard(ranged)
+    shared = docs.sparkSession.sparkContext.broadcast(np.array(sorted(tops), np.int64))
+
+    @F.pandas_udf("bucket int, head boolean")
+    def placed(ids: pd.Series) -> pd.DataFrame:
+        """Buckets are numbered from the greatest id down; rows without an id come last of all."""
+        above, own = shared.value, ids.to_numpy()
+        if not len(above):
+            return pd.DataFrame({"bucket": np.zeros(len(own), np.int32), "head": np.zeros(len(own), bool)})
+        k, known = np.searchsorted(above, own), own != NO_ID
+        head = known & (above[np.minimum(k, len(above) - 1)] == own)
+        return pd.DataFrame({"bucket": np.where(known, len(above) - 1 - k, len(above) - 1).astype("int32"), "head": head})
+
+    last = max(len(tops) - 1, 0)
+    before = F.when(F.col("at.head") | (F.lit(not tops) & F.col("doc_id").isNull()), F.pmod(F.col("at.bucket") - 1, F.lit(last + 1)))
+    copies = F.array(F.struct(F.col("at.bucket").alias("bucket"), F.lit(False).alias("lead")), F.struct(before.alias("bucket"), F.lit(True).alias("lead")))
+    spread = rows.withColumn("at", placed(F.coalesce("doc_id", F.lit(NO_ID)))).withColumn("to", F.explode(F.filter(copies, lambda x: x["bucket"].isNotNull())))
+    return spread.select("to.bucket", "to.lead", "doc_id", "text").repartition(buckets, "bucket").sortWithinPartitions("bucket", "lead", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
 
 
 def edited_likeness(docs: DataFrame, key: str = "doc_id", column: str = "text", buckets: int | None = None) -> DataFrame:
@@ -154,7 +164,8 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", column: str = "text",
     document by falling doc_id; the first follows the last; null ids come last, equal ones in the order of a hash of
     the text. A lone row is its own next.
     """
-    buckets = buckets or max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # two for each part of the input that Spark reads at once, so a bucket's bytes don't grow with the table
+    buckets = buckets or max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * docs.rdd.getNumPartitions())
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def finish(rows: list[tuple]) -> pa.RecordBatch:
