@@ -3,17 +3,23 @@
 import array
 import hashlib
 import io
+import itertools
+import math
 import random
 import re
 import struct
+import time
 import wave
 import zlib
+from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from voxframe.scratch import settings
 from voxframe.llm import _textnp, bpe, fingerprint, langid, linededup, media, neardup, packing, pretokens, quality, tokencount, urlfilter
 from voxframe.llm.entries import ORACLE_SQL, QUERIES, tokenizer_path
 
@@ -100,6 +106,48 @@ def test_completion_is_optimal_on_small_sets():
         assert sum(n for _, n in plan) == best_count([x for x, n in counts.items() for _ in range(n)], size)
 
 
+def test_search_is_complete_and_proves_it():
+    rng = random.Random(2)
+    for _ in range(120):
+        size, counts = rng.choice([30, 60]), {}
+        for _ in range(rng.randrange(1, 12)):
+            x = rng.randrange(1, size + 1)
+            counts[x] = counts.get(x, 0) + 1
+        found = packing.search(counts, size, steps=10**8)
+        best = best_count([x for x, n in counts.items() for _ in range(n)], size)
+        assert found.proven and found.sequences == best and packing.lower_bound(counts, size) <= best
+    assert not packing.search({x: 3 for x in range(251, 499, 3)}, 1000, steps=50).proven
+
+
+def test_fillings_are_all_the_undominated_ones():
+    rng = random.Random(3)
+    for _ in range(60):
+        size, left = rng.choice([12, 25]), {}
+        for _ in range(rng.randrange(1, 8)):
+            x = rng.randrange(1, size + 1)
+            left[x] = left.get(x, 0) + 1
+        lengths = sorted(left)
+        items = [x for x in lengths for _ in range(left[x] - (x == lengths[-1]))]
+        every = {tuple(sorted(c, reverse=True)) for n in range(len(items) + 1) for c in itertools.combinations(items, n) if sum(c) <= size - lengths[-1]}
+        want = set()
+        for c in every:
+            waste, free = size - lengths[-1] - sum(c), list(items)
+            for x in c:
+                free.remove(x)
+            if not any(y <= waste for y in free) and not any(x < y <= x + waste for x in c for y in free):
+                want.add((waste, tuple(sorted((lengths[-1], *c), reverse=True))))
+        got = [(w, tuple(x for x, t in f for _ in range(t))) for w, f in packing.fillings(left, lengths, size)]
+        assert set(got) == want and len(got) == len(want) and [w for w, _ in got] == sorted(w for w, _ in got)
+
+
+def test_a_length_that_most_pieces_have_is_dealt_out(spark, monkeypatch):
+    rows = [(k, 0, 0, 7 if k % 5 else 3 + k % 11, k) for k in range(3000)]
+    pieces = spark.createDataFrame(rows, packing.PIECES)
+    monkeypatch.setattr(packing, "SHARE", 1 / 40)
+    got = packing.place(pieces, 50).collect()
+    assert len(got) == 3000 and check_packing(got, 50) == packing.search(Counter(r[3] for r in rows), 50).sequences
+
+
 def check_packing(rows, size):
     places = {}
     for r in rows:
@@ -158,6 +206,69 @@ def test_language(spark, docs, none):
     assert langid.identify(none).count() == 0
 
 
+def grams_by_hand(text):
+    points, out = [ord(c) for c in f" {text.lower()} "], []
+    for order in langid.ORDERS:
+        for at in range(len(points) - order + 1):
+            h = (sum(points[at + k] * int(langid._FACTORS[k]) for k in range(order)) + order * 0x27D4EB2F) % 2**32
+            h ^= h >> 15
+            out.append(h * 0x2C1B3C6D % 2**32 >> 32 - langid.BITS)
+    return Counter(out)
+
+
+def test_training_follows_plain_python():
+    """FTRL with elastic net written out coordinate by coordinate, and the temperature by trying."""
+    rng = random.Random(5)
+    rows = sorted(("".join(rng.choice(a) for _ in range(30)), y) for a, y in (("abcd ", "x"), ("cdef ", "y"), ("aefg ", "z")) for _ in range(7))
+    every = [grams_by_hand(t) for t, _ in rows]
+    df = Counter(g for c in every for g in c)
+    frequencies = np.zeros(1 << langid.BITS)
+    for g, n in df.items():
+        frequencies[g] = n
+    model = langid.train(rows, (frequencies, len(rows)))
+    draws = np.random.default_rng(3)
+    held = set(draws.permutation(len(rows))[: len(rows) // 5].tolist())
+    fit = [k for k in range(len(rows)) if k not in held]
+    idf = lambda g: math.log((1 + len(rows)) / (1 + df[g])) + 1
+    z, s, names, bias = {}, {}, ["x", "y", "z"], -1
+
+    def weight(g, c):
+        own, l1 = z.get((g, c), 0.0), 0.0 if g == bias else 2e-4
+        return 0.0 if abs(own) <= l1 else -(own - math.copysign(l1, own)) / ((1 + math.sqrt(s.get((g, c), 0.0))) / 0.5 + 1e-3)
+
+    for _ in range(3):
+        for k in draws.permutation(fit):
+            n = sum(every[k].values())
+            x = {g: c / n * idf(g) * 30 for g, c in every[k].items()} | {bias: 1.0}
+            logit = [sum(v * weight(g, c) for g, v in x.items()) for c in range(3)]
+            p = [math.exp(v - max(logit)) for v in logit]
+            old = {(g, c): weight(g, c) for g in x for c in range(3)}
+            for c in range(3):
+                for g, v in x.items():
+                    slope = v * (p[c] / sum(p) - (rows[k][1] == names[c]))
+                    before = s.get((g, c), 0.0)
+                    s[g, c] = before + slope * slope
+                    z[g, c] = z.get((g, c), 0.0) + slope - (math.sqrt(s[g, c]) - math.sqrt(before)) / 0.5 * old[g, c]
+    for k, (text, _) in enumerate(rows):
+        n = sum(every[k].values())
+        want = [sum(v / n * idf(g) * 30 * weight(g, c) for g, v in every[k].items()) + weight(bias, c) for c in range(3)]
+        assert np.allclose(model.logits(text), want, atol=1e-4)
+    loss = lambda t: sum(-math.log(np.exp(model.logits(rows[k][0]) / t)[names.index(rows[k][1])] / np.exp(model.logits(rows[k][0]) / t).sum()) for k in held)
+    assert np.isclose(loss(model.temperature), min(loss(t) for t in np.geomspace(0.1, 10, 61)))
+    e = np.exp(model.logits(rows[0][0]) / model.temperature)
+    assert np.isclose(model.predict(rows[0][0])[1], (e / e.sum()).max())
+
+
+def test_document_frequencies_cover_all_rows(spark, monkeypatch):
+    texts = ["abc", "abc abc", None, "", "123", "bcd é", "x" * 500] * 9
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(7)
+    monkeypatch.setattr(langid, "FAN", 2)
+    got, n = langid.document_frequencies(df, "text")
+    want = Counter(g for t in texts if t and any(c.isalpha() for c in t) for g in grams_by_hand(t))
+    assert n == 36 and {g: int(got[g]) for g in np.flatnonzero(got)} == want
+    assert langid.document_frequencies(df.limit(0), "text")[1] == 0
+
+
 def test_language_of_a_long_text_is_that_of_its_chunks():
     rng = random.Random(2)
     rows = [("".join(rng.choice(a) for _ in range(300)), y) for a, y in (("abc ", "x"), ("def ", "y")) for _ in range(20)]
@@ -218,6 +329,23 @@ def test_sniffing(spark):
     assert rows[4].media_type == "text/plain" and rows[4].found[0].place == 2
 
 
+def test_very_long_texts_of_magic_strings():
+    """The work grows with the length and not with its square."""
+    units = [b"%PDF-", b"%PDF-%%EOF", b"%PDF-startxref 1 ", b"startxref 9 %%EOF", b"PK\x03\x04", b"PK\x03\x04PK\x05\x06" + b"a" * 18, b"GIF89aabcd!aa,!!", b"RIFFaaaaWAVEfmt ", b"OggS\0aaaaaaaaaa", b"fLaC\0\0\0\x22aaaa", b"    ftypisom", b"BMaaaaaaaaaa", b"\xff\xd8\xff\xc0\0\4aa\xff\xd8"]
+    for unit in units:
+        began = time.perf_counter()
+        media.sniff(unit * (1_000_000 // len(unit)))
+        assert time.perf_counter() - began < 20, unit
+
+
+def test_finds_among_many_magic_strings():
+    pdf = b"%PDF-1.4\n1 0 obj\nendobj\nxref\n0 0\ntrailer\nstartxref\n24\n%%EOF"
+    many = b"%PDF-" * 5 + pdf + b"%%EOF" + pdf
+    assert media.sniff(many)[0] == (0, 25 + len(pdf), "application/pdf") and (25 + len(pdf) + 5, len(pdf), "application/pdf") in media.sniff(many)
+    far = b"%PDF-" + b"startxref 90 %%EOF"
+    assert media.sniff(far) == [] and media.sniff(far + b" " * 80 + b"startxref 90 %%EOF")[0][0] == 0
+
+
 # 4 near duplicates
 
 
@@ -279,6 +407,24 @@ def test_prefix_join_finds_all_links(spark):
     assert got == want and want
 
 
+def test_a_shingle_of_many_components_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "DEALT", 3)
+    common = [f"c{k}" for k in range(12)]
+    rows = [" ".join([f"own{k}", *common, f"last{k % 4}"]) for k in range(30)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    sets = {k: shingles_of(t) for k, t in enumerate(rows)}
+    members = df.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("component"))
+    own = neardup.full_sets(df, 5, "doc_id", "text")
+    got = {(min(r), max(r)) for r in neardup.confirm(neardup.rare_prefix_pairs(members, own, 80), own, 80).collect()}
+    assert got == {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])} and got
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 95, 100])
+def test_bands_miss_few(percent):
+    bands, rows = neardup.bands_for(percent)
+    assert (1 - (percent / 100) ** rows) ** bands <= neardup.MISS
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + k, 1001 + k) for k in range(60)]
@@ -344,14 +490,25 @@ def test_line_dedup_of_odd_rows(docs, none):
 
 
 def test_runs(spark):
-    store = linededup.LineRuns(spark, fan=2)
+    store = linededup.LineRuns(spark)
     for k in range(5):
         lines = spark.createDataFrame([(-k, j, j) for j in range(k, k + 3)], "doc long, hash_a long, hash_b long")
         fresh = {r.hash_a for r in store.unseen(lines).collect()}
         assert fresh == ({0, 1, 2} if k == 0 else {k + 2})
         store.add(lines)
     assert [len(x) for x in store.levels] == [1, 0, 1]
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", **linededup.SORTED):
+        own = lines.groupBy("hash_a", "hash_b").agg(F.max("doc").alias("last_doc"))
+        merge = store.unseen(own)._jdf.queryExecution().executedPlan().toString()
+        both = linededup.merged(*store.runs())._jdf.queryExecution().executedPlan().toString()
+    # only the batch is dealt out and sorted; runs are merged as they lie
+    assert merge.count("SortMergeJoin") == 2 and merge.count("Exchange") == 1 and merge.count("Sort [") == 1
+    assert both.count("SortMergeJoin") == 1 and "Exchange" not in both and "Sort [" not in both
+    assert store.whole().count() == 7
     assert {r.hash_a: (r.n_docs, r.last_doc) for r in store.whole().collect()} == {0: (1, 0), 1: (2, 0), 2: (3, 0), 3: (3, -1), 4: (3, -2), 5: (2, -3), 6: (1, -4)}
+    names = [x for level in store.levels for x in level]
+    store.clear()
+    assert not any(spark.catalog.tableExists(x) for x in names)
 
 
 # 6 quality
@@ -369,6 +526,39 @@ def test_quality(spark, docs, none):
     assert quality.score(none, labels).count() == 0
 
 
+def test_scores_follow_their_definition():
+    """Dictionaries, evidence and curve in plain Python."""
+    import zstandard
+
+    rng = random.Random(6)
+    good = [" ".join(rng.choice(["river", "stone", "walks", "slowly", "over", "the", "hill"]) for _ in range(60)) for _ in range(40)]
+    bad = ["".join(rng.choice("xqz#@!0123 ") for _ in range(300)) for _ in range(40)]
+    model = quality.train([(t, 1) for t in good] + [(t, 0) for t in bad], {0: 1.0, 1: 1.0})
+    pair = model.compressors()
+    for text in [*good[:6], *bad[:6], "", None, "é" * 3000]:
+        data, saved = (text or "").encode(), 0
+        for at in range(0, len(data), 1024):
+            sizes = [len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False, write_checksum=False).compress(data[at : at + 1024])) for d in (model.good, model.bad)]
+            saved += sizes[1] - sizes[0]
+        z = model.beta[0] * saved / (len(data) + 100) + model.beta[1] * 100 / (len(data) + 100) + model.beta[2]
+        assert np.isclose(model.score(text, pair), 1 / (1 + math.exp(-max(-40, min(40, z)))))
+    assert min(model.score(t, pair) for t in good) > 0.5 > max(model.score(t, pair) for t in bad)
+    # the curve is the best one for the part that the dictionaries haven't seen
+    order = np.random.default_rng(5).permutation(80).tolist()
+    rows = sorted([(t, 1) for t in good] + [(t, 0) for t in bad])
+    sides = {y: [rows[k][0] for k in order if rows[k][1] == y] for y in (0, 1)}
+    kept = [(quality.features(t, *pair), y) for y in (0, 1) for t in sides[y][26:]]
+
+    def cost(b):
+        mean, spread = (np.array([f[:2] for f, _ in kept]).__getattribute__(m)(axis=0) for m in ("mean", "std"))
+        spread = np.where(spread > 0, spread, 1)
+        own = np.array([*(np.array(b[:2]) * spread), b[2] + np.array(b[:2]) @ mean])
+        return sum(math.log1p(math.exp(-(2 * y - 1) * float(np.dot(b, f)))) for f, y in kept) + 0.5 * float(own @ np.diag([1, 1, 1e-3]) @ own)
+
+    best = cost(model.beta)
+    assert all(cost([v + d * (k == j) for j, v in enumerate(model.beta)]) >= best - 1e-9 for k in range(3) for d in (-0.01, 0.01))
+
+
 # 7 token counts and 8 BPE
 
 
@@ -387,6 +577,18 @@ def test_token_counts(real, texts, docs, none):
     assert tokencount.token_counts(none, JSON).count() == 0
 
 
+def test_pieces_are_those_of_the_public_pattern():
+    import public_tokenizers
+    import regex
+
+    public = regex.compile(public_tokenizers.PATTERN)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert pretokens.split("a".join(points)) == public.findall("a".join(points))
+    low = points[: pretokens.LATIN_END]
+    for text in ("".join(low), " ".join(low), "1".join(low), "'s".join(low), "\n ".join(low), " 's't're've'm'll'd'x  'S"):
+        assert pretokens.split(text) == public.findall(text)
+
+
 def tiktoken_encoding():
     import public_tokenizers
     import tiktoken
@@ -489,6 +691,46 @@ def test_url_models(spark):
         assert np.isclose(r.ratio, np.log(chance(r.gram, "allow") / chance(r.gram, "block")))
 
 
+@pytest.mark.parametrize("most", [urlfilter.FREQUENT, 40, 0])
+def test_verdicts_follow_plain_python(spark, most):
+    """Models, curve and verdict by hand; with few n-grams broadcast, or none, the others come by a shuffle."""
+    rng = random.Random(9)
+    words = {"good": ["news", "book", "park", "tree"], "bad": ["win", "cash", "xxx", "bet"]}
+    make = lambda kind: f"http://{rng.choice(words[kind])}{rng.randrange(30)}.{'org' if rng.random() < 0.5 else kind}/{rng.choice(words[kind])}"
+    urls = [make(k) for k in ("good", "bad") for _ in range(120)] + ["", None, "http://é.x/ü"]
+    rules = [("allow", "good", "/"), ("block", "bad", "/")]
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(urls + urls[:50])], "page_id long, url string")
+    told = {u: next((v for v, h, _ in rules if u.split("//")[1].split("/")[0].endswith("." + h)), None) for u in urls if u}
+    pad = "\x02" * 4
+    grams = lambda u: [(pad + u)[i : i + 5] for i in range(len(u))]
+    fold = lambda u: zlib.crc32(u.encode()) % 5
+    seen = {v: Counter(g for u, t in told.items() if t == v and fold(u) for g in grams(u)) for v in ("allow", "block")}
+
+    def chance(gram, own):
+        p = 1 / 256
+        for k in range(5):
+            tail = gram[4 - k :]
+            n, total = (sum(c for s, c in seen[own].items() if s[4 - k : stop] == tail[: stop - 4 + k]) for stop in (5, 4))
+            p = (n + p) / (total + 1)
+        return p
+
+    ratio = lru_cache(None)(lambda g: math.log(chance(g, "allow") / chance(g, "block")))
+    score = {u: sum(map(ratio, grams(u))) / len(u) for u, t in told.items() if t is None or not fold(u)}
+    bins = Counter((min(511, max(0, math.floor((score[u] + 8) / 16 * 512))), t) for u, t in told.items() if t and not fold(u))
+    slope, shift = urlfilter.calibrated([(b, v, c) for (b, v), c in sorted(bins.items())])
+    loss = lambda a, b: sum(c * math.log1p(math.exp(-(1 if v == "allow" else -1) * (a * ((k + 0.5) / 512 * 16 - 8) + b))) for (k, v), c in bins.items()) + sum(bins.values()) * (1e-3 * (a - 1) ** 2 / 2)
+    assert all(loss(slope + d, shift + e) >= loss(slope, shift) - 1e-6 for d, e in ((0.01, 0), (-0.01, 0), (0, 0.01), (0, -0.01)))
+    for r in urlfilter.judge(pages, rules, most=most).collect():
+        url = (urls + urls[:50])[r.page_id]
+        if not url:
+            assert (r.rule, r.verdict, r.score) == (None, "allow", None)
+        elif told[url]:
+            assert r.verdict == told[url] and r.score is None
+        else:
+            want = 1 / (1 + math.exp(-(slope * score[url] + shift)))
+            assert np.isclose(r.score, want) and r.verdict == ("block" if want < 0.5 else "allow")
+
+
 # 10 fingerprints
 
 
@@ -514,6 +756,25 @@ def test_fingerprints(spark, real, texts, docs, none):
     assert fingerprint.edited_likeness(none).count() == 0
 
 
+def test_next_documents_across_buckets(spark):
+    """Ids beyond 2**53, repeated ones and null ones; every row's next is the following one of the whole order."""
+    ids = [(1 << 60) + 3 * k for k in range(40)] + [None, None, 5, 5, -(1 << 62)]
+    df = spark.createDataFrame([(i, f"text {k} of it") for k, i in enumerate(ids)], "doc_id long, text string").repartition(3)
+    for buckets in (1, 4, 30):
+        rows = fingerprint.with_next(df, buckets).rdd.glom().collect()
+        own = [r for part in rows for r in part if not r.lead]
+        assert sorted(str(r.doc_id) for r in own) == sorted(map(str, ids))
+        top = {}
+        for r in own:
+            top.setdefault(r.bucket, []).append(r)
+        leads = {r.bucket: r.doc_id for part in rows for r in part if r.lead}
+        assert all(leads[b] == top[(b + 1) % len(top)][0].doc_id for b in top)
+        flat = [r.doc_id for b in sorted(top) for r in top[b]]
+        assert flat == sorted([i for i in ids if i is not None], reverse=True) + [None, None]
+    lone = df.where("doc_id is null")
+    assert sorted(r.lead for r in fingerprint.with_next(lone, 4).collect()) == [False, False, True, True]
+
+
 def test_votes():
     text = "one two three two three"
     from voxframe.llm._textnp import buffers, mix, words

@@ -2,42 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; one of our own only where that is unset."""
-    where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="voxframe-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+materialise = written
 
+#: Rows that a function of an Arrow batch gets at once. Texts are long, and what is made of them is longer.
+BATCH_ROWS = 500
 
-def materialise(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
-    """Write to a table in the shared folder and read it back: lineage ends there, and it outlives executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("error").option("compression", "zstd")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
+def mapped(df: DataFrame, function, schema) -> DataFrame:
+    """df.mapInArrow with at most BATCH_ROWS rows at once.
 
-#: Rows of an Arrow batch. Texts are long, and a batch is held by the JVM and by Python at once.
-BATCH_ROWS = 500
+    Spark bounds a batch by its bytes (spark.sql.execution.arrow.maxBytesPerBatch); slices of it, which copy nothing,
+    bound what the function makes of them.
+    """
 
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return function(batch.slice(at, BATCH_ROWS) for batch in batches for at in range(0, batch.num_rows, BATCH_ROWS))
 
-def mapped(df: DataFrame, function, schema) -> DataFrame:
-    """df.mapInArrow in batches of BATCH_ROWS rows, or fewer if the session says so; the setting stays for the session."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(df.sparkSession.conf.get(name))
-    if not 0 < now <= BATCH_ROWS:
-        df.sparkSession.conf.set(name, str(BATCH_ROWS))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(sliced, schema)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

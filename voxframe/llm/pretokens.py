@@ -30,8 +30,8 @@ def _ranges(kind: str) -> str:
 
 
 def _pattern(letter: str, number: str) -> str:
-    # The alternatives begin with different characters, so their order among themselves is free.
-    return f" ?[{letter}]+|'(?:s|t|re|ve|m|ll|d)| ?[{number}]+| ?[^{SPACE}{letter}{number}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+    """Fixed value: the public pattern, its alternatives in their order, for given classes."""
+    return f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{SPACE}{letter}{number}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
 LATIN = re.compile(_pattern(_ranges("L"), _ranges("N")))
