@@ -68,7 +68,7 @@ def blobs():
 
 
 def test_clusters_find_three_blobs():
-    for labels in (K.k_means(blobs(), 3), K.density_clusters(blobs(), 10)):
+    for labels in (K.density_clusters(blobs(), 10),):
         parts = [labels[k * 40 : (k + 1) * 40] for k in range(3)]
         tops = [np.bincount(p[p >= 0]).argmax() for p in parts]
         assert len(set(tops)) == 3 and all((p == t).mean() > 0.8 for p, t in zip(parts, tops, strict=True))
@@ -108,6 +108,58 @@ def test_fsc_of_equal_and_unequal_maps():
     assert S.half_map_fsc(a, b, mask, 3.0)["resolution"] > same["resolution"]
 
 
+def test_soft_sphere_falls_to_nothing_at_its_radius():
+    mask, mid = V.soft_sphere(23), 11
+    for k in range(12):
+        t = (k - (0.8 * 23 / 2 - 5)) / 5
+        want = 1.0 if t <= 0 else 0.0 if t >= 1 else 0.5 * (1 + np.cos(np.pi * t))
+        assert np.isclose(mask[mid + k, mid, mid], want) and np.isclose(mask[mid, mid - k, mid], want)
+    assert mask[mid + 10, mid, mid] == 0 and abs(mask[mid + 7, mid, mid] - 0.41) < 0.01
+
+
+def test_shells_cut_the_radius():
+    n = 8
+    for at in np.ndindex(n, n, n):
+        r = int(np.sqrt(sum(((k + n // 2) % n - n // 2) ** 2 for k in at)))
+        assert S.shells(n)[at] == (r if r < n // 2 else -1)
+
+
+def test_correlation_without_the_mask():
+    m, r = np.array([1.0, 0.9, 0.5, 0.2, -0.5]), np.array([0.2, 0.5, 0.6, 1.0, -0.9])
+    assert np.allclose(S.without_mask(m, r), [min(max((a - b) / max(1 - b, 1e-3), -1), 1, a) for a, b in zip(m, r, strict=True)])
+
+
+def test_rings_stay_inside_the_box():
+    assert np.allclose(S.cylindrical(np.ones((9, 9, 9)), 12, 16), 1)
+    assert S.annulus(9)[8, 4] and not S.annulus(9)[0, 0] and not S.annulus(9)[4, 4]
+
+
+def test_splat_shares_weights_among_corners():
+    rng = np.random.default_rng(3)
+    points, weights = rng.uniform(-2, 7, (60, 3)), rng.random(60)
+    want = np.zeros((5, 5, 5))
+    for p, w in zip(points, weights, strict=True):
+        for v in np.ndindex(5, 5, 5):
+            want[v] += w * np.prod(np.maximum(0, 1 - np.abs(p - v)))
+    assert np.allclose(V.splat(points, weights, 5), want)
+
+
+def test_slab_lies_flat():
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(400, 3)) * [2, 9, 5]
+    spun = points @ np.linalg.qr(rng.normal(size=(3, 3)))[0]
+    flat = V.principal_slab(spun, np.ones(400))
+    assert (np.argsort(flat.std(axis=0)) == [2, 1, 0]).all() and np.allclose(flat.mean(axis=0), 0)
+    assert np.allclose(np.linalg.norm(flat, axis=1), np.linalg.norm(spun - spun.mean(axis=0), axis=1))
+
+
+def test_surface_is_interpolated():
+    ramp = np.zeros((4, 4, 6))
+    ramp[:, :, 3:] = [0.2, 0.6, 1.0]
+    p, _ = V.surface(ramp, 0.5)
+    assert np.allclose(p[:, 2], 3.75) and np.allclose(V.surface(ramp, 0.3)[0][:, 2], 3.25)
+
+
 def test_fit_prefers_the_right_shape():
     points = np.array([[x, 0.0, 0.0] for x in np.linspace(-9, 9, 19)])
     own = V.simulate_density(points, np.ones(19), 13, 3.0, 8.0)

@@ -1,6 +1,7 @@
 """Volumes to report on small generated data."""
 
 import json
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 from voxframe.kernels import signal as S
 from voxframe.kernels import volume as V
 from voxframe.operators import decoys as D
-from voxframe.operators.review import Review
+from voxframe.operators.review import Review, load_review, save_review
 from voxframe.plans import classify, identify, pick
-from voxframe.plans.state import RunState, job_graph, sync
+from voxframe.plans.state import RunState, job_graph, resumed, sync
 from voxframe.sources import mrc, records, sinks
 
 SIDE = 48
@@ -122,7 +123,8 @@ def test_classify_to_resolution(spark, data, picked, tmp_path):
     fsc = identify.resolve(f"{tmp_path}/avg", "c00")
     assert len(fsc["frequency"]) == 4
     sinks.put_fsc(fsc, f"{tmp_path}/fsc")
-    assert len((tmp_path / "fsc/fsc.txt").read_text().splitlines()) == 4
+    lines = (tmp_path / "fsc/fsc.txt").read_text().splitlines()
+    assert len(lines) == 5 and lines[0].startswith("#") and "stroke-dasharray" in (tmp_path / "fsc/fsc.svg").read_text()
     sinks.put_star(particles, f"{tmp_path}/p.star")
     assert "_rlnTomoParticleName #8" in (tmp_path / "p.star").read_text()
 
@@ -175,6 +177,8 @@ def test_records(spark, tmp_path):
     pdb.write_text("ATOM      1  CA  ALA A   1      11.104   6.134  -6.504  1.00  0.00           C\nHETATM    2  O   HOH A   2       1.000   2.000   3.000\nEND\n")
     rows = records.read_pdb(spark, str(pdb)).orderBy("x").collect()
     assert [(r.x, r.element) for r in rows] == [(1.0, "O"), (11.104, "C")]
+    pdb.write_text("".join(f"HETATM    1 {e:<4} LIG A   1      11.104   6.134  -6.504  1.00  0.00          {e:>2}\n" for e in ("CL", "FE", "ZN", "MG", "MN", "CA", "F", "X")))
+    assert sorted(r.weight for r in records.read_pdb(spark, str(pdb)).collect()) == [6.0, 9.0, 12.0, 17.0, 20.0, 25.0, 26.0, 30.0]
     (tmp_path / "panel.yaml").write_text("candidates:\n- {name: a, structure_path: a.pdb, expected_mass_kda: 3}\n")
     assert records.read_panel(spark, str(tmp_path / "panel.yaml")).first().expected_mass_kda == 3.0
     (tmp_path / "panel.yaml").write_text("candidates:\n- {name: a, structure_path: a.pdb}\n- {name: a, structure_path: a.pdb}\n")
@@ -188,6 +192,146 @@ def test_records(spark, tmp_path):
         records.read_config(str(tmp_path / "run.toml"))
 
 
+def test_documents_come_back(spark, picked, tmp_path):
+    particles, _ = picked
+    sinks.put_particle_set(particles, f"{tmp_path}/set.json", "union", ["native"])
+    back = records.placed(records.read_particles(spark, f"{tmp_path}/set.json"))
+    columns = ["particle_id", "tomogram_id", "x", "y", "z", "orientation", "source_picker", "confidence", "half_set", "vesicle_id", "beam_angle"]
+    assert back.columns == columns and sorted(back.collect()) == sorted(particles.select(columns).collect())
+    assigned = particles.select("particle_id", F.lit("c01").alias("cluster_id"))
+    angles = particles.limit(3).select("particle_id", F.lit(20.0).alias("inplane_angle_degrees"))
+    sinks.put_assignments(assigned, f"{tmp_path}/classes.json", "kmeans", angles)
+    assert sorted(records.read_angles(spark, f"{tmp_path}/classes.json").collect()) == sorted(angles.collect())
+    assert records.read_assignments(spark, f"{tmp_path}/classes.json").where("classifier = 'kmeans' and cluster_id = 'c01'").count() == particles.count()
+    summary = pick.vesicle_summary(spark.createDataFrame([("t:v0001",)], "vesicle_id string"), spark.createDataFrame([("t:v0001", 500.0)], "vesicle_id string, area double"))
+    sinks.put_vesicle_summary(summary, f"{tmp_path}/vesicles.json")
+    assert records.read_json(spark, f"{tmp_path}/vesicles.json", records.VESICLE).first() == ("t:v0001", "t", 1, 500.0, 2.0)
+
+
+def test_a_review_goes_on(spark, data, picked, tmp_path):
+    sinks.put_particle_set(picked[0], f"{tmp_path}/set.json", "union", ["native"])
+    particles, volumes, review = load_review(spark, f"{tmp_path}/set.json", f"{data}/seg", f"{data}/tomo", str(tmp_path))
+    assert review.rejected.count() == 0 and volumes.where("segmentation_path is not null and raw_tomogram_path is null").count() == volumes.count()
+    review.toggle(particles.orderBy("particle_id").limit(2).select("particle_id"))
+    save_review(review, particles, str(tmp_path), "union", ["native"])
+    assert records.read_particles(spark, f"{tmp_path}/particle_set.filtered.json").count() == particles.count() - 2
+    again = load_review(spark, f"{tmp_path}/set.json", folder=str(tmp_path))[2]
+    assert {r[0] for r in again.rejected.collect()} == {"p000000", "p000001"}
+    again.reset(again.rejected)
+    save_review(again, particles, str(tmp_path))
+    assert records.read_rejected(spark, str(tmp_path)).count() == 0
+
+
+def test_work_goes_on_where_it_stopped(spark, tmp_path):
+    work = spark.createDataFrame([(f"t{k}", k) for k in range(7)], "tomogram_id string, n int")
+    done = []
+
+    def make(rows):
+        names = sorted(r[0] for r in rows.select("tomogram_id").collect())
+        if "t4" in names and "t4" not in done and len(done) < 5:
+            done.append("t4")
+            raise RuntimeError("lost")
+        done.extend(names)
+        return rows
+
+    go = lambda settings: resumed(work, "tomogram_id", f"{tmp_path}/out", settings, make, 2)
+    with pytest.raises(RuntimeError):
+        go({"a": 1})
+    assert done == ["t0", "t1", "t2", "t3", "t4"]
+    assert sorted(r.n for r in go({"a": 1}).collect()) == list(range(7)) and done[5:] == ["t4", "t5", "t6"]
+    assert sorted(r.n for r in go({"a": 1}).collect()) == list(range(7)) and len(done) == 8
+    assert go({"a": 2}).count() == 7 and len(done) == 15
+    assert resumed(work.limit(0), "tomogram_id", f"{tmp_path}/none", {}, lambda rows: rows).count() == 0
+
+
+def test_scores_by_neighbours_and_vesicles():
+    rng = np.random.default_rng(3)
+    points, x = rng.uniform(0, 30, (150, 3)), rng.normal(size=150)
+    got, few = pick.by_neighbours(x, points, 7.0, 6)
+    mad = lambda v: 1.4826 * np.median(np.abs(v - np.median(v)))
+    for i in range(150):
+        near = x[((points - points[i]) ** 2).sum(axis=1) <= 49]
+        own = (np.median(near), mad(near) or mad(x)) if len(near) >= 6 else (np.median(x), mad(x))
+        assert few[i] == (len(near) < 6) and np.isclose(got[i], (x[i] - own[0]) / own[1])
+    assert few.any() and not few.all()
+    groups = np.array(["", "a", "b"], object)[rng.integers(0, 3, 150)]
+    got, fell = pick.by_vesicle(x, groups)
+    assert np.array_equal(fell, groups == "") and np.allclose(got[groups == "a"], pick.robust(x[groups == "a"])) and np.allclose(got[fell], pick.robust(x)[fell])
+    offsets = np.linspace(20, 50, 5)
+    own = np.exp(-0.5 * ((offsets - 35) / 7.5) ** 2)
+    assert np.isclose(np.corrcoef(pick.profile_shape(20, 50, 5, None), own)[0, 1], 1)
+    with pytest.raises(ValueError):
+        pick.PickSettings(windows=[(50.0, 20.0)])
+    assert pick.PickSettings(windows=[(20.0, 20.0)], normalisation="local").margin_angstrom == 20
+
+
+def test_picks_are_joined_as_by_hand(spark):
+    """Complete linkage, representatives and consensus over two tomograms, by plain loops."""
+    from voxframe.kernels.cluster import complete_linkage
+    from voxframe.operators.grouping import reconcile
+
+    rng = np.random.default_rng(5)
+    rows = [(t, i, *map(float, rng.uniform(0, 12, 3)), f"p{i % 3}", float(i) if i % 4 else None) for t in ("t1", "t2") for i in range(60)]
+    df = spark.createDataFrame(rows, "tomogram_id string, idx long, x double, y double, z double, picker string, confidence double").repartition(5)
+    for rule, least in (("union", 1), ("intersection", 3)):
+        want = {}
+        for t in ("t1", "t2"):
+            own = [r for r in rows if r[0] == t]
+            labels = complete_linkage(np.array([r[2:5] for r in own]), 5.0)
+            for g in set(labels):
+                best = []
+                for p in ("p0", "p1", "p2"):
+                    members = [r for r, k in zip(own, labels, strict=True) if k == g and r[5] == p]
+                    if members:
+                        mean = np.mean([m[2:5] for m in members], axis=0)
+                        best.append(min(members, key=lambda m: (((np.array(m[2:5]) - mean) ** 2).sum(), m[1])))
+                if len(best) >= least:
+                    known = [b[6] for b in best if b[6] is not None]
+                    want[t, own[g][1]] = (*np.mean([b[2:5] for b in best], axis=0), "+".join(b[5] for b in best), np.mean(known) if known else None, len(best))
+        got = {(r.tomogram_id, r.group_id): r for r in reconcile(df, 5.0, rule, 3).collect()}
+        assert set(got) == set(want) and want
+        for k, (x, y, z, sources, confidence, n) in want.items():
+            r = got[k]
+            assert np.allclose((r.x, r.y, r.z), (x, y, z)) and (r.sources, r.n_pickers) == (sources, n)
+            assert r.confidence == confidence or np.isclose(r.confidence, confidence)
+
+
+def test_suppression_in_rounds_is_the_greedy_one(spark):
+    from voxframe.kernels.cluster import suppress as greedy
+    from voxframe.operators.grouping import suppress
+
+    rng = np.random.default_rng(6)
+    points, score, group = rng.uniform(0, 12, (160, 3)), rng.integers(0, 9, 160).astype(float), rng.integers(0, 2, 160)
+    df = spark.createDataFrame([(int(g), k, *map(float, p), float(s)) for k, (g, p, s) in enumerate(zip(group, points, score, strict=True))], "g int, k long, x double, y double, z double, s double")
+    for by in (["g"], []):
+        parts = [np.flatnonzero(group == g) for g in (0, 1)] if by else [np.arange(160)]
+        want = sorted(int(p[i]) for p in parts for i in greedy(points[p], score[p], 3.0))
+        assert sorted(r.k for r in suppress(df, by, ["x", "y", "z"], "s", "k", 3.0).collect()) == want
+    assert suppress(df, [], ["x", "y", "z"], "s", "k", 0.0).count() == 160
+
+
+def test_k_means_over_partitions(spark, monkeypatch):
+    """A fixed point of plain k-means, and the blobs it should find, with first centres from a few rows only."""
+    from voxframe.operators import grouping
+
+    monkeypatch.setattr(grouping, "SEEDS", 60)
+    rng = np.random.default_rng(8)
+    rows = np.concatenate([rng.normal(c, 0.4, (300, 3)) for c in ((0, 0, 0), (6, 0, 0), (0, 6, 1))])
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(rows)], "k long, x array<double>").repartition(6)
+    got = {r.k: r.label for r in grouping.cluster(df, "k", "x", "kmeans", k=3).collect()}
+    labels = np.array([got[k] for k in range(900)])
+    centres = np.array([rows[labels == c].mean(axis=0) for c in range(3)])
+    assert np.array_equal(((rows[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1), labels)
+    assert all((labels[i : i + 300] == labels[i]).mean() > 0.99 for i in (0, 300, 600)) and len(set(labels)) == 3
+    assert np.array_equal(np.lexsort(centres.T[::-1]), [0, 1, 2])
+    halves = df.withColumn("h", F.when(F.col("k") % 2 == 0, "A").otherwise("B"))
+    assert grouping.cluster(halves, "k", "x", "kmeans", "h", k=3).count() == 900
+    assert "SinglePartition" not in grouping.cluster(df, "k", "x", "kmeans", k=3)._jdf.queryExecution().executedPlan().toString()
+    assert grouping.cluster(df.limit(0), "k", "x", "kmeans", k=3).count() == 0
+    same = spark.createDataFrame([(k, [1.0, 2.0]) for k in range(5)], "k long, x array<double>")
+    assert {r.label for r in grouping.cluster(same, "k", "x", "kmeans", k=3).collect()} == {0}
+
+
 def test_review(spark):
     particles = spark.createDataFrame([(f"p{k}", "t") for k in range(4)], "particle_id string, tomogram_id string")
     ids = lambda *k: spark.createDataFrame([(f"p{i}",) for i in k], "particle_id string")
@@ -257,6 +401,25 @@ def test_whole_run(spark, data, tmp_path):
     assert "separation_sigma" in (tmp_path / "out/identify/decoy_control.json").read_text()
     assert Run(spark, settings).go() == []
     assert Run(spark, settings).go(start="refine") == [("real", "refine")]
+    out = tmp_path / "out"
+    assert records.read_particles(spark, f"{out}/pick/particle_set.json").count() == run.table("real", "pick", "particles").count()
+    assert records.read_assignments(spark, f"{out}/classify_real/class_assignments.json").select("cluster_id").distinct().count() == 1
+    assert records.read_identification(spark, f"{out}/identify/identification.json").first().cluster_id == "c00"
+    assert records.read_particles(spark, f"{out}/decoy/decoy_particle_set.json").where("source_picker <> 'decoy-rejected-surface'").count() == 0
+    # what is there of an unfinished stage isn't made again
+    made = {p: p.stat().st_mtime_ns for p in (out / "pick/scored").rglob("*.parquet")}
+    run.state.done["real"].pop("pick")
+    run.pick_real()
+    assert made == {p: p.stat().st_mtime_ns for p in (out / "pick/scored").rglob("*.parquet")}
+    for method, more in (("shifted", {"decoy_shift_voxels": (6.0, 14.0)}), ("synthetic-noise", {"noise_count": 2, "noise_shape": (24, 24, 24)})):
+        other = Run(spark, replace(settings, decoy_method=method, decoy_off_surface_voxels=2.0, decoy_distance_voxels=2.0, **more))
+        other.pick_decoy()
+        found = other.table("decoy", "pick", "particles")
+        assert found.count() and found.where(F.col("source_picker") != f"decoy-{method}").count() == 0
+    noise = records.read_json(spark, f"{out}/decoy/decoy_manifests.json", records.MANIFEST).collect()
+    assert len(noise) == 2 and all(r.is_decoy and mrc.read_volume(r.raw_tomogram_path).shape == (24, 24, 24) for r in noise)
+    with pytest.raises(ValueError):
+        replace(settings, decoy_method="synthetic-noise")
     path = f"{data}/tomo/t00.mrc"
     assert slice_at(path, most=16).shape == (16, 16) and thinned(np.zeros((8, 8, 8)), 4).shape == (4, 4, 4)
     assert slices(mrc.volumes(spark, f"{data}/tomo", voxels=False)).count() == 4

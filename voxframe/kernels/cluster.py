@@ -58,29 +58,26 @@ def pca(rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return centred @ v.T, v, (s**2 / max((s**2).sum(), 1e-300))[:k]
 
 
-def k_means(rows: np.ndarray, k: int, seed: int = 0, starts: int = 10) -> np.ndarray:
-    """Labels of the best of several starts, numbered by their centres' order."""
-    k, rng, best = min(k, len(rows)), np.random.default_rng(seed), (np.inf, None, None)
-    for _ in range(starts):
-        centres = [rows[rng.integers(len(rows))]]
-        while len(centres) < k:
-            d = np.min([((rows - c) ** 2).sum(axis=1) for c in centres], axis=0)
-            centres.append(rows[rng.choice(len(rows), p=d / d.sum()) if d.sum() > 0 else rng.integers(len(rows))])
-        centres = np.array(centres)
-        for _ in range(100):
-            d = ((rows[:, None] - centres[None]) ** 2).sum(axis=2)
-            labels = d.argmin(axis=1)
-            moved = np.array([rows[labels == c].mean(axis=0) if (labels == c).any() else centres[c] for c in range(k)])
-            if np.allclose(moved, centres):
-                break
-            centres = moved
-        cost = d.min(axis=1).sum()
-        if cost < best[0] - 1e-12:
-            best = cost, labels, centres
-    _, labels, centres = best
-    rank = np.empty(k, dtype=int)
-    rank[np.lexsort(centres.T[::-1])] = np.arange(k)
-    return rank[labels]
+def apart(rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k of the rows, each drawn by its square distance from those before; equal rows can't give more than they are."""
+    out = [rows[rng.integers(len(rows))]]
+    far = ((rows - out[0]) ** 2).sum(axis=1)
+    while len(out) < k:
+        at = rng.choice(len(rows), p=far / far.sum()) if far.sum() > 0 else rng.integers(len(rows))
+        out.append(rows[at])
+        far = np.minimum(far, ((rows - rows[at]) ** 2).sum(axis=1))
+    return np.array(out)
+
+
+def settled(rows: np.ndarray, centres: np.ndarray, rounds: int = 100) -> np.ndarray:
+    """Centres moved to the means of the rows nearest to them until none moves; a centre without rows stays."""
+    for _ in range(rounds):
+        own = ((rows[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        moved = np.array([rows[own == c].mean(axis=0) if (own == c).any() else centres[c] for c in range(len(centres))])
+        if np.allclose(moved, centres):
+            return moved
+        centres = moved
+    return centres
 
 
 def density_clusters(rows: np.ndarray, least_size: int) -> np.ndarray:

@@ -31,27 +31,33 @@ def _seed(seed: int, name: str) -> np.random.Generator:
 
 
 def shifted(picks: DataFrame, surfaces: DataFrame, shape: tuple[int, int, int], least: float, most: float, from_surface: float, from_picks: float, seed: int = 0, tries: int = 200) -> DataFrame:
-    """Each pick moved at random until it is inside, off the surface and off all picks; given up after `tries`.
+    """Each pick moved to the first of `tries` random places that is inside, off the surface and off all picks; else dropped.
 
     The orientation is the nearest surface normal. picks and surfaces: tomogram_id, x, y, z (and nx, ny, nz).
     """
-    extent = np.array(shape[::-1], float)
+    extent, xyz = np.array(shape[::-1], float), ["x", "y", "z"]
+
+    def nearest(of: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        square = ((of[:, None] - to[None]) ** 2).sum(axis=2)
+        return square.min(axis=1), square.argmin(axis=1)
 
     def move(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out, xyz = [], ["x", "y", "z"]
         here, surface, normals = left[xyz].to_numpy(float), right[xyz].to_numpy(float), right[["nx", "ny", "nz"]].to_numpy(float)
         rng = _seed(seed, key[0])
-        for p in here if len(surface) else []:
-            for _ in range(tries):
-                way = rng.normal(size=3)
-                at = p + way / np.linalg.norm(way) * rng.uniform(least, most)
-                if (at < 0).any() or (at > extent - 1).any():
-                    continue
-                d = ((surface - at) ** 2).sum(axis=1)
-                if d.min() < from_surface**2 or ((here - at) ** 2).sum(axis=1).min() < from_picks**2:
+        ways = rng.normal(size=(len(here), tries, 3))
+        lengths = rng.uniform(least, most, (len(here), tries, 1))
+        places = here[:, None] + ways / np.linalg.norm(ways, axis=2, keepdims=True) * lengths
+        inside = ((places >= 0) & (places <= extent - 1)).all(axis=2)
+        out = []
+        for own in (p[i] for p, i in zip(places, inside, strict=True)) if len(surface) else []:
+            for some in np.array_split(own, max(1, len(own) // 16)):  # few at once: surfaces are large
+                if not len(some):
                     continue
-                out.append((key[0], *at, *normals[d.argmin()]))
-                break
+                square, at = nearest(some, surface)
+                good = np.flatnonzero((square >= from_surface**2) & (nearest(some, here)[0] >= from_picks**2))
+                if len(good):
+                    out.append((key[0], *some[good[0]], *normals[at[good[0]]]))
+                    break
         return pd.DataFrame(out, columns=[c.split()[0] for c in POINT.split(", ")])
 
     return picks.groupBy("tomogram_id").cogroup(surfaces.groupBy("tomogram_id")).applyInPandas(move, POINT)
@@ -85,6 +91,30 @@ def synthetic(spark: SparkSession, count: int, picks_each: int, shape: tuple[int
     return spark.range(count).mapInPandas(points, POINT)
 
 
+def noise_manifests(spark: SparkSession, count: int, shape: tuple[int, int, int], folder: str, voxel: float, sign: float = -1.0, seed: int = 0) -> DataFrame:
+    """The noise volumes and their shells as files, and their manifests; one task writes a volume."""
+    import os
+
+    from ..sources import mrc
+
+    form = "tomogram_id string, segmentation_path string, raw_tomogram_path string, voxel_size_angstrom double, is_decoy boolean"
+
+    def put(batches):
+        os.makedirs(folder, exist_ok=True)
+        for rows in batches:
+            out = []
+            for i in rows["id"]:
+                volume, shell = noise_volume(int(i), shape, sign, seed)
+                name = f"decoy-noise-{int(i):03d}"
+                paths = [f"{folder}/{name}_{kind}.mrc" for kind in ("seg", "raw")]
+                for path, v in zip(paths, (shell.astype(np.float32), volume), strict=True):
+                    mrc.write_volume(path, v, voxel)
+                out.append((name, *paths, voxel, True))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in form.split(", ")])
+
+    return spark.range(count).mapInPandas(put, form)
+
+
 def finalised(points: DataFrame, method: str, seed: int = 0) -> DataFrame:
     """Ids, the picker decoy-<method>, and halves by whole tomograms."""
     ids = numbered(points.withColumn("source_picker", F.lit(f"decoy-{method}")), "decoy-", [F.col(c) for c in ("tomogram_id", "x", "y", "z")])

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..kernels import cluster as K
-from ..scratch import written
+from ..scratch import discard, written
 from .joins import within
+from .windows import representatives
 
 
 def both_faces(df: DataFrame, normal: list[str]) -> DataFrame:
@@ -27,22 +31,16 @@ def downsample(df: DataFrame, xyz: list[str], spacing: float, order: str, by: li
     return df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), order).alias("_r")).select("_r.*")
 
 
-def suppress(df: DataFrame, by: str, xyz: list[str], score: str, order: str, distance: float) -> DataFrame:
-    """Greedy non-maximum suppression within each group (a tomogram, which one task holds)."""
-
-    def keep(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        return rows.iloc[K.suppress(rows[xyz].to_numpy(), rows[score].to_numpy(), distance)]
-
-    return df.groupBy(by).applyInPandas(keep, df.schema)
-
-
-def suppress_distributed(df: DataFrame, by: list[str], xyz: list[str], score: str, order: str, distance: float) -> DataFrame:
-    """The same result without a group in one task: rounds of local maxima among what is undecided.
+def suppress(df: DataFrame, by: list[str], xyz: list[str], score: str, order: str, distance: float) -> DataFrame:
+    """Greedy non-maximum suppression within groups, best score first (lowest order of ties), inclusive distance.
 
-    In each round a row that beats all its undecided neighbours is kept, and its neighbours go; the pairs are joined once.
+    Rounds of local maxima instead of one pass: a row that beats all its undecided neighbours is kept, and its neighbours
+    go. Neighbours come from a join by cells, once; no task holds a group, and each round leaves a table.
     """
-    pairs = within(df.select(*by, *xyz, score, order), df.select(*by, *xyz, score, order), xyz, distance, by).where(F.col(f"l.{order}") != F.col(f"r.{order}"))
+    if distance <= 0:
+        return df
+    slim = df.select(*by, *xyz, score, order)
+    pairs = within(slim, slim, xyz, distance, by).where(F.col(f"l.{order}") != F.col(f"r.{order}"))
     beats = (F.col(f"r.{score}") > F.col(f"l.{score}")) | ((F.col(f"r.{score}") == F.col(f"l.{score}")) & (F.col(f"r.{order}") < F.col(f"l.{order}")))
     edges = written(pairs.select(F.col(f"l.{order}").alias("i"), F.col(f"r.{order}").alias("j"), beats.alias("loses")), "pairs")
     open_rows = written(df.select(F.col(order).alias("i")), "open")
@@ -52,7 +50,11 @@ def suppress_distributed(df: DataFrame, by: list[str], xyz: list[str], score: st
         top = written(open_rows.join(live.where("loses").select("i"), "i", "left_anti"), "top")
         gone = live.join(top.withColumnRenamed("i", "j"), "j", "left_semi").select("i")
         kept = kept.unionByName(top)
-        open_rows = written(open_rows.join(top, "i", "left_anti").join(gone, "i", "left_anti"), "open")
+        rest = written(open_rows.join(top, "i", "left_anti").join(gone, "i", "left_anti"), "open")
+        discard(open_rows)
+        open_rows = rest
+    kept = written(kept, "kept")
+    discard(edges)
     return df.join(kept.withColumnRenamed("i", order), order, "left_semi")
 
 
@@ -64,7 +66,23 @@ def consensus(df: DataFrame, by: list[str], picker: str, confidence: str, rule:
     return out.where(F.col("n_pickers") >= (1 if rule == "union" else n_pickers))
 
 
-PICKS = "tomogram_id string, group_id long, x double, y double, z double, sources string, confidence double, n_pickers int"
+def complete_linkage(df: DataFrame, by: list[str], xyz: list[str], order: str, threshold: float) -> DataFrame:
+    """The by columns, order and group_id of each row: complete-linkage groups whose diameter stays under the threshold.
+
+    No such group reaches over a gap of the threshold, so rows are dealt by their connected part, and a task links one
+    part at a time. group_id is the least order of a group.
+    """
+    keyed = df.select(*by, *xyz, order, F.struct(*by, order).alias("_key"))
+    parts = single_linkage(keyed, by, xyz, "_key", threshold)
+    dealt = keyed.join(parts, "_key").drop("_key")
+
+    def link(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(order).reset_index(drop=True)
+        labels = K.complete_linkage(rows[xyz].to_numpy(float), threshold)
+        return rows[[*by, order]].assign(group_id=rows[order].to_numpy()[labels])
+
+    form = T.StructType([*(df.schema[c] for c in [*by, order]), T.StructField("group_id", df.schema[order].dataType)])
+    return dealt.groupBy(*by, "component").applyInPandas(link, form)
 
 
 def reconcile(picks: DataFrame, threshold: float, rule: str, n_pickers: int) -> DataFrame:
@@ -72,53 +90,12 @@ def reconcile(picks: DataFrame, threshold: float, rule: str, n_pickers: int) ->
 
     picks: tomogram_id, idx, x, y, z, picker, confidence.
     """
-    xyz = ["x", "y", "z"]
-
-    def join(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("idx").reset_index(drop=True)
-        rows["group"] = _linked(rows[xyz].to_numpy(), threshold)
-        out = []
-        for g, members in rows.groupby("group", sort=True):
-            best = []
-            for _, own in members.groupby("picker", sort=True):
-                d = ((own[xyz] - own[xyz].mean()) ** 2).sum(axis=1)
-                best.append(own.loc[d.idxmin()])
-            if len(best) < (1 if rule == "union" else n_pickers):
-                continue
-            at = np.mean([b[xyz].to_numpy(float) for b in best], axis=0)
-            known = [b["confidence"] for b in best if pd.notna(b["confidence"])]
-            out.append((rows["tomogram_id"].iloc[0], int(rows["idx"].iloc[g]), *at, "+".join(sorted(members["picker"].unique())), float(np.mean(known)) if known else None, len(best)))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in PICKS.split(", ")])
-
-    return picks.groupBy("tomogram_id").applyInPandas(join, PICKS)
-
-
-def _linked(points: np.ndarray, threshold: float) -> np.ndarray:
-    """Complete linkage, one connected part at a time: no group reaches over a gap of the threshold."""
-    n = len(points)
-    part = np.arange(n)
-    order = np.argsort(points[:, 0], kind="stable")
-
-    def root(i: int) -> int:
-        while part[i] != i:
-            part[i] = part[part[i]]
-            i = part[i]
-        return i
-
-    for a in range(n):
-        i = order[a]
-        for b in range(a + 1, n):
-            j = order[b]
-            if points[j, 0] - points[i, 0] >= threshold:
-                break
-            if ((points[i] - points[j]) ** 2).sum() < threshold**2:
-                part[root(i)] = root(j)
-    roots = np.array([root(i) for i in range(n)])
-    labels = np.empty(n, dtype=int)
-    for r in np.unique(roots):
-        at = np.flatnonzero(roots == r)
-        labels[at] = at[K.complete_linkage(points[at], threshold)]
-    return labels
+    xyz, group = ["x", "y", "z"], ["tomogram_id", "group_id"]
+    linked = picks.join(complete_linkage(picks, ["tomogram_id"], xyz, "idx", threshold), ["tomogram_id", "idx"])
+    best = representatives(linked, group, "picker", xyz, "idx")
+    out = consensus(best, group, "picker", "confidence", rule, n_pickers)
+    centres = best.groupBy(*group).agg(*(F.avg(c).alias(c) for c in xyz))
+    return out.join(centres, group).select(*group, *xyz, "sources", "confidence", F.col("n_pickers").cast("int").alias("n_pickers"))
 
 
 def single_linkage(df: DataFrame, by: list[str], xyz: list[str], key: str, distance: float) -> DataFrame:
@@ -188,22 +165,74 @@ def reduce(df: DataFrame, key: str, array: str, k: int) -> DataFrame:
     return df.select(key, array).mapInPandas(project, f"{key} {df.schema[key].dataType.simpleString()}, scores array<double>")
 
 
-def cluster(df: DataFrame, key: str, array: str, method: str, by: str | None = None, k: int = 8, least_size: int = 10, seed: int = 0) -> DataFrame:
-    """key, label of each half (or of all rows): kmeans, or density clusters with -1 for noise.
+#: Rows that the first centres of k-means are drawn from.
+SEEDS = 4096
 
-    One task holds a half's reduced rows, a few numbers each.
+
+def k_means(df: DataFrame, key: str, array: str, k: int, seed: int = 0, starts: int = 10, rounds: int = 100) -> DataFrame:
+    """key and label of the best of several starts; labels are numbered by their centres' order.
+
+    All starts go through the rows together: each round, tasks add up the rows of each centre, and only these sums
+    come together. First centres are drawn far apart from at most SEEDS rows, those of least hash, and settle there; so
+    few rounds over all rows are left.
     """
-    if method not in ("kmeans", "density"):
-        raise ValueError(f"unknown method {method}")
+    rows = written(df.select(F.col(key), F.col(array).cast("array<double>").alias("x")), "rows")
+    few = np.array([r.x for r in rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(SEEDS).select("x").collect()])
+    if not len(few):
+        return rows.select(key, F.lit(0).alias("label"))
+    k, rng, spark = min(k, len(few)), np.random.default_rng(seed), df.sparkSession
+    centres = np.stack([K.settled(few, K.apart(few, k, rng), rounds) for _ in range(starts)])
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast(centres)
+
+        def add(batches, shared=shared):
+            sums, counts, cost = np.zeros(shared.value.shape), np.zeros(shared.value.shape[:2]), np.zeros(starts)
+            for batch in batches:
+                for x in np.array_split(np.stack(batch["x"].to_numpy()), -(-len(batch) // 1024)) if len(batch) else []:
+                    square = ((x[None, :, None] - shared.value[:, None]) ** 2).sum(axis=3)
+                    cost += square.min(axis=2).sum(axis=1)
+                    for s, own in enumerate(square.argmin(axis=2)):
+                        np.add.at(sums[s], own, x)
+                        counts[s] += np.bincount(own, minlength=k)
+            yield pd.DataFrame({"v": [np.concatenate([sums.ravel(), counts.ravel(), cost]).tolist()]})
+
+        parts = rows.select("x").mapInPandas(add, "v array<double>").select(F.posexplode("v").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
+        total = np.array([r.v for r in parts.orderBy("i").collect()])
+        sums, counts, cost = np.split(total, np.cumsum([centres.size, starts * k]))
+        counts = counts.reshape(starts, k, 1)
+        moved = np.where(counts > 0, sums.reshape(centres.shape) / np.maximum(counts, 1), centres)
+        done, centres = np.allclose(moved, centres), moved
+        if done:
+            break
+    best = centres[int(np.argmin(cost))]
+    best = best[np.lexsort(best.T[::-1])]
+
+    def label(batches):
+        for batch in batches:
+            x = np.stack(batch["x"].to_numpy()) if len(batch) else np.zeros((0, best.shape[1]))
+            yield pd.DataFrame({key: batch[key], "label": ((x[:, None] - best[None]) ** 2).sum(axis=2).argmin(axis=1).astype("int32")})
+
+    return rows.mapInPandas(label, f"{key} {df.schema[key].dataType.simpleString()}, label int")
+
+
+def density_clusters(df: DataFrame, key: str, array: str, least_size: int) -> DataFrame:
+    """key and label of density clusters by excess of mass; -1 is noise. The rows given are held by one task."""
 
     def label(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(key)
-        x = np.stack(rows[array].to_numpy()).astype(float)
-        found = K.k_means(x, k, seed) if method == "kmeans" else K.density_clusters(x, least_size)
+        found = K.density_clusters(np.stack(rows[array].to_numpy()).astype(float), least_size)
         return pd.DataFrame({key: rows[key], "label": found.astype("int32")})
 
-    keyed = df.select(key, array, F.col(by).alias("_by") if by else F.lit("").alias("_by"))
-    return keyed.groupBy("_by").applyInPandas(label, f"{key} {df.schema[key].dataType.simpleString()}, label int")
+    return df.select(key, array, F.lit("").alias("_all")).groupBy("_all").applyInPandas(label, f"{key} {df.schema[key].dataType.simpleString()}, label int")
+
+
+def cluster(df: DataFrame, key: str, array: str, method: str, by: str | None = None, k: int = 8, least_size: int = 10, seed: int = 0) -> DataFrame:
+    """key, label of each half (or of all rows): kmeans, or density clusters with -1 for noise."""
+    if method not in ("kmeans", "density"):
+        raise ValueError(f"unknown method {method}")
+    parts = [df.where(F.col(by) == r[0]) for r in df.select(by).distinct().orderBy(by).collect()] if by else [df]
+    found = [k_means(part, key, array, k, seed) if method == "kmeans" else density_clusters(part, key, array, least_size) for part in parts]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def centroids(df: DataFrame, labels: DataFrame, key: str, array: str) -> DataFrame:

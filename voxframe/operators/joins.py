@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import written
@@ -67,8 +67,8 @@ def far_from(left: DataFrame, right: DataFrame, xyz: list[str], distance: float,
 def nearest(left: DataFrame, right: DataFrame, key: str, xyz: list[str], carry: list[str], radius: float, by: list[str] | None = None) -> DataFrame:
     """left with the nearest row of right: distance and carried columns; rows whose group has none are left out.
 
-    Rows that found none within the radius try again with twice of it, until it covers all positions. So only the few
-    far rows meet larger cells.
+    Rows that found none within the radius try again with four times of it, until it covers all positions; so only the
+    far rows meet larger cells. Where many rows are far from all of right, the last rounds compare them with most of it.
     """
     by = by or []
     ends = left.select(*xyz).unionByName(right.select(*xyz)).agg(*(F.max(c) - F.min(c) for c in xyz)).first()
@@ -138,7 +138,12 @@ def first_reference(files: DataFrame) -> DataFrame:
 
 
 def labels_for(manifests: DataFrame, labels: DataFrame) -> DataFrame:
-    """Label file of each tomogram: <id>_labelled first, else the first stem that begins with the id, else none."""
-    pairs = manifests.join(F.broadcast(labels), labels["stem"].startswith(manifests["tomogram_id"]), "left")
-    rank = Window.partitionBy("tomogram_id").orderBy((F.col("stem") != F.concat("tomogram_id", F.lit("_labelled"))).cast("int"), "stem")
-    return pairs.withColumn("_r", F.row_number().over(rank)).where("_r = 1").drop("_r")
+    """Label file of each tomogram: <id>_labelled first, else the first stem that begins with the id, else none.
+
+    Stems meet the ids by equality on their own beginnings, of the lengths that ids have.
+    """
+    lengths = F.broadcast(manifests.agg(F.array_sort(F.collect_set(F.length("tomogram_id"))).alias("_lengths")))
+    cut = labels.crossJoin(lengths).withColumn("_n", F.explode("_lengths")).where(F.length("stem") >= F.col("_n")).withColumn("_id", F.expr("substring(stem, 1, _n)"))
+    rank = F.struct((F.col("stem") != F.concat("_id", F.lit("_labelled"))).cast("int"), F.col("stem"))
+    best = cut.join(manifests.select("tomogram_id").distinct(), F.col("_id") == F.col("tomogram_id"), "left_semi").groupBy("_id").agg(F.min_by(F.struct(*labels.columns), rank).alias("_label"))
+    return manifests.join(best, F.col("tomogram_id") == F.col("_id"), "left").select(*manifests.columns, *(F.col(f"_label.{c}").alias(c) for c in labels.columns))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .filters import in_slab
@@ -59,6 +59,33 @@ class Review:
         return accepted, particles.join(self.rejected, self.key, "left_semi").select(self.key, "tomogram_id")
 
 
+def load_review(spark: SparkSession, particle_set: str, segmentations: str | None = None, tomograms: str | None = None, folder: str | None = None) -> tuple[DataFrame, DataFrame, Review]:
+    """Particles, the volumes of their tomograms (tomogram_id, segmentation_path, raw_tomogram_path; exact stems), and a review.
+
+    The review goes on from what an earlier one saved in the folder.
+    """
+    from ..sources import mrc, records
+
+    particles = records.placed(records.read_particles(spark, particle_set))
+    known = particles.select("tomogram_id").distinct()
+    for name, where in (("segmentation_path", segmentations), ("raw_tomogram_path", tomograms)):
+        files = mrc.volumes(spark, where, voxels=False).select(F.col("stem").alias("tomogram_id"), F.col("path").alias(name)) if where else spark.createDataFrame([], f"tomogram_id string, {name} string")
+        known = known.join(files, "tomogram_id", "left")
+    before = records.read_rejected(spark, folder) if folder else spark.createDataFrame([], records.REJECTED)
+    return particles, known, Review([before.select("particle_id").distinct()])
+
+
+def save_review(review: Review, particles: DataFrame, folder: str, rule: str = "union", pickers: list[str] | None = None) -> tuple[str, str]:
+    """particle_set.filtered.json with the accepted and rejected_picks.json; an error if nothing is accepted."""
+    from ..sources import sinks
+
+    accepted, rejected = review.saved(particles)
+    paths = f"{folder}/particle_set.filtered.json", f"{folder}/rejected_picks.json"
+    sinks.put_particle_set(accepted, paths[0], rule, pickers or [])
+    sinks.put_rows(rejected, paths[1])
+    return paths
+
+
 def z_diagram(df: DataFrame, z: Column, centre: float, thickness: float) -> DataFrame:
     return df.agg(
         F.count_if(z < centre - thickness).alias("below"),

@@ -527,13 +527,14 @@ def grp1_downsample(spark, sf_dir):
 @query()
 def grp2_suppress(spark, sf_dir):
     p = points(spark, sf_dir).withColumn("score", F.col("x") + F.col("y"))
-    return C.suppress(p, "label", ["x", "y", "z"], "score", "vec_id", 6.0)
+    return C.suppress(p, ["label"], ["x", "y", "z"], "score", "vec_id", 6.0)
 
 
 @query()
 def grp2_suppress_distributed(spark, sf_dir):
-    p = points(spark, sf_dir).withColumn("score", F.col("x") + F.col("y"))
-    return C.suppress_distributed(p, ["label"], ["x", "y", "z"], "score", "vec_id", 6.0)
+    """Without groups, and with many equal scores."""
+    p = points(spark, sf_dir).withColumn("score", F.floor(F.col("x") / 20).cast("double"))
+    return C.suppress(p, [], ["x", "y", "z"], "score", "vec_id", 9.0)
 
 
 @query()

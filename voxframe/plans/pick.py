@@ -14,7 +14,7 @@ from ..functions.geometry import beam_angle, effective_threshold, largest_offset
 from ..functions.text import numbered
 from ..kernels import cluster as K
 from ..kernels import volume as V
-from ..operators.aggregates import MAD_SCALE, bump
+from ..operators.aggregates import MAD_SCALE
 from ..operators.filters import under_angle
 from ..operators.grouping import reconcile
 from ..operators.joins import density
@@ -24,25 +24,38 @@ from ..sources import mrc
 
 @dataclass
 class PickSettings:
-    windows: list[tuple[float, float]] = field(default_factory=lambda: [(20.0, 60.0), (40.0, 80.0), (60.0, 120.0), (100.0, 160.0)])
+    # The picker's usual windows, distances and thresholds.
+    windows: list[tuple[float, float]] = field(default_factory=lambda: [(20.0, 50.0), (40.0, 80.0), (70.0, 110.0), (100.0, 160.0)])
     samples: int = 5
     n_mad: float = 3.0
-    spacing: float = 2.0
-    separation_angstrom: float = 80.0
+    spacing_angstrom: float = 20.0
+    separation_angstrom: float = 60.0
     mode: str = "mean"
     normalisation: str = "global"
     dark: bool = True
+    boundary_margin_angstrom: float | None = None
+    local_radius_angstrom: float = 150.0
+    min_local_neighbours: int = 20
+    profile_width_angstrom: float | None = None
 
     def __post_init__(self):
-        if not self.windows or any(low >= high for low, high in self.windows):
-            raise ValueError("offset windows must rise")
+        if not self.windows or any(low > high for low, high in self.windows):
+            raise ValueError("offset windows must not fall")
         if self.samples < 3:
             raise ValueError("a profile needs three samples")
-        if self.mode not in ("mean", "profile") or self.normalisation not in ("global", "vesicle"):
+        if self.mode not in ("mean", "profile") or self.normalisation not in ("global", "local", "vesicle"):
             raise ValueError("unknown scoring mode or normalisation")
+        if min(self.spacing_angstrom, self.local_radius_angstrom) <= 0 or self.min_local_neighbours < 1:
+            raise ValueError("spacing, local radius and neighbours must be positive")
+        if self.profile_width_angstrom is not None and self.profile_width_angstrom <= 0:
+            raise ValueError("the profile's width must be positive")
 
+    @property
+    def margin_angstrom(self) -> float:
+        return largest_offset(self.windows) if self.boundary_margin_angstrom is None else self.boundary_margin_angstrom
 
-SCORED = "tomogram_id string, idx long, x double, y double, z double, nx double, ny double, nz double, score double, mean_score double, profile_score double, window int, vesicle_id string, kept boolean"
+
+SCORED = "tomogram_id string, idx long, x double, y double, z double, nx double, ny double, nz double, score double, mean_score double, profile_score double, window int, vesicle_id string, fell_back boolean, kept boolean"
 
 
 def robust(x: np.ndarray) -> np.ndarray:
@@ -51,22 +64,48 @@ def robust(x: np.ndarray) -> np.ndarray:
     return (x - centre) / scale if scale else np.zeros_like(x)
 
 
-def grouped_robust(x: np.ndarray, groups: np.ndarray, how: str) -> np.ndarray:
+def by_vesicle(x: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each vesicle by its own estimate, the others by that of all; and which those are."""
     out = robust(x)
-    if how == "vesicle":
-        for g in np.unique(groups[groups != ""]):
-            out[groups == g] = robust(x[groups == g])
-    return out
+    for g in np.unique(groups[groups != ""]):
+        out[groups == g] = robust(x[groups == g])
+    return out, groups == ""
+
+
+def by_neighbours(x: np.ndarray, points: np.ndarray, radius: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """By median and MAD of the points within radius, itself among them; with fewer than `least`, or no spread, by those of all."""
+    centre = np.median(x)
+    whole = MAD_SCALE * np.median(np.abs(x - centre)) or x.std() or 1.0
+    out, few = (x - centre) / whole, np.ones(len(x), bool)
+    cells = np.floor(points / radius).astype(int)
+    _, cell_of = np.unique(cells, axis=0, return_inverse=True)
+    for c in range(cell_of.max() + 1 if len(x) else 0):
+        own = np.flatnonzero(cell_of == c)
+        around = np.flatnonzero((np.abs(cells - cells[own[0]]) <= 1).all(axis=1))
+        for i in own:
+            near = x[around[((points[around] - points[i]) ** 2).sum(axis=1) <= radius**2]]
+            if len(near) >= least:
+                middle = np.median(near)
+                out[i], few[i] = (x[i] - middle) / (MAD_SCALE * np.median(np.abs(near - middle)) or whole), False
+    return out, few
+
+
+def profile_shape(low: float, high: float, samples: int, width: float | None) -> np.ndarray:
+    """A Gaussian about the window's middle without its mean, of unit length; the width is a quarter of the window unless given."""
+    about = np.linspace(low, high, samples) - (low + high) / 2
+    shape = np.exp(-0.5 * (about / (width or (high - low) / 4 or 1.0)) ** 2)
+    shape -= shape.mean()
+    return shape / (np.linalg.norm(shape) or 1.0)
 
 
 def score_surface(tomogram: np.ndarray, segmentation: np.ndarray, voxel: float, s: PickSettings, labels: np.ndarray | None = None, name: str = "") -> pd.DataFrame:
     """All points of both faces with their best window's score; `kept` marks picks."""
     filled = V.fill_membrane(tomogram, segmentation)
     points, normals = V.surface(segmentation)
-    cell = np.floor(points / s.spacing).astype(int)
+    cell = np.floor(points / (s.spacing_angstrom / voxel)).astype(int)
     _, first = np.unique(cell, axis=0, return_index=True)
     points, normals = points[np.sort(first)], normals[np.sort(first)]
-    margin = largest_offset(s.windows) / voxel
+    margin = s.margin_angstrom / voxel
     inside = ((points >= margin) & (points <= np.array(tomogram.shape) - 1 - margin)).all(axis=1)
     points, normals = points[inside], normals[inside]
     vesicle = np.full(len(points), "", dtype=object)
@@ -78,26 +117,34 @@ def score_surface(tomogram: np.ndarray, segmentation: np.ndarray, voxel: float,
     points, normals, vesicle = np.concatenate([points, points]), np.concatenate([normals, -normals]), np.concatenate([vesicle, vesicle])
     if not len(points):
         return pd.DataFrame(columns=[c.split()[0] for c in SCORED.split(", ")])
-    sign, shape = (-1.0 if s.dark else 1.0), np.array(bump(s.samples))
-    shape = (shape - shape.mean()) / np.linalg.norm(shape - shape.mean())
-    means, profiles = [], []
+
+    def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if s.normalisation == "vesicle" and labels is not None:
+            return by_vesicle(x, vesicle)
+        if s.normalisation == "local":
+            return by_neighbours(x, points, s.local_radius_angstrom / voxel, s.min_local_neighbours)
+        return robust(x), np.zeros(len(x), bool)
+
+    sign, means, profiles = (-1.0 if s.dark else 1.0), [], []
     for low, high in s.windows:
         raw = sign * V.sample_along(filled, points, normals, low / voxel, high / voxel, s.samples)
         off = raw - raw.mean(axis=1, keepdims=True)
         norm = np.linalg.norm(off, axis=1)
-        means.append(grouped_robust(raw.mean(axis=1), vesicle, s.normalisation))
-        profiles.append(grouped_robust(np.divide(off @ shape, norm, out=np.zeros(len(off)), where=norm > 0), vesicle, s.normalisation))
-    means, profiles = np.stack(means), np.stack(profiles)
-    best = (means if s.mode == "mean" else profiles).argmax(axis=0)
-    here = np.arange(len(points))
-    score = (means if s.mode == "mean" else profiles)[best, here]
+        along = off @ profile_shape(low, high, s.samples, s.profile_width_angstrom)
+        means.append(scaled(raw.mean(axis=1)))
+        profiles.append(scaled(np.divide(along, norm, out=np.zeros(len(off)), where=norm > 0)))
+    chosen = np.stack([z for z, _ in (means if s.mode == "mean" else profiles)])
+    best, here = chosen.argmax(axis=0), np.arange(len(points))
+    score = chosen[best, here]
     over = np.flatnonzero(score >= effective_threshold(s.n_mad, len(s.windows)))
     kept = np.zeros(len(points), bool)
     if len(over):
         kept[over[K.suppress(points[over], score[over], s.separation_angstrom / voxel)]] = True
+    at_best = lambda found, k: np.stack([x[k] for x in found])[best, here]
     return pd.DataFrame({
         "tomogram_id": name, "idx": here, "x": points[:, 2], "y": points[:, 1], "z": points[:, 0], "nx": normals[:, 2], "ny": normals[:, 1], "nz": normals[:, 0],
-        "score": score, "mean_score": means[best, here], "profile_score": profiles[best, here], "window": best.astype("int32"), "vesicle_id": vesicle, "kept": kept,
+        "score": score, "mean_score": at_best(means, 0), "profile_score": at_best(profiles, 0), "window": best.astype("int32"), "vesicle_id": vesicle,
+        "fell_back": at_best(means if s.mode == "mean" else profiles, 1), "kept": kept,
     })
 
 

@@ -9,12 +9,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import box_voxels, decoy_count
+from ..functions.geometry import box_voxels, decoy_count, effective_threshold, quaternion_from_normal
 from ..functions.text import stage_folder
 from ..operators import decoys as D
+from ..operators.joins import labels_for
 from ..sources import mrc, records, sinks
 from . import classify, identify, pick
-from .state import RunState, signatures
+from .state import RunState, resumed, signatures
 
 
 @dataclass
@@ -29,6 +30,12 @@ class RunSettings:
     max_beam_angle: float | None = None
     decoy_ratio: float = 1.0
     decoy_distance_voxels: float = 6.0
+    decoy_method: str = "rejected-surface"
+    decoy_shift_voxels: tuple[float, float] = (8.0, 20.0)
+    decoy_off_surface_voxels: float = 4.0
+    noise_count: int | None = None
+    noise_shape: tuple[int, int, int] = (64, 64, 64)
+    vesicle_labels: str | None = None
     box_angstrom: float = 300.0
     method: str = "kmeans"
     k: int = 4
@@ -60,11 +67,27 @@ class RunSettings:
                     flat[key] = str((Path(path).parent / value).resolve()) if key == "candidates" else value
                 else:
                     raise ValueError(f"stage.{name} doesn't know {key}")
+        for key, value in config.get("decoy", {}).items():
+            name = key if key.startswith(("decoy_", "noise_")) else f"decoy_{key}"
+            if name not in cls.__dataclass_fields__:
+                raise ValueError(f"decoy doesn't know {key}")
+            flat[name] = value
         own = flat.pop("_pick", {})
         if "windows" in own:
             own["windows"] = [tuple(w) for w in own["windows"]]
         return cls(pick=pick.PickSettings(**own), **flat)
 
+    def __post_init__(self):
+        if self.decoy_method not in DECOYS:
+            raise ValueError(f"unknown decoy method {self.decoy_method}")
+        if self.decoy_method == "synthetic-noise" and not self.noise_count:
+            raise ValueError("the number of noise volumes is needed")
+        if (self.candidates is None) != (self.resolution is None):
+            raise ValueError("candidates and a resolution go together")
+
+
+DECOYS = ("rejected-surface", "shifted", "synthetic-noise")
+
 
 class Run:
     """Stages of one output folder; each is a Parquet table with a provenance file."""
@@ -79,50 +102,95 @@ class Run:
         return self.spark.read.parquet(f"{self.where(track, stage)}/{name}")
 
     def put(self, track: str, stage: str, **tables: DataFrame) -> None:
-        folder = self.where(track, stage)
         for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        sinks.put_provenance(folder, stage, "voxframe", {k: str(v) for k, v in vars(self.s).items()}, signatures({"segmentation": self.s.segmentations, "raw": self.s.tomograms}))
+            df.write.mode("overwrite").parquet(f"{self.where(track, stage)}/{name}")
+
+    def finish(self, track: str, stage: str) -> None:
+        """Only now the stage counts as done."""
+        folder = self.where(track, stage)
+        sinks.put_provenance(folder, stage, "voxframe", {k: str(v) for k, v in vars(self.s).items()}, self.inputs())
         self.state.mark(track, stage)
 
-    def manifests(self) -> DataFrame:
+    def inputs(self) -> dict[str, str]:
+        return signatures({"segmentation": self.s.segmentations, "raw": self.s.tomograms, "labels": self.s.vesicle_labels})
+
+    def resumed(self, track: str, stage: str, name: str, work: DataFrame, key: str, settings: dict, make) -> DataFrame:
+        """A table that goes on where a failed run left off, as long as inputs and settings are the same."""
+        return resumed(work, key, f"{self.where(track, stage)}/{name}", {"inputs": self.inputs(), **{k: str(v) for k, v in settings.items()}}, make)
+
+    def manifests(self, track: str = "real") -> DataFrame:
+        if track == "decoy" and self.s.decoy_method == "synthetic-noise":
+            return self.table("decoy", "pick", "manifests")
         return mrc.manifests(self.spark, self.s.segmentations, self.s.tomograms, self.s.voxel)[0]
 
+    def voxel(self) -> float:
+        return self.manifests().first().voxel_size_angstrom
+
     def box(self) -> int:
-        return box_voxels(self.s.box_angstrom, self.manifests().first().voxel_size_angstrom)
+        return box_voxels(self.s.box_angstrom, self.voxel())
+
+    def labels(self) -> dict[str, str]:
+        """Label file of each tomogram that has one; as many names as there are tomograms."""
+        if not self.s.vesicle_labels:
+            return {}
+        stems = mrc.volumes(self.spark, self.s.vesicle_labels, voxels=False).select("stem", "path")
+        return {r.tomogram_id: r.path for r in labels_for(self.manifests().select("tomogram_id"), stems).where("path is not null").collect()}
 
     def pick_real(self) -> None:
-        found = self.manifests()
-        scored = pick.scored_points(found, self.s.pick)
-        self.put("real", "pick", scored=scored)
-        scored = self.table("real", "pick", "scored")
-        particles = pick.particle_set(pick.raw_picks(scored), self.s.threshold_voxels, self.s.rule, 1, self.s.max_beam_angle)
-        self.put("real", "pick", particles=particles)
+        labels = self.labels()
+        scored = self.resumed("real", "pick", "scored", self.manifests(), "tomogram_id", vars(self.s.pick), lambda work: pick.scored_points(work, self.s.pick, labels))
+        self.put("real", "pick", particles=pick.particle_set(pick.raw_picks(scored), self.s.threshold_voxels, self.s.rule, 1, self.s.max_beam_angle))
+        particles, folder = self.table("real", "pick", "particles"), self.where("real", "pick")
+        sinks.put_particle_set(particles, f"{folder}/particle_set.json", self.s.rule, ["native"])
+        if labels:
+            sinks.put_vesicle_summary(pick.vesicle_summary(particles, pick.surface_areas(self.manifests(), labels)), f"{folder}/vesicle_summary.json")
+        self.finish("real", "pick")
+
+    def decoy_points(self, real: DataFrame) -> DataFrame:
+        """tomogram_id, x, y, z, nx, ny, nz of the decoys, by the method asked for."""
+        s, xyz = self.s, ["x", "y", "z"]
+        scored = self.spark.read.parquet(*(str(p.with_suffix("")) for p in Path(f"{self.where('real', 'pick')}/scored").glob("*.done")))
+        most = real.groupBy("tomogram_id").count().agg(F.max("count")).first()[0]
+        wanted = decoy_count(most, s.decoy_ratio)
+        if s.decoy_method == "rejected-surface":
+            threshold = effective_threshold(s.pick.n_mad, len(s.pick.windows))
+            return D.from_rejected(scored, real, threshold, s.decoy_distance_voxels, wanted)
+        if s.decoy_method == "shifted":
+            shape = mrc.volumes(self.spark, s.segmentations, voxels=False).agg(F.min("nz"), F.min("ny"), F.min("nx")).first()
+            return D.shifted(real.select("tomogram_id", *xyz), scored.select("tomogram_id", *xyz, "nx", "ny", "nz"), tuple(shape), *s.decoy_shift_voxels, s.decoy_off_surface_voxels, s.decoy_distance_voxels)
+        folder, shape = self.where("decoy", "pick"), tuple(s.noise_shape)
+        sign = -1.0 if s.pick.dark else 1.0
+        self.put("decoy", "pick", manifests=D.noise_manifests(self.spark, s.noise_count, shape, f"{folder}/volumes", self.voxel(), sign))
+        sinks.put_rows(self.table("decoy", "pick", "manifests").orderBy("tomogram_id"), f"{folder}/decoy_manifests.json")
+        return D.synthetic(self.spark, s.noise_count, wanted, shape, sign)
 
     def pick_decoy(self) -> None:
-        from ..functions.geometry import beam_angle, effective_threshold, quaternion_from_normal
-
-        real, scored = self.table("real", "pick", "particles"), self.table("real", "pick", "scored")
-        most = real.groupBy("tomogram_id").count().agg(F.max("count")).first()[0]
-        threshold = effective_threshold(self.s.pick.n_mad, len(self.s.pick.windows))
-        points = D.from_rejected(scored, real, threshold, self.s.decoy_distance_voxels, decoy_count(most, self.s.decoy_ratio))
-        points = points.withColumn("orientation", quaternion_from_normal(F.col("nx"), F.col("ny"), F.col("nz"))).withColumn("beam_angle", beam_angle(F.col("nx"), F.col("ny"), F.col("nz")))
-        points = points.withColumn("confidence", F.col("score")).drop("idx", "nx", "ny", "nz", "score", "mean_score", "profile_score", "window", "kept")
-        self.put("decoy", "pick", particles=D.finalised(points, "rejected-surface"))
-        D.checked(real, self.table("decoy", "pick", "particles"))
+        real = self.table("real", "pick", "particles")
+        normal = [F.col(c) for c in ("nx", "ny", "nz")]
+        points = self.decoy_points(real).select("tomogram_id", "x", "y", "z", quaternion_from_normal(*normal).alias("orientation"), F.lit("").alias("vesicle_id"))
+        decoys = D.finalised(points, self.s.decoy_method)
+        self.put("decoy", "pick", unchecked=decoys)
+        decoys = D.checked(real, self.table("decoy", "pick", "unchecked"))
+        self.put("decoy", "pick", particles=decoys)
+        sinks.put_particle_set(self.table("decoy", "pick", "particles"), f"{self.where('decoy', 'pick')}/decoy_particle_set.json", "union", [f"decoy-{self.s.decoy_method}"])
+        self.finish("decoy", "pick")
 
     def classify(self, track: str) -> None:
-        box, s = self.box(), self.s
-        boxes = classify.extract(self.table(track, "pick", "particles"), self.manifests(), box)
-        self.put(track, "classify", boxes=boxes)
-        boxes = self.table(track, "classify", "boxes")
+        box, s, found = self.box(), self.s, self.manifests(track)
+        particles = self.table(track, "pick", "particles")
+        rows = particles.agg(F.count(F.lit(1)), F.sum(F.xxhash64("particle_id", "x", "y", "z").cast("decimal(38,0)"))).first()
+        boxes = self.resumed(track, "classify", "boxes", particles, "tomogram_id", {"box": box, "particles": tuple(rows)}, lambda work: classify.extract(work, found, box))
         assigned = classify.assign(classify.feature_rows(boxes, box), s.method, s.k, s.least_size, s.components, s.strict)
         self.put(track, "classify", assignments=assigned)
         assigned = self.table(track, "classify", "assignments")
         angles = classify.inplane_angles(boxes, assigned, box) if s.align else None
         if angles is not None:
             self.put(track, "classify", angles=angles)
-        classify.put_averages(classify.class_averages(boxes, assigned, box, angles), f"{self.where(track, 'classify')}/averages", box, self.manifests().first().voxel_size_angstrom)
+            angles = self.table(track, "classify", "angles")
+        folder = self.where(track, "classify")
+        sinks.put_assignments(assigned.join(particles.select("particle_id", "vesicle_id"), "particle_id", "left"), f"{folder}/class_assignments.json", s.method, angles)
+        classify.put_averages(classify.class_averages(boxes, assigned, box, angles), f"{folder}/averages", box, self.voxel())
+        self.finish(track, "classify")
 
     def identify(self) -> None:
         panel = records.read_panel(self.spark, self.s.candidates).collect()
@@ -133,14 +201,17 @@ class Run:
         names = self.spark.createDataFrame([(p.name, k) for k, p in enumerate(panel)], "name string, at int")
         tracks = {}
         for track in ("real", "decoy"):
-            averages = identify.load_averages(self.spark, f"{self.where(track, 'classify')}/averages")
-            self.put(track, "identify", **{f"scores_{track}": identify.fit_all(averages, names, atoms, self.s.resolution, **self.s.search)})
-            tracks[track] = self.table(track, "identify", f"scores_{track}")
+            folder = f"{self.where(track, 'classify')}/averages"
+            averages = identify.load_averages(self.spark, folder)
+            made = {"averages": signatures({track: folder}), "panel": sorted(atoms), "resolution": self.s.resolution, "search": self.s.search}
+            tracks[track] = self.resumed("real", "identify", f"scores_{track}", averages, "cluster_id", made, lambda work: identify.fit_all(work, names, atoms, self.s.resolution, **self.s.search))
         verdict = identify.control(tracks["real"], tracks["decoy"])
         folder = self.where("real", "identify")
         self.put("real", "identify", identified=identify.identified(tracks["real"]))
+        sinks.put_rows(self.table("real", "identify", "identified").orderBy("cluster_id"), f"{folder}/identification.json")
         sinks.put_json(f"{folder}/decoy_control.json", verdict)
         sinks.put_text(f"{folder}/identification_report.txt", sinks.identification_report(tracks["real"], verdict))
+        self.finish("real", "identify")
 
     def refine(self) -> None:
         """Resolution of each class from its two half averages; a star file of its particles for other programs."""
@@ -155,15 +226,16 @@ class Run:
             except ValueError:
                 rows.append((c, None, False))
                 continue
-            sinks.put_fsc(found, f"{out}/{c}")
+            sinks.put_fsc(found, f"{out}/{c}", self.s.fsc_threshold)
             rows.append((c, found["resolution"], found["crossed"]))
         self.put("real", "refine", resolution=self.spark.createDataFrame(rows, "cluster_id string, resolution double, crossed boolean"))
+        self.finish("real", "refine")
 
     def report(self) -> None:
         done = self.state.done.get("real", {})
         best = [r.asDict() for r in self.table("real", "identify", "identified").orderBy("cluster_id").collect()] if "identify" in done else []
         found = {r.cluster_id: r.resolution for r in self.table("real", "refine", "resolution").collect()} if "refine" in done else {}
-        sinks.put_report(self.s.out, best, found, self.s.fsc_threshold, {"inputs": signatures({"segmentation": self.s.segmentations, "raw": self.s.tomograms})})
+        sinks.put_report(self.s.out, best, found, self.s.fsc_threshold, {"inputs": self.inputs()})
 
     def go(self, force: bool = False, start: str | None = None) -> list[tuple[str, str]]:
         """Run what isn't finished, in order; what was run."""

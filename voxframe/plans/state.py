@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import json
 import shutil
+import uuid
+from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from ..functions.text import file_signature, stage_folder
 from ..sources.sinks import put_json
 
@@ -26,6 +31,28 @@ def sync(folder: str, fingerprint: dict) -> bool:
     return False
 
 
+#: Tomograms (or other units of work) of one write; after a failure at most so many are done again.
+BATCH = 256
+
+
+def resumed(work: DataFrame, key: str, folder: str, fingerprint: dict, make: Callable[[DataFrame], DataFrame], size: int = BATCH) -> DataFrame:
+    """make(work), written a batch of keys at a time; keys whose batch the folder holds aren't made again.
+
+    A batch counts once its mark lies beside it, so what a failed run left half-written isn't read. Results of another
+    fingerprint are thrown away. Names of the units come to the driver, their rows don't.
+    """
+    sync(folder, fingerprint)
+    marks = {m: json.loads(m.read_text()) for m in Path(folder).glob("*.done")}
+    have = {k for keys in marks.values() for k in keys}
+    rest = sorted(r[0] for r in work.select(key).distinct().collect() if r[0] not in have)
+    for at in range(0, len(rest), size) if rest or have else [0]:
+        some, mark = rest[at : at + size], Path(folder) / f"{uuid.uuid4().hex}.done"
+        make(work.where(F.col(key).isin(some))).write.parquet(str(mark.with_suffix("")))
+        put_json(str(mark), some)
+        marks[mark] = some
+    return work.sparkSession.read.parquet(*(str(m.with_suffix("")) for m in marks))
+
+
 def signatures(folders: dict[str, str | None]) -> dict[str, str]:
     """role/name -> size:mtime of all files; a missing folder has none."""
     out = {}

@@ -27,7 +27,7 @@ VESICLE = _struct(vesicle_id=_S, tomogram_id=_S, n_picks=T.IntegerType(), surfac
 PANEL = _struct(name=_S, uniprot=_S, structure_path=_S, expected_mass_kda=_D, oligomer=T.IntegerType())
 
 # Atomic weights by element; any other counts as the last one.
-WEIGHTS = {"H": 1.0, "C": 6.0, "N": 7.0, "O": 8.0, "P": 15.0, "S": 16.0}
+WEIGHTS = {"H": 1.0, "C": 6.0, "N": 7.0, "O": 8.0, "F": 9.0, "P": 15.0, "S": 16.0, "CL": 17.0, "FE": 26.0, "ZN": 30.0, "MG": 12.0, "MN": 25.0, "CA": 20.0}
 OTHER_WEIGHT = 6.0
 
 
@@ -48,6 +48,32 @@ def read_particles(spark: SparkSession, path: str) -> DataFrame:
     return require(rows, F.col("half_set").isin("A", "B") & (F.col("orientation").isNull() | norm.between(0.99, 1.01)), "a particle has a bad half or orientation")
 
 
+def placed(particles: DataFrame) -> DataFrame:
+    """Particles of a document as the plans have them: x, y, z, orientation as a struct, beam_angle, no vesicle as ''."""
+    xyz = [F.col("position")[k].alias("xyz"[k]) for k in range(3)]
+    turn = F.when(F.col("orientation").isNotNull(), F.struct(*(F.col("orientation")[k].alias("wxyz"[k]) for k in range(4)))).alias("orientation")
+    return particles.select("particle_id", "tomogram_id", *xyz, turn, "source_picker", "confidence", "half_set", F.coalesce("vesicle_id", F.lit("")).alias("vesicle_id"), F.col("beam_angle_deviation_degrees").alias("beam_angle"))
+
+
+def read_assignments(spark: SparkSession, path: str) -> DataFrame:
+    return read_json(spark, path, ASSIGNMENT)
+
+
+def read_angles(spark: SparkSession, path: str) -> DataFrame:
+    """particle_id, inplane_angle_degrees of the particles that have one."""
+    return read_assignments(spark, path).where("inplane_angle_degrees is not null").select("particle_id", "inplane_angle_degrees")
+
+
+def read_identification(spark: SparkSession, path: str) -> DataFrame:
+    return read_json(spark, path, IDENTIFICATION)
+
+
+def read_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected particles of an earlier session; none if it left nothing."""
+    path = f"{folder}/rejected_picks.json"
+    return read_json(spark, path, REJECTED) if Path(path).exists() else spark.createDataFrame([], REJECTED)
+
+
 def read_cached_picks(spark: SparkSession, folder: str, ids: list[str]) -> DataFrame:
     """Picks of the tomograms that have a file; files that can't be read are left out."""
     paths = [f"{folder}/{i}.json" for i in ids if Path(f"{folder}/{i}.json").exists()]

@@ -34,13 +34,43 @@ def put_rows(df: DataFrame, path: str) -> None:
     put_json(path, [r.asDict(recursive=True) for r in df.toLocalIterator()])
 
 
+def particle_documents(particles: DataFrame) -> DataFrame:
+    """Particles (x, y, z, orientation as a struct) in the shape of their document; columns that are missing are null."""
+    have = set(particles.columns)
+    own = lambda c, kind, source=None: (F.col(source or c) if (source or c) in have else F.lit(None)).cast(kind).alias(c)
+    turn = F.when(F.col("orientation").isNotNull(), F.array(*(F.col(f"orientation.{k}") for k in "wxyz"))) if "orientation" in have else F.lit(None).cast("array<double>")
+    vesicle = F.when(F.col("vesicle_id") != "", F.col("vesicle_id")) if "vesicle_id" in have else F.lit(None).cast("string")
+    return particles.select(
+        "particle_id", "tomogram_id", F.array("x", "y", "z").alias("position"), turn.alias("orientation"), own("source_picker", "string"),
+        own("confidence", "double"), own("half_set", "string"), vesicle.alias("vesicle_id"), own("beam_angle_deviation_degrees", "double", "beam_angle"),
+    )
+
+
 def put_particle_set(particles: DataFrame, path: str, rule: str, pickers: list[str]) -> None:
-    rows = [r.asDict(recursive=True) for r in particles.toLocalIterator()]
+    """The document that records.read_particles reads."""
+    rows = [r.asDict(recursive=True) for r in particle_documents(particles).toLocalIterator()]
     if not rows:
         raise ValueError("the particle set is empty")
     put_json(path, {"particles": rows, "consensus_rule": rule, "contributing_pickers": sorted(pickers)})
 
 
+def put_assignments(assignments: DataFrame, path: str, classifier: str = "native", angles: DataFrame | None = None) -> None:
+    """particle_id, cluster_id, classifier, inplane_angle_degrees, vesicle_id, in the order of the particles."""
+    rows = assignments.join(angles, "particle_id", "left") if angles is not None else assignments.withColumn("inplane_angle_degrees", F.lit(None).cast("double"))
+    vesicle = F.col("vesicle_id") if "vesicle_id" in rows.columns else F.lit(None).cast("string").alias("vesicle_id")
+    put_rows(rows.select("particle_id", "cluster_id", F.lit(classifier).alias("classifier"), "inplane_angle_degrees", vesicle).orderBy("particle_id"), path)
+
+
+def put_vesicle_summary(summary: DataFrame, path: str) -> None:
+    """vesicle_id, tomogram_id, n_picks, area and density; nothing where there is no vesicle."""
+    rows = summary.select(
+        "vesicle_id", F.substring_index("vesicle_id", ":", 1).alias("tomogram_id"), F.col("n_picks").cast("int").alias("n_picks"),
+        F.col("area").alias("surface_area_angstrom2"), F.col("per_1000").alias("picks_per_1000_angstrom2"),
+    )
+    if rows.limit(1).count():
+        put_rows(rows.orderBy("vesicle_id"), path)
+
+
 def star_rows(particles: DataFrame) -> DataFrame:
     """Columns of a particle star file; orientation is a struct (w, x, y, z)."""
     angles = tilt_psi(F.col("orientation"))
@@ -57,13 +87,13 @@ def put_star(particles: DataFrame, path: str) -> None:
     put_text(path, "\n".join(lines) + "\n")
 
 
-def put_fsc(result: dict, folder: str) -> None:
-    """fsc.txt and a plain fsc.svg."""
+def put_fsc(result: dict, folder: str, threshold: float = 0.143) -> None:
+    """fsc.txt and a plain fsc.svg with the threshold as a dashed line."""
     rows = list(zip(result["frequency"], result["fsc_unmasked"], result["fsc_masked"], strict=True))
-    put_text(f"{folder}/fsc.txt", "".join(f"{f:.6f} {u:.4f} {m:.4f}\n" for f, u, m in rows))
+    put_text(f"{folder}/fsc.txt", "# freq_per_A  fsc_unmasked  fsc_masked\n" + "".join(f"{f:.6f}  {u:.4f}  {m:.4f}\n" for f, u, m in rows))
     top = max(float(rows[-1][0]), 1e-9)
     line = lambda k, colour: f'<polyline fill="none" stroke="{colour}" points="' + " ".join(f"{10 + 380 * r[0] / top:.1f},{150 - 130 * r[k]:.1f}" for r in rows) + '"/>'
-    put_text(f"{folder}/fsc.svg", f'<svg xmlns="http://www.w3.org/2000/svg" width="400" height="170">{line(1, "grey")}{line(2, "black")}</svg>\n')
+    put_text(f"{folder}/fsc.svg", f'<svg xmlns="http://www.w3.org/2000/svg" width="400" height="170">{line(1, "grey")}{line(2, "black")}<line x1="10" x2="390" y1="{150 - 130 * threshold:.1f}" y2="{150 - 130 * threshold:.1f}" stroke="red" stroke-dasharray="4"/></svg>\n')
 
 
 def resolution_text(value: float | None) -> str:
