@@ -61,6 +61,16 @@ def joined_sources(c: Column) -> Column:
     return F.array_join(F.array_sort(F.collect_set(c)), "+")
 
 
+def json_option(c: Column, schema: str) -> Column:
+    """A struct of an option given as JSON; null where it isn't valid."""
+    return F.from_json(c, schema)
+
+
+def sha256(c: Column) -> Column:
+    """Lowercase hex digest of a text's UTF-8 bytes or of bytes."""
+    return F.sha2(c.cast("binary"), 256)
+
+
 def file_signature(path: str) -> str:
     """size:mtime of a file, which changes when it is written anew."""
     import os

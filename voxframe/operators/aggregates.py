@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,6 +97,39 @@ def elementwise_mean(df: DataFrame, by: list[str], array: str) -> DataFrame:
     return each.groupBy(*by).agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("a")).withColumn("mean", F.transform("a", lambda s: s["m"])).drop("a")
 
 
+def joined_moments(a: tuple, b: tuple) -> tuple:
+    """Number, mean and sum of squares about the mean of two sets together."""
+    n, apart = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + apart * (b[0] / n), a[2] + b[2] + apart * apart * (a[0] * b[0] / n)
+
+
+def moments(df: DataFrame, group: str, array: str) -> DataFrame:
+    """group, n, m, q: number, mean and sum of squares about it of each place of the arrays.
+
+    Tasks join their own rows first, batch by batch, so a row for each task and group is all that moves. Sums of squares
+    alone would lose small deviations.
+    """
+    kind = df.schema[group].dataType.simpleString()
+
+    def own(batches):
+        have: dict = {}
+        for rows in batches:
+            for name, some in rows.groupby(group, dropna=False):
+                x = np.stack(some[array].to_numpy()).astype(float)
+                now = len(x), x.mean(axis=0), ((x - x.mean(axis=0)) ** 2).sum(axis=0)
+                name = None if pd.isna(name) else name
+                have[name] = joined_moments(have[name], now) if name in have else now
+        yield pd.DataFrame([(g, n, m.tolist(), q.tolist()) for g, (n, m, q) in have.items()], columns=[group, "n", "m", "q"])
+
+    def add(key, rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [(r.n, np.array(r.m), np.array(r.q)) for r in rows.itertuples()]
+        n, m, q = functools.reduce(joined_moments, parts)
+        return pd.DataFrame([(key[0], n, m.tolist(), q.tolist())], columns=[group, "n", "m", "q"])
+
+    form = f"{group} {kind}, n long, m array<double>, q array<double>"
+    return df.select(group, array).mapInPandas(own, form).groupBy(group).applyInPandas(add, form)
+
+
 def class_averages(df: DataFrame, array: str, cluster: str = "cluster_id") -> DataFrame:
     return elementwise_mean(df.where(F.col(cluster) != "noise"), [cluster], array)
 
@@ -179,14 +215,23 @@ def row_standardise(array: Column) -> Column:
 
 
 def column_standardise(df: DataFrame, key: str, array: str, group: str, least: int = 50) -> DataFrame:
-    """key, pos, z: by the column's own statistics within groups of `least` members or more, else over all rows."""
-    each = df.select(key, group, F.posexplode(array).alias("pos", "v")).withColumn("v", F.col("v").cast("double"))
-    whole = each.groupBy("pos").agg(F.avg("v").alias("_m"), F.stddev_pop("v").alias("_s"))
-    own = each.groupBy(group, "pos").agg(F.count(F.lit(1)).alias("_n"), F.avg("v").alias("_gm"), F.stddev_pop("v").alias("_gs"))
-    joined = each.join(F.broadcast(whole), "pos").join(own, [group, "pos"])
-    large = F.col("_n") >= least
-    mean, std = F.when(large, F.col("_gm")).otherwise(F.col("_m")), F.when(large, F.col("_gs")).otherwise(F.col("_s"))
-    return joined.select(key, "pos", ((F.col("v") - mean) / F.when(std == 0, F.lit(1.0)).otherwise(std)).alias("z"))
+    """key and z (array): by the column's own statistics within groups of `least` members or more, else over all rows."""
+    own = written(moments(df, group, array), "moments")
+    parts = [(r.n, np.array(r.m), np.array(r.q)) for r in own.toLocalIterator()]  # a row for each group
+    if not parts:
+        return df.select(key, F.col(array).cast("array<double>").alias("z"))
+    n, mean, q = functools.reduce(joined_moments, parts)
+    spread = lambda m, q, n: F.zip_with(m, q, lambda a, b: F.struct(a.alias("m"), F.sqrt(b / n).alias("s")))
+    whole = spread(F.array(*map(F.lit, mean.tolist())), F.array(*map(F.lit, q.tolist())), F.lit(n))
+    large = own.where(F.col("n") >= least).select(F.col(group).alias("_g"), spread("m", "q", F.col("n")).alias("_of"))
+    joined = df.join(large, F.col(group).eqNullSafe(F.col("_g")), "left").withColumn("_of", F.coalesce("_of", whole))
+    z = F.zip_with(array, "_of", lambda v, of: (v.cast("double") - of["m"]) / F.when(of["s"] == 0, F.lit(1.0)).otherwise(of["s"]))
+    return joined.select(key, z.alias("z"))
+
+
+def mean_confidence(df: DataFrame, by: list[str], confidence: str) -> DataFrame:
+    """by and the mean of the known confidences; null where none is known."""
+    return df.groupBy(*by).agg(F.avg(confidence).alias("confidence"))
 
 
 def power_normalise(array: Column) -> Column:

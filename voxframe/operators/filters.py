@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -87,6 +88,16 @@ def comparable(real: DataFrame, decoy: DataFrame, least_share: float = 0.5) -> D
     return counts.withColumn("enough", F.col("decoy_count") >= least_share * F.col("real_count"))
 
 
+def unknown(ids: DataFrame, known: DataFrame) -> DataFrame:
+    """Ids (one column, each once) that are not among the known ones."""
+    return ids.distinct().exceptAll(known.distinct().intersect(ids))
+
+
+def concatenated(sources: dict[str, DataFrame]) -> DataFrame:
+    """The rows of all sources, with the source's name."""
+    return functools.reduce(DataFrame.unionByName, (df.withColumn("source", F.lit(name)) for name, df in sources.items()))
+
+
 def select_tomograms(df: DataFrame, ids: list[str] | None = None, sample: int | None = None, seed: int = 0) -> DataFrame:
     """Rows of the named tomograms (a missing one is an error), of a seeded sample of them, or all."""
     import random

@@ -86,6 +86,11 @@ def nearest(left: DataFrame, right: DataFrame, key: str, xyz: list[str], carry:
         radius *= 4
 
 
+def with_paths(particles: DataFrame, manifests: DataFrame, key: str = "tomogram_id") -> DataFrame:
+    """Every particle with what is known of its volume; nulls where nothing is."""
+    return particles.join(manifests, key, "left")
+
+
 def members_by_half(particles: DataFrame, assignments: DataFrame, cluster: str, key: str = "particle_id") -> DataFrame:
     """Particles of one class; an error unless both halves have some."""
     found = particles.join(assignments.where(F.col("cluster_id") == cluster), key, "left_semi")

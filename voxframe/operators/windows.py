@@ -52,6 +52,11 @@ def nearest_attributes(df: DataFrame, by: list[str], xyz: list[str], tie: str, c
     return joined.groupBy(*by, *kept, "n").agg(F.min_by(F.struct(*carry), F.struct("_d", tie)).alias("_b")).select(*by, *kept, "n", *(F.col(f"_b.{c}").alias(c) for c in carry))
 
 
+def ranked(df: DataFrame, by: list[str], score: str, tie: str, most: int) -> DataFrame:
+    """The `most` rows of each group with the highest scores, with their rank."""
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(score), tie)).cast("long")).where(F.col("rank") <= most)
+
+
 def crossing(df: DataFrame, by: list[str], shell: str, value: str, threshold: float) -> DataFrame:
     """First shell beyond 0 below the threshold, else the last shell."""
     found = F.min(F.when((F.col(value) < threshold) & (F.col(shell) > 0), F.col(shell)))

@@ -1,16 +1,20 @@
 """Queries of the engine over the shared tables, with the SQL that gives the same rows.
 
-Embeddings serve as positions (their first three values), labels as groups, events as scored picks, orders and line
+Embeddings serve as positions (their first three values) and as small volumes, labels as groups, events as scored picks, orders and line
 items as work units. Doubles are rounded to six places on both sides.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as X
+from ..kernels import signal as S
+from ..kernels import volume as V
 from ..operators import aggregates as A
 from ..operators import filters as P
 from ..operators import grouping as C
@@ -113,6 +117,12 @@ def fn12_numbered(spark, sf_dir):
     return X.numbered(table(spark, sf_dir, "documents").select("doc_id", "lang"), "p", [F.col("lang"), F.col("doc_id")]).select("doc_id", "particle_id")
 
 
+@query("select l_orderkey, l_linenumber, l_partkey, printf('p%06d', row_number() over (order by l_partkey, l_orderkey, l_linenumber) - 1) as particle_id from lineitem")
+def fn12_numbered_lines(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return X.numbered(lines, "p", [F.col(c) for c in ("l_partkey", "l_orderkey", "l_linenumber")])
+
+
 @query("select vec_id, case when label % 5 = 0 then 'noise' else printf('c%02d', label) end as cluster_id from embeddings")
 def fn11_cluster_name(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
@@ -133,7 +143,7 @@ def fn17_joined_sources(spark, sf_dir):
 @query("select event_id, nullif(trim(event_type), '') as kind, json_extract(props, '$.k')::bigint as k from events")
 def fn19_blank_and_json(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    return e.select("event_id", X.blank_to_null(F.col("event_type")).alias("kind"), F.from_json("props", "k bigint")["k"].alias("k"))
+    return e.select("event_id", X.blank_to_null(F.col("event_type")).alias("kind"), X.json_option(F.col("props"), "k bigint")["k"].alias("k"))
 
 
 @query("select p_partkey, regexp_extract(p_name, '^(c[0-9]+)', 1) as class_id, regexp_replace(p_type, '[^\\w.-]', '_', 'g') as file_name, starts_with(p_brand, 'decoy-') as decoy from part")
@@ -150,7 +160,7 @@ def fn21_comma_list(spark, sf_dir):
 
 @query("select doc_id, sha256(text) as digest from documents")
 def fn23_sha256(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.sha256(F.col("text")).alias("digest"))
 
 
 # filters
@@ -217,12 +227,21 @@ def flt17_comparable(spark, sf_dir):
     return P.comparable(t.where("toxic = 0"), t.where("toxic = 1"))
 
 
-@query("select doc_id, substr(text, 31, 8) as x, coalesce(nullif(trim(substr(text, 77, 2)), ''), nullif(substr(trim(substr(text, 13, 4)), 1, 1), ''), 'H') as element from documents where starts_with(text, 'The ')")
+@query("""
+select vec_id, round(x, 3) + 0.0 as x, round(y, 3) + 0.0 as y, round(z, 3) + 0.0 as z, e as element, case e when 'C' then 6.0 when 'N' then 7.0 when 'FE' then 26.0 when 'CL' then 17.0 else 6.0 end::double as weight
+from (select *, case label % 5 when 0 then 'C' when 1 then 'N' when 2 then 'FE' when 3 then 'CL' else 'X' end as e from (""" + POINTS + """)) where label <> 9
+""")
 def src13_fixed_width(spark, sf_dir):
-    from ..sources.records import atom_element
+    """Lines of fixed columns made from positions; one label's records are of another kind, and elements stand in either of two places."""
+    from ..sources.records import atoms
 
-    d = table(spark, sf_dir, "documents").where(F.col("text").startswith("The "))
-    return d.select("doc_id", F.substring("text", 31, 8).alias("x"), atom_element(F.col("text")).alias("element"))
+    p = points(spark, sf_dir)
+    kind = F.element_at(F.array(*map(F.lit, ("C", "N", "Fe", "cl", "X"))), (F.col("label") % 5 + 1).cast("int"))
+    named = F.when(F.length(kind) == 1, F.lit("  ")).otherwise(F.lpad(kind, 2, " "))
+    record = F.when(F.col("label") == 9, "REMARK").when(F.col("label") % 2 == 0, "ATOM  ").otherwise("HETATM")
+    line = F.concat(record, F.format_string("%5d %-4s LIG A%4d    %8.3f%8.3f%8.3f  1.00  0.00          ", F.col("vec_id") % 99999, kind, F.col("label"), "x", "y", "z"), named)
+    found = atoms(p.select("vec_id", line.alias("value")))
+    return found.select("vec_id", *((F.round(c, 3) + F.lit(0.0)).alias(c) for c in "xyz"), "element", "weight")
 
 
 # joins
@@ -242,8 +261,8 @@ def join1_longest_prefix(spark, sf_dir):
 
 @query("select o_orderkey, c_name is null as missing, coalesce(c_mktsegment, 'none') as segment from orders left join customer on o_custkey = c_custkey and c_acctbal > 0")
 def join2_left_outer(spark, sf_dir):
-    o, c = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), table(spark, sf_dir, "customer").where("c_acctbal > 0")
-    return o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", F.col("c_name").isNull().alias("missing"), F.coalesce("c_mktsegment", F.lit("none")).alias("segment"))
+    o, c = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey")), table(spark, sf_dir, "customer").where("c_acctbal > 0")
+    return J.with_paths(o, c, "c_custkey").select("o_orderkey", F.col("c_name").isNull().alias("missing"), F.coalesce("c_mktsegment", F.lit("none")).alias("segment"))
 
 
 @query(f"with p as ({POINTS}) select vec_id from p a where label <> 0 and not exists (select 1 from p b where b.label = 0 and (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) < 100)")
@@ -287,12 +306,12 @@ def join11_centroid_pairs(spark, sf_dir):
 
 
 @query("""
-with o as (select o_custkey as k, count(*) as n from orders where o_orderpriority like '1%' or o_orderpriority like '2%' group by 1), c as (select c_custkey as k, abs(c_acctbal) as area from customer where c_custkey % 3 <> 0)
+with o as (select o_custkey as k, count(*) as n from orders where o_orderpriority like '1%' or o_orderpriority like '2%' group by 1), c as (select c_custkey as k, abs(c_acctbal) as area from customer where c_mktsegment <> 'BUILDING')
 select coalesce(o.k, c.k) as k, coalesce(n, 0) as n_picks, round(coalesce(area, 0), 6) + 0.0 as area, round(case when coalesce(area, 0) = 0 then 0 else coalesce(n, 0) / area * 1000 end, 6) + 0.0 as per_1000 from o full join c on o.k = c.k
 """)
 def join12_density(spark, sf_dir):
     o = table(spark, sf_dir, "orders").where("o_orderpriority like '1%' or o_orderpriority like '2%'").groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n_picks"))
-    c = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), F.abs("c_acctbal").alias("area"))
+    c = table(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("k"), F.abs("c_acctbal").alias("area"))
     return J.density(o, c, "k").select("k", "n_picks", r6("area").alias("area"), r6("per_1000").alias("per_1000"))
 
 
@@ -378,9 +397,11 @@ def agg13_control_statistics(spark, sf_dir):
     return s.select(r6("real_best").alias("real_best"), r6("decoy_best").alias("decoy_best"), "n_real", "n_decoy", r6("separation").alias("separation"), F.col("u").cast("double").alias("u"))
 
 
-@query("select lang, count(*) as n_files, sha256(string_agg(doc_id::varchar || ':' || sha256(text), chr(10) order by doc_id::varchar || ':' || sha256(text))) as digest from documents group by lang")
+@query("select lang, doc_id // 500 as folder, count(*) as n_files, sha256(string_agg(doc_id::varchar || ':' || sha256(text), chr(10) order by doc_id::varchar || ':' || sha256(text))) as digest from documents group by all")
 def agg15_directory_digest(spark, sf_dir):
-    return A.directory_digest(table(spark, sf_dir, "documents"), F.col("doc_id").cast("string"), F.sha2(F.col("text").cast("binary"), 256), ["lang"])
+    """Folders of some hundred files each: a folder's lines are digested in one row."""
+    d = table(spark, sf_dir, "documents").withColumn("folder", F.floor(F.col("doc_id") / 500).cast("bigint"))
+    return A.directory_digest(d, F.col("doc_id").cast("string"), X.sha256(F.col("text")), ["lang", "folder"])
 
 
 @query("""
@@ -397,7 +418,7 @@ with e as (select vec_id, label, generate_subscripts(embedding, 1) - 1 as pos, u
 select vec_id, e.pos::int as pos, round(case when n >= 50 then (v - g.m) / case when g.s = 0 then 1 else g.s end else (v - w.m) / case when w.s = 0 then 1 else w.s end end, 5) + 0.0 as z from e join w on w.pos = e.pos join g on g.pos = e.pos and g.label = e.label
 """)
 def agg22_column_standardise(spark, sf_dir):
-    z = A.column_standardise(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    z = A.column_standardise(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label").select("vec_id", F.posexplode("z").alias("pos", "z"))
     return z.select("vec_id", "pos", (F.round("z", 5) + F.lit(0.0)).alias("z"))
 
 
@@ -508,10 +529,11 @@ def set1_consensus_intersection(spark, sf_dir):
     return _consensus(spark, sf_dir, "intersection")
 
 
-@query("(select o_orderkey from orders where o_orderkey % 4 = 0 union select o_orderkey from orders where o_orderkey % 6 = 0) except select o_orderkey from orders where o_orderkey % 24 = 0")
+@query("(select o_orderkey from orders where o_orderpriority like '1%' union select o_orderkey from orders where o_totalprice > 200000) except select o_orderkey from orders where o_orderstatus = 'F'")
 def set4_rejected_sets(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey")
-    return R.toggled(o.where("o_orderkey % 4 = 0"), o.where("o_orderkey % 6 = 0"), o.where("o_orderkey % 24 = 0"))
+    o = table(spark, sf_dir, "orders")
+    some = lambda condition: o.where(condition).select("o_orderkey")
+    return R.toggled(some("o_orderpriority like '1%'"), some("o_totalprice > 200000"), some("o_orderstatus = 'F'"))
 
 
 @query(f"with p as ({POINTS}) select vec_id, side::int as side, round(x * side, 6) + 0.0 as nx from p, (select unnest([1, -1]) as side)")
@@ -524,17 +546,27 @@ def grp1_downsample(spark, sf_dir):
     return C.downsample(points(spark, sf_dir), ["x", "y", "z"], 8.0, "vec_id").select("vec_id")
 
 
-@query()
+GREEDY = """
+with recursive p as ({points}), o as (select *, row_number() over (order by score desc, vec_id) as n from p),
+b as (select x.n, list(y.n) as earlier from o x join o y on y.n < x.n and {same} and (x.x-y.x)*(x.x-y.x)+(x.y-y.y)*(x.y-y.y)+(x.z-y.z)*(x.z-y.z) <= {square} group by x.n),
+s as (select o.n, coalesce(b.earlier, []::bigint[]) as earlier from o left join b on b.n = o.n),
+g(n, kept) as (select 0::bigint, []::bigint[] union all select s.n, case when len(list_intersect(g.kept, s.earlier)) = 0 then list_append(g.kept, s.n) else g.kept end from g join s on s.n = g.n + 1)
+select vec_id, label, round(score, 6) + 0.0 as score from o where n in (select unnest(kept) from g where n = (select max(n) from g))
+"""
+
+
+
+@query(GREEDY.format(points=f"select *, x + y as score from ({POINTS})", same="x.label = y.label", square=36))
 def grp2_suppress(spark, sf_dir):
     p = points(spark, sf_dir).withColumn("score", F.col("x") + F.col("y"))
-    return C.suppress(p, ["label"], ["x", "y", "z"], "score", "vec_id", 6.0)
+    return C.suppress(p, ["label"], ["x", "y", "z"], "score", "vec_id", 6.0).select("vec_id", "label", r6("score").alias("score"))
 
 
-@query()
+@query(GREEDY.format(points=f"select *, floor(x / 20) as score from ({POINTS})", same="true", square=81))
 def grp2_suppress_distributed(spark, sf_dir):
     """Without groups, and with many equal scores."""
     p = points(spark, sf_dir).withColumn("score", F.floor(F.col("x") / 20).cast("double"))
-    return C.suppress(p, [], ["x", "y", "z"], "score", "vec_id", 9.0)
+    return C.suppress(p, [], ["x", "y", "z"], "score", "vec_id", 9.0).select("vec_id", "label", r6("score").alias("score"))
 
 
 @query()
@@ -543,7 +575,15 @@ def grp3_reconcile(spark, sf_dir):
     return C.reconcile(p, 12.0, "union", 2)
 
 
-@query()
+@query("""
+with recursive c as (select label, vec_id % 2 as h, generate_subscripts(embedding, 1) as k, unnest(embedding)::double as v from embeddings), m as (select label, h, k, avg(v) as v from c group by all),
+d as (select a.label as a, b.label as b, sqrt(sum((a.v-b.v)*(a.v-b.v))) as distance from m a join m b on a.k = b.k where a.h = 0 and b.h = 1 group by all),
+o as (select a, b, row_number() over (order by distance, b, a) as n from d),
+g(n, left_of, right_of) as (select 0::bigint, []::int[], []::int[] union all
+    select o.n, case when free then list_append(left_of, o.a) else left_of end, case when free then list_append(right_of, o.b) else right_of end
+    from (select g.*, o.*, not list_contains(g.left_of, o.a) and not list_contains(g.right_of, o.b) as free from g join o on o.n = g.n + 1) as s(gn, left_of, right_of, a, b, n, free), lateral (select s.n, s.a, s.b) as o(n, a, b))
+select unnest(right_of) as label_b, unnest(left_of) as label_a from g where n = (select max(n) from g)
+""")
 def grp5_greedy_match(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").withColumn("half", F.col("vec_id") % 2)
     return C.match_halves(A.elementwise_mean(e, ["half", "label"], "embedding"), "half", "label")
@@ -629,28 +669,25 @@ def agg19_review_counts(spark, sf_dir):
 
 @query("select user_id, event_type, round(avg(value), 6) + 0.0 as confidence from events group by all")
 def agg20_confidence(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(r6(F.avg("value")).alias("confidence"))
+    return A.mean_confidence(table(spark, sf_dir, "events"), ["user_id", "event_type"], "value").select("user_id", "event_type", r6("confidence").alias("confidence"))
 
 
-@query("select s_suppkey from supplier where s_suppkey % 3 = 0 except select l_suppkey from lineitem where l_orderkey % 500 = 0")
+@query("select c_custkey from customer except select o_custkey from orders where o_orderpriority like '1%'")
 def set5_unknown_ids(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select("s_suppkey")
-    return s.exceptAll(table(spark, sf_dir, "lineitem").where("l_orderkey % 500 = 0").select(F.col("l_suppkey").alias("s_suppkey")).distinct())
+    """Customers without an urgent order."""
+    return P.unknown(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").where("o_orderpriority like '1%'").select(F.col("o_custkey").alias("c_custkey")))
 
 
 @query("select 'a' as source, event_id from events where event_type = 'click' union all select 'b', event_id from events where value > 50")
 def set3_concatenated(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    return e.where("event_type = 'click'").select(F.lit("a").alias("source"), "event_id").unionByName(e.where("value > 50").select(F.lit("b").alias("source"), "event_id"))
+    return P.concatenated({"a": e.where("event_type = 'click'").select("event_id"), "b": e.where("value > 50").select("event_id")})
 
 
 @query("select p_brand, p_type, rank from (select p_brand, p_type, row_number() over (partition by p_brand order by sum(p_retailprice) desc, p_type) as rank from part group by p_brand, p_type) where rank <= 3")
 def win7_ranked_listing(spark, sf_dir):
-    from pyspark.sql import Window
-
     sums = table(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(F.sum("p_retailprice").alias("s"))
-    rank = F.row_number().over(Window.partitionBy("p_brand").orderBy(F.desc("s"), "p_type"))
-    return sums.select("p_brand", "p_type", rank.cast("bigint").alias("rank")).where("rank <= 3")
+    return W.ranked(sums, ["p_brand"], "s", "p_type", 3).select("p_brand", "p_type", "rank")
 
 
 @query("select vec_id from embeddings where label in (1, 4, 7)")
@@ -672,3 +709,114 @@ def review_tiles(spark, sf_dir):
 
     t = points(spark, sf_dir).withColumn("t", tile(F.col("x"), F.col("y"), 25))
     return t.select("vec_id", F.col("t.column").alias("tile_column"), F.col("t.row").alias("tile_row"))
+
+
+# volumes: the 64 values of an embedding as a cube of four voxels a side
+
+CUBES = "select vec_id, label, embedding from embeddings"
+
+
+def cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+
+
+def per_cube(df: DataFrame, values, schema: str) -> DataFrame:
+    """Rows (vec_id, ...) that values(cube) lists for each cube, in Arrow batches."""
+
+    def make(batches):
+        for rows in batches:
+            out = [(i, *r) for i, v in zip(rows["vec_id"], rows["v"], strict=True) for r in values(np.array(v, float).reshape(4, 4, 4))]
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return df.mapInPandas(make, schema)
+
+
+# values at points p (k..., a, b, c) of cubes e, in the order of their axes, clamped to the edge
+TRILINEAR = """
+q as (select *, least(greatest(a, 0), 3) as pa, least(greatest(b, 0), 3) as pb, least(greatest(c, 0), 3) as pc from p),
+w as (select *, least(floor(pa), 2)::int as la, least(floor(pb), 2)::int as lb, least(floor(pc), 2)::int as lc from q),
+d as (select unnest([0, 1]) as s), t as (select w.*, x.s as da, y.s as db, z.s as dc,
+    (case x.s when 1 then pa - la else 1 - (pa - la) end) * (case y.s when 1 then pb - lb else 1 - (pb - lb) end) * (case z.s when 1 then pc - lc else 1 - (pc - lc) end) as share from w, d x, d y, d z)
+"""
+
+
+@query(f"""
+with p as (select k, 1.2 + 0.0 as a, 0.7 + 0.6 * (k - 1) as b, 2.1 + 0.8 * (k - 1) as c from (select unnest([0, 1, 2, 3]) as k)), {TRILINEAR}
+select vec_id, k::int as k, round(sum(share * embedding[16 * (la + da) + 4 * (lb + db) + (lc + dc) + 1]::double), 6) + 0.0 as v from ({CUBES}), t group by vec_id, k
+""")
+def k2_sample_along(spark, sf_dir):
+    """Samples from one voxel below to two above a point along a slanted normal, clamped at the edge."""
+    at, way = np.array([[1.2, 0.7, 2.1]]), np.array([[0.0, 0.6, 0.8]])
+    found = per_cube(cubes(spark, sf_dir), lambda v: enumerate(V.sample_along(v, at, way, -1, 2, 4)[0].tolist()), "vec_id long, k int, v double")
+    return found.select("vec_id", "k", r6("v").alias("v"))
+
+
+RINGS = f"p as (select r, f, z, 1.5 + (0.5 + 0.5 * r) * cos(f * pi() / 4) as a, 1.5 + (0.5 + 0.5 * r) * sin(f * pi() / 4) as b, z::double as c from (select unnest([0, 1, 2]) as r), (select unnest([0, 1, 2, 3, 4, 5, 6, 7]) as f), (select unnest([0, 1, 2, 3]) as z)), {TRILINEAR}"
+
+
+@query(f"with {RINGS} select vec_id, r::int as r, f::int as f, z::int as z, round(sum(share * embedding[16 * (la + da) + 4 * (lb + db) + (lc + dc) + 1]::double), 6) + 0.0 as v from ({CUBES}), t group by vec_id, r, f, z")
+def k7_cylindrical(spark, sf_dir):
+    found = per_cube(cubes(spark, sf_dir), lambda v: ((*at, x) for at, x in np.ndenumerate(S.cylindrical(v, 3, 8))), "vec_id long, r int, f int, z int, v double")
+    return found.select("vec_id", "r", "f", "z", r6("v").alias("v"))
+
+
+@query(f"""
+with {RINGS}, v as (select vec_id, r, f, z, sum(share * embedding[16 * (la + da) + 4 * (lb + db) + (lc + dc) + 1]::double) as v from ({CUBES}), t group by vec_id, r, f, z),
+m as (select vec_id, m, r, z, sum(v * cos(2 * pi() * m * f / 8)) / 8 as re, sum(v * sin(2 * pi() * m * f / 8)) / 8 as im from v, (select unnest([0, 1, 2, 3]) as m) group by all)
+select vec_id, m::int as m, r::int as r, z::int as z, round(case m when 0 then re else sqrt(re * re + im * im) end, 6) + 0.0 as v from m
+""")
+def k8_azimuthal_modes(spark, sf_dir):
+    found = per_cube(cubes(spark, sf_dir), lambda v: ((*at, x) for at, x in np.ndenumerate(S.azimuthal_modes(S.cylindrical(v, 3, 8), 3))), "vec_id long, m int, r int, z int, v double")
+    return found.select("vec_id", "m", "r", "z", r6("v").alias("v"))
+
+
+@query("""
+with p as (select label + 1 as w, embedding[1]::double * 20 + 4 as a, embedding[2]::double * 20 + 4 as b, embedding[3]::double * 20 + 4 as c from embeddings), d as (select unnest([0, 1]) as s),
+t as (select floor(a)::int + x.s as i, floor(b)::int + y.s as j, floor(c)::int + z.s as k,
+    w * (case x.s when 1 then a - floor(a) else 1 - (a - floor(a)) end) * (case y.s when 1 then b - floor(b) else 1 - (b - floor(b)) end) * (case z.s when 1 then c - floor(c) else 1 - (c - floor(c)) end) as v from p, d x, d y, d z)
+select i::int as i, j::int as j, k::int as k, round(sum(v), 5) + 0.0 as v from t where i between 0 and 7 and j between 0 and 7 and k between 0 and 7 group by i, j, k having round(sum(v), 5) <> 0
+""")
+def k12_splat(spark, sf_dir):
+    """All positions in one box; tasks deposit their own points first."""
+    e = table(spark, sf_dir, "embeddings").select((F.col("label") + 1).alias("w"), F.col("embedding").cast("array<double>").alias("v"))
+
+    def deposit(batches):
+        box = np.zeros((8, 8, 8))
+        for rows in batches:
+            box += V.splat(np.array([v[:3] for v in rows["v"]]).reshape(-1, 3) * 20 + 4, rows["w"].to_numpy(float), 8)
+        yield pd.DataFrame([(*at, x) for at, x in np.ndenumerate(box)], columns=["i", "j", "k", "v"])
+
+    found = e.mapInPandas(deposit, "i int, j int, k int, v double").groupBy("i", "j", "k").agg((F.round(F.sum("v"), 5) + F.lit(0.0)).alias("v"))
+    return found.where("v <> 0")
+
+
+@query("""
+with n as (select unnest(range(12)) as k), r as (select x.k as i, y.k as j, z.k as k, sqrt((x.k - 5.5) * (x.k - 5.5) + (y.k - 5.5) * (y.k - 5.5) + (z.k - 5.5) * (z.k - 5.5)) as r from n x, n y, n z),
+t as (select *, (r - (0.8 * 6 - 3)) / 3 as t from r)
+select i::int as i, j::int as j, k::int as k, round(case when t <= 0 then 1 when t >= 1 then 0 else 0.5 * (1 + cos(pi() * t)) end, 6) + 0.0 as v from t
+""")
+def k17_soft_sphere(spark, sf_dir):
+    mask = lambda batches: (pd.DataFrame([(*at, x) for at, x in np.ndenumerate(V.soft_sphere(12, 0.8, 3))], columns=["i", "j", "k", "v"]) for rows in batches if len(rows))
+    return spark.range(1).mapInPandas(mask, "i int, j int, k int, v double").select("i", "j", "k", r6("v").alias("v"))
+
+
+@query("""
+with e as (select label, vec_id % 2 as h, generate_subscripts(embedding, 1) - 1 as place, unnest(embedding)::double as v from embeddings), m as (select label, h, place, avg(v) as v from e group by all),
+f as (select unnest(range(64)) as f), w as (select f, place, 2 * pi() * ((f // 16) * (place // 16) + (f // 4 % 4) * (place // 4 % 4) + (f % 4) * (place % 4)) / 4 as w from f, (select unnest(range(64)) as place)),
+c as (select label, h, f, sum(v * cos(w)) as re, -sum(v * sin(w)) as im from m join w on w.place = m.place group by all),
+s as (select f, floor(sqrt(pow((f // 16 + 2) % 4 - 2, 2) + pow((f // 4 % 4 + 2) % 4 - 2, 2) + pow((f % 4 + 2) % 4 - 2, 2)))::int as shell from f)
+select a.label, shell, round(sum(a.re * b.re + a.im * b.im) / sqrt(sum(a.re * a.re + a.im * a.im) * sum(b.re * b.re + b.im * b.im)), 5) + 0.0 as fsc
+from c a join c b on a.label = b.label and a.f = b.f and a.h = 0 and b.h = 1 join s on s.f = a.f where shell < 2 group by a.label, shell
+""")
+def k18_shell_correlation(spark, sf_dir):
+    """Shell correlations of the means of both halves of each class."""
+    means = A.elementwise_mean(cubes(spark, sf_dir).withColumn("h", F.col("vec_id") % 2), ["label", "h"], "v")
+    half = lambda h, name: means.where(F.col("h") == h).select("label", F.col("mean").alias(name))
+
+    def correlate(batches):
+        for rows in batches:
+            out = [(r.label, k, float(x)) for r in rows.itertuples() for k, x in enumerate(S.shell_correlation(np.array(r.a).reshape(4, 4, 4), np.array(r.b).reshape(4, 4, 4)))]
+            yield pd.DataFrame(out, columns=["label", "shell", "fsc"])
+
+    found = half(0, "a").join(half(1, "b"), "label").mapInPandas(correlate, "label int, shell int, fsc double")
+    return found.select("label", "shell", (F.round("fsc", 5) + F.lit(0.0)).alias("fsc"))

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.text import cluster_name
 from ..kernels import signal as S
 from ..kernels import volume as V
-from ..operators.aggregates import elementwise_mean
+from ..operators.aggregates import elementwise_mean, joined_moments, moments
 from ..operators.filters import box_fits, single_half
 from ..operators.grouping import centroids, cluster, match_halves, reduce
-from ..operators.joins import remapped
+from ..operators.joins import remapped, with_paths
 from ..scratch import written
 from ..sources import mrc
 
@@ -26,7 +26,8 @@ def extract(particles: DataFrame, manifests: DataFrame, box: int, subtract: bool
     Particles are grouped by tomogram, so a volume is read once for each batch of its particles.
     """
     wanted = manifests.select("tomogram_id", "segmentation_path", "raw_tomogram_path")
-    rows = particles.select("particle_id", "tomogram_id", "half_set", "vesicle_id", "x", "y", "z", "orientation").join(wanted, "tomogram_id", "left")
+    rows = particles.select("particle_id", "tomogram_id", "half_set", "vesicle_id", "x", "y", "z", "orientation")
+    rows = with_paths(rows, wanted)
     salted = rows.repartition("tomogram_id").sortWithinPartitions("tomogram_id")
 
     def cut(batches):
@@ -75,29 +76,11 @@ def standardised(raw: DataFrame, flat: int, by_tomogram: bool = True, least: int
     if not raw.where(F.size("features") > flat).limit(1).count():
         return raw
 
-    def moments(batches):
-        # mean and sum of squares about it, joined batch by batch: sums of squares alone would lose small deviations
-        have: dict = {}
-        for rows in batches:
-            for tomogram, own in rows.groupby("tomogram_id", dropna=False):
-                x = np.stack(own["features"].to_numpy())[:, flat:].astype(float)
-                now = len(x), x.mean(axis=0), ((x - x.mean(axis=0)) ** 2).sum(axis=0)
-                tomogram = None if pd.isna(tomogram) else tomogram
-                have[tomogram] = _joined(have[tomogram], now) if tomogram in have else now
-        yield pd.DataFrame([(t, n, m.tolist(), q.tolist()) for t, (n, m, q) in have.items()], columns=["tomogram_id", "n", "m", "q"])
-
-    def add(key, rows: pd.DataFrame) -> pd.DataFrame:
-        n, m, q = 0, 0.0, 0.0
-        for r in rows.itertuples():
-            n, m, q = _joined((n, m, q), (r.n, np.array(r.m), np.array(r.q))) if n else (r.n, np.array(r.m), np.array(r.q))
-        return pd.DataFrame([(key[0], n, m.tolist(), q.tolist())], columns=["tomogram_id", "n", "m", "q"])
-
-    form = "tomogram_id string, n long, m array<double>, q array<double>"
-    own = written(raw.mapInPandas(moments, form).groupBy("tomogram_id").applyInPandas(add, form), "moments")
+    own = written(moments(raw.withColumn("features", F.slice("features", flat + 1, F.size("features"))), "tomogram_id", "features"), "moments")
     whole = None
     for r in own.toLocalIterator():  # a row for each tomogram
         now = r.n, np.array(r.m), np.array(r.q)
-        whole = _joined(whole, now) if whole else now
+        whole = joined_moments(whole, now) if whole else now
     n, mean, q = whole
     spread = np.sqrt(q / n)
     spread[spread == 0] = 1.0
@@ -122,12 +105,6 @@ def standardised(raw: DataFrame, flat: int, by_tomogram: bool = True, least: int
     return joined.mapInPandas(scale, raw.schema)
 
 
-def _joined(a: tuple, b: tuple) -> tuple:
-    """Number, mean and sum of squares about the mean of two sets together."""
-    n, apart = a[0] + b[0], b[1] - a[1]
-    return n, a[1] + apart * (b[0] / n), a[2] + b[2] + apart * apart * (a[0] * b[0] / n)
-
-
 def assign(features: DataFrame, method: str = "kmeans", k: int = 8, least_size: int = 10, components: int = 10, strict: bool = False) -> DataFrame:
     """particle_id, cluster_id. Strict: each half for itself in common components, B's classes renamed to the A ones they match;
     a class of B that has no match gets a number that A doesn't use."""

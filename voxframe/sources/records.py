@@ -87,16 +87,21 @@ def atom_element(line: Column) -> Column:
     return F.coalesce(blank_to_null(F.trim(F.substring(line, 77, 2))), blank_to_null(F.substring(F.trim(F.substring(line, 13, 4)), 1, 1)), F.lit("H"))
 
 
-def read_pdb(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """path, x, y, z, element, weight of all atom records; an error if there are none."""
+def atoms(lines: DataFrame, line: str = "value") -> DataFrame:
+    """The atom records among the lines, with x, y, z, element and weight; other columns stay."""
     from ..operators.filters import atom_records
 
-    line = F.col("value")
-    atoms = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path")).where(atom_records(line))
-    at = lambda start: F.trim(F.substring(line, start, 8)).cast("double")
-    element = F.upper(atom_element(line))
+    text = F.col(line)
+    at = lambda start: F.trim(F.substring(text, start, 8)).cast("double")
+    element = F.upper(atom_element(text))
     weight = F.coalesce(F.create_map(*(F.lit(x) for kv in WEIGHTS.items() for x in kv))[element], F.lit(OTHER_WEIGHT))
-    out = atoms.select("path", at(31).alias("x"), at(39).alias("y"), at(47).alias("z"), element.alias("element"), weight.alias("weight"))
+    others = [c for c in lines.columns if c != line]
+    return lines.where(atom_records(text)).select(*others, at(31).alias("x"), at(39).alias("y"), at(47).alias("z"), element.alias("element"), weight.alias("weight"))
+
+
+def read_pdb(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """path, x, y, z, element, weight of all atom records; an error if there are none."""
+    out = atoms(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path")))
     if not out.limit(1).count():
         raise ValueError("no atoms were found")
     return out
