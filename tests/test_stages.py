@@ -363,6 +363,53 @@ def test_state(tmp_path):
     assert sinks.folder_digest(f"{tmp_path}/none") == "absent"
 
 
+def test_checksums_and_provenance(tmp_path):
+    from voxframe.plans import state
+
+    file, cache = tmp_path / "a", f"{tmp_path}/cache.json"
+    file.write_text("one")
+    first = state.checksums([str(file)], cache)
+    (tmp_path / "cache.json").write_text(json.dumps({str(file): [state.file_signature(str(file)), "known"]}))
+    assert state.checksums([str(file)], cache) == {str(file): "known"} != first
+    file.write_text("other")
+    assert state.checksums([str(file)], cache)[str(file)] == state.file_sha256(str(file))
+    (tmp_path / "cache.json").write_text("{")
+    assert state.checksums([str(file)], cache)[str(file)] == state.file_sha256(str(file))
+    assert state.symmetry(str(tmp_path)) == "Cinf_z"
+    sinks.put_provenance(str(tmp_path), "classify", "native", {"align": str(True)}, {})
+    assert state.provenance(str(tmp_path))["stage"] == "classify" and state.symmetry(str(tmp_path)) == "C1"
+    tree = state.half_tree(str(tmp_path), "c00")
+    assert state.half_map(tree["A"], str(tmp_path), "c00", "A") is None
+    (tmp_path / "c00_halfA_n3.mrc").write_text("")
+    assert state.half_map(tree["A"], str(tmp_path), "c00", "A").endswith("c00_halfA_n3.mrc")
+    (tmp_path / "c00/halfA").mkdir(parents=True)
+    (tmp_path / "c00/halfA/final.mrc").write_text("")
+    assert state.half_map(tree["A"], str(tmp_path), "c00", "A").endswith("final.mrc")
+
+
+def test_archive(tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw/a.json").write_text("[]")
+    made = sinks.archive(f"{tmp_path}/raw")
+    assert made.endswith("raw.tar.gz") and not (tmp_path / "raw").exists()
+    import tarfile
+
+    assert "raw/a.json" in tarfile.open(made).getnames()
+
+
+def test_voxels_that_are_no_cubes_are_told(spark, data, tmp_path):
+    import shutil
+    import struct
+
+    shutil.copytree(f"{data}/tomo", f"{tmp_path}/tomo")
+    path = tmp_path / "tomo/t00.mrc"
+    raw = bytearray(path.read_bytes())
+    struct.pack_into("<f", raw, 48, SIDE * 11.0)
+    path.write_bytes(raw)
+    with pytest.warns(UserWarning, match="t00"):
+        mrc.manifests(spark, f"{data}/seg", f"{tmp_path}/tomo")
+
+
 def test_half_of_one_tomogram_is_one_half(spark):
     from voxframe.operators.windows import split_halves
 

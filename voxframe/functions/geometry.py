@@ -89,8 +89,3 @@ def largest_offset(windows: list[tuple[float, float]]) -> float:
 
 def decoy_count(n: int, ratio: float = 1.0) -> int:
     return max(1, round(n * ratio))
-
-
-def median_voxel(x: Column, y: Column, z: Column, voxel_x: Column | None = None) -> Column:
-    """One voxel size of three header values: null if any is not positive, else x."""
-    return F.when(F.least(x, y, z) <= 0, None).otherwise(x)

@@ -146,6 +146,29 @@ def closed_histogram(df: DataFrame, value: Column, width: float, bins: int) -> D
     return out.crossJoin(F.broadcast(out.agg(F.sum("n").alias("_all")))).withColumn("percent", 100.0 * F.col("n") / F.col("_all")).drop("_all")
 
 
+def angle_report(df: DataFrame, value: Column, width: float = 15.0, bins: int = 6) -> tuple[DataFrame, DataFrame]:
+    """One row with median and mean of the known angles, and their histogram."""
+    known = df.select(F.lit(0).alias("_all"), value.cast("double").alias("_angle")).where("_angle is not null")
+    mean = known.groupBy("_all").agg(F.avg("_angle").alias("mean"), F.count(F.lit(1)).alias("n"))
+    row = mean.join(medians(known, F.col("_angle"), ["_all"], "median"), "_all").select("n", "median", "mean")
+    return row, closed_histogram(known, F.col("_angle"), width, bins)
+
+
+def paired_histogram(df: DataFrame, score: str, decoy: Column, bins: int = 15) -> DataFrame:
+    """bin, low, high, n_real, n_decoy over the common range of both sides' scores; the last bin has its upper end too.
+
+    Without spread all scores are in the first bin. Bins without a score have zeros.
+    """
+    marked = df.select(F.col(score).cast("double").alias("s"), decoy.alias("d")).where("s is not null")
+    ends = F.broadcast(marked.agg(F.min("s").alias("_low"), F.max("s").alias("_high")))
+    share = F.when(F.col("_high") > F.col("_low"), (F.col("s") - F.col("_low")) / (F.col("_high") - F.col("_low"))).otherwise(0.0)
+    at = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int").alias("bin")
+    counted = marked.crossJoin(ends).groupBy(at).agg(F.count_if(~F.col("d")).alias("n_real"), F.count_if(F.col("d")).alias("n_decoy"))
+    edge = lambda k: F.col("_low") + (F.col("_high") - F.col("_low")) * k / bins
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).crossJoin(ends.where("_low is not null"))
+    return every.join(counted, "bin", "left").select("bin", edge(F.col("bin")).alias("low"), edge(F.col("bin") + 1).alias("high"), F.coalesce("n_real", F.lit(0)).alias("n_real"), F.coalesce("n_decoy", F.lit(0)).alias("n_decoy"))
+
+
 def control_statistics(df: DataFrame, score: str, decoy: Column) -> DataFrame:
     """One row: best of both sides, the decoys' mean and sample deviation, separation, and the rank sum U of the real ones.
 

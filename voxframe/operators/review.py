@@ -100,6 +100,11 @@ def review_counts(particles: DataFrame, rejected: DataFrame, key: str, visible:
     return marked.agg(F.count(F.lit(1)).alias("total"), F.count_if(accepted).alias("accepted"), F.count_if(accepted & visible).alias("visible"))
 
 
+def score_matrix(scores: DataFrame, candidates: list[str], row: str = "cluster_id", column: str = "candidate_protein", value: str = "fit_score") -> DataFrame:
+    """A row for each class with a column for each candidate of the panel; null where a pair has no score."""
+    return scores.groupBy(row).pivot(column, candidates).agg(F.max(value))
+
+
 def page(df: DataFrame, order: str, number: int, size: int) -> DataFrame:
     """One page of tomograms for a viewer."""
     return df.orderBy(order).offset(number * size).limit(size)

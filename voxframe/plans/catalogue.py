@@ -386,6 +386,30 @@ def agg12_closed_histogram(spark, sf_dir):
     return A.closed_histogram(table(spark, sf_dir, "events"), F.abs("value"), 15, 6).select("bin", "n", r6("percent").alias("percent"))
 
 
+@query("select count(value) as n, round(median(abs(value)), 6) + 0.0 as median, round(avg(abs(value)), 6) + 0.0 as mean from events")
+def agg12_angle_report(spark, sf_dir):
+    row, _ = A.angle_report(table(spark, sf_dir, "events"), F.abs("value"))
+    return row.select("n", r6("median").alias("median"), r6("mean").alias("mean"))
+
+
+@query("""
+with e as (select value as s, event_type in ('click', 'view') as d from events where value is not null), m as (select min(s) as lo, max(s) as hi from e),
+c as (select least(floor((s - lo) / (hi - lo) * 15), 14)::int as bin, count(*) filter (where not d) as n_real, count(*) filter (where d) as n_decoy from e, m group by 1)
+select b.bin::int as bin, round(lo + (hi - lo) * b.bin / 15, 6) + 0.0 as low, round(lo + (hi - lo) * (b.bin + 1) / 15, 6) + 0.0 as high, coalesce(n_real, 0) as n_real, coalesce(n_decoy, 0) as n_decoy from (select unnest(range(15)) as bin) b cross join m left join c on c.bin = b.bin
+""")
+def review_histogram(spark, sf_dir):
+    h = A.paired_histogram(table(spark, sf_dir, "events"), "value", F.col("event_type").isin("click", "view"))
+    return h.select("bin", r6("low").alias("low"), r6("high").alias("high"), "n_real", "n_decoy")
+
+
+@query("""
+select o_orderpriority as cluster_id, round(max(o_totalprice) filter (where o_orderstatus = 'F'), 6) + 0.0 as f, round(max(o_totalprice) filter (where o_orderstatus = 'O'), 6) + 0.0 as o from orders group by 1
+""")
+def review_score_matrix(spark, sf_dir):
+    scores = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("cluster_id"), F.col("o_orderstatus").alias("candidate_protein"), F.col("o_totalprice").alias("fit_score"))
+    return R.score_matrix(scores, ["F", "O"]).select("cluster_id", r6("F").alias("f"), r6("O").alias("o"))
+
+
 @query("""
 with e as (select value as s, event_type in ('click', 'view') as d from events), b as (
     select max(s) filter (where not d) as real_best, max(s) filter (where d) as decoy_best, avg(s) filter (where d) as m, stddev_samp(s) filter (where d) as sd, count(*) filter (where not d) as n_real, count(*) filter (where d) as n_decoy from e),

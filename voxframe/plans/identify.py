@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +14,7 @@ from ..operators.aggregates import decoy_control, elementwise_mean
 from ..operators.joins import all_candidates, pending
 from ..operators.windows import rank_with_gap
 from ..sources import mrc
+from .state import half_map
 
 
 def load_averages(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,13 +77,10 @@ def control(real: DataFrame, decoy: DataFrame) -> dict:
     return decoy_control(best(real), best(decoy))
 
 
-def resolve(folder: str, cluster: str, threshold: float = 0.143) -> dict:
-    """Shell correlation of a class's two half maps."""
-    maps = []
-    for half in "AB":
-        found = sorted(Path(folder).glob(f"{cluster}_half{half}_*.mrc"))
-        if not found:
-            raise ValueError(f"{cluster} has no half {half}")
-        maps.append(mrc.read_volume(str(found[0])).astype(float))
-        voxel = mrc.read_header(str(found[0])).voxel[0]
-    return S.half_map_fsc(maps[0], maps[1], V.soft_sphere(maps[0].shape[0]), voxel, threshold)
+def resolve(folder: str, cluster: str, threshold: float = 0.143, halves: dict[str, str] | None = None) -> dict:
+    """Shell correlation of a class's two half maps: those of the halves' own folders if they have one, else the averages."""
+    found = {half: half_map((halves or {}).get(half), folder, cluster, half) for half in "AB"}
+    if missing := [half for half, path in found.items() if not path]:
+        raise ValueError(f"{cluster} has no half {missing[0]}")
+    a, b = (mrc.read_volume(found[half]).astype(float) for half in "AB")
+    return S.half_map_fsc(a, b, V.soft_sphere(a.shape[0]), mrc.read_header(found["B"]).voxel[0], threshold)

@@ -15,7 +15,7 @@ from ..operators import decoys as D
 from ..operators.joins import labels_for
 from ..sources import mrc, records, sinks
 from . import classify, identify, pick
-from .state import RunState, resumed, signatures
+from .state import RunState, half_tree, resumed, signatures, symmetry
 
 
 @dataclass
@@ -210,7 +210,7 @@ class Run:
         self.put("real", "identify", identified=identify.identified(tracks["real"]))
         sinks.put_rows(self.table("real", "identify", "identified").orderBy("cluster_id"), f"{folder}/identification.json")
         sinks.put_json(f"{folder}/decoy_control.json", verdict)
-        sinks.put_text(f"{folder}/identification_report.txt", sinks.identification_report(tracks["real"], verdict))
+        sinks.put_text(f"{folder}/identification_report.txt", sinks.identification_report(tracks["real"], verdict, symmetry(self.where("real", "classify"))))
         self.finish("real", "identify")
 
     def refine(self) -> None:
@@ -220,9 +220,13 @@ class Run:
         particles, assigned = self.table("real", "pick", "particles"), self.table("real", "classify", "assignments")
         rows = []
         for c in classes:
-            sinks.put_star(particles.join(assigned.where(F.col("cluster_id") == c), "particle_id", "left_semi"), f"{out}/{c}/particles.star")
+            tree = half_tree(out, c)
+            members = particles.join(assigned.where(F.col("cluster_id") == c), "particle_id", "left_semi")
+            sinks.put_star(members, f"{tree['both']}/particles.star")
+            for half in "AB":
+                sinks.put_star(members.where(F.col("half_set") == half), f"{tree[half]}/particles.star")
             try:
-                found = identify.resolve(folder, c, self.s.fsc_threshold)
+                found = identify.resolve(folder, c, self.s.fsc_threshold, tree)
             except ValueError:
                 rows.append((c, None, False))
                 continue

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import shutil
+import tomllib
 import uuid
 from collections.abc import Callable
 from pathlib import Path
@@ -11,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import file_signature, stage_folder
+from ..functions.text import file_sha256, file_signature, stage_folder
 from ..sources.sinks import put_json
 
 STAGES = ("pick", "classify", "identify", "refine")
@@ -63,6 +64,48 @@ def signatures(folders: dict[str, str | None]) -> dict[str, str]:
     return out
 
 
+def checksums(paths: list[str], cache: str) -> dict[str, str]:
+    """sha256 of each file; one that has its size and time of the cache isn't read again. A broken cache counts as empty."""
+    try:
+        known = json.loads(Path(cache).read_text())
+    except (OSError, ValueError):
+        known = {}
+    out = {}
+    for path in paths:
+        mark = file_signature(path)
+        out[path] = known[path][1] if known.get(path, [None])[0] == mark else file_sha256(path)
+        known[path] = [mark, out[path]]
+    put_json(cache, known)
+    return out
+
+
+def provenance(folder: str) -> dict:
+    """What a stage's params.toml says; empty if there is none."""
+    try:
+        return tomllib.loads((Path(folder) / "params.toml").read_text())
+    except (OSError, ValueError):
+        return {}
+
+
+def symmetry(folder: str) -> str:
+    """C1 of classes that were aligned in their plane, else that of a turn about z."""
+    return "C1" if str(provenance(folder).get("parameters", {}).get("align", False)).lower() == "true" else "Cinf_z"
+
+
+def half_map(half_folder: str | None, class_folder: str, cluster: str, half: str) -> str | None:
+    """The map of one half: the half's own folder goes before the class averages; of several the first by name."""
+    for folder, pattern in ((half_folder, "*.mrc"), (class_folder, f"{cluster}_half{half}_*.mrc")):
+        found = sorted(Path(folder).glob(pattern)) if folder else []
+        if found:
+            return str(found[0])
+    return None
+
+
+def half_tree(root: str, cluster: str) -> dict[str, str]:
+    """Where a class's halves and their combination go: names to folders."""
+    return {name: f"{root}/{cluster}/{folder}" for name, folder in (("A", "halfA"), ("B", "halfB"), ("both", "combined"))}
+
+
 class RunState:
     """track -> stage -> done, in a small file; a broken file counts as empty."""
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import struct
 import uuid
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -174,6 +175,11 @@ def voxel_size(x: Column, y: Column, z: Column) -> Column:
     return F.when(F.least(x, y, z) > 0, x)
 
 
+def non_cubic(x: Column, y: Column, z: Column) -> Column:
+    """Whether a header's three sizes differ by a thousandth or more; the first one is used all the same."""
+    return (F.least(x, y, z) > 0) & (F.greatest(x, y, z) - F.least(x, y, z) >= 1e-3)
+
+
 def manifests(spark: SparkSession, segmentations: str, tomograms: str, voxel: float | None = None) -> tuple[DataFrame, DataFrame]:
     """Matched manifests and the segmentations without a tomogram; the voxel size given, or the headers' most frequent."""
     from ..operators.aggregates import modal_value
@@ -184,6 +190,9 @@ def manifests(spark: SparkSession, segmentations: str, tomograms: str, voxel: fl
     names = raw.select(F.col("stem").alias("raw_stem"), F.col("path").alias("raw_tomogram_path"))
     both = longest_prefix(seg, "tomogram_id", names, "raw_stem")
     if voxel is None:
+        odd = raw.where(non_cubic(F.col("voxel_x"), F.col("voxel_y"), F.col("voxel_z"))).select("path").limit(1).collect()
+        if odd:
+            warnings.warn(f"{odd[0].path}: voxels aren't cubes, their first side is used", stacklevel=2)
         sizes = modal_value(raw, voxel_size(F.col("voxel_x"), F.col("voxel_y"), F.col("voxel_z")), F.col("path"))
         both = both.crossJoin(F.broadcast(sizes.select(F.col("value").alias("voxel_size_angstrom"))))
     else:

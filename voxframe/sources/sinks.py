@@ -102,9 +102,9 @@ def resolution_text(value: float | None) -> str:
     return "> Nyquist" if math.isinf(value) else f"{value:.2f}"
 
 
-def identification_report(ranked: DataFrame, control: dict) -> str:
+def identification_report(ranked: DataFrame, control: dict, symmetry: str | None = None) -> str:
     """The verdict, then each class's candidates from best to worst."""
-    lines = [f"decoy control: {'passed' if control['passed'] else 'FAILED'} ({control['reason']})", ""]
+    lines = [f"decoy control: {'passed' if control['passed'] else 'FAILED'} ({control['reason']})", *([f"symmetry: {symmetry}"] if symmetry else []), ""]
     last = None
     for r in ranked.orderBy("cluster_id", F.desc("fit_score"), "candidate_protein").collect():
         if r.cluster_id != last:
