@@ -482,6 +482,14 @@ def test_line_dedup(spark):
     assert sum(v[1] for v in want.values()) > 20
 
 
+@pytest.mark.parametrize("most", [0, 1, 100])
+def test_common_lines_and_others(spark, most):
+    lines = spark.createDataFrame([(k, k % 7, k % 7) for k in range(60)], "doc long, hash_a long, hash_b long")
+    repeated = spark.createDataFrame([(h, h, 9, 59 - h) for h in range(5)], "hash_a long, hash_b long, n_docs long, last_doc long")
+    got = sorted(tuple(r) for r in linededup.with_last(lines, repeated, most).collect())
+    assert got == [(k, k % 7, 59 - k % 7) for k in range(60) if k % 7 < 5]
+
+
 def test_line_dedup_of_odd_rows(docs, none):
     rows = linededup.dedup_lines(docs, least=1, copies=2).collect()
     assert len(rows) == 19 and next(r for r in rows if r.doc_id == 0).kept_text == "" and rows[0].gram == "clash"

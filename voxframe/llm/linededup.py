@@ -135,7 +135,7 @@ BATCH = 50_000_000
 
 
 def repeated_lines(docs: DataFrame, least: int, copies: int, batches: int | None = None, key: str = "doc_id", column: str = "text") -> tuple[DataFrame, DataFrame, LineRuns]:
-    """All long lines (doc, hashes, batch), the hashes that at least `copies` documents hold with the last of these, and the store."""
+    """All long lines (doc, hashes, batch), the run of those that at least `copies` documents hold, and the store."""
     batches = batches or batches_of(docs, key)
     ids = docs.select(F.col(key).cast("long").alias("doc")).where("doc is not null")
     spread = ids.approxQuantile("doc", [k / batches for k in range(1, batches)], min(0.01, 0.2 / batches))
@@ -146,7 +146,23 @@ def repeated_lines(docs: DataFrame, least: int, copies: int, batches: int | None
     store = LineRuns(docs.sparkSession)
     for k in range(batches):
         store.add(lines.where(F.col("batch") == k))
-    return lines, store.whole().where(F.col("n_docs") >= copies).select(*HASH, "last_doc"), store
+    return lines, store.whole().where(F.col("n_docs") >= copies), store
+
+
+#: The most common lines, which are sent to where lines lie (32 bytes each).
+COMMON = 10_000
+
+
+def with_last(lines: DataFrame, repeated: DataFrame, most: int = COMMON) -> DataFrame:
+    """doc, hash_a, last_doc of the lines that are among the repeated ones.
+
+    The most common of these are broadcast, so a line that very many documents hold isn't gathered in one task; the
+    others are merged with their run.
+    """
+    common = F.broadcast(repeated.orderBy(F.desc("n_docs"), *HASH).limit(most).select(*HASH, F.col("last_doc").alias("_last")))
+    met = lines.select("doc", *HASH).join(common, HASH, "left")
+    rest = met.where("_last is null").drop("_last").join(repeated.join(common, HASH, "left_anti").select(*HASH, "last_doc").hint("merge"), HASH)
+    return met.where("_last is not null").select("doc", "hash_a", F.col("_last").alias("last_doc")).unionByName(rest.select("doc", "hash_a", "last_doc"))
 
 
 def dedup_lines(docs: DataFrame, least: int = 40, copies: int = 5, batches: int | None = None, key: str = "doc_id", column: str = "text", names: tuple[str, str, str] = ("kept_text", "n_lines", "n_dropped")) -> DataFrame:
@@ -156,12 +172,13 @@ def dedup_lines(docs: DataFrame, least: int = 40, copies: int = 5, batches: int
     largest doc_id that holds them. Documents meet only the hashes of their own lines to drop.
     """
     lines, repeated, store = repeated_lines(docs, least, copies, batches, key, column)
-    drops = lines.join(repeated, HASH).where("doc <> last_doc").groupBy("doc").agg(F.collect_set("hash_a").alias("__drop"))
+    drops = with_last(lines, repeated).where("doc <> last_doc").groupBy("doc").agg(F.collect_set("hash_a").alias("__drop"))
     drops = materialise(drops.withColumnRenamed("doc", "__doc"), "drops")
     store.clear()
     discard(lines)
     taken = docs.withColumn("__lines", F.split(F.coalesce(column, F.lit("")), "\n", -1))
-    joined = taken.join(drops, F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)) == F.col("__doc"), "left")
+    # a merge whatever the size, so that texts of a larger table don't move otherwise than those of a small one
+    joined = taken.join(drops.hint("merge"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)) == F.col("__doc"), "left")
     dropped = lambda x: (F.length(stripped(x)) >= least) & F.array_contains("__drop", line_hash(x))
     kept = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(F.filter("__lines", lambda x: ~dropped(x)))
     text, n_lines, n_dropped = names
