@@ -310,6 +310,22 @@ def test_suppression_in_rounds_is_the_greedy_one(spark):
     assert suppress(df, [], ["x", "y", "z"], "s", "k", 0.0).count() == 160
 
 
+@pytest.mark.parametrize("name", ["k", "s"])
+def test_density_clusters_over_blocks(spark, name):
+    """The same labels as from all distances at once, with blocks of few rows, number and text keys."""
+    from voxframe.kernels.cluster import density_clusters as at_once
+    from voxframe.operators.grouping import cluster, density_clusters
+
+    rng = np.random.default_rng(9)
+    rows = np.concatenate([rng.normal(c, 0.5, (35, 2)) for c in ((0, 0), (6, 0), (0, 7))] + [rng.uniform(-4, 10, (15, 2))])
+    df = spark.createDataFrame([(k, f"p{k:04d}", x.tolist()) for k, x in enumerate(rows)], "k long, s string, x array<double>").repartition(3)
+    want = at_once(rows, 8)
+    got = {r[0]: r.label for r in density_clusters(df, name, "x", 8, block=50).collect()}
+    assert [got[k if name == "k" else f"p{k:04d}"] for k in range(120)] == want.tolist() and len(set(want)) >= 4
+    with pytest.raises(ValueError):
+        cluster(df.limit(5), "k", "x", "density", least_size=8)
+
+
 def test_k_means_over_partitions(spark, monkeypatch):
     """A fixed point of plain k-means, and the blobs it should find, with first centres from a few rows only."""
     from voxframe.operators import grouping

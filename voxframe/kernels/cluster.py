@@ -81,11 +81,7 @@ def settled(rows: np.ndarray, centres: np.ndarray, rounds: int = 100) -> np.ndar
 
 
 def density_clusters(rows: np.ndarray, least_size: int) -> np.ndarray:
-    """Hierarchical density clusters by excess of mass; -1 is noise.
-
-    Mutual reachability distances, their minimum spanning tree, the tree condensed to splits into parts of
-    least_size or more, and the set of clusters with the greatest stability.
-    """
+    """Labels of density clusters of a few rows, with all their distances at hand; -1 is noise."""
     n = len(rows)
     if n < least_size:
         raise ValueError("fewer rows than the least cluster size")
@@ -100,7 +96,18 @@ def density_clusters(rows: np.ndarray, least_size: int) -> np.ndarray:
         far[closer], link[closer] = reach[at][closer], at
         at = int(np.argmin(np.where(seen, np.inf, far)))
         edges.append((far[at], link[at], at))
-    parent, members, children = list(range(n)), {i: [i] for i in range(n)}, {}
+    return tree_clusters(n, edges, least_size)
+
+
+def tree_clusters(n: int, edges: list[tuple[float, int, int]], least_size: int) -> np.ndarray:
+    """Clusters by excess of mass from a spanning tree of n rows by mutual reachability (distance, row, row); -1 is noise.
+
+    The tree is condensed to splits into parts of least_size or more; of all sets of clusters, the one with the greatest
+    stability. Labels go by the clusters' first rows. Memory: a few numbers a row.
+    """
+    parent, size, first = list(range(n)), [1] * n, list(range(n))
+    children: dict[int, tuple[int, int]] = {}
+    height: dict[int, float] = {}
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -108,14 +115,14 @@ def density_clusters(rows: np.ndarray, least_size: int) -> np.ndarray:
             i = parent[i]
         return i
 
-    height: dict[int, float] = {}
     for w, a, b in sorted(edges):
         ra, rb = root(a), root(b)
-        parent.append(len(parent))
-        new = len(parent) - 1
+        new = len(parent)
+        parent.append(new)
         parent[ra] = parent[rb] = new
-        members[new], children[new], height[new] = members[ra] + members[rb], (ra, rb), w
-    labels = np.full(n, -1)
+        size.append(size[ra] + size[rb])
+        first.append(min(first[ra], first[rb]))
+        children[new], height[new] = (ra, rb), w
     top = len(parent) - 1
     stability: dict[int, float] = {}
     splits: dict[int, list[int]] = {}
@@ -125,19 +132,15 @@ def density_clusters(rows: np.ndarray, least_size: int) -> np.ndarray:
         cluster, birth = stack.pop()
         order.append(cluster)
         node, total = cluster, 0.0
-        while True:
-            if node not in children:
-                break
+        while node in children:
             lam = 1 / height[node] if height[node] > 0 else 1e12
-            a, b = children[node]
-            big = [c for c in (a, b) if len(members[c]) >= least_size]
+            big = [c for c in children[node] if size[c] >= least_size]
             if len(big) == 2:
-                total += len(members[node]) * (lam - birth)
+                total += size[node] * (lam - birth)
                 splits[cluster] = big
                 stack += [(c, lam) for c in big]
                 break
-            fallen = len(members[node]) - sum(len(members[c]) for c in big)
-            total += fallen * (lam - birth)
+            total += (size[node] - sum(size[c] for c in big)) * (lam - birth)
             if not big:
                 break
             node = big[0]
@@ -147,11 +150,18 @@ def density_clusters(rows: np.ndarray, least_size: int) -> np.ndarray:
         below = splits.get(cluster, [])
         under = sum(stability[c] for c in below)
         if below and (cluster == top or under > stability[cluster]):
-            stability[cluster], chosen[cluster] = under, [x for c in below for x in chosen[c]]
+            stability[cluster], chosen[cluster] = under, [x for c in below for x in chosen.pop(c)]
         else:
             chosen[cluster] = [] if cluster == top else [cluster]
-    for k, c in enumerate(sorted(chosen[top], key=lambda c: min(members[c]))):
-        labels[members[c]] = k
+    labels = np.full(n, -1)
+    for k, c in enumerate(sorted(chosen[top], key=first.__getitem__)):
+        leaves = [c]
+        while leaves:
+            node = leaves.pop()
+            if node in children:
+                leaves += children[node]
+            else:
+                labels[node] = k
     return labels
 
 

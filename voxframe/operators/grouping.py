@@ -98,15 +98,12 @@ def reconcile(picks: DataFrame, threshold: float, rule: str, n_pickers: int) ->
     return out.join(centres, group).select(*group, *xyz, "sources", "confidence", F.col("n_pickers").cast("int").alias("n_pickers"))
 
 
-def single_linkage(df: DataFrame, by: list[str], xyz: list[str], key: str, distance: float) -> DataFrame:
-    """key, component: the smallest key reachable over gaps below the distance (strictly).
+def least_reachable(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """a and least, the smallest node reachable, of each node (a); edges (a, b) go both ways and are written.
 
-    Least labels spread over the pairs, and each round jumps to the label's own label; tables are cut in between.
+    Least labels spread over the edges, and each round jumps to the label's own label; tables are cut in between.
     """
-    slim = df.select(*by, *xyz, key)
-    pairs = within(slim, slim, xyz, distance, by).where(F.col("distance2") < distance * distance)
-    edges = written(pairs.select(F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b")).where("a <> b"), "edges")
-    labels = written(df.select(F.col(key).alias("a"), F.col(key).alias("c")), "labels")
+    labels = written(nodes.select("a", F.col("a").alias("c")), "labels")
     while True:
         near = edges.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("c").alias("n"))
         step = labels.join(near, "a", "left").select("a", F.least("c", F.coalesce("n", "c")).alias("c"), F.col("c").alias("was"))
@@ -114,7 +111,16 @@ def single_linkage(df: DataFrame, by: list[str], xyz: list[str], key: str, dista
         jumped = written(jumped, "labels")
         labels = jumped.select("a", "c")
         if not jumped.where("c <> was").limit(1).count():
-            return labels.select(F.col("a").alias(key), F.col("c").alias("component"))
+            return labels.withColumnRenamed("c", "least")
+
+
+def single_linkage(df: DataFrame, by: list[str], xyz: list[str], key: str, distance: float) -> DataFrame:
+    """key, component: the smallest key reachable over gaps below the distance (strictly)."""
+    slim = df.select(*by, *xyz, key)
+    pairs = within(slim, slim, xyz, distance, by).where(F.col("distance2") < distance * distance)
+    edges = written(pairs.select(F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b")).where("a <> b"), "edges")
+    found = least_reachable(edges, df.select(F.col(key).alias("a")))
+    return found.select(F.col("a").alias(key), F.col("least").alias("component"))
 
 
 def centroid_pairs(means: DataFrame, half: str, label: str) -> DataFrame:
@@ -215,15 +221,83 @@ def k_means(df: DataFrame, key: str, array: str, k: int, seed: int = 0, starts:
     return rows.mapInPandas(label, f"{key} {df.schema[key].dataType.simpleString()}, label int")
 
 
-def density_clusters(df: DataFrame, key: str, array: str, least_size: int) -> DataFrame:
-    """key and label of density clusters by excess of mass; -1 is noise. The rows given are held by one task."""
+#: Rows of a block; a task compares two blocks at a time.
+BLOCK = 4096
+
 
-    def label(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(key)
-        found = K.density_clusters(np.stack(rows[array].to_numpy()).astype(float), least_size)
-        return pd.DataFrame({key: rows[key], "label": found.astype("int32")})
+def density_clusters(df: DataFrame, key: str, array: str, least_size: int, block: int | None = None) -> DataFrame:
+    """key and label of density clusters by excess of mass; -1 is noise. Keys are unique.
 
-    return df.select(key, array, F.lit("").alias("_all")).groupBy("_all").applyInPandas(label, f"{key} {df.schema[key].dataType.simpleString()}, label int")
+    Core distances and, in rounds, each component's nearest row of another one come from tasks that compare a block of rows
+    with another; of these comparisons only the least leave the task. So no task holds more than two blocks, and rounds
+    halve the components until one spanning tree is left. Its edges, three values a row, are condensed in one task.
+    """
+    n = df.count()
+    if n < least_size:
+        raise ValueError("fewer rows than the least cluster size")
+    kind, blocks = df.schema[key].dataType.simpleString(), max(1, -(-n // (block or BLOCK)))
+    rows = df.select(F.col(key).alias("k"), F.col(array).cast("array<double>").alias("x"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("i"))
+    rows, near = written(rows, "rows"), min(max(least_size - 1, 1), n - 1)
+
+    def compared(state: DataFrame, function, form: str) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        one = state.withColumn("j", each)
+        two = state.select(F.col("i").alias("j"), each.alias("i"), *(F.col(c).alias(c) for c in state.columns if c != "i"))  # columns of its own
+        return one.groupBy("i", "j").cogroup(two.groupBy("i", "j")).applyInPandas(function, form)
+
+    def slices(one: pd.DataFrame, two: pd.DataFrame):
+        """Rows of the one side, a few at a time, and their distances to all of the other."""
+        y = np.stack(two["x"].to_numpy()) if len(two) else None
+        for at in range(0, len(one) if len(two) else 0, 256):
+            x = np.stack(one["x"].to_numpy()[at : at + 256])
+            yield slice(at, at + 256), np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2))
+
+    def nearest(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        parts = [(k, np.sort(np.partition(d, min(near, d.shape[1] - 1), axis=1)[:, : near + 1], axis=1)) for k, d in slices(one, two)]
+        return pd.DataFrame([(key, own.tolist()) for at, d in parts for key, own in zip(one["k"].to_numpy()[at], d, strict=True)], columns=["k", "d"])
+
+    core = compared(rows, nearest, f"k {kind}, d array<double>").groupBy("k").agg(F.array_sort(F.flatten(F.collect_list("d")))[near].alias("core"))
+    rows = written(rows.join(core, "k"), "cores")
+
+    def outside(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        """Of each component of the one side, the least (reach, lesser key, greater key) to a row of another component."""
+        best: dict = {}
+        names, own = np.unique(np.concatenate([one["c"].to_numpy(), two["c"].to_numpy()]), return_inverse=True)
+        left, right = own[: len(one)], own[len(one) :]
+        for at, d in slices(one, two):
+            reach = np.maximum(d, np.maximum(one["core"].to_numpy()[at, None], two["core"].to_numpy()[None]))
+            reach[left[at, None] == right[None]] = np.inf
+            least = reach.min(axis=1)
+            for c in np.unique(left[at]):
+                w = least[left[at] == c].min()
+                if w == np.inf or w > best.get(c, (np.inf,))[0]:
+                    continue
+                for i, j in zip(*np.nonzero((reach == w) & (left[at] == c)[:, None]), strict=True):
+                    ends = sorted((one["k"].iat[at.start + i], two["k"].iat[j]))
+                    best[c] = min(best.get(c, (np.inf,)), (w, *ends))
+        return pd.DataFrame([(names[c], *edge) for c, edge in best.items()], columns=["c", "w", "a", "b"])
+
+    labels, tree = rows.select("k", F.col("k").alias("c")), None
+    while True:
+        found = compared(rows.join(labels, "k"), outside, f"c {kind}, w double, a {kind}, b {kind}")
+        found = written(found.groupBy("c").agg(F.min(F.struct("w", "a", "b")).alias("e")).select("e.*").distinct(), "edges")
+        if not found.limit(1).count():
+            break
+        tree = found if tree is None else tree.unionByName(found)
+        ends = found.join(labels.select(F.col("k").alias("a"), F.col("c").alias("ca")), "a").join(labels.select(F.col("k").alias("b"), F.col("c").alias("cb")), "b")
+        ends = ends.select(F.explode(F.array(F.struct(F.col("ca").alias("a"), F.col("cb").alias("b")), F.struct(F.col("cb").alias("a"), F.col("ca").alias("b")))).alias("e")).select("e.*")
+        merged = least_reachable(written(ends, "ends"), labels.select(F.col("c").alias("a")).distinct())
+        labels = written(labels.join(merged, F.col("c") == F.col("a")).select("k", F.col("least").alias("c")), "labels")
+    if tree is None:  # one row
+        return rows.select(F.col("k").alias(key), F.lit(-1).alias("label"))
+
+    def condense(edges: pd.DataFrame) -> pd.DataFrame:
+        names, at = np.unique(np.concatenate([edges["a"], edges["b"]]), return_inverse=True)
+        half = len(edges)
+        found = K.tree_clusters(len(names), list(zip(edges["w"], at[:half].tolist(), at[half:].tolist(), strict=True)), least_size)
+        return pd.DataFrame({key: names, "label": found.astype("int32")})
+
+    return tree.withColumn("_tree", F.lit("")).groupBy("_tree").applyInPandas(condense, f"{key} {kind}, label int")
 
 
 def cluster(df: DataFrame, key: str, array: str, method: str, by: str | None = None, k: int = 8, least_size: int = 10, seed: int = 0) -> DataFrame:
