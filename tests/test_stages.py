@@ -320,7 +320,7 @@ def test_density_clusters_over_blocks(spark, name):
     rows = np.concatenate([rng.normal(c, 0.5, (35, 2)) for c in ((0, 0), (6, 0), (0, 7))] + [rng.uniform(-4, 10, (15, 2))])
     df = spark.createDataFrame([(k, f"p{k:04d}", x.tolist()) for k, x in enumerate(rows)], "k long, s string, x array<double>").repartition(3)
     want = at_once(rows, 8)
-    got = {r[0]: r.label for r in density_clusters(df, name, "x", 8, block=50).collect()}
+    got = {r[0]: r.label for r in density_clusters(df, name, "x", 8, block=70).collect()}
     assert [got[k if name == "k" else f"p{k:04d}"] for k in range(120)] == want.tolist() and len(set(want)) >= 4
     with pytest.raises(ValueError):
         cluster(df.limit(5), "k", "x", "density", least_size=8)
