@@ -419,10 +419,9 @@ def test_a_shingle_of_many_components_is_dealt_out(spark, monkeypatch):
     assert got == {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])} and got
 
 
-@pytest.mark.parametrize("percent", [50, 80, 85, 95, 100])
-def test_bands_miss_few(percent):
-    bands, rows = neardup.bands_for(percent)
-    assert (1 - (percent / 100) ** rows) ** bands <= neardup.MISS
+def test_bands_miss_few():
+    miss = lambda x: (1 - x**neardup.ROWS) ** neardup.BANDS
+    assert miss(0.85) < 3e-7 and miss(0.8) < 7e-5
 
 
 def test_components(spark):

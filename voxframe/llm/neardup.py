@@ -12,8 +12,9 @@
    For texts that are too far from a common origin these few are mostly their own edits, so groups of far
    copies don't meet pair by pair. Only pairs across components are confirmed.
 
-Bands have 6 bins from similarity 0.85 on and fewer below; their number is such that two texts at the similarity
-that is asked for miss all buckets with a chance of at most 1e-8 (`bands_for`: 39 of 6 at 0.85, 47 of 5 at 0.8).
+With 32 bands of 6 bins, two texts at similarity 0.85 miss all buckets with a chance of about 3e-7, at 0.8 of 6e-5.
+More and shorter bands miss fewer, but also gather texts that are further apart; 47 bands of 5 bins were tried at 0.8, and
+the exact join had 299,613 rows on a table with a large group of near copies.
 
 The exact join's worst case: texts that share many rare shingles and are yet not near enough, so that they stay in
 components of their own, meet pair by pair in step 3; as many pairs as there are such neighbours. A shingle that very
@@ -26,7 +27,6 @@ component, and kept. An empty table gives no rows; extra columns are left out.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,8 +39,7 @@ from ..scratch import discard
 from ._common import if_small, mapped, materialise
 from ._textnp import buffers, mix, shingles, words
 
-#: The chance at which two texts that are just near enough may miss all buckets.
-MISS = 1e-8
+BANDS, ROWS = 32, 6
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 #: Sizes of sets are classed by powers of this for the exact join.
 STEP = 1.05
@@ -48,13 +47,6 @@ STEP = 1.05
 DEALT = 256
 
 
-def bands_for(percent: int) -> tuple[int, int]:
-    """Number of bands and bins in each."""
-    rows = max(1, min(6, round(math.log(0.36) / math.log(percent / 100)))) if percent < 100 else 6
-    agree = (percent / 100) ** rows
-    return (max(8, math.ceil(math.log(MISS) / math.log1p(-agree))) if agree < 1 else 8), rows
-
-
 @lru_cache(maxsize=4)
 def _layout(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bins = bands * rows
@@ -63,7 +55,7 @@ def _layout(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return edges, orders, mix(np.arange(rows, dtype=np.uint64), 17) | np.uint64(1)
 
 
-def band_keys(own: np.ndarray, bands: int, rows: int) -> np.ndarray:
+def band_keys(own: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """Bucket keys of a sorted array of distinct hashes, which isn't empty."""
     edges, orders, factors = _layout(bands, rows)
     at = np.searchsorted(own, edges)
@@ -192,9 +184,9 @@ def rare_prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> Data
     return one.join(two, [*on, crossed, enough]).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", column: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", column: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; links at 100 * intersection >= percent * union."""
-    signed = materialise(signatures(docs, width, key, column, *bands_for(percent)), "signatures")
+    signed = materialise(signatures(docs, width, key, column, bands, rows), "signatures")
     found = signed.where("doc_id is not null and n_shingles > 0")
     classes = found.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
     classes = materialise(classes, "classes")
