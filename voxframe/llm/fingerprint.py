@@ -132,7 +132,7 @@ def with_next(docs: DataFrame, buckets: int, key: str = "doc_id", column: str =
 
     The ids alone are range-partitioned first and written; the greatest of each range begins a bucket. The first row of each
     bucket is also sent, as a lead, to the bucket before it (of the first one, to the last), so each row's next stands in
-    its own bucket. Besides these few copies every text is moved once. What all tasks get is one number a bucket.
+    its own bucket, which is a partition. Besides these few copies every text is moved once. What all tasks get is one number a bucket.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text"))
     ranged = in_ranges(rows.where("doc_id is not null").select("doc_id"), [F.col("doc_id")], buckets)
@@ -154,7 +154,7 @@ def with_next(docs: DataFrame, buckets: int, key: str = "doc_id", column: str =
     before = F.when(F.col("at.head") | (F.lit(not tops) & F.col("doc_id").isNull()), F.pmod(F.col("at.bucket") - 1, F.lit(last + 1)))
     copies = F.array(F.struct(F.col("at.bucket").alias("bucket"), F.lit(False).alias("lead")), F.struct(before.alias("bucket"), F.lit(True).alias("lead")))
     spread = rows.withColumn("at", placed(F.coalesce("doc_id", F.lit(NO_ID)))).withColumn("to", F.explode(F.filter(copies, lambda x: x["bucket"].isNotNull())))
-    return spread.select("to.bucket", "to.lead", "doc_id", "text").repartition(buckets, "bucket").sortWithinPartitions("bucket", "lead", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    return spread.select("to.bucket", "to.lead", "doc_id", "text").repartitionById(last + 1, "bucket").sortWithinPartitions("bucket", "lead", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
 
 
 def edited_likeness(docs: DataFrame, key: str = "doc_id", column: str = "text", buckets: int | None = None) -> DataFrame:
