@@ -81,7 +81,7 @@ def test_pick_finds_the_particles(picked):
 
 def test_decoys(spark, picked):
     particles, scored = picked
-    real = particles.select("tomogram_id", "x", "y", "z")
+    real = particles.select("tomogram_id", "particle_id", "x", "y", "z")
     found = D.finalised(D.from_rejected(scored, real, 3.0, 6.0, 5), "rejected-surface")
     rows = found.collect()
     assert rows and all(r.particle_id.startswith("decoy-") for r in rows)
@@ -92,7 +92,8 @@ def test_decoys(spark, picked):
     D.checked(particles, found)
     with pytest.raises(ValueError):
         D.checked(found, found)
-    moved = D.shifted(real, scored.select("tomogram_id", "x", "y", "z", "nx", "ny", "nz"), (SIDE,) * 3, 8, 20, 4, 5)
+    shapes = real.select("tomogram_id", *(F.lit(SIDE).alias(c) for c in ("nz", "ny", "nx"))).distinct()
+    moved = D.shifted(real, scored.select("tomogram_id", "x", "y", "z", "nx", "ny", "nz"), shapes, "particle_id", 8.0, 20.0, 4.0, 5.0)
     assert moved.count() > 0
     noise = D.synthetic(spark, 2, 10, (24, 24, 24))
     assert noise.count() == 20 and noise.select("tomogram_id").distinct().count() == 2
@@ -265,19 +266,57 @@ def test_scores_by_neighbours_and_vesicles():
     assert pick.PickSettings(windows=[(20.0, 20.0)], normalisation="local").margin_angstrom == 20
 
 
-def test_picks_are_joined_as_by_hand(spark):
-    """Complete linkage, representatives and consensus over two tomograms, by plain loops."""
+def matrix_linkage(points, threshold):
+    """Complete linkage from a matrix of all distances."""
+    labels, d = np.arange(len(points)), np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    while d.min() < threshold:
+        i, j = sorted(divmod(int(np.argmin(d)), len(points)))
+        labels[labels == j] = i
+        d[i] = d[:, i] = np.maximum(d[i], d[j])
+        d[i, i] = np.inf
+        d[j] = d[:, j] = np.inf
+    return labels
+
+
+def test_linkage_by_chains_is_that_of_the_matrix():
     from voxframe.kernels.cluster import complete_linkage
+
+    rng = np.random.default_rng(1)
+    for k in range(120):
+        points = rng.uniform(0, 10, (rng.integers(2, 60), rng.integers(1, 4)))
+        if k % 3 == 0:
+            points = np.concatenate([points, points[:4], points[:2]])
+        threshold = rng.uniform(0.1, 9)
+        assert np.array_equal(matrix_linkage(points, threshold), complete_linkage(points, threshold))
+    assert complete_linkage(np.zeros((0, 3)), 1.0).tolist() == [] and complete_linkage(np.zeros((3, 3)), 0.0).tolist() == [0, 1, 2]
+
+
+def test_linkage_holds_no_matrix():
+    import tracemalloc
+
+    from voxframe.kernels import cluster
+
+    points = np.random.default_rng(2).uniform(0, 150, (8000, 3))
+    hot = np.concatenate([points, np.tile(points[:1], (20_000, 1)), points[1] + np.random.default_rng(3).normal(0, 0.2, (500, 3))])
+    tracemalloc.start()
+    labels = cluster.complete_linkage(hot, 6.0)
+    assert tracemalloc.get_traced_memory()[1] < 100e6 and len(set(labels[8000:28000])) == 1
+    tracemalloc.stop()
+
+
+def test_picks_are_joined_as_by_hand(spark):
+    """Complete linkage, representatives and consensus over two tomograms and those without one; pickers number their picks alike."""
     from voxframe.operators.grouping import reconcile
 
     rng = np.random.default_rng(5)
-    rows = [(t, i, *map(float, rng.uniform(0, 12, 3)), f"p{i % 3}", float(i) if i % 4 else None) for t in ("t1", "t2") for i in range(60)]
-    df = spark.createDataFrame(rows, "tomogram_id string, idx long, x double, y double, z double, picker string, confidence double").repartition(5)
+    rows = [(t, i // 3, *map(float, rng.uniform(0, 12, 3)), f"p{i % 3}", float(i) if i % 4 else None, f"{t} {i}") for t in ("t1", "t2", None) for i in range(60)]
+    df = spark.createDataFrame(rows, "tomogram_id string, idx long, x double, y double, z double, picker string, confidence double, mark string").repartition(5)
     for rule, least in (("union", 1), ("intersection", 3)):
         want = {}
-        for t in ("t1", "t2"):
-            own = [r for r in rows if r[0] == t]
-            labels = complete_linkage(np.array([r[2:5] for r in own]), 5.0)
+        for t in ("t1", "t2", None):
+            own = sorted((r for r in rows if r[0] == t), key=lambda r: (r[5], r[1]))
+            labels = matrix_linkage(np.array([r[2:5] for r in own]), 5.0)
             for g in set(labels):
                 best = []
                 for p in ("p0", "p1", "p2"):
@@ -286,16 +325,54 @@ def test_picks_are_joined_as_by_hand(spark):
                         mean = np.mean([m[2:5] for m in members], axis=0)
                         best.append(min(members, key=lambda m: (((np.array(m[2:5]) - mean) ** 2).sum(), m[1])))
                 if len(best) >= least:
-                    known = [b[6] for b in best if b[6] is not None]
-                    want[t, own[g][1]] = (*np.mean([b[2:5] for b in best], axis=0), "+".join(b[5] for b in best), np.mean(known) if known else None, len(best))
-        got = {(r.tomogram_id, r.group_id): r for r in reconcile(df, 5.0, rule, 3).collect()}
+                    known, centre = [b[6] for b in best if b[6] is not None], np.mean([b[2:5] for b in best], axis=0)
+                    near = min(best, key=lambda b: (((np.array(b[2:5]) - centre) ** 2).sum(), b[5]))
+                    want[t, own[g][5], own[g][1]] = (*centre, "+".join(b[5] for b in best), np.mean(known) if known else None, len(best), near[7])
+        got = {(r.tomogram_id, r.group_id.picker, r.group_id.idx): r for r in reconcile(df, 5.0, rule, 3, ("mark",)).collect()}
         assert set(got) == set(want) and want
-        for k, (x, y, z, sources, confidence, n) in want.items():
+        for k, (x, y, z, sources, confidence, n, mark) in want.items():
             r = got[k]
-            assert np.allclose((r.x, r.y, r.z), (x, y, z)) and (r.sources, r.n_pickers) == (sources, n)
+            assert np.allclose((r.x, r.y, r.z), (x, y, z)) and (r.sources, r.n_pickers, r.mark) == (sources, n, mark)
             assert r.confidence == confidence or np.isclose(r.confidence, confidence)
 
 
+PICKS = "tomogram_id string, picker string, idx long, x double, y double, z double, score double, orientation string, beam_angle double, vesicle_id string"
+
+
+def test_two_pickers_agree_on_two_places(spark):
+    """Each picker numbers its picks from 0."""
+    rows = [("t", "a", 0, 0.0, 0.0, 0.0, 1.0, "a0", 1.0, "va0"), ("t", "a", 1, 100.0, 0.0, 0.0, 2.0, "a1", 2.0, "va1"), ("t", "b", 0, 100.5, 0.0, 0.0, 3.0, "b0", 3.0, "vb0"), ("t", "b", 1, 0.5, 0.0, 0.0, 4.0, "b1", 4.0, "vb1")]
+    found = sorted((r.x, r.source_picker, r.confidence, r.orientation, r.vesicle_id) for r in pick.particle_set(spark.createDataFrame(rows, PICKS), 5.0, "intersection", 2).collect())
+    assert found == [(0.25, "a+b", 2.5, "a0", "va0"), (100.25, "a+b", 2.5, "a1", "va1")]
+
+
+def test_a_particle_is_that_of_its_representative(spark):
+    rows = [("t", "a", k, x, 0.0, 0.0, float(k + 1), f"q{k}", 10.0 * k, f"v{k}") for k, x in enumerate((0.0, 1.9, 3.9))]
+    (r,) = pick.particle_set(spark.createDataFrame(rows, PICKS), 5.0).collect()
+    assert (r.x, r.confidence, r.orientation, r.beam_angle, r.vesicle_id, r.particle_id) == (1.9, 2.0, "q1", 10.0, "v1", "p000000")
+
+
+def test_groups_are_told_apart(spark):
+    """Suppression where groups number their rows alike; statistics where rows have no group, and of each group's own."""
+    from voxframe.operators.aggregates import normalise_by_vesicle, normalise_locally, robust_normalise
+    from voxframe.operators.grouping import suppress
+
+    rows = [("a", 0, 0.0, 1.0), ("a", 1, 1.0, 2.0), ("b", 0, 0.0, 1.0), ("b", 1, 50.0, 2.0), (None, 0, 0.0, 3.0), (None, 1, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "g string, k int, x double, s double").withColumn("y", F.lit(0.0))
+    kept = {(r.g, r.k) for r in suppress(df, ["g"], ["x", "y"], "s", "k", 5.0).collect()}
+    assert kept == {("a", 1), ("b", 0), ("b", 1), (None, 0)}
+
+    rows = [(t, k, v, 100.0 * k, g) for t, base in (("t0", 0.0), ("t1", 1000.0), (None, 5.0)) for k, (v, g) in enumerate(((base, "v"), (base + 1, ""), (base + 2, None)))]
+    df = spark.createDataFrame(rows, "t string, k int, v double, x double, g string").repartition(3)
+    own = 1 / 1.4826
+    expected = {(t, k): (k - 1) * own for t in ("t0", "t1", None) for k in range(3)}
+    for z in (robust_normalise(df, "v", ["t"]), normalise_locally(df, "v", ["x"], 5.0, 2, "k", ["t"])):
+        got = {(r.t, r.k): r.z for r in z.collect()}
+        assert got.keys() == expected.keys() and all(np.isclose(got[k], expected[k]) for k in got)
+    got = {(r.t, r.k): (r.z, r.fell_back) for r in normalise_by_vesicle(df, "v", "g", by=["t"]).collect()}
+    assert got == {(t, k): (0.0, False) if k == 0 else (pytest.approx((k - 1) * own), True) for t in ("t0", "t1", None) for k in range(3)}
+
+
 def test_suppression_in_rounds_is_the_greedy_one(spark):
     from voxframe.kernels.cluster import suppress as greedy
     from voxframe.operators.grouping import suppress
@@ -310,6 +387,32 @@ def test_suppression_in_rounds_is_the_greedy_one(spark):
     assert suppress(df, [], ["x", "y", "z"], "s", "k", 0.0).count() == 160
 
 
+def test_each_tomogram_has_its_own_number_of_decoys(spark):
+    scored = spark.createDataFrame([(t, k, float(10 * k), 0.0, 0.0, 0.01 * k) for t in ("t0", "t1", "t2") for k in range(40)], "tomogram_id string, idx long, x double, y double, z double, score double")
+    real = scored.where("(tomogram_id = 't0' and idx < 6) or (tomogram_id = 't1' and idx in (5, 9))")
+    found = {r.tomogram_id: (r.n, r.most) for r in D.from_rejected(scored, real, 0.35, 5.0).groupBy("tomogram_id").agg(F.count("*").alias("n"), F.max("idx").alias("most")).collect()}
+    assert {t: n for t, (n, _) in found.items()} == {"t0": 6, "t1": 2, "t2": 1} and found["t2"][1] < 5
+    assert {r["count"] for r in D.from_rejected(scored, real, 0.35, 5.0, 3).groupBy("tomogram_id").count().collect()} == {3}
+    assert {r["count"] for r in D.from_rejected(scored, real, 0.35, 5.0, ratio=0.5).groupBy("tomogram_id").count().collect()} == {3, 1}
+
+
+def test_shifted_decoys_keep_to_their_own_volume(spark):
+    rng = np.random.default_rng(8)
+    picks = spark.createDataFrame([(t, f"{t}p{k}", *map(float, rng.uniform(5, s - 5, 3))) for t, s in (("t0", 30), ("t1", 60), ("t2", 60), ("t3", 60)) for k in range(12)], "tomogram_id string, particle_id string, x double, y double, z double")
+    surface = [(t, float(x), float(y), s / 2, 0.0, 0.0, 1.0 + k) for k, (t, s) in enumerate((("t0", 30), ("t1", 60), ("t3", 60))) for x in range(0, s, 3) for y in range(0, s, 3)]
+    shapes = spark.createDataFrame([("t0", 30, 30, 30), ("t1", 60, 60, 60), ("t2", 60, 60, 60)], "tomogram_id string, nz int, ny int, nx int")
+    found = D.shifted(picks, spark.createDataFrame(surface, "tomogram_id string, x double, y double, z double, nx double, ny double, nz double"), shapes, "particle_id", 6.0, 14.0, 4.0, 5.0).collect()
+    here = {t: np.array([r[2:] for r in picks.where(F.col("tomogram_id") == t).collect()]) for t in ("t0", "t1")}
+    assert {r.tomogram_id for r in found} == {"t0", "t1"} and len(found) > 12 and len({r.particle_id for r in found}) == len(found)
+    for r in found:
+        at, side = np.array([r.x, r.y, r.z]), 29 if r.tomogram_id == "t0" else 59
+        own = np.array([p[2:] for p in picks.where(F.col("particle_id") == r.particle_id).collect()])[0]
+        assert (at >= 0).all() and (at <= side).all() and 6 <= np.linalg.norm(at - own) <= 14
+        assert np.linalg.norm(here[r.tomogram_id] - at, axis=1).min() >= 5 and r.nz == (1 if r.tomogram_id == "t0" else 2)
+        assert min(np.linalg.norm(np.array(s[1:4]) - at) for s in surface if s[0] == r.tomogram_id) >= 4
+    assert D.shifted(picks, spark.createDataFrame(surface, "tomogram_id string, x double, y double, z double, nx double, ny double, nz double"), shapes, "particle_id", 6.0, 14.0, 400.0, 5.0).count() == 0
+
+
 @pytest.mark.parametrize("name", ["k", "s"])
 def test_density_clusters_over_blocks(spark, name):
     """The same labels as from all distances at once, with blocks of few rows, number and text keys."""

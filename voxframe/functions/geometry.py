@@ -87,5 +87,6 @@ def largest_offset(windows: list[tuple[float, float]]) -> float:
     return max(high for _, high in windows)
 
 
-def decoy_count(n: int, ratio: float = 1.0) -> int:
-    return max(1, round(n * ratio))
+def decoys_wanted(n: Column, ratio: float = 1.0) -> Column:
+    """Decoys for n real picks: their number times the ratio, rounded half to even, one at least."""
+    return F.greatest(F.lit(1), F.bround(n * F.lit(float(ratio))).cast("long"))

@@ -23,28 +23,79 @@ def suppress(points: np.ndarray, scores: np.ndarray, distance: float) -> np.ndar
     return np.sort(np.array(kept, dtype=int))
 
 
+#: Distances that are held at once.
+HELD = 1 << 20
+
+
+class _Around:
+    """Places by grid cells of a side, and those in a cell and the ones around it."""
+
+    def __init__(self, places: np.ndarray, side: float):
+        self.cell = np.floor(places / side).astype(np.int64)
+        order = np.lexsort(self.cell.T[::-1])
+        names, starts = np.unique(self.cell[order], axis=0, return_index=True)
+        self.own = dict(zip(map(tuple, names.tolist()), np.split(order, starts[1:]), strict=True))
+        self.steps = np.array(list(product((-1, 0, 1), repeat=places.shape[1])))
+
+    def of(self, place: int) -> np.ndarray:
+        found = (self.own.get(c) for c in map(tuple, (self.cell[place] + self.steps).tolist()))
+        return np.concatenate([x for x in found if x is not None])
+
+
 def complete_linkage(points: np.ndarray, threshold: float) -> np.ndarray:
-    """Labels of groups whose diameter stays strictly below the threshold, merged nearest first."""
+    """Labels (a group's first row) of groups whose diameter stays strictly below the threshold, merged nearest first.
+
+    Chains of nearest neighbours give the same groups as a matrix of all distances, ties aside, as merging never brings a group
+    nearer to another one. A group's partners lie in the grid cells around its first member, so what is held are the
+    distances of one group to the places around it. Equal places are one from the start.
+    """
     n = len(points)
-    labels = np.arange(n)
-    if n < 2:
-        return labels
-    d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
-    np.fill_diagonal(d, np.inf)
-    alive = np.ones(n, dtype=bool)
-    while True:
-        k = int(np.argmin(d))
-        i, j = divmod(k, n)
-        if not d[i, j] < threshold:
-            break
-        i, j = min(i, j), max(i, j)
-        labels[labels == j] = i
-        merged = np.maximum(d[i], d[j])
-        d[i, :], d[:, i] = merged, merged
-        d[i, i] = np.inf
-        d[j, :], d[:, j] = np.inf, np.inf
-        alive[j] = False
-    return labels
+    if n < 2 or threshold <= 0:
+        return np.arange(n)
+    places, of = np.unique(points, axis=0, return_inverse=True)
+    of, m, most = of.ravel(), len(places), threshold * threshold
+    around, members, label, size = _Around(places, threshold), [np.array([i]) for i in range(m)], np.arange(m), np.ones(m, dtype=np.int64)
+
+    def nearest(group: int, before: int) -> tuple[int, float]:
+        """The group whose furthest member is nearest, `before` among equals; -1 if none is near enough."""
+        own, near = members[group], around.of(members[group][0])
+        far = np.zeros(len(near))
+        for k in range(0, len(own), max(1, HELD // len(near))):
+            some = places[own[k : k + max(1, HELD // len(near))]]
+            far = np.maximum(far, ((some[:, None] - places[near][None]) ** 2).sum(axis=2).max(axis=0))
+        names = label[near]
+        order = np.argsort(names, kind="stable")
+        starts = np.flatnonzero(np.diff(names[order], prepend=-1))
+        names, worst, count = names[order][starts], np.maximum.reduceat(far[order], starts), np.diff(starts, append=len(near))
+        fits = (names != group) & (count == size[names]) & (worst < most)
+        if not fits.any():
+            return -1, np.inf
+        names, worst = names[fits], worst[fits]
+        least = worst.min()
+        equal = names[worst == least]
+        return (before if before in equal else int(equal.min())), float(least)
+
+    for start in range(m):
+        chain = [start] if label[start] == start else []
+        while chain:
+            top = chain[-1]
+            other, _ = nearest(top, chain[-2] if len(chain) > 1 else -1)
+            if other < 0:
+                chain.pop()  # it stays as it is
+            elif len(chain) > 1 and other == chain[-2]:
+                del chain[-2:]
+                kept, gone = min(top, other), max(top, other)
+                label[members[gone]] = kept
+                members[kept] = np.concatenate([members[kept], members[gone]])
+                members[gone], size[kept], size[gone] = members[gone][:0], size[kept] + size[gone], 0
+                if not chain:
+                    chain.append(kept)
+            else:
+                chain.append(other)
+    groups = label[of]
+    first = np.full(m, n)
+    np.minimum.at(first, groups, np.arange(n))
+    return first[groups]
 
 
 def pca(rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import before_ranges, in_ranges, written
+from ..scratch import before_ranges, discard, in_ranges, written
 
 MAD_SCALE = 1.4826
 
@@ -39,56 +39,78 @@ def medians(df: DataFrame, value: Column, by: list[str], out: str) -> DataFrame:
     return middle.groupBy(*by).agg((0.5 * F.min("_v") + 0.5 * F.max("_v")).alias(out))
 
 
+#: Rows of a group whose values a task may hold; in larger groups medians come from ranges.
+IN_A_TASK = 1_000_000
+
+
 def centre_and_scale(df: DataFrame, x: str, by: list[str]) -> DataFrame:
-    """median and scale of x for each group: 1.4826 MAD, else the population deviation, else 0. Without groups, one row."""
-    keys = by or ["_all"]
-    rows = df.select(*(by or [F.lit(0).alias("_all")]), x)
-    std = rows.groupBy(*keys).agg(F.stddev_pop(x).alias("_std"))
-    centre = written(std.join(medians(rows, F.col(x), keys, "centre"), keys, "left"), "centres")
+    """median and scale of x for each group: 1.4826 MAD, else the population deviation, else 0. Without groups, one row.
+
+    Rows without a group (null) are one. The largest group's size decides whether a grouped median holds a group's values, or ranges of
+    values are written and counted. One row a group comes out.
+    """
+    rows = df.select(F.struct(F.lit(0).alias("_0"), *by).alias("_all"), F.col(x).cast("double").alias("_x"))  # a struct equals another with the same nulls
+    std = written(rows.groupBy("_all").agg(F.stddev_pop("_x").alias("_std"), F.count(F.lit(1)).alias("_rows")), "spreads")
+    small = (std.agg(F.max("_rows")).first()[0] or 0) <= IN_A_TASK
+
+    def middles(of: DataFrame, value: Column, out: str) -> DataFrame:
+        return of.groupBy("_all").agg(F.median(value).alias(out)) if small else medians(of, value, ["_all"], out)
+
+    centre = written(std.join(middles(rows, F.col("_x"), "centre"), "_all", "left"), "centres")
     # without groups there is one key, so its row has to be sent to the others
-    joined = rows.join(centre if by else F.broadcast(centre), keys)
-    mad = centre.join(medians(joined, F.abs(F.col(x) - F.col("centre")), keys, "_mad"), keys, "left")
+    joined = rows.join(centre if by else F.broadcast(centre), "_all")
+    mad = centre.join(middles(joined, F.abs(F.col("_x") - F.col("centre")), "_mad"), "_all", "left")
     scale = F.when(F.col("_mad") > 0, MAD_SCALE * F.col("_mad")).otherwise(F.coalesce("_std", F.lit(0.0)))
-    return written(mad.select(*by, "centre", scale.alias("scale")), "scales")
+    out = written(mad.select(*(F.col(f"_all.{c}").alias(c) for c in by), "centre", scale.alias("scale")), "scales")
+    discard(std, centre)
+    return out
+
+
+def _with_statistics(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
+    """df with its group's centre and scale; nulls are a group."""
+    if not by:
+        return df.crossJoin(F.broadcast(stats))
+    keyed = stats.select(F.struct(*by).alias("_all"), "centre", "scale")
+    return df.withColumn("_all", F.struct(*by)).join(keyed, "_all", "left").drop("_all")
 
 
 def robust_normalise(df: DataFrame, x: str, by: list[str] | None = None, out: str = "z") -> DataFrame:
-    """(x - median) / scale of each group; 0 where the scale is 0.
+    """(x - median) / scale of each group; 0 where the scale is 0. All rows stay; those without a group are one.
 
-    Medians come from ranges of values and go back by a join; a window, or a buffer of values, would hold a group in one
-    task.
+    The statistics of the groups go back by a join; a window would hold a group in one task.
     """
     by = by or []
-    stats = centre_and_scale(df, x, by)
-    joined = df.join(stats, by) if by else df.crossJoin(F.broadcast(stats))
+    joined = _with_statistics(df, centre_and_scale(df, x, by), by)
     return joined.withColumn(out, F.when(F.col("scale") == 0, F.lit(0.0)).otherwise((F.col(x) - F.col("centre")) / F.col("scale"))).drop("centre", "scale")
 
 
-def normalise_by_vesicle(df: DataFrame, x: str, group: str, out: str = "z") -> DataFrame:
-    """Each group by its own estimate; rows without a group by that of all rows, and flagged `fell_back`."""
-    own = centre_and_scale(df.where(F.col(group) != ""), x, [group]).select(F.col(group).alias("_g"), F.col("centre").alias("_c"), F.col("scale").alias("_s"))
-    whole = centre_and_scale(df, x, [])
-    joined = df.join(own, F.col(group) == F.col("_g"), "left").crossJoin(F.broadcast(whole))
-    centre = F.when(F.col(group) == "", F.col("centre")).otherwise(F.col("_c"))
-    scale = F.when(F.col(group) == "", F.col("scale")).otherwise(F.col("_s"))
+def normalise_by_vesicle(df: DataFrame, x: str, group: str, out: str = "z", by: list[str] | None = None) -> DataFrame:
+    """Each group by its own estimate; rows without one (empty or null) by that of all rows (of their tomogram), and flagged `fell_back`."""
+    by = by or []
+    named = F.coalesce(F.col(group), F.lit("")) != ""
+    own = centre_and_scale(df.where(named), x, [*by, group]).select(F.struct(*by, group).alias("_own"), F.col("centre").alias("_c"), F.col("scale").alias("_s"))
+    joined = _with_statistics(df.withColumn("_own", F.struct(*by, group)).join(own, "_own", "left"), centre_and_scale(df, x, by), by)
+    centre = F.when(named, F.col("_c")).otherwise(F.col("centre"))
+    scale = F.when(named, F.col("_s")).otherwise(F.col("scale"))
     z = F.when(scale == 0, F.lit(0.0)).otherwise((F.col(x) - centre) / scale)
-    return joined.withColumn(out, z).withColumn("fell_back", F.col(group) == "").drop("_g", "_c", "_s", "centre", "scale")
+    return joined.withColumn(out, z).withColumn("fell_back", ~named).drop("_own", "_c", "_s", "centre", "scale")
 
 
 def normalise_locally(points: DataFrame, x: str, xyz: list[str], radius: float, least: int, key: str = "idx", by: list[str] | None = None, out: str = "z") -> DataFrame:
-    """By median and MAD of the neighbours within radius, itself included; with fewer than `least`, or with no spread, by all rows'."""
+    """By median and MAD of the neighbours within radius, itself included; with fewer than `least`, or with no spread, by all rows' (of
+    the row's own group)."""
     from .joins import within
 
     by = by or []
     slim = points.select(*by, key, *xyz, x)
-    near = within(slim, slim, xyz, radius, by).select(*(F.col(f"l.{k}").alias(k) for k in [*by, key]), F.col(f"r.{x}").alias("v"))
-    own = near.groupBy(*by, key).agg(F.count(F.lit(1)).alias("n"), F.median("v").alias("m"))
-    spread = near.join(own, [*by, key]).groupBy(*by, key, "n", "m").agg((MAD_SCALE * F.median(F.abs(F.col("v") - F.col("m")))).alias("s"))
-    joined = points.join(spread, [*by, key]).crossJoin(F.broadcast(centre_and_scale(points, x, [])))
+    near = within(slim, slim, xyz, radius, by).select(F.struct(*(F.col(f"l.{k}").alias(k) for k in [*by, key])).alias("_id"), F.col(f"r.{x}").alias("v"))
+    own = near.groupBy("_id").agg(F.count(F.lit(1)).alias("n"), F.median("v").alias("m"))
+    spread = near.join(own, "_id").groupBy("_id", "n", "m").agg((MAD_SCALE * F.median(F.abs(F.col("v") - F.col("m")))).alias("s"))
+    joined = _with_statistics(points.withColumn("_id", F.struct(*by, key)).join(spread, "_id", "left"), centre_and_scale(points, x, by), by)
     scale = F.when(F.col("scale") == 0, F.lit(1.0)).otherwise(F.col("scale"))
-    few = F.col("n") < least
+    few = F.coalesce(F.col("n") < least, F.lit(True))
     z = F.when(few, (F.col(x) - F.col("centre")) / scale).otherwise((F.col(x) - F.col("m")) / F.when(F.col("s") > 0, F.col("s")).otherwise(scale))
-    return joined.withColumn(out, z).withColumn("fell_back", few).drop("n", "m", "s", "centre", "scale")
+    return joined.withColumn(out, z).withColumn("fell_back", few).drop("_id", "n", "m", "s", "centre", "scale")
 
 
 def elementwise_mean(df: DataFrame, by: list[str], array: str) -> DataFrame:

@@ -2,65 +2,79 @@
 
 from __future__ import annotations
 
+import functools
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geometry import decoys_wanted
 from ..functions.text import numbered
 from ..kernels import volume as V
+from ..scratch import written
 from .filters import comparable
-from .joins import far_from
+from .joins import far_from, nearest
 from .windows import lowest_pool, split_halves
 
 POINT = "tomogram_id string, x double, y double, z double, nx double, ny double, nz double"
 
 
-def from_rejected(scored: DataFrame, real: DataFrame, threshold: float, distance: float, target: int, seed: int = 0) -> DataFrame:
-    """Points under the threshold, far from real picks: of each tomogram's 5 * target lowest, target by a seeded hash.
+def hashed(seed: int, *of: Column, part: int = 0) -> Column:
+    """A number from 0 to below 1 by the md5 of seed and values as text; part 0 to 3 gives four that don't depend on each other."""
+    text = F.md5(F.concat_ws(":", F.lit(str(seed)), *(c.cast("string") for c in of)).cast("binary"))
+    return F.conv(F.substring(text, 1 + 8 * part, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
 
-    scored: tomogram_id, idx, x, y, z, score, ...; each tomogram is drawn for itself, so it parallelises.
+def from_rejected(scored: DataFrame, real: DataFrame, threshold: float, distance: float, target: int | None = None, ratio: float = 1.0, seed: int = 0) -> DataFrame:
+    """Points under the threshold, far from real picks: of each tomogram's 5 * n lowest, n by a seeded hash.
+
+    n is the target, or else the tomogram's own number of real picks times the ratio, one at least; so a tomogram without
+    picks gives one. scored: tomogram_id, idx, x, y, z, score, ...; each tomogram is drawn for itself, so it parallelises.
     """
     under = scored.where(F.col("score") < threshold)
     apart = far_from(under, real, ["x", "y", "z"], distance, ["tomogram_id"])
-    return lowest_pool(apart, ["tomogram_id"], "score", "idx", target, F.xxhash64(F.lit(seed), "tomogram_id", "idx"))
+    if target is None:
+        wanted = real.groupBy(F.col("tomogram_id").alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
+        apart = apart.join(wanted, F.col("tomogram_id").eqNullSafe(F.col("_t")), "left").withColumn("_wanted", decoys_wanted(F.coalesce("_n", F.lit(0)), ratio)).drop("_t", "_n")
+    return lowest_pool(apart, ["tomogram_id"], "score", "idx", "_wanted" if target is None else target, hashed(seed, F.col("tomogram_id"), F.col("idx"))).select(*scored.columns)
 
 
-def _seed(seed: int, name: str) -> np.random.Generator:
-    return np.random.default_rng([seed, *name.encode()])
+#: Places that are tried together for each pick that has none yet; the rounds' sum is the number of tries.
+ROUNDS = (8, 32, 160)
 
 
-def shifted(picks: DataFrame, surfaces: DataFrame, shape: tuple[int, int, int], least: float, most: float, from_surface: float, from_picks: float, seed: int = 0, tries: int = 200) -> DataFrame:
-    """Each pick moved to the first of `tries` random places that is inside, off the surface and off all picks; else dropped.
+def shifted(picks: DataFrame, surfaces: DataFrame, shapes: DataFrame, key: str, least: float, most: float, from_surface: float, from_picks: float, seed: int = 0, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:
+    """Each pick moved to the first of some random places that is inside, off the surface and off all picks; else dropped.
 
-    The orientation is the nearest surface normal. picks and surfaces: tomogram_id, x, y, z (and nx, ny, nz).
+    Places come from hashes of seed, key and the try's number. In each round the picks that have no place yet try several at
+    once; anti-joins by grid cells leave those that are good. The orientation is the nearest surface normal. picks: tomogram_id, key, x, y, z;
+    surfaces: tomogram_id, x, y, z, nx, ny, nz; shapes: tomogram_id, nz, ny, nx. Tomograms without a surface or
+    a shape give none. Gives tomogram_id, key, x, y, z, nx, ny, nz.
     """
-    extent, xyz = np.array(shape[::-1], float), ["x", "y", "z"]
-
-    def nearest(of: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        square = ((of[:, None] - to[None]) ** 2).sum(axis=2)
-        return square.min(axis=1), square.argmin(axis=1)
-
-    def move(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        here, surface, normals = left[xyz].to_numpy(float), right[xyz].to_numpy(float), right[["nx", "ny", "nz"]].to_numpy(float)
-        rng = _seed(seed, key[0])
-        ways = rng.normal(size=(len(here), tries, 3))
-        lengths = rng.uniform(least, most, (len(here), tries, 1))
-        places = here[:, None] + ways / np.linalg.norm(ways, axis=2, keepdims=True) * lengths
-        inside = ((places >= 0) & (places <= extent - 1)).all(axis=2)
-        out = []
-        for own in (p[i] for p, i in zip(places, inside, strict=True)) if len(surface) else []:
-            for some in np.array_split(own, max(1, len(own) // 16)):  # few at once: surfaces are large
-                if not len(some):
-                    continue
-                square, at = nearest(some, surface)
-                good = np.flatnonzero((square >= from_surface**2) & (nearest(some, here)[0] >= from_picks**2))
-                if len(good):
-                    out.append((key[0], *some[good[0]], *normals[at[good[0]]]))
-                    break
-        return pd.DataFrame(out, columns=[c.split()[0] for c in POINT.split(", ")])
-
-    return picks.groupBy("tomogram_id").cogroup(surfaces.groupBy("tomogram_id")).applyInPandas(move, POINT)
+    xyz = ["x", "y", "z"]
+    by = surfaces.select("tomogram_id").distinct()
+    rest = picks.select("tomogram_id", key, *xyz).join(by, "tomogram_id", "left_semi").join(shapes.select("tomogram_id", "nz", "ny", "nx"), "tomogram_id")
+    rest, found, tried = written(rest, "open"), None, 0
+    for n in rounds:
+        at = rest.withColumn("_try", F.explode(F.sequence(F.lit(tried), F.lit(tried + n - 1))))
+        tried += n
+        u = [hashed(seed, F.col(key), F.col("_try"), part=k) for k in range(3)]
+        rise, turn, length = 2 * u[0] - 1, 2 * math.pi * u[1], least + (most - least) * u[2]
+        flat = F.sqrt(1 - rise * rise) * length
+        place = [F.col("x") + flat * F.cos(turn), F.col("y") + flat * F.sin(turn), F.col("z") + rise * length]
+        tries = at.select("tomogram_id", key, "_try", "nz", "ny", "nx", *(p.alias(c) for p, c in zip(place, xyz, strict=True)))
+        inside = tries.where(functools.reduce(Column.__and__, ((F.col(c) >= 0) & (F.col(c) <= F.col(f"n{c}") - 1) for c in xyz))).drop("nz", "ny", "nx")
+        good = far_from(far_from(inside, picks, xyz, from_picks, ["tomogram_id"]), surfaces, xyz, from_surface, ["tomogram_id"])
+        first = written(good.groupBy("tomogram_id", key).agg(F.min_by(F.struct(*xyz), "_try").alias("_p")).select("tomogram_id", key, "_p.*"), "places")
+        found = first if found is None else found.unionByName(first)
+        rest = written(rest.join(first.select("tomogram_id", key), ["tomogram_id", key], "left_anti"), "open")
+        if not rest.limit(1).count():
+            break
+    normals = ["nx", "ny", "nz"]
+    near = nearest(found, surfaces.select("tomogram_id", *xyz, *normals), key, xyz, normals, most + from_surface, ["tomogram_id"])
+    return near.select("tomogram_id", key, *xyz, *(F.col(f"nearest_{c}").alias(c) for c in normals))
 
 
 def noise_volume(index: int, shape: tuple[int, int, int], sign: float, seed: int) -> tuple[np.ndarray, np.ndarray]:

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..kernels import cluster as K
 from ..scratch import discard, written
 from .joins import within
-from .windows import representatives
+from .windows import nearest_attributes, representatives
 
 
 def both_faces(df: DataFrame, normal: list[str]) -> DataFrame:
@@ -35,15 +36,17 @@ def suppress(df: DataFrame, by: list[str], xyz: list[str], score: str, order: st
     """Greedy non-maximum suppression within groups, best score first (lowest order of ties), inclusive distance.
 
     Rounds of local maxima instead of one pass: a row that beats all its undecided neighbours is kept, and its neighbours
-    go. Neighbours come from a join by cells, once; no task holds a group, and each round leaves a table.
+    go. Neighbours come from a join by cells, once; no task holds a group, and each round leaves a table. Rows are
+    told apart by group and order; those without a group are one.
     """
     if distance <= 0:
         return df
+    key = lambda side="": F.struct(*(F.col(f"{side}{c}").alias(c) for c in [*by, order]))
     slim = df.select(*by, *xyz, score, order)
     pairs = within(slim, slim, xyz, distance, by).where(F.col(f"l.{order}") != F.col(f"r.{order}"))
     beats = (F.col(f"r.{score}") > F.col(f"l.{score}")) | ((F.col(f"r.{score}") == F.col(f"l.{score}")) & (F.col(f"r.{order}") < F.col(f"l.{order}")))
-    edges = written(pairs.select(F.col(f"l.{order}").alias("i"), F.col(f"r.{order}").alias("j"), beats.alias("loses")), "pairs")
-    open_rows = written(df.select(F.col(order).alias("i")), "open")
+    edges = written(pairs.select(key("l.").alias("i"), key("r.").alias("j"), beats.alias("loses")), "pairs")
+    open_rows = written(df.select(key().alias("i")), "open")
     kept = open_rows.limit(0)
     while open_rows.limit(1).count():
         live = edges.join(open_rows, "i").join(open_rows.withColumnRenamed("i", "j"), "j")
@@ -55,7 +58,7 @@ def suppress(df: DataFrame, by: list[str], xyz: list[str], score: str, order: st
         open_rows = rest
     kept = written(kept, "kept")
     discard(edges)
-    return df.join(kept.withColumnRenamed("i", order), order, "left_semi")
+    return df.withColumn("_i", key()).join(kept.withColumnRenamed("i", "_i"), "_i", "left_semi").drop("_i")
 
 
 def consensus(df: DataFrame, by: list[str], picker: str, confidence: str, rule: str, n_pickers: int) -> DataFrame:
@@ -66,36 +69,73 @@ def consensus(df: DataFrame, by: list[str], picker: str, confidence: str, rule:
     return out.where(F.col("n_pickers") >= (1 if rule == "union" else n_pickers))
 
 
-def complete_linkage(df: DataFrame, by: list[str], xyz: list[str], order: str, threshold: float) -> DataFrame:
+def near_parts(df: DataFrame, by: list[str], xyz: list[str], threshold: float) -> DataFrame:
+    """_cell and part: which parts of a group's rows no gap of the threshold runs through.
+
+    Rows are counted as cells so small that those in one are nearer than the threshold, each with the box around its rows;
+    cells are linked where their boxes are near enough. So no pairs of rows are made, however many share a place. A part may hold
+    rows that are further apart than the threshold, never the other way round.
+    """
+    side = threshold / len(xyz) ** 0.5 * (1 - 1e-9)
+    boxes = df.groupBy(small_cell(by, xyz, threshold).alias("_cell")).agg(*(f(c).alias(f"{n}_{c}") for c in xyz for f, n in ((F.min, "low"), (F.max, "high"))))
+    boxes = written(boxes, "cells")
+    # no further cell than this has rows near enough
+    reach = math.ceil(len(xyz) ** 0.5)
+    to = boxes.select(*(F.col(c).alias(f"l_{c}") for c in boxes.columns))
+    for c in xyz:
+        to = to.withColumn(f"_{c}", F.explode(F.sequence(F.col(f"l__cell._{c}") - reach, F.col(f"l__cell._{c}") + reach)))
+    to = to.withColumn("_at", F.struct(*(F.col(f"l__cell.{c}").alias(c) for c in by), *(f"_{c}" for c in xyz))).drop(*(f"_{c}" for c in xyz))
+    gap = [F.greatest(F.lit(0.0), F.col(f"low_{c}") - F.col(f"l_high_{c}"), F.col(f"l_low_{c}") - F.col(f"high_{c}")) for c in xyz]
+    near = to.join(boxes, F.col("_at") == F.col("_cell")).where((F.col("_at") != F.col("l__cell")) & (sum((g * g for g in gap), F.lit(0.0)) < threshold * threshold))
+    edges = written(near.select(F.col("l__cell").alias("a"), F.col("_cell").alias("b")), "edges")
+    return least_reachable(edges, boxes.select(F.col("_cell").alias("a"))).select(F.col("a").alias("_cell"), F.col("least").alias("part"))
+
+
+def small_cell(by: list[str], xyz: list[str], threshold: float) -> Column:
+    """The cell of a row, its group with it."""
+    side = threshold / len(xyz) ** 0.5 * (1 - 1e-9)
+    return F.struct(*by, *(F.floor(F.col(c) / side).cast("long").alias(f"_{c}") for c in xyz))
+
+
+def complete_linkage(df: DataFrame, by: list[str], xyz: list[str], order: list[str], threshold: float) -> DataFrame:
     """The by columns, order and group_id of each row: complete-linkage groups whose diameter stays under the threshold.
 
-    No such group reaches over a gap of the threshold, so rows are dealt by their connected part, and a task links one
-    part at a time. group_id is the least order of a group.
+    by and order tell rows apart. No such group reaches over a gap of the threshold, so rows are dealt by their parts, and a task links one
+    part at a time; a part of one row needs none. group_id is the least order of a group, as a struct.
     """
-    keyed = df.select(*by, *xyz, order, F.struct(*by, order).alias("_key"))
-    parts = single_linkage(keyed, by, xyz, "_key", threshold)
-    dealt = keyed.join(parts, "_key").drop("_key")
+    own = [f"_g_{c}" for c in order]
+    celled = df.select(*by, *xyz, *order, small_cell(by, xyz, threshold).alias("_cell"))
+    dealt = celled.join(near_parts(df, by, xyz, threshold), "_cell").drop("_cell").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("part")))
 
     def link(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(order).reset_index(drop=True)
-        labels = K.complete_linkage(rows[xyz].to_numpy(float), threshold)
-        return rows[[*by, order]].assign(group_id=rows[order].to_numpy()[labels])
+        first = rows[order].iloc[K.complete_linkage(rows[xyz].to_numpy(float), threshold)].reset_index(drop=True)
+        return rows[[*by, *order]].assign(**{g: first[c] for g, c in zip(own, order, strict=True)})
 
-    form = T.StructType([*(df.schema[c] for c in [*by, order]), T.StructField("group_id", df.schema[order].dataType)])
-    return dealt.groupBy(*by, "component").applyInPandas(link, form)
+    form = T.StructType([*(df.schema[c] for c in [*by, *order]), *(T.StructField(g, df.schema[c].dataType) for g, c in zip(own, order, strict=True))])
+    linked = dealt.where("_n > 1").groupBy("part").applyInPandas(link, form)
+    alone = dealt.where("_n = 1").select(*by, *order, *(F.col(c).alias(g) for g, c in zip(own, order, strict=True)))
+    return linked.unionByName(alone).select(*by, *order, F.struct(*(F.col(g).alias(c) for g, c in zip(own, order, strict=True))).alias("group_id"))
 
 
-def reconcile(picks: DataFrame, threshold: float, rule: str, n_pickers: int) -> DataFrame:
-    """Complete-linkage groups of each tomogram's picks; the centroid of each picker's representative.
+def reconcile(picks: DataFrame, threshold: float, rule: str, n_pickers: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Complete-linkage groups of each tomogram's picks: the mean place of each picker's representative, and the carried
+    columns of the representative nearest to it.
 
-    picks: tomogram_id, idx, x, y, z, picker, confidence.
+    picks: tomogram_id, picker, idx (which tells a picker's picks of a tomogram apart), x, y, z, confidence. A pick
+    without a tomogram belongs to the tomogram of those. group_id is the first picker and idx of a group.
     """
-    xyz, group = ["x", "y", "z"], ["tomogram_id", "group_id"]
-    linked = picks.join(complete_linkage(picks, ["tomogram_id"], xyz, "idx", threshold), ["tomogram_id", "idx"])
-    best = representatives(linked, group, "picker", xyz, "idx")
-    out = consensus(best, group, "picker", "confidence", rule, n_pickers)
-    centres = best.groupBy(*group).agg(*(F.avg(c).alias(c) for c in xyz))
-    return out.join(centres, group).select(*group, *xyz, "sources", "confidence", F.col("n_pickers").cast("int").alias("n_pickers"))
+    xyz, group, key = ["x", "y", "z"], ["tomogram_id", "group_id"], ["tomogram_id", "picker", "idx"]
+    slim = picks.select(*key, *xyz, "confidence", *carry)
+    groups = complete_linkage(slim, ["tomogram_id"], xyz, ["picker", "idx"], threshold)
+    named = groups.select(*(F.col(c).alias(f"_{c}") for c in key), "group_id")
+    linked = slim.join(named, functools.reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key))).drop(*(f"_{c}" for c in key))
+    # a struct equals another where both lack a tomogram
+    best = written(representatives(linked.withColumn("_g", F.struct("tomogram_id", "group_id")), ["_g"], "picker", xyz, "idx"), "representatives")
+    out = consensus(best, ["_g"], "picker", "confidence", rule, n_pickers)
+    placed = nearest_attributes(best, ["_g"], xyz, "picker", ["picker", *carry]).drop("n", "picker")
+    joined = out.join(placed, "_g")
+    return joined.select("_g.*", *(F.col(f"centre_{c}").alias(c) for c in xyz), "sources", "confidence", F.col("n_pickers").cast("int").alias("n_pickers"), *carry)
 
 
 def least_reachable(edges: DataFrame, nodes: DataFrame) -> DataFrame:

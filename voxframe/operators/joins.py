@@ -44,13 +44,14 @@ def _square(a: list[Column], b: list[Column]) -> Column:
 def within(left: DataFrame, right: DataFrame, xyz: list[str], radius: float, by: list[str] | None = None) -> DataFrame:
     """Pairs at most radius apart, as structs l and r with distance2: a join by grid cells of the radius' size.
 
-    The smaller side should be right: its rows are sent to the cells around their own.
+    The smaller side should be right: its rows are sent to the cells around their own. Rows without a group (null) are a
+    group of their own.
     """
-    by = by or []
-    one = _celled(left, xyz, radius, False).select("_cell", *(F.col(k).alias(f"_k_{k}") for k in by), F.struct(*left.columns).alias("l"))
-    two = _celled(right, xyz, radius, True).select("_cell", *(F.col(k).alias(f"_k_{k}") for k in by), F.struct(*right.columns).alias("r"))
+    group = F.struct(F.lit(0), *(by or [])).alias("_k")  # a struct equals another that has nulls in the same places
+    one = _celled(left, xyz, radius, False).select("_cell", group, F.struct(*left.columns).alias("l"))
+    two = _celled(right, xyz, radius, True).select("_cell", group, F.struct(*right.columns).alias("r"))
     square = _square([F.col(f"l.{c}") for c in xyz], [F.col(f"r.{c}") for c in xyz])
-    return one.join(two, ["_cell", *(f"_k_{k}" for k in by)]).withColumn("distance2", square).where(F.col("distance2") <= radius * radius).select("l", "r", "distance2")
+    return one.join(two, ["_cell", "_k"]).withColumn("distance2", square).where(F.col("distance2") <= radius * radius).select("l", "r", "distance2")
 
 
 def far_from(left: DataFrame, right: DataFrame, xyz: list[str], distance: float, by: list[str] | None = None) -> DataFrame:
@@ -60,7 +61,7 @@ def far_from(left: DataFrame, right: DataFrame, xyz: list[str], distance: float,
     two = _celled(right.select(*by, *xyz), xyz, distance, True).select(F.col("_cell").alias("_c"), *(F.col(k).alias(f"_k_{k}") for k in by), *(F.col(c).alias(f"_r_{c}") for c in xyz))
     on = (F.col("_cell") == F.col("_c")) & (_square([F.col(c) for c in xyz], [F.col(f"_r_{c}") for c in xyz]) < distance * distance)
     for k in by:
-        on &= F.col(k) == F.col(f"_k_{k}")
+        on &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return one.join(two, on, "left_anti").drop("_cell")
 
 

@@ -63,8 +63,11 @@ def crossing(df: DataFrame, by: list[str], shell: str, value: str, threshold: fl
     return df.groupBy(*by).agg(F.coalesce(found, F.max(shell)).alias("crossing"), found.isNotNull().alias("crossed"))
 
 
-def lowest_pool(df: DataFrame, by: list[str], score: str, tie: str, target: int, key: Column) -> DataFrame:
-    """Of the 5 * target lowest-scoring rows of each group, `target` in the order of a hash."""
-    w = Window.partitionBy(*by)
-    pool = df.withColumn("_r", F.row_number().over(w.orderBy(score, tie))).where(F.col("_r") <= 5 * target)
-    return pool.withColumn("_k", F.row_number().over(w.orderBy(key, tie))).where(F.col("_k") <= target).drop("_r", "_k")
+def lowest_pool(df: DataFrame, by: list[str], score: str, tie: str, target: int | str, key: Column) -> DataFrame:
+    """Of the 5 * target lowest-scoring rows of each group, `target` in the order of a hash.
+
+    target: a number, or the column that has each group's own. A group with fewer rows than its target gives them all.
+    """
+    w, wanted = Window.partitionBy(*by), F.col(target) if isinstance(target, str) else F.lit(target)
+    pool = df.withColumn("_r", F.row_number().over(w.orderBy(score, tie))).where(F.col("_r") <= 5 * wanted)
+    return pool.withColumn("_k", F.row_number().over(w.orderBy(key, tie))).where(F.col("_k") <= wanted).drop("_r", "_k")

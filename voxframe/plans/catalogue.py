@@ -16,6 +16,7 @@ from ..functions import text as X
 from ..kernels import signal as S
 from ..kernels import volume as V
 from ..operators import aggregates as A
+from ..operators import decoys as D
 from ..operators import filters as P
 from ..operators import grouping as C
 from ..operators import joins as J
@@ -352,6 +353,29 @@ def agg2_robust_normalise(spark, sf_dir):
     return z.select("l_orderkey", "l_linenumber", r6("z").alias("z"))
 
 
+@query("""
+with e as (select event_id, value as v, case when user_id % 5 > 0 then event_type end as g from events),
+m as (select g, median(v) as c from e group by g), s as (select m.g, c, 1.4826 * median(abs(v - c)) as s from e join m on m.g is not distinct from e.g group by m.g, c)
+select event_id, round((v - c) / s, 6) + 0.0 as z from e join s on s.g is not distinct from e.g
+""")
+def agg2_robust_normalise_nulls(spark, sf_dir):
+    """Rows without a group are one group."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("value").alias("v"), F.when(F.col("user_id") % 5 > 0, F.col("event_type")).alias("g"))
+    return A.robust_normalise(e, "v", ["g"]).select("event_id", r6("z").alias("z"))
+
+
+@query(f"""
+with p as (select *, x + 2 * y as v from ({POINTS})), near as (select a.vec_id as i, a.label, b.v from p a join p b on a.label = b.label and (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) <= 225),
+own as (select i, count(*) as n, median(v) as m from near group by i), mad as (select near.i, n, m, 1.4826 * median(abs(v - m)) as s from near join own on own.i = near.i group by near.i, n, m),
+g as (select label, median(v) as c from p group by label), gs as (select label, c, 1.4826 * median(abs(v - c)) as s from p join g using (label) group by label, c)
+select vec_id, round(case when n < 5 then (v - c) / gs.s else (v - m) / case when mad.s > 0 then mad.s else gs.s end end, 6) + 0.0 as z, n < 5 as fell_back from p join mad on i = vec_id join gs using (label)
+""")
+def agg3_normalise_in_groups(spark, sf_dir):
+    """Neighbours and fallback of the row's own group."""
+    p = points(spark, sf_dir).withColumn("v", F.col("x") + 2 * F.col("y"))
+    return A.normalise_locally(p, "v", ["x", "y", "z"], 15.0, 5, "vec_id", ["label"], out="score").select("vec_id", r6("score").alias("z"), "fell_back")
+
+
 @query(f"""
 with p as (select *, x + 2 * y as v from ({POINTS})), near as (select a.vec_id as i, b.v from p a join p b on (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) <= 36),
 own as (select i, count(*) as n, median(v) as m from near group by i), mad as (select near.i, n, m, 1.4826 * median(abs(v - m)) as s from near join own on own.i = near.i group by near.i, n, m),
@@ -586,6 +610,14 @@ def grp2_suppress(spark, sf_dir):
     return C.suppress(p, ["label"], ["x", "y", "z"], "score", "vec_id", 6.0).select("vec_id", "label", r6("score").alias("score"))
 
 
+@query(GREEDY.replace("select vec_id, label, round", "select idx, label, round").format(points=f"select vec_id // 10 * 100 + label as vec_id, vec_id // 10 as idx, label, x, y, z, x + y as score from ({POINTS}) qualify row_number() over (partition by label, vec_id // 10 order by vec_id) = 1", same="x.label = y.label", square=36))
+def grp2_suppress_repeated(spark, sf_dir):
+    """The same numbers in every group."""
+    p = points(spark, sf_dir).groupBy("label", F.floor(F.col("vec_id") / 10).alias("idx")).agg(F.min_by(F.struct("x", "y", "z"), "vec_id").alias("p")).select("label", "idx", "p.*")
+    p = p.withColumn("score", F.col("x") + F.col("y"))
+    return C.suppress(p, ["label"], ["x", "y", "z"], "score", "idx", 6.0).select("idx", "label", r6("score").alias("score"))
+
+
 @query(GREEDY.format(points=f"select *, floor(x / 20) as score from ({POINTS})", same="true", square=81))
 def grp2_suppress_distributed(spark, sf_dir):
     """Without groups, and with many equal scores."""
@@ -593,10 +625,54 @@ def grp2_suppress_distributed(spark, sf_dir):
     return C.suppress(p, [], ["x", "y", "z"], "score", "vec_id", 9.0).select("vec_id", "label", r6("score").alias("score"))
 
 
-@query()
+# Complete linkage in SQL: of each tomogram, the nearest two groups whose rows are all near enough become one, again and again.
+LINKED = """
+with recursive pick as ({picks}),
+p as (select *, row_number() over (partition by tomogram_id order by picker, idx) as n from pick),
+d as (select a.tomogram_id, a.n as i, b.n as j, (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) as d2 from p a join p b on a.tomogram_id is not distinct from b.tomogram_id and a.n < b.n),
+g(tomogram_id, step, own) as (
+    select tomogram_id, 0, list(n order by n) from p group by tomogram_id
+    union all
+    select t, step + 1, list_transform(own, lambda k: case when k = least.b then least.a else k end)
+    from (select g.tomogram_id as t, step, own, (select min({{'w': w, 'a': a, 'b': b}}) from (
+        select least(own[i], own[j]) as a, greatest(own[i], own[j]) as b, count(*) filter (where d2 < {square}) as c, max(d2) as w
+        from d where d.tomogram_id is not distinct from g.tomogram_id and own[i] <> own[j] group by 1, 2) as pairs
+        where w < {square}) as least from g) as s where least is not null
+),
+last as (select tomogram_id, own from g qualify row_number() over (partition by tomogram_id order by step desc) = 1),
+member as (select p.*, own[n] as first_n from p join last on p.tomogram_id is not distinct from last.tomogram_id),
+about as (select tomogram_id, first_n, picker, avg(x) as mx, avg(y) as my, avg(z) as mz from member group by all),
+best as (select member.* from member join about on member.tomogram_id is not distinct from about.tomogram_id and member.first_n = about.first_n and member.picker = about.picker
+    qualify row_number() over (partition by member.tomogram_id, member.first_n, member.picker order by (x-mx)*(x-mx)+(y-my)*(y-my)+(z-mz)*(z-mz), idx) = 1),
+grouped as (select tomogram_id, first_n, avg(x) as cx, avg(y) as cy, avg(z) as cz, string_agg(picker, '+' order by picker) as sources, avg(confidence) as confidence, count(*)::int as n_pickers from best group by all),
+nearest as (select best.*, cx, cy, cz, sources, grouped.confidence as known, n_pickers from best join grouped on best.tomogram_id is not distinct from grouped.tomogram_id and best.first_n = grouped.first_n
+    qualify row_number() over (partition by best.tomogram_id, best.first_n order by (x-cx)*(x-cx)+(y-cy)*(y-cy)+(z-cz)*(z-cz), picker) = 1)
+select r.tomogram_id, f.picker as first_picker, f.idx as first_idx, round(cx, 6) + 0.0 as x, round(cy, 6) + 0.0 as y, round(cz, 6) + 0.0 as z, sources, round(known, 6) + 0.0 as confidence, n_pickers{carried}
+from nearest r join p f on f.tomogram_id is not distinct from r.tomogram_id and f.n = r.first_n where n_pickers >= {least}
+"""
+
+
+def _reconciled(found: DataFrame, *carried: str) -> DataFrame:
+    return found.select("tomogram_id", F.col("group_id.picker").alias("first_picker"), F.col("group_id.idx").alias("first_idx"), *(r6(c).alias(c) for c in "xyz"), "sources", r6("confidence").alias("confidence"), "n_pickers", *carried)
+
+
+@query(LINKED.format(picks=f"select label::varchar as tomogram_id, vec_id as idx, x, y, z, 'p' || vec_id % 2 as picker, x / 100 as confidence from ({POINTS})", square=144, least=1, carried=""))
 def grp3_reconcile(spark, sf_dir):
     p = points(spark, sf_dir).select(F.col("label").cast("string").alias("tomogram_id"), F.col("vec_id").alias("idx"), "x", "y", "z", F.format_string("p%d", F.col("vec_id") % 2).alias("picker"), (F.col("x") / 100).alias("confidence"))
-    return C.reconcile(p, 12.0, "union", 2)
+    return _reconciled(C.reconcile(p, 12.0, "union", 2))
+
+
+@query(LINKED.format(
+    picks=f"select case when label > 0 then label::varchar end as tomogram_id, vec_id // 3 as idx, x, y, z, 'p' || vec_id % 3 as picker, case when vec_id % 4 > 0 then x / 100 end as confidence, 'v' || vec_id % 7 as vesicle_id, vec_id as row_id from ({POINTS})",
+    square=625, least=2, carried=", r.vesicle_id, r.row_id",
+))
+def grp4_consensus(spark, sf_dir):
+    """Three pickers that number their picks alike, unknown confidences and tomograms, and what the nearest representative carries."""
+    p = points(spark, sf_dir).select(
+        F.when(F.col("label") > 0, F.col("label").cast("string")).alias("tomogram_id"), F.floor(F.col("vec_id") / 3).alias("idx"), "x", "y", "z", F.format_string("p%d", F.col("vec_id") % 3).alias("picker"),
+        F.when(F.col("vec_id") % 4 > 0, F.col("x") / 100).alias("confidence"), F.format_string("v%d", F.col("vec_id") % 7).alias("vesicle_id"), F.col("vec_id").alias("row_id"),
+    )
+    return _reconciled(C.reconcile(p, 25.0, "intersection", 2, ("vesicle_id", "row_id")), "vesicle_id", "row_id")
 
 
 @query("""
@@ -638,6 +714,49 @@ def grp16_single_linkage(spark, sf_dir):
     return C.single_linkage(points(spark, sf_dir), ["label"], ["x", "y", "z"], "vec_id", 5.0)
 
 
+# decoys
+
+
+def hash_sql(part: int, *of: str) -> str:
+    """decoys.hashed with seed 0 in SQL."""
+    return f"('0x' || substr(md5(concat_ws(':', '0', {', '.join(of)})), {1 + 8 * part}, 8))::bigint / 4294967296.0"
+
+
+@query(f"""
+with p as (select label::varchar as tomogram_id, vec_id as idx, x, y, z, x + y as score, vec_id % 3 = 0 as taken from ({POINTS})),
+wanted as (select tomogram_id, greatest(1, round_even(count(*) filter (where taken and vec_id_even) * 0.25, 0))::bigint as n from (select *, idx % 2 = 0 as vec_id_even from p) group by 1),
+apart as (select * from p where score < 100 and not exists (select 1 from p r where r.taken and r.idx % 2 = 0 and r.tomogram_id = p.tomogram_id and (r.x-p.x)*(r.x-p.x)+(r.y-p.y)*(r.y-p.y)+(r.z-p.z)*(r.z-p.z) < 100)),
+pool as (select apart.*, n from apart join wanted using (tomogram_id) qualify row_number() over (partition by tomogram_id order by score, idx) <= 5 * n),
+drawn as (select * from pool qualify row_number() over (partition by tomogram_id order by {hash_sql(0, "tomogram_id", "idx::varchar")}, idx) <= n)
+select tomogram_id, idx, round(score, 6) + 0.0 as score from drawn
+""")
+def dec2_rejected_surface(spark, sf_dir):
+    """Each tomogram gives a quarter as many decoys as it has real picks."""
+    p = points(spark, sf_dir).select(F.col("label").cast("string").alias("tomogram_id"), F.col("vec_id").alias("idx"), "x", "y", "z", (F.col("x") + F.col("y")).alias("score"))
+    found = D.from_rejected(p, p.where("idx % 6 = 0"), 100.0, 10.0, ratio=0.25)
+    return found.select("tomogram_id", "idx", r6("score").alias("score"))
+
+
+@query(f"""
+with p as (select label::varchar as tomogram_id, vec_id, x, y, z from ({POINTS})), pick as (select * from p where vec_id % 4 = 0), surface as (select *, z - y as nx, x as ny, y as nz from p where vec_id % 4 = 1),
+tried as (select pick.*, k, 2 * {hash_sql(0, "vec_id::varchar", "k::varchar")} - 1 as rise, 2 * pi() * {hash_sql(1, "vec_id::varchar", "k::varchar")} as turn, 8 + 22 * {hash_sql(2, "vec_id::varchar", "k::varchar")} as length from pick, range(200) t(k)),
+place as (select tomogram_id, vec_id, k, x + sqrt(1 - rise * rise) * length * cos(turn) as x, y + sqrt(1 - rise * rise) * length * sin(turn) as y, z + rise * length as z from tried),
+inside as (select place.* from place where x >= 0 and y >= 0 and z >= 0 and x <= 89 + tomogram_id::int and y <= 99 and z <= 109),
+good as (select * from inside c where not exists (select 1 from pick r where r.tomogram_id = c.tomogram_id and (r.x-c.x)*(r.x-c.x)+(r.y-c.y)*(r.y-c.y)+(r.z-c.z)*(r.z-c.z) < 144)
+    and not exists (select 1 from surface r where r.tomogram_id = c.tomogram_id and (r.x-c.x)*(r.x-c.x)+(r.y-c.y)*(r.y-c.y)+(r.z-c.z)*(r.z-c.z) < 100)),
+first_one as (select * from good qualify row_number() over (partition by vec_id order by k) = 1),
+near as (select f.*, s.nx, s.ny, s.nz from first_one f join surface s using (tomogram_id) qualify row_number() over (partition by f.vec_id order by (s.x-f.x)*(s.x-f.x)+(s.y-f.y)*(s.y-f.y)+(s.z-f.z)*(s.z-f.z)) = 1)
+select tomogram_id, vec_id, round(x, 5) + 0.0 as x, round(y, 5) + 0.0 as y, round(z, 5) + 0.0 as z, round(nx, 5) + 0.0 as nx, round(ny, 5) + 0.0 as ny, round(nz, 5) + 0.0 as nz from near
+""")
+def dec3_shifted(spark, sf_dir):
+    """Each tomogram has a shape of its own."""
+    p = points(spark, sf_dir).withColumn("tomogram_id", F.col("label").cast("string"))
+    surface = p.where("vec_id % 4 = 1").select("tomogram_id", "x", "y", "z", (F.col("z") - F.col("y")).alias("nx"), F.col("x").alias("ny"), F.col("y").alias("nz"))
+    shapes = p.select("tomogram_id", F.lit(110).alias("nz"), F.lit(100).alias("ny"), (F.col("label") + 90).alias("nx")).distinct()
+    found = D.shifted(p.where("vec_id % 4 = 0").select("tomogram_id", "vec_id", "x", "y", "z"), surface, shapes, "vec_id", 8.0, 30.0, 10.0, 12.0)
+    return found.select("tomogram_id", "vec_id", *((F.round(c, 5) + F.lit(0.0)).alias(c) for c in ("x", "y", "z", "nx", "ny", "nz")))
+
+
 # bookkeeping joins, listings and checks
 
 

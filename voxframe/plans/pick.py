@@ -175,10 +175,8 @@ def raw_picks(scored: DataFrame, picker: str = "native") -> DataFrame:
 
 def particle_set(picks: DataFrame, threshold_voxels: float, rule: str = "union", n_pickers: int = 1, max_beam_angle: float | None = None, seed: int = 0) -> DataFrame:
     """Reconciled picks with ids and halves; whole tomograms go to one half. The angle filter comes after the halves."""
-    flat = picks.select("tomogram_id", "idx", "x", "y", "z", "picker", F.col("score").alias("confidence"))
-    groups = reconcile(flat, threshold_voxels, rule, n_pickers)
-    carried = picks.select("tomogram_id", F.col("idx").alias("group_id"), "orientation", "beam_angle", "vesicle_id").dropDuplicates(["tomogram_id", "group_id"])
-    rows = groups.join(carried, ["tomogram_id", "group_id"], "left").withColumnRenamed("sources", "source_picker")
+    flat = picks.select("tomogram_id", "picker", "idx", "x", "y", "z", F.col("score").alias("confidence"), "orientation", "beam_angle", "vesicle_id")
+    rows = reconcile(flat, threshold_voxels, rule, n_pickers, ("orientation", "beam_angle", "vesicle_id")).withColumnRenamed("sources", "source_picker")
     rows = numbered(rows, "p", [F.col("tomogram_id"), F.col("group_id")])
     counts = rows.groupBy("tomogram_id").agg(F.count(F.lit(1)).alias("n"))
     halves = split_halves(counts, "tomogram_id", "n", F.md5(F.concat(F.lit(f"{seed}:"), "tomogram_id").cast("binary")))

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import box_voxels, decoy_count, effective_threshold, quaternion_from_normal
+from ..functions.geometry import box_voxels, decoys_wanted, effective_threshold, quaternion_from_normal
 from ..functions.text import stage_folder
 from ..operators import decoys as D
 from ..operators.joins import labels_for
@@ -29,6 +29,7 @@ class RunSettings:
     rule: str = "union"
     max_beam_angle: float | None = None
     decoy_ratio: float = 1.0
+    decoy_count: int | None = None
     decoy_distance_voxels: float = 6.0
     decoy_method: str = "rejected-surface"
     decoy_shift_voxels: tuple[float, float] = (8.0, 20.0)
@@ -150,14 +151,14 @@ class Run:
         """tomogram_id, x, y, z, nx, ny, nz of the decoys, by the method asked for."""
         s, xyz = self.s, ["x", "y", "z"]
         scored = self.spark.read.parquet(*(str(p.with_suffix("")) for p in Path(f"{self.where('real', 'pick')}/scored").glob("*.done")))
-        most = real.groupBy("tomogram_id").count().agg(F.max("count")).first()[0]
-        wanted = decoy_count(most, s.decoy_ratio)
         if s.decoy_method == "rejected-surface":
             threshold = effective_threshold(s.pick.n_mad, len(s.pick.windows))
-            return D.from_rejected(scored, real, threshold, s.decoy_distance_voxels, wanted)
+            return D.from_rejected(scored, real, threshold, s.decoy_distance_voxels, s.decoy_count, s.decoy_ratio)
         if s.decoy_method == "shifted":
-            shape = mrc.volumes(self.spark, s.segmentations, voxels=False).agg(F.min("nz"), F.min("ny"), F.min("nx")).first()
-            return D.shifted(real.select("tomogram_id", *xyz), scored.select("tomogram_id", *xyz, "nx", "ny", "nz"), tuple(shape), *s.decoy_shift_voxels, s.decoy_off_surface_voxels, s.decoy_distance_voxels)
+            shapes = mrc.volumes(self.spark, s.segmentations, voxels=False).select(F.col("stem").alias("tomogram_id"), "nz", "ny", "nx")
+            surface = scored.select("tomogram_id", *xyz, "nx", "ny", "nz").dropDuplicates(["tomogram_id", *xyz])
+            return D.shifted(real.select("tomogram_id", "particle_id", *xyz), surface, shapes, "particle_id", *s.decoy_shift_voxels, s.decoy_off_surface_voxels, s.decoy_distance_voxels)
+        wanted = s.decoy_count or real.groupBy("tomogram_id").count().agg(F.max(decoys_wanted(F.col("count"), s.decoy_ratio))).first()[0]
         folder, shape = self.where("decoy", "pick"), tuple(s.noise_shape)
         sign = -1.0 if s.pick.dark else 1.0
         self.put("decoy", "pick", manifests=D.noise_manifests(self.spark, s.noise_count, shape, f"{folder}/volumes", self.voxel(), sign))
