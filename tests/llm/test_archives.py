@@ -214,6 +214,7 @@ def mined(spark, rows, anchor, **more):
 def test_negatives_by_hand(spark, width, monkeypatch):
     monkeypatch.setattr(hardneg, "TILE_ROWS", 16)
     monkeypatch.setattr(hardneg, "TILE_ANCHORS", 4)
+    monkeypatch.setattr(hardneg, "PAIRS", 7)
     rng = random.Random(width)
     rows = [(k, rng.randrange(3), [rng.gauss(0.02, 0.1) for _ in range(width)]) for k in range(150)]
     rows += [(1000 + k, k % 3, [0.1] * width) for k in range(60)]  # one very common vector
@@ -233,7 +234,7 @@ def test_negatives_of_nothing(spark):
     assert mined(spark, [(k, k % 2, []) for k in range(4)], F.col("vec_id") == 0) == Counter({(0, 2, 1, 1, 0, 0): 1, (0, 2, 2, 3, 0, 0): 1})
 
 
-def test_bounds_hold():
+def test_bounds_hold(monkeypatch):
     rng = np.random.default_rng(0)
     vectors = rng.integers(-200, 200, (300, 7))
     edges = np.sort(np.concatenate([vectors.min(0)[:, None], rng.integers(-200, 200, (7, hardneg.CELLS - 1)), vectors.max(0)[:, None] + 1], axis=1), axis=1)
@@ -241,6 +242,9 @@ def test_bounds_hold():
     packed = (codes[:, ::2] * hardneg.CELLS + codes[:, 1::2]).astype(np.uint8)
     anchors = rng.integers(-200, 200, (5, 7))
     exact = vectors @ anchors.T
+    row, anchor = np.nonzero(np.ones_like(exact))
+    monkeypatch.setattr(hardneg, "PAIRS", 100)
+    assert np.array_equal(hardneg._exact(vectors.astype("<i4"), anchors, row, anchor), exact.ravel())
     low, high = (hardneg._summed(hardneg._bounds(anchors, edges, upper), packed) for upper in (False, True))
     assert (low <= exact).all() and (exact <= high).all() and (high - low).mean() < np.ptp(exact)
 

@@ -187,9 +187,16 @@ def _summed(table: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Pairs whose components are held at once.
+PAIRS = 1 << 14
+
+
 def _exact(vectors: np.ndarray, anchors: np.ndarray, row: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    parts = [np.einsum("ij,ij->i", vectors[row[k : k + 1 << 14]].astype(np.int64), anchors[anchor[k : k + 1 << 14]]) for k in range(0, len(row), 1 << 14)]
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    out = np.zeros(len(row), np.int64)
+    for k in range(0, len(row), PAIRS):
+        some = slice(k, k + PAIRS)
+        out[some] = np.einsum("ij,ij->i", vectors[row[some]].astype(np.int64), anchors[anchor[some]])
+    return out
 
 
 @dataclass
