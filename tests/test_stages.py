@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxframe.kernels import signal as S
 from voxframe.kernels import volume as V
+import by_hand
 from voxframe.operators import decoys as D
 from voxframe.operators.review import Review, load_review, save_review
 from voxframe.plans import classify, identify, pick
@@ -248,7 +249,7 @@ def test_work_goes_on_where_it_stopped(spark, tmp_path):
 def test_scores_by_neighbours_and_vesicles():
     rng = np.random.default_rng(3)
     points, x = rng.uniform(0, 30, (150, 3)), rng.normal(size=150)
-    got, few = pick.by_neighbours(x, points, 7.0, 6)
+    got, few = by_hand.by_neighbours(x, points, 7.0, 6)
     mad = lambda v: 1.4826 * np.median(np.abs(v - np.median(v)))
     for i in range(150):
         near = x[((points - points[i]) ** 2).sum(axis=1) <= 49]
@@ -256,11 +257,11 @@ def test_scores_by_neighbours_and_vesicles():
         assert few[i] == (len(near) < 6) and np.isclose(got[i], (x[i] - own[0]) / own[1])
     assert few.any() and not few.all()
     groups = np.array(["", "a", "b"], object)[rng.integers(0, 3, 150)]
-    got, fell = pick.by_vesicle(x, groups)
-    assert np.array_equal(fell, groups == "") and np.allclose(got[groups == "a"], pick.robust(x[groups == "a"])) and np.allclose(got[fell], pick.robust(x)[fell])
+    got, fell = by_hand.by_vesicle(x, groups)
+    assert np.array_equal(fell, groups == "") and np.allclose(got[groups == "a"], by_hand.robust(x[groups == "a"])) and np.allclose(got[fell], by_hand.robust(x)[fell])
     offsets = np.linspace(20, 50, 5)
     own = np.exp(-0.5 * ((offsets - 35) / 7.5) ** 2)
-    assert np.isclose(np.corrcoef(pick.profile_shape(20, 50, 5, None), own)[0, 1], 1)
+    assert np.isclose(np.corrcoef(by_hand.profile_shape(20, 50, 5, None), own)[0, 1], 1)
     with pytest.raises(ValueError):
         pick.PickSettings(windows=[(50.0, 20.0)])
     assert pick.PickSettings(windows=[(20.0, 20.0)], normalisation="local").margin_angstrom == 20
@@ -373,6 +374,136 @@ def test_groups_are_told_apart(spark):
     assert got == {(t, k): (0.0, False) if k == 0 else (pytest.approx((k - 1) * own), True) for t in ("t0", "t1", None) for k in range(3)}
 
 
+@pytest.fixture(scope="module")
+def curved(tmp_path_factory):
+    """Two tomograms of different shapes with labelled shells, dips beside them, and one without a membrane."""
+    root, rng = tmp_path_factory.mktemp("curved"), np.random.default_rng(11)
+    for k, shape in enumerate(((44, 52, 48), (36, 40, 60), (20, 20, 20))):
+        grid = np.indices(shape).astype(float)
+        tomo, seg, labels = rng.normal(size=shape), np.zeros(shape), np.zeros(shape)
+        for v, centre in enumerate(((18, 20, 18), (22, 24, 40))[: 2 - k] if k < 2 else ()):
+            r = np.sqrt(sum((g - c) ** 2 for g, c in zip(grid, centre, strict=True)))
+            shell = np.abs(r - 9) <= 1
+            seg[shell], labels[r <= 11] = 1, v + 1
+            for way in ((0, 0, 1), (0, 1, 0), (1, 0, 0)):
+                at = np.array(centre) + 13 * np.array(way)
+                tomo[tuple(slice(max(0, int(a) - 1), int(a) + 2) for a in at)] = -9
+        for name, volume in (("seg", seg), ("tomo", tomo), ("labels", labels)):
+            (root / name).mkdir(exist_ok=True)
+            mrc.write_volume(str(root / name / (f"c{k}_mask.mrc" if name == "seg" else f"c{k}_mask_labelled.mrc" if name == "labels" else f"c{k}.mrc")), volume, 10.0)
+    return root
+
+
+@pytest.mark.parametrize(("normalisation", "mode", "labelled"), [("global", "mean", False), ("local", "profile", False), ("vesicle", "mean", True)])
+def test_slabs_give_what_whole_volumes_give(spark, curved, monkeypatch, normalisation, mode, labelled):
+    from voxframe.operators.joins import labels_for
+    from voxframe.plans import slabs
+
+    monkeypatch.setattr(slabs, "SLAB_BYTES", 4 * 52 * 60 * 5)  # five planes
+    monkeypatch.setattr(slabs, "POINTS", 300)
+    s = pick.PickSettings(windows=[(20.0, 50.0), (30.0, 60.0)], n_mad=2.0 if mode == "mean" else 0.5, separation_angstrom=45.0, spacing_angstrom=15.0, boundary_margin_angstrom=30.0, normalisation=normalisation, mode=mode, local_radius_angstrom=60.0, min_local_neighbours=30)
+    found = mrc.manifests(spark, f"{curved}/seg", f"{curved}/tomo")[0]
+    if labelled:
+        found = labels_for(found, mrc.volumes(spark, f"{curved}/labels", voxels=False).select("stem", F.col("path").alias("label_path"))).drop("stem")
+    got = {}
+    for r in slabs.scored(found, s).collect():
+        got[r.tomogram_id, r.x, r.y, r.z, round(r.nx, 6), round(r.ny, 6), round(r.nz, 6)] = r
+    want = {}
+    for k in range(2):
+        tomo, seg, labels = (mrc.read_volume(f"{curved}/{x}") for x in (f"tomo/c{k}.mrc", f"seg/c{k}_mask.mrc", f"labels/c{k}_mask_labelled.mrc"))
+        for r in by_hand.score_surface(tomo, seg, 10.0, s, labels if labelled else None, f"c{k}_mask").itertuples():
+            want[r.tomogram_id, r.x, r.y, r.z, round(r.nx, 6), round(r.ny, 6), round(r.nz, 6)] = r
+    assert got.keys() == want.keys() and len(want) > 600
+    for key, w in want.items():
+        g = got[key]
+        assert np.allclose((g.score, g.mean_score, g.profile_score), (w.score, w.mean_score, w.profile_score), atol=1e-9), key
+        assert (g.window, g.vesicle_id, g.fell_back, g.kept) == (w.window, w.vesicle_id, w.fell_back, w.kept), key
+    assert 0 < sum(r.kept for r in got.values()) < len(got) / 4
+    for name in ("c0_mask", "c1_mask"):  # ties go by idx, so it rises as by hand
+        ids = [[key for key, _ in sorted(((k, getattr(r, "idx")) for k, r in rows.items() if k[0] == name), key=lambda x: x[1])] for rows in (got, want)]
+        assert ids[0] == ids[1]
+
+
+def test_background_median_is_exact(spark, curved, monkeypatch):
+    from voxframe.plans import slabs
+
+    monkeypatch.setattr(slabs, "SLAB_BYTES", 4 * 52 * 60 * 3)
+    shapes = slabs.shaped(mrc.manifests(spark, f"{curved}/seg", f"{curved}/tomo")[0])
+    got = {r.tomogram_id: r.background for r in slabs.background_medians(slabs.in_slabs(shapes)).collect()}
+    for k in range(3):
+        tomo, seg = mrc.read_volume(f"{curved}/tomo/c{k}.mrc"), mrc.read_volume(f"{curved}/seg/c{k}_mask.mrc")
+        assert got[f"c{k}_mask"] == float(np.median(tomo[seg <= 0]))
+    values = np.array([-np.inf, -3.5, -0.0, 0.0, 1e-40, 2.0, np.inf], np.float32)
+    assert (np.diff(slabs._sortable(values).astype(np.int64)) >= 0).all()
+
+
+def test_areas_of_labelled_surfaces(spark, curved, tmp_path, monkeypatch):
+    from voxframe.plans import slabs
+
+    g = np.indices((60, 56, 50)) - np.array([28, 27, 24])[:, None, None, None]
+    r = np.sqrt((g**2).sum(axis=0))
+    smooth, label = np.clip((15.3 - r) / 5 + 0.5, 0, 1), np.where(r < 19, np.where(g[2] < 0, 1, 4), 0)
+    triangles = V.surface_triangles(smooth)
+    whole = V.triangle_areas(triangles).sum()
+    assert abs(whole / (4 * np.pi * 15.3**2) - 1) < 0.02 and np.isclose(np.linalg.norm(triangles - (28, 27, 24), axis=2), 15.3, atol=0.1).all()
+    assert len(V.surface_triangles(np.zeros((4, 4, 4)))) == 0
+    assert np.isclose(V.triangle_areas(V.surface_triangles(np.repeat([0.0, 1.0], 3)[:, None, None] * np.ones((6, 5, 4)))).sum(), 12)
+    for name, v in (("seg", smooth), ("raw", smooth), ("labels", label)):
+        mrc.write_volume(f"{tmp_path}/{name}.mrc", v.astype(float), 2.0)
+    m = spark.createDataFrame([("t", f"{tmp_path}/seg.mrc", f"{tmp_path}/raw.mrc", f"{tmp_path}/labels.mrc", 2.0), ("u", f"{tmp_path}/seg.mrc", f"{tmp_path}/raw.mrc", None, 2.0)], "tomogram_id string, segmentation_path string, raw_tomogram_path string, label_path string, voxel_size_angstrom double")
+    monkeypatch.setattr(slabs, "SLAB_BYTES", 4 * 56 * 50 * 7)
+    areas = {r.vesicle_id: r.area for r in slabs.surface_areas(m).collect()}
+    assert areas.keys() == {"t:v0001", "t:v0004"} and np.isclose(sum(areas.values()), 4 * whole) and abs(areas["t:v0001"] / areas["t:v0004"] - 1) < 0.1
+
+
+def test_heavy_rows_reach_many_tasks(spark, curved):
+    """With adaptive execution on: small rows that are long work."""
+    from voxframe.scratch import dealt
+
+    cores = spark.sparkContext.defaultParallelism
+    count = lambda df: len({r[0] for r in df.select(F.spark_partition_id()).collect()})
+    units = spark.range(64).withColumn("cost", F.lit(1))
+    assert count(dealt(units, F.col("cost"), ["id"], 1000)) == cores
+    assert count(dealt(units, F.col("cost"), ["id"], 4)) == 16
+    assert count(dealt(units.limit(2), F.col("cost"), ["id"], 1)) == 2 and dealt(units.limit(0), F.col("cost"), ["id"], 1).count() == 0
+    # one tomogram has most rows: it is split, and rows stay in order
+    skewed = spark.range(1000).select(F.when(F.col("id") < 900, "a").otherwise("b").alias("t"), "id", F.when(F.col("id") % 100 == 0, 50).otherwise(1).alias("cost"))
+    parts = dealt(skewed, F.col("cost"), ["t", "id"], 150).select("*", F.spark_partition_id().alias("p")).collect()
+    loads = {}
+    for r in parts:
+        loads[r.p] = loads.get(r.p, 0) + r.cost
+    assert len(parts) == 1000 and max(loads.values()) <= 200 and len(loads) == 10
+    assert [r.id for r in sorted(parts, key=lambda r: r.p)] == list(range(1000))
+    particles = spark.range(400).select(F.format_string("p%03d", "id").alias("particle_id"), F.lit("c0_mask").alias("tomogram_id"), F.lit("A").alias("half_set"), F.lit("").alias("vesicle_id"), F.lit(20.0).alias("x"), F.lit(20.0).alias("y"), (F.col("id") / 10).alias("z"), F.struct(*(F.lit(v).alias(n) for n, v in zip("wxyz", (1.0, 0.0, 0.0, 0.0), strict=True))).alias("orientation"))
+    boxes = classify.extract(particles, mrc.manifests(spark, f"{curved}/seg", f"{curved}/tomo")[0], 5, each=40)
+    volume = mrc.read_volume(f"{curved}/tomo/c0.mrc")
+    rows = {r.particle_id: r for r in boxes.collect()}
+    kept = [r for r in rows.values() if r.kept]
+    assert len(rows) == 400 and 300 < len(kept) < 400 and count(boxes.where("kept")) >= 8
+    for r in kept[::37]:
+        z = int(r.particle_id[1:]) / 10
+        assert np.allclose(np.frombuffer(r.data, np.float32).reshape(5, 5, 5), V.extract_box(volume, np.array([20, 20, z]), np.array([1.0, 0, 0, 0]), 5), atol=1e-5)
+
+
+def test_search_by_fourier_is_the_loop(spark):
+    """Scores at all shifts, against shifting and correlating one by one."""
+    rng = np.random.default_rng(12)
+    for shape, reach in (((6, 7, 8), 3), ((9, 9, 9), 1), ((5, 5, 5), 0)):
+        reference, candidate = rng.normal(size=shape), rng.normal(size=shape) + 5
+        search = V.Shifted(reference, reach)
+        found = search.correlations(candidate)
+        for by in np.ndindex(*[2 * reach + 1] * 3):
+            d = tuple(k - reach for k in by)
+            padded = np.pad(candidate, reach)
+            moved = padded[tuple(slice(reach - k, reach - k + n) for k, n in zip(d, shape, strict=True))]
+            want = V.correlation(reference, moved, V.significant(reference))
+            assert abs(found[by] - want) < 1e-9 and abs(search.exact(candidate, d) - want) < 1e-12
+    assert not V.Shifted(reference, 1).correlations(np.zeros(shape)).any() and not V.Shifted(np.ones(shape), 1).correlations(candidate).any()
+    box = rng.normal(size=(7, 7, 7))
+    moved = V.shift(box, (1, -1, 0))
+    assert V.fit_score(moved, box, turns=1, tilts=(0,), shifts=(-1, 0, 1)) > V.fit_score(moved, box, turns=1, tilts=(0,), shifts=(0,))
+
+
 def test_suppression_in_rounds_is_the_greedy_one(spark):
     from voxframe.kernels.cluster import suppress as greedy
     from voxframe.operators.grouping import suppress

@@ -289,6 +289,12 @@ def bump(n: int, width: float = 0.25) -> list[float]:
     return [math.exp(-0.5 * (((i - (n - 1) / 2) / (n * width)) ** 2)) for i in range(n)]
 
 
+def window_profile(low: float, high: float, samples: int, width: float | None = None) -> list[float]:
+    """A Gaussian about a window's middle at the samples' offsets; the width is a quarter of the window unless given."""
+    sigma = width or (high - low) / 4 or 1.0
+    return [math.exp(-0.5 * ((low + (high - low) * i / (samples - 1) - (low + high) / 2) / sigma) ** 2) for i in range(samples)]
+
+
 def profile_correlation(profile: Column, shape: list[float]) -> Column:
     """Pearson correlation with a fixed profile; 0 for a flat one. At least three samples."""
     if len(shape) < 3:

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def inside_margin(position: list[Column], shape: list[Column | int], margin: float) -> Column:
+def inside_margin(position: list[Column], shape: list[Column | int], margin: Column | float) -> Column:
     """All axes at least margin from both faces, inclusive."""
     out = F.lit(True)
     for p, n in zip(position, shape, strict=True):
-        out &= p.between(margin, (n if isinstance(n, Column) else F.lit(n)) - 1 - margin)
+        out &= p.between(margin if isinstance(margin, Column) else F.lit(margin), (n if isinstance(n, Column) else F.lit(n)) - 1 - margin)
     return out
 
 

@@ -11,46 +11,57 @@ from ..functions.text import cluster_name
 from ..kernels import signal as S
 from ..kernels import volume as V
 from ..operators.aggregates import elementwise_mean, joined_moments, moments
-from ..operators.filters import box_fits, single_half
+from ..operators.filters import box_fits, kept_and_skipped, single_half
 from ..operators.grouping import centroids, cluster, match_halves, reduce
 from ..operators.joins import remapped, with_paths
-from ..scratch import written
+from ..scratch import dealt, written
 from ..sources import mrc
+from . import slabs
 
 BOXES = "particle_id string, tomogram_id string, half_set string, vesicle_id string, kept boolean, data binary"
 
 
-def extract(particles: DataFrame, manifests: DataFrame, box: int, subtract: bool = False) -> DataFrame:
+#: Boxes that a task cuts.
+BOXES_EACH = 1000
+
+
+def extract(particles: DataFrame, manifests: DataFrame, box: int, subtract: bool = False, each: int = BOXES_EACH) -> DataFrame:
     """Oriented boxes of each particle (float32 bytes, axes x, y, z); what can't be cut has kept = false.
 
-    Particles are grouped by tomogram, so a volume is read once for each batch of its particles.
+    Particles that follow each other in z go to a task together, `each` at most, so a tomogram with very many is cut by several; a task
+    reads the planes around its own.
     """
-    wanted = manifests.select("tomogram_id", "segmentation_path", "raw_tomogram_path")
-    rows = particles.select("particle_id", "tomogram_id", "half_set", "vesicle_id", "x", "y", "z", "orientation")
-    rows = with_paths(rows, wanted)
-    salted = rows.repartition("tomogram_id").sortWithinPartitions("tomogram_id")
+    slim = particles.select("particle_id", "tomogram_id", "half_set", "vesicle_id", "x", "y", "z", "orientation")
+    volumes = written(slabs.shaped(manifests), "shapes")
+    fits = box_fits([F.col(c) for c in "xyz"], [F.col(c) for c in ("nx", "ny", "nz")], box) & F.col("orientation").isNotNull()
+    inside, skipped = kept_and_skipped(with_paths(slim, volumes), fits)
+    background = slabs.background_medians(slabs.in_slabs(volumes)) if subtract else volumes.select("tomogram_id", F.lit(None).cast("double").alias("background"))
+    ready = inside.join(background, "tomogram_id", "left")
 
     def cut(batches):
-        name, volume = None, None
         for batch in batches:
             out = []
-            for r in batch.itertuples():
-                data = None
-                if r.raw_tomogram_path and r.orientation is not None:
-                    if r.tomogram_id != name:
-                        name, volume = r.tomogram_id, mrc.read_volume(r.raw_tomogram_path)
-                        if subtract and r.segmentation_path:
-                            seg = mrc.read_volume(r.segmentation_path)
-                            volume = V.fill_membrane(volume, seg) if seg.shape == volume.shape else volume
-                    at, reach = np.array([r.x, r.y, r.z]), (box - 1) / 2 * np.sqrt(3)
-                    if (at >= reach).all() and (at <= np.array(volume.shape[::-1]) - reach).all():
-                        q = r.orientation
-                        q = np.array([q[k] for k in "wxyz"] if isinstance(q, dict) else [q.w, q.x, q.y, q.z])
-                        data = V.extract_box(volume, at, q, box).tobytes()
-                out.append((r.particle_id, r.tomogram_id, r.half_set, r.vesicle_id, data is not None, data))
+            for _, own in batch.groupby(["tomogram_id", batch["z"] // PLANES]):
+                r, around = own.iloc[0], int(np.ceil((box - 1) / 2 * np.sqrt(3))) + 2
+                start = max(0, int(own["z"].min()) - around)
+                n = min(r.nz, int(own["z"].max()) + around + 1) - start
+                volume = mrc.read_volume(r.raw_tomogram_path, start, n)
+                if r.background == r.background and r.background is not None:
+                    volume[mrc.read_volume(r.segmentation_path, start, n) > 0] = np.float32(r.background)
+                for p in own.itertuples():
+                    q = p.orientation
+                    q = np.array([q[k] for k in "wxyz"] if isinstance(q, dict) else [q.w, q.x, q.y, q.z])
+                    data = V.extract_box(volume, np.array([p.x, p.y, p.z - start]), q, box).tobytes()
+                    out.append((p.particle_id, p.tomogram_id, p.half_set, p.vesicle_id, True, data))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in BOXES.split(", ")])
 
-    return salted.mapInPandas(cut, BOXES)
+    boxes = dealt(ready, F.lit(1), ["tomogram_id", "z", "particle_id"], each).mapInPandas(cut, BOXES)
+    empty = skipped.select("particle_id", "tomogram_id", "half_set", "vesicle_id", F.lit(False).alias("kept"), F.lit(None).cast("binary").alias("data"))
+    return boxes.unionByName(empty)
+
+
+#: Planes that are read at once, besides those around a box.
+PLANES = 64
 
 
 def feature_rows(boxes: DataFrame, box: int, by_tomogram: bool = True, least: int = 50, **options) -> DataFrame:

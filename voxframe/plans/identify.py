@@ -13,6 +13,7 @@ from ..kernels import volume as V
 from ..operators.aggregates import decoy_control, elementwise_mean
 from ..operators.joins import all_candidates, pending
 from ..operators.windows import rank_with_gap
+from ..scratch import dealt
 from ..sources import mrc
 from .state import half_map
 
@@ -35,10 +36,14 @@ def load_averages(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+#: Pairs that a task fits.
+FITS = 4
+
+
 def fit_all(averages: DataFrame, panel: DataFrame, atoms: dict[str, tuple[np.ndarray, np.ndarray]], resolution: float, done: DataFrame | None = None, absolute: bool = True, **search) -> DataFrame:
     """cluster_id, candidate_protein, at, fit_score for every class with every candidate; finished pairs are left out.
 
-    Each pair is a task's row of its own; candidates' atoms are a few thousand numbers each. Averages and candidates are
+    Pairs are dealt out, FITS to a task at most; candidates' atoms are a few thousand numbers each. Averages and candidates are
     compared at one resolution and smeared about z.
     """
 
@@ -61,7 +66,7 @@ def fit_all(averages: DataFrame, panel: DataFrame, atoms: dict[str, tuple[np.nda
                 scores.append(V.fit_score(np.array(r.mean).reshape((r.box,) * 3), own, absolute=absolute, **search))
             yield pd.DataFrame({"cluster_id": rows["cluster_id"], "candidate_protein": rows["candidate_protein"], "at": rows["at"], "fit_score": scores})
 
-    spread = pairs.repartition(F.col("cluster_id"), F.col("candidate_protein"))
+    spread = dealt(pairs, F.lit(1), ["cluster_id", "candidate_protein"], FITS)
     return spread.mapInPandas(fit, "cluster_id string, candidate_protein string, at int, fit_score double")
 
 

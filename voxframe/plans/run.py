@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -14,7 +15,7 @@ from ..functions.text import stage_folder
 from ..operators import decoys as D
 from ..operators.joins import labels_for
 from ..sources import mrc, records, sinks
-from . import classify, identify, pick
+from . import classify, identify, pick, slabs
 from .state import RunState, half_tree, resumed, signatures, symmetry
 
 
@@ -25,8 +26,10 @@ class RunSettings:
     out: str
     voxel: float | None = None
     pick: pick.PickSettings = field(default_factory=pick.PickSettings)
+    pickers: tuple[str, ...] = ("native",)
     threshold_voxels: float = 5.0
     rule: str = "union"
+    seed: int = 0
     max_beam_angle: float | None = None
     decoy_ratio: float = 1.0
     decoy_count: int | None = None
@@ -79,6 +82,10 @@ class RunSettings:
         return cls(pick=pick.PickSettings(**own), **flat)
 
     def __post_init__(self):
+        if unknown := [p for p in self.pickers if p not in pick.PICKERS]:
+            raise ValueError(f"unknown pickers: {', '.join(unknown)}")
+        if not self.pickers:
+            raise ValueError("a picker is needed")
         if self.decoy_method not in DECOYS:
             raise ValueError(f"unknown decoy method {self.decoy_method}")
         if self.decoy_method == "synthetic-noise" and not self.noise_count:
@@ -120,9 +127,14 @@ class Run:
         return resumed(work, key, f"{self.where(track, stage)}/{name}", {"inputs": self.inputs(), **{k: str(v) for k, v in settings.items()}}, make)
 
     def manifests(self, track: str = "real") -> DataFrame:
+        """Paths of each tomogram, with label_path where vesicles are labelled."""
         if track == "decoy" and self.s.decoy_method == "synthetic-noise":
             return self.table("decoy", "pick", "manifests")
-        return mrc.manifests(self.spark, self.s.segmentations, self.s.tomograms, self.s.voxel)[0]
+        found = mrc.manifests(self.spark, self.s.segmentations, self.s.tomograms, self.s.voxel)[0]
+        if not self.s.vesicle_labels:
+            return found
+        stems = mrc.volumes(self.spark, self.s.vesicle_labels, voxels=False).select("stem", F.col("path").alias("label_path"))
+        return labels_for(found, stems).drop("stem")
 
     def voxel(self) -> float:
         return self.manifests().first().voxel_size_angstrom
@@ -130,21 +142,21 @@ class Run:
     def box(self) -> int:
         return box_voxels(self.s.box_angstrom, self.voxel())
 
-    def labels(self) -> dict[str, str]:
-        """Label file of each tomogram that has one; as many names as there are tomograms."""
-        if not self.s.vesicle_labels:
-            return {}
-        stems = mrc.volumes(self.spark, self.s.vesicle_labels, voxels=False).select("stem", "path")
-        return {r.tomogram_id: r.path for r in labels_for(self.manifests().select("tomogram_id"), stems).where("path is not null").collect()}
+    def scored(self, picker: str) -> str:
+        return "scored" if picker == self.s.pickers[0] else f"scored_{picker}"
 
     def pick_real(self) -> None:
-        labels = self.labels()
-        scored = self.resumed("real", "pick", "scored", self.manifests(), "tomogram_id", vars(self.s.pick), lambda work: pick.scored_points(work, self.s.pick, labels))
-        self.put("real", "pick", particles=pick.particle_set(pick.raw_picks(scored), self.s.threshold_voxels, self.s.rule, 1, self.s.max_beam_angle))
+        """Particles that the pickers found, together by the rule."""
+        picks = []
+        for name in self.s.pickers:
+            scored = self.resumed("real", "pick", self.scored(name), self.manifests(), "tomogram_id", vars(self.s.pick), lambda work, name=name: pick.PICKERS[name](work, self.s.pick))
+            picks.append(pick.raw_picks(scored, name))
+        found = functools.reduce(DataFrame.unionByName, picks)
+        self.put("real", "pick", particles=pick.particle_set(found, self.s.threshold_voxels, self.s.rule, len(picks), self.s.max_beam_angle, self.s.seed))
         particles, folder = self.table("real", "pick", "particles"), self.where("real", "pick")
-        sinks.put_particle_set(particles, f"{folder}/particle_set.json", self.s.rule, ["native"])
-        if labels:
-            sinks.put_vesicle_summary(pick.vesicle_summary(particles, pick.surface_areas(self.manifests(), labels)), f"{folder}/vesicle_summary.json")
+        sinks.put_particle_set(particles, f"{folder}/particle_set.json", self.s.rule, list(self.s.pickers))
+        if self.s.vesicle_labels:
+            sinks.put_vesicle_summary(pick.vesicle_summary(particles, slabs.surface_areas(self.manifests())), f"{folder}/vesicle_summary.json")
         self.finish("real", "pick")
 
     def decoy_points(self, real: DataFrame) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import itertools
 import tempfile
 import uuid
 from collections.abc import Iterator
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Where the tables of this process lie, for as long as their frames are in use.
@@ -83,3 +84,23 @@ def before_ranges(sums: DataFrame, count: str) -> tuple[DataFrame, int]:
         rows.append((r[0], total))
         total += int(r[1] or 0)
     return F.broadcast(sums.sparkSession.createDataFrame(rows, "_p int, _before long")), total
+
+
+def dealt(df: DataFrame, cost: Column, order: list[str], each: int) -> DataFrame:
+    """df in partitions of about equal cost, rows that follow each other in the order together, sorted by it.
+
+    cost: a whole number for each row, of which a task should have `each` at most (one row may have more). There are
+    as many partitions as cores at least, if there are as many rows. Adaptive execution leaves a partition of a stated number alone, however small its rows
+    are; a key of many rows is split. A running sum of the cost goes by ranges, so no task sees all rows.
+    """
+    spark = df.sparkSession
+    ranged = in_ranges(df.withColumn("_cost", cost.cast("long")), order)
+    sums = sorted(ranged.groupBy("_p").agg(F.sum("_cost"), F.count(F.lit(1))).collect())  # a row for each range
+    rows, total = sum(r[2] for r in sums), sum(r[1] or 0 for r in sums)
+    starts = list(itertools.accumulate((r[1] or 0 for r in sums), initial=0))
+    offsets = F.broadcast(spark.createDataFrame([(r[0], start) for r, start in zip(sums, starts, strict=False)], "_p int, _before long"))
+    tasks = max(1, min(rows, spark.sparkContext.defaultParallelism), -(-total // each))
+    earlier = F.coalesce(F.sum("_cost").over(Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at = (F.col("_before") + F.col("_own") + F.col("_cost") / 2) * tasks / max(total, 1)
+    placed = ranged.withColumn("_own", earlier).join(offsets, "_p").withColumn("_task", F.least(F.floor(at), F.lit(tasks - 1)).cast("int"))
+    return placed.repartitionById(tasks, F.col("_task")).drop("_p", "_before", "_own", "_cost", "_task").sortWithinPartitions(*order)
