@@ -152,6 +152,25 @@ def moments(df: DataFrame, group: str, array: str) -> DataFrame:
     return df.select(group, array).mapInPandas(own, form).groupBy(group).applyInPandas(add, form)
 
 
+def whole_moments(own: DataFrame, group: str) -> tuple[int, np.ndarray, np.ndarray] | None:
+    """Number, mean and sum of squares of all groups together, from a row for each; none without rows.
+
+    Tasks add up their own rows first; one row a task comes to the driver.
+    """
+
+    def add(batches):
+        have = None
+        for rows in batches:
+            for r in rows.itertuples():
+                now = r.n, np.array(r.m), np.array(r.q)
+                have = joined_moments(have, now) if have else now
+        if have:
+            yield pd.DataFrame([(have[0], have[1].tolist(), have[2].tolist())], columns=["n", "m", "q"])
+
+    parts = own.select("n", "m", "q").mapInPandas(add, "n long, m array<double>, q array<double>")
+    return functools.reduce(joined_moments, [(r.n, np.array(r.m), np.array(r.q)) for r in parts.collect()]) if parts.limit(1).count() else None
+
+
 def class_averages(df: DataFrame, array: str, cluster: str = "cluster_id") -> DataFrame:
     return elementwise_mean(df.where(F.col(cluster) != "noise"), [cluster], array)
 
@@ -262,10 +281,10 @@ def row_standardise(array: Column) -> Column:
 def column_standardise(df: DataFrame, key: str, array: str, group: str, least: int = 50) -> DataFrame:
     """key and z (array): by the column's own statistics within groups of `least` members or more, else over all rows."""
     own = written(moments(df, group, array), "moments")
-    parts = [(r.n, np.array(r.m), np.array(r.q)) for r in own.toLocalIterator()]  # a row for each group
-    if not parts:
+    whole = whole_moments(own, group)
+    if not whole:
         return df.select(key, F.col(array).cast("array<double>").alias("z"))
-    n, mean, q = functools.reduce(joined_moments, parts)
+    n, mean, q = whole
     spread = lambda m, q, n: F.zip_with(m, q, lambda a, b: F.struct(a.alias("m"), F.sqrt(b / n).alias("s")))
     whole = spread(F.array(*map(F.lit, mean.tolist())), F.array(*map(F.lit, q.tolist())), F.lit(n))
     large = own.where(F.col("n") >= least).select(F.col(group).alias("_g"), spread("m", "q", F.col("n")).alias("_of"))

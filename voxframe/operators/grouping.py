@@ -7,6 +7,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -177,38 +178,76 @@ def match_halves(means: DataFrame, half: str, label: str) -> DataFrame:
     return means.sparkSession.createDataFrame(sorted(K.greedy_match(pairs).items()), "label_b int, label_a int")
 
 
-def reduce(df: DataFrame, key: str, array: str, k: int) -> DataFrame:
-    """key and scores: centred principal components.
+#: Parts' sums that a task adds up.
+FAN = 8
+
+
+def joined_products(a: tuple, b: tuple) -> tuple:
+    """Number, mean and products about the mean of two sets together."""
+    if not a[0] or not b[0]:
+        return a if a[0] else b
+    n, apart = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + apart * (b[0] / n), a[2] + b[2] + np.outer(apart, apart) * (a[0] * b[0] / n)
+
 
-    Sums and products are added up on the executors, block by block; only the covariance comes to the driver.
+def products(df: DataFrame, array: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of rows, mean, and the sum of products about it.
+
+    Each task takes its rows once, in centred blocks, and gives one row with its matrix; FAN of these at a time are added up
+    in tasks until FAN are left. So no element of a matrix is a row, and no large numbers cancel.
     """
-    width = len(df.select(array).first()[0])
 
-    def sums(batches):
-        n, s, p = 0, np.zeros(width), np.zeros((width, width))
+    def packed(part: int, sums: tuple) -> pd.DataFrame:
+        n, mean, square = sums
+        return pd.DataFrame({"part": [part], "n": [n], "mean": [mean.tobytes()], "square": [square.tobytes()]})
+
+    def unpacked(r) -> tuple:
+        mean = np.frombuffer(r.mean)
+        return r.n, mean, np.frombuffer(r.square).reshape(len(mean), len(mean))
+
+    def own(batches):
+        sums = (0, np.zeros(0), np.zeros((0, 0)))
         for rows in batches:
-            x = np.stack(rows[array].to_numpy()).astype(float)
-            n, s, p = n + len(x), s + x.sum(axis=0), p + x.T @ x
-        yield pd.DataFrame({"n": [n], "s": [s.tolist()], "p": [p.ravel().tolist()]})
-
-    parts = df.select(array).mapInPandas(sums, "n long, s array<double>, p array<double>")
-    n = parts.agg(F.sum("n")).first()[0]
-    add = lambda c: [r.v for r in parts.select(F.posexplode(c).alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").collect()]
-    mean = np.array(add("s")) / n
-    cov = np.array(add("p")).reshape(width, width) / n - np.outer(mean, mean)
-    k = min(k, n - 1, width)
+            if len(rows):
+                x = np.stack(rows[array].to_numpy()).astype(float)
+                sums = joined_products(sums, (len(x), x.mean(axis=0), (x - x.mean(axis=0)).T @ (x - x.mean(axis=0))))
+        if sums[0]:
+            yield packed(TaskContext.get().partitionId(), sums)
+
+    def add(key, rows: pd.DataFrame) -> pd.DataFrame:
+        return packed(int(key[0]), functools.reduce(joined_products, map(unpacked, rows.sort_values("part").itertuples())))
+
+    form = "part long, n long, mean binary, square binary"
+    parts = written(df.select(array).mapInPandas(own, form), "products")
+    while parts.count() > FAN:
+        # by rank, as empty partitions leave gaps
+        ranked = parts.join(parts.select("part", (F.row_number().over(Window.orderBy("part")) - 1).alias("_r")), "part")
+        parts = written(ranked.withColumn("_to", F.floor(F.col("_r") / FAN)).drop("_r").groupBy("_to").applyInPandas(add, form), "products")
+    return functools.reduce(joined_products, (unpacked(r) for r in parts.orderBy("part").collect()), (0, np.zeros(0), np.zeros((0, 0))))
+
+
+def reduce(df: DataFrame, key: str, array: str, k: int) -> DataFrame:
+    """key and scores: centred principal components. An empty table gives no rows; one or two rows are an error.
+
+    The input is read twice, for its products and to project it; only the covariance comes to the driver.
+    """
+    form = f"{key} {df.schema[key].dataType.simpleString()}, scores array<double>"
+    n, mean, square = products(df, array)
+    if not n:
+        return df.sparkSession.createDataFrame([], form)
+    k = min(k, n - 1, len(mean))
     if k < 2:
         raise ValueError("two components at least need three rows")
-    values, axes = np.linalg.eigh(cov)
+    values, axes = np.linalg.eigh(square / n)
     axes = axes[:, np.argsort(-values)[:k]]
     axes *= np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(k)])
 
     def project(batches):
         for rows in batches:
-            x = np.stack(rows[array].to_numpy()).astype(float) - mean
+            x = np.stack(rows[array].to_numpy()).astype(float) - mean if len(rows) else np.zeros((0, len(mean)))
             yield pd.DataFrame({key: rows[key], "scores": list(x @ axes)})
 
-    return df.select(key, array).mapInPandas(project, f"{key} {df.schema[key].dataType.simpleString()}, scores array<double>")
+    return df.select(key, array).mapInPandas(project, form)
 
 
 #: Rows that the first centres of k-means are drawn from.

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import written
+from ..scratch import discard, written
 
 
 def longest_prefix(left: DataFrame, name: str, prefixes: DataFrame, prefix: str) -> DataFrame:
@@ -65,26 +65,59 @@ def far_from(left: DataFrame, right: DataFrame, xyz: list[str], distance: float,
     return one.join(two, on, "left_anti").drop("_cell")
 
 
+def _boxed(cells: DataFrame, names: list[str], xyz: list[str]) -> DataFrame:
+    """Cells twice as wide: _g, the cell's numbers, and the box around what is in them."""
+    up = [F.floor(F.col(c) / 2).cast("long").alias(c) for c in names]
+    return cells.groupBy("_g", *up).agg(*(f(f"{n}_{c}").alias(f"{n}_{c}") for c in xyz for n, f in (("low", F.min), ("high", F.max))))
+
+
+def _far_nearest(rest: DataFrame, right: DataFrame, xyz: list[str], radius: float, best: Column) -> DataFrame:
+    """_id and _n of the rows (_id, _g, xyz), down through nested grids over right.
+
+    Cells of the radius' size, each twice as wide as those below it, have the box around their rows. A row goes from the widest cells
+    to those in them, and leaves out a cell whose box is further away than the furthest corner of another. So it meets
+    the rows of the few narrowest cells that may hold its nearest, wherever it lies.
+    """
+    names = [f"_c{k}" for k in range(len(xyz))]
+    own = right.select("_g", *(c.alias(n) for c, n in zip(cells([F.col(f"r.{c}") for c in xyz], radius), names, strict=True)), "r")
+    narrow = own.groupBy("_g", *names).agg(*(f(f"r.{c}").alias(f"{n}_{c}") for c in xyz for n, f in (("low", F.min), ("high", F.max))))
+    levels = [written(narrow, "level")]
+    widest = levels[0].agg(*(F.greatest(F.abs(F.max(c)), F.abs(F.min(c))) for c in names)).first()
+    for _ in range(max((int(x or 0) for x in widest), default=0).bit_length()):  # then -1 and 0 are left on each axis
+        levels.append(written(_boxed(levels[-1], names, xyz), "level"))
+    near = [F.greatest(F.lit(0.0), F.col(f"low_{c}") - F.col(c), F.col(c) - F.col(f"high_{c}")) for c in xyz]
+    far = [F.greatest(F.col(f"high_{c}") - F.col(c), F.col(c) - F.col(f"low_{c}")) for c in xyz]
+    least, most = (sum((x * x for x in d), F.lit(0.0)) for d in (near, far))
+    open_cells = rest.join(levels[-1], "_g")
+    for level in [*levels[-2::-1], None]:
+        bounds = open_cells.select("_id", "_g", *xyz, *names, least.alias("_least"), F.min(most).over(Window.partitionBy("_id")).alias("_most"))
+        kept = written(bounds.where(F.col("_least") <= F.col("_most") * (1 + 1e-12)).select("_id", "_g", *xyz, *names), "open")
+        if level is not None:
+            inner = level.withColumns({f"_up{c}": F.floor(F.col(c) / 2).cast("long") for c in names})
+            kept = kept.withColumnsRenamed({c: f"_up{c}" for c in names})
+            open_cells = kept.join(inner, ["_g", *(f"_up{c}" for c in names)])
+    pairs = kept.join(own, ["_g", *names]).withColumn("distance2", _square([F.col(c) for c in xyz], [F.col(f"r.{c}") for c in xyz]))
+    found = written(pairs.groupBy("_id").agg(best.alias("_n")), "nearest")
+    discard(*levels)
+    return found
+
+
 def nearest(left: DataFrame, right: DataFrame, key: str, xyz: list[str], carry: list[str], radius: float, by: list[str] | None = None) -> DataFrame:
     """left with the nearest row of right: distance and carried columns; rows whose group has none are left out.
 
-    Rows that found none within the radius try again with four times of it, until it covers all positions; so only the
-    far rows meet larger cells. Where many rows are far from all of right, the last rounds compare them with most of it.
+    Rows that find none within the radius look for it in nested grids, so one that is far from all meets few others. key tells rows of a group apart.
     """
     by = by or []
-    ends = left.select(*xyz).unionByName(right.select(*xyz)).agg(*(F.max(c) - F.min(c) for c in xyz)).first()
-    widest = sum((x or 0.0) ** 2 for x in ends) ** 0.5
-    out, rest = None, left
-    while True:
-        pairs = within(rest, right, xyz, radius, by)
-        best = pairs.groupBy(F.col(f"l.{key}").alias("_id")).agg(F.min_by(F.struct(F.sqrt("distance2").alias("distance"), *(F.col(f"r.{c}").alias(f"nearest_{c}") for c in carry)), F.struct("distance2", *(F.col(f"r.{c}") for c in carry))).alias("_n"))
-        best = written(best, "nearest")
-        got = rest.join(best, F.col(key) == F.col("_id")).select(*left.columns, "_n.*")
-        out = got if out is None else out.unionByName(got)
-        if radius >= widest:
-            return out
-        rest = written(rest.join(best, F.col(key) == F.col("_id"), "left_anti"), "rest")
-        radius *= 4
+    best = F.min_by(F.struct(F.sqrt("distance2").alias("distance"), *(F.col(f"r.{c}").alias(f"nearest_{c}") for c in carry)), F.struct("distance2", *(F.col(f"r.{c}") for c in carry)))
+    group = F.struct(F.lit(0), *by)
+    ids = left.withColumn("_id", F.struct(*by, key)).withColumn("_g", group)
+    close = within(ids.select("_id", *by, *xyz), right.select(*dict.fromkeys([*by, *xyz, *carry])), xyz, radius, by)
+    found = written(close.groupBy(F.col("l._id").alias("_id")).agg(best.alias("_n")), "nearest")
+    rest = written(ids.join(found, "_id", "left_anti").select("_id", "_g", *xyz), "rest")
+    if rest.limit(1).count():
+        sided = right.select(group.alias("_g"), F.struct(*dict.fromkeys([*xyz, *carry])).alias("r"))
+        found = found.unionByName(_far_nearest(rest, sided, xyz, radius, best))
+    return ids.join(found, "_id").select(*left.columns, "_n.*")
 
 
 def with_paths(particles: DataFrame, manifests: DataFrame, key: str = "tomogram_id") -> DataFrame:

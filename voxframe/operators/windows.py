@@ -58,9 +58,10 @@ def ranked(df: DataFrame, by: list[str], score: str, tie: str, most: int) -> Dat
 
 
 def crossing(df: DataFrame, by: list[str], shell: str, value: str, threshold: float) -> DataFrame:
-    """First shell beyond 0 below the threshold, else the last shell."""
-    found = F.min(F.when((F.col(value) < threshold) & (F.col(shell) > 0), F.col(shell)))
-    return df.groupBy(*by).agg(F.coalesce(found, F.max(shell)).alias("crossing"), found.isNotNull().alias("crossed"))
+    """First shell below the threshold; the last one where none is, or where shell 0 already is (then it isn't crossed)."""
+    found = F.min(F.when(F.col(value) < threshold, F.col(shell)))
+    at = F.when(found > 0, found)
+    return df.groupBy(*by).agg(F.coalesce(at, F.max(shell)).alias("crossing"), at.isNotNull().alias("crossed"))
 
 
 def lowest_pool(df: DataFrame, by: list[str], score: str, tie: str, target: int | str, key: Column) -> DataFrame:

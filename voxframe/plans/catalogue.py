@@ -22,6 +22,7 @@ from ..operators import grouping as C
 from ..operators import joins as J
 from ..operators import review as R
 from ..operators import windows as W
+from ..scratch import dealt
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -284,6 +285,18 @@ def join7_nearest(spark, sf_dir):
     return J.nearest(p.where("label <> 0"), p.where("label = 0"), "vec_id", ["x", "y", "z"], ["vec_id"], 8.0).select("vec_id", r6("distance").alias("distance"))
 
 
+@query(f"""
+with p as ({POINTS}), l as (select vec_id, case when vec_id % 40 = 1 then -1e4 * vec_id else x end as x, y, case when vec_id % 40 = 2 then 1e5 else z end as z, vec_id % 2 as half from p where label <> 0), r as (select *, vec_id % 2 as half from p where label = 0)
+select l.vec_id, round(min(sqrt((l.x-r.x)*(l.x-r.x)+(l.y-r.y)*(l.y-r.y)+(l.z-r.z)*(l.z-r.z))), 5) + 0.0 as distance from l join r using (half) group by l.vec_id
+""")
+def join7_nearest_far(spark, sf_dir):
+    """Some rows lie far from all others."""
+    p = points(spark, sf_dir).withColumn("half", F.col("vec_id") % 2)
+    moved = p.where("label <> 0").withColumn("x", F.when(F.col("vec_id") % 40 == 1, -1e4 * F.col("vec_id")).otherwise(F.col("x"))).withColumn("z", F.when(F.col("vec_id") % 40 == 2, F.lit(1e5)).otherwise(F.col("z")))
+    found = J.nearest(moved, p.where("label = 0"), "vec_id", ["x", "y", "z"], ["vec_id"], 8.0, ["half"])
+    return found.select("vec_id", (F.round("distance", 5) + F.lit(0.0)).alias("distance"))
+
+
 @query("select case when o_custkey % 2 = 0 then 'A' else 'B' end as half_set, count(*) as n from orders where exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R') group by 1")
 def join8_members_by_half(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("particle_id"), F.when(F.col("o_custkey") % 2 == 0, "A").otherwise("B").alias("half_set"))
@@ -538,8 +551,9 @@ def win5_half_set_split(spark, sf_dir):
 
 
 @query("""
-with e as (select label, generate_subscripts(embedding, 1) - 1 as shell, unnest(embedding)::double as v from embeddings), m as (select label, shell, abs(avg(v)) as v from e group by all)
-select label, coalesce(min(shell) filter (where v < 0.02 and shell > 0), max(shell))::int as crossing, min(shell) filter (where v < 0.02 and shell > 0) is not null as crossed from m group by label
+with e as (select label, generate_subscripts(embedding, 1) - 1 as shell, unnest(embedding)::double as v from embeddings), m as (select label, shell, abs(avg(v)) as v from e group by all),
+f as (select label, nullif(min(shell) filter (where v < 0.02), 0) as first_one, max(shell) as last_one from m group by label)
+select label, coalesce(first_one, last_one)::int as crossing, first_one is not null as crossed from f
 """)
 def win6_crossing(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("shell", "v"))
@@ -934,13 +948,38 @@ def k12_splat(spark, sf_dir):
 
 
 @query("""
-with n as (select unnest(range(12)) as k), r as (select x.k as i, y.k as j, z.k as k, sqrt((x.k - 5.5) * (x.k - 5.5) + (y.k - 5.5) * (y.k - 5.5) + (z.k - 5.5) * (z.k - 5.5)) as r from n x, n y, n z),
-t as (select *, (r - (0.8 * 6 - 3)) / 3 as t from r)
-select i::int as i, j::int as j, k::int as k, round(case when t <= 0 then 1 when t >= 1 then 0 else 0.5 * (1 + cos(pi() * t)) end, 6) + 0.0 as v from t
+with e as (select vec_id, generate_subscripts(embedding, 1) - 1 as p, unnest(embedding)::double as v from embeddings),
+r as (select *, sqrt(pow(p // 16 - 1.5, 2) + pow(p // 4 % 4 - 1.5, 2) + pow(p % 4 - 1.5, 2)) as r from e), t as (select *, (r - 0.8 * 4 / 2) / 2 + 1 as t from r)
+select vec_id, round(sum(v * case when t <= 0 then 1 when t >= 1 then 0 else 0.5 * (1 + cos(pi() * t)) end), 6) + 0.0 as under from t group by vec_id
 """)
 def k17_soft_sphere(spark, sf_dir):
-    mask = lambda batches: (pd.DataFrame([(*at, x) for at, x in np.ndenumerate(V.soft_sphere(12, 0.8, 3))], columns=["i", "j", "k", "v"]) for rows in batches if len(rows))
-    return spark.range(1).mapInPandas(mask, "i int, j int, k int, v double").select("i", "j", "k", r6("v").alias("v"))
+    """What is left of each cube under the mask."""
+    return per_cube(cubes(spark, sf_dir), lambda v: [(float((v * V.soft_sphere(4, 0.8, 2)).sum()),)], "vec_id long, under double").select("vec_id", r6("under").alias("under"))
+
+
+@query("""
+with e as (select vec_id, label, generate_subscripts(embedding, 1) - 1 as p, unnest(embedding)::double as v from embeddings),
+voxel as (select vec_id, label, p // 16 as i, p // 4 % 4 as j, p % 4 as k, v from e), stat as (select vec_id, avg(v) as m, stddev_pop(v) as s from e group by vec_id),
+reference as (select voxel.*, abs(v - m) > s as under from voxel join stat using (vec_id) where label = 0), shift as (select unnest([-1, 0, 1]) as d),
+pair as (select a.vec_id, b.vec_id as other, flip from (select distinct vec_id from reference) a join (select distinct vec_id from voxel where label = 1) b on b.vec_id % 5 = a.vec_id % 5, (select unnest([false, true]) as flip)),
+moved as (select r.vec_id, other, flip, x.d as dx, y.d as dy, z.d as dz, r.v as a, coalesce(c.v, 0) as b
+    from pair join reference r on r.vec_id = pair.vec_id and r.under, shift x, shift y, shift z
+    left join voxel c on c.vec_id = other and c.i = r.i - x.d and c.j = r.j - y.d and (case when flip then 3 - c.k else c.k end) = r.k - z.d),
+scored as (select vec_id, other, coalesce(corr(a, b), 0) as c from moved group by vec_id, other, flip, dx, dy, dz)
+select vec_id, other, round(max(abs(c)), 6) + 0.0 as score from scored group by all
+""")
+def k16_fit_score(spark, sf_dir):
+    """Cubes of label 0 against those of label 1, both ways up, at 27 shifts."""
+    e = cubes(spark, sf_dir)
+    a, b = e.where("label = 0").select("vec_id", F.col("v").alias("reference")), e.where("label = 1").select(F.col("vec_id").alias("other"), F.col("v").alias("candidate"))
+    pairs = a.join(b, F.col("vec_id") % 5 == F.col("other") % 5)
+
+    def fit(batches):
+        for rows in batches:
+            score = [V.fit_score(np.reshape(r, (4, 4, 4)), np.reshape(c, (4, 4, 4)), turns=1, tilts=(0,), shifts=(-1, 0, 1)) for r, c in zip(rows["reference"], rows["candidate"], strict=True)]
+            yield rows[["vec_id", "other"]].assign(score=score)
+
+    return dealt(pairs, F.lit(1), ["vec_id", "other"], 5000).mapInPandas(fit, "vec_id long, other long, score double").select("vec_id", "other", r6("score").alias("score"))
 
 
 @query("""

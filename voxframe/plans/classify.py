@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import cluster_name
 from ..kernels import signal as S
 from ..kernels import volume as V
-from ..operators.aggregates import elementwise_mean, joined_moments, moments
+from ..operators.aggregates import elementwise_mean, moments, whole_moments
 from ..operators.filters import box_fits, kept_and_skipped, single_half
 from ..operators.grouping import centroids, cluster, match_halves, reduce
 from ..operators.joins import remapped, with_paths
@@ -64,22 +64,29 @@ def extract(particles: DataFrame, manifests: DataFrame, box: int, subtract: bool
 PLANES = 64
 
 
-def feature_rows(boxes: DataFrame, box: int, by_tomogram: bool = True, least: int = 50, **options) -> DataFrame:
+#: How the further modes are made comparable: by the particle's own power, within its tomogram, both, or over all alone.
+NORMALISATIONS = ("none", "particle", "tomogram", "both")
+
+
+def feature_rows(boxes: DataFrame, box: int, normalisation: str = "both", least: int = 50, **options) -> DataFrame:
     """particle_id, half_set, tomogram_id, features; boxes that are empty or cut off are left out.
 
     The columns of the further modes are standardised over all particles that aren't cut off, empty ones with their zeros,
-    and then, by_tomogram, within each tomogram of `least` or more. Tasks add up their own rows' sums, so two rows of
+    and then, for "tomogram" and "both", within each tomogram of `least` or more; for "particle" and "both", each particle's further modes have unit length before. Tasks add up their own rows' sums, so two rows of
     statistics a task and tomogram are all that moves.
     """
 
+    if normalisation not in NORMALISATIONS:
+        raise ValueError(f"unknown normalisation {normalisation}")
+
     def compute(batches):
         for rows in batches:
-            f = [S.features(np.frombuffer(d, np.float32).reshape((box,) * 3).astype(float), **options).tolist() for d in rows["data"]]
+            f = [S.features(np.frombuffer(d, np.float32).reshape((box,) * 3).astype(float), power=normalisation in ("particle", "both"), **options).tolist() for d in rows["data"]]
             yield pd.DataFrame({"particle_id": rows["particle_id"], "half_set": rows["half_set"], "tomogram_id": rows["tomogram_id"], "features": f})
 
     raw = written(boxes.where("kept").mapInPandas(compute, "particle_id string, half_set string, tomogram_id string, features array<double>"), "features")
     flat = S.mode_zero_width(box, **options)
-    return standardised(raw, flat, by_tomogram, least).where(F.exists("features", lambda x: x != 0))
+    return standardised(raw, flat, normalisation in ("tomogram", "both"), least).where(F.exists("features", lambda x: x != 0))
 
 
 def standardised(raw: DataFrame, flat: int, by_tomogram: bool = True, least: int = 50) -> DataFrame:
@@ -88,10 +95,7 @@ def standardised(raw: DataFrame, flat: int, by_tomogram: bool = True, least: int
         return raw
 
     own = written(moments(raw.withColumn("features", F.slice("features", flat + 1, F.size("features"))), "tomogram_id", "features"), "moments")
-    whole = None
-    for r in own.toLocalIterator():  # a row for each tomogram
-        now = r.n, np.array(r.m), np.array(r.q)
-        whole = joined_moments(whole, now) if whole else now
+    whole = whole_moments(own, "tomogram_id")
     n, mean, q = whole
     spread = np.sqrt(q / n)
     spread[spread == 0] = 1.0
