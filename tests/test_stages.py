@@ -162,7 +162,7 @@ def test_features_are_standardised_by_column(spark):
         want[:, flat:] = z(raw[:, flat:])
         if by_tomogram:
             want[:60, flat:] = z(want[:60, flat:])
-        got = {r.particle_id: np.array(r.features) for r in classify.feature_rows(df, 9, by_tomogram, **options).collect()}
+        got = {r.particle_id: np.array(r.features) for r in classify.feature_rows(df, 9, "both" if by_tomogram else "particle", **options).collect()}
         assert len(got) == 68 and "p03" not in got
         assert all(np.allclose(got[f"p{k:02d}"], want[k]) for k in range(69) if k != 3)
 
@@ -560,6 +560,28 @@ def test_density_clusters_over_blocks(spark, name):
         cluster(df.limit(5), "k", "x", "density", least_size=8)
 
 
+def test_few_blocks_are_compared(spark):
+    """Of clustered rows, pairs of blocks that are near enough grow with the blocks, not with their square."""
+    from voxframe.operators.grouping import ball_pairs, balls, on_a_curve
+    from voxframe.scratch import in_ranges
+
+    rng, near = np.random.default_rng(10), {}
+    for n in (20, 80):
+        rows = np.concatenate([rng.normal(c, 1.0, (n * 5, 3)) for c in rng.uniform(-200, 200, (20, 3))])
+        df = on_a_curve(spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(rows)], "k long, x array<double>"))
+        blocks = balls(in_ranges(df, ["z", "k"], n).withColumnRenamed("_p", "i")).cache()
+        pairs = ball_pairs(blocks, n)
+        near[n] = pairs.where("least <= 2").count()
+        bounds = {(r.i, r.j): (r.least, r.most) for r in pairs.collect()}
+        where = {r.k: r._p for r in in_ranges(df, ["z", "k"], n).collect()}
+        at = rng.integers(0, len(rows), (400, 2))
+        for a, b in at:
+            if where[a] != where[b]:
+                low, high = bounds[where[a], where[b]]
+                assert low <= np.linalg.norm(rows[a] - rows[b]) <= high
+    assert near[80] < 0.5 * 16 * max(near[20], 80) and near[80] < 0.25 * 80 * 79
+
+
 def test_k_means_over_partitions(spark, monkeypatch):
     """A fixed point of plain k-means, and the blobs it should find, with first centres from a few rows only."""
     from voxframe.operators import grouping
@@ -686,9 +708,9 @@ def test_whole_run(spark, data, tmp_path):
     (tmp_path / "large.pdb").write_text("".join(atom % (k, 8 * k, 0, 0) for k in range(8)))
     (tmp_path / "panel.yaml").write_text("candidates:\n- {name: small, structure_path: small.pdb}\n- {name: large, structure_path: large.pdb}\n")
     (tmp_path / "run.toml").write_text(
-        f'[run]\nsegmentation_dir = "{data}/seg"\nraw_dir = "{data}/tomo"\noutput_dir = "out"\n'
-        "[stage.pick]\nwindows = [[20.0, 60.0]]\nseparation_angstrom = 80.0\n"
-        "[stage.classify]\nbox_angstrom = 90.0\nk = 1\ncomponents = 3\n"
+        f'[run]\nsegmentation_dir = "{data}/seg"\nraw_tomogram_dir = "{data}/tomo"\noutput_dir = "out"\n'
+        "[decoy]\nmin_distance_from_real_angstrom = 60.0\n[stage.pick]\nwindows = [[20.0, 60.0]]\nseparation_angstrom = 80.0\ndistance_threshold = 5.0\n"
+        '[stage.classify]\nmethod = "kmeans"\nbox_angstrom = 90.0\nn_clusters = 1\nn_components = 3\nstrict_halfset_independence = false\ninplane_angular_step_degrees = 90.0\ninplane_iterations = 1\n'
         '[stage.identify]\ncandidates = "panel.yaml"\nresolution = 20.0\nsearch = {turns = 1, tilts = [0], shifts = [0]}\n'
     )
     settings = RunSettings.from_file(str(tmp_path / "run.toml"))
@@ -708,15 +730,133 @@ def test_whole_run(spark, data, tmp_path):
     run.state.done["real"].pop("pick")
     run.pick_real()
     assert made == {p: p.stat().st_mtime_ns for p in (out / "pick/scored").rglob("*.parquet")}
-    for method, more in (("shifted", {"decoy_shift_voxels": (6.0, 14.0)}), ("synthetic-noise", {"noise_count": 2, "noise_shape": (24, 24, 24)})):
-        other = Run(spark, replace(settings, decoy_method=method, decoy_off_surface_voxels=2.0, decoy_distance_voxels=2.0, **more))
+    for method, more in (("shifted", {"decoy_least_shift_angstrom": 60.0, "decoy_most_shift_angstrom": 140.0}), ("synthetic-noise", {"noise_count": 2, "noise_shape": (24, 24, 24)})):
+        other = Run(spark, replace(settings, decoy_method=method, decoy_pick_distance_angstrom=20.0, decoy_distance_angstrom=20.0, **more))
         other.pick_decoy()
         found = other.table("decoy", "pick", "particles")
         assert found.count() and found.where(F.col("source_picker") != f"decoy-{method}").count() == 0
     noise = records.read_json(spark, f"{out}/decoy/decoy_manifests.json", records.MANIFEST).collect()
     assert len(noise) == 2 and all(r.is_decoy and mrc.read_volume(r.raw_tomogram_path).shape == (24, 24, 24) for r in noise)
     with pytest.raises(ValueError):
-        replace(settings, decoy_method="synthetic-noise")
+        replace(settings, decoy_method="synthetic-noise", noise_count=None)
+    rolled = out / "refine"
+    assert any("_rlnAngle" in p.read_text() or p.read_text() for p in rolled.rglob("particles.star"))
+    angles = {r.particle_id: r.inplane_angle_degrees for r in run.table("real", "classify", "angles").collect()}
+    assert angles and all(a % 90 == 0 for a in angles.values())
     path = f"{data}/tomo/t00.mrc"
     assert slice_at(path, most=16).shape == (16, 16) and thinned(np.zeros((8, 8, 8)), 4).shape == (4, 4, 4)
     assert slices(mrc.volumes(spark, f"{data}/tomo", voxels=False)).count() == 4
+
+
+DOCUMENTED = """
+[run]
+segmentation_dir = "data/seg"
+raw_tomogram_dir = "data/tomo"
+output_dir = "."
+voxel_size_angstrom = ""
+backend = "local"
+stop_after = ""
+[decoy]
+enabled = true
+method = "rejected-surface"
+n_decoys_per_tomogram = 50
+min_distance_from_real_angstrom = 100.0
+min_distance_from_picks_angstrom = 60.0
+min_shift_angstrom = 200.0
+max_shift_angstrom = 600.0
+n_synthetic_tomograms = 3
+n_workers = 1
+synthetic_shape_voxels = ""
+[plots]
+enabled = true
+format = "tiff"
+[stage.pick]
+pickers = ["maker-native"]
+consensus_rule = "intersection"
+distance_threshold = 15.0
+half_set_seed = 0
+n_workers = 1
+keep_raw = false
+backend = ""
+[stage.classify]
+method = "hdbscan"
+min_cluster_size = 20
+n_clusters = 5
+n_components = 20
+box_angstrom = 300.0
+n_radial_bins = 12
+strict_halfset_independence = true
+inplane_alignment = true
+inplane_angular_step_degrees = 10.0
+inplane_iterations = 3
+random_state = 0
+n_workers = 1
+[stage.identify]
+candidates = "data/candidates.yaml"
+resolution = 25.0
+fitter = "native"
+fetch_missing = false
+n_workers = 1
+backend = ""
+[stage.refine]
+tool = "relion"
+class_id = "all"
+iterations = 5
+mask = ""
+backend = ""
+"""
+
+
+def test_the_documented_settings(tmp_path):
+    from voxframe.plans.run import RunSettings
+
+    def loaded(text):
+        (tmp_path / "run.toml").write_text(text)
+        return RunSettings.from_file(str(tmp_path / "run.toml"))
+
+    s = loaded(DOCUMENTED)
+    assert (s.segmentations, s.out, s.candidates) == (f"{tmp_path}/data/seg", f"{tmp_path}", f"{tmp_path}/data/candidates.yaml")
+    assert replace(s, decoy_count=None) == RunSettings(s.segmentations, s.tomograms, s.out, candidates=s.candidates, resolution=25.0)  # the file states the defaults
+    assert s.decoy_count == 50 and s.stages == ("pick", "classify", "identify", "refine")
+    least = loaded('[run]\nsegmentation_dir = "a"\nraw_tomogram_dir = "b"\noutput_dir = "c"\nstop_after = "classify"\n')
+    assert least.stages == ("pick", "classify") and least.rule == "intersection" and least.strict and least.align and least.method == "density"
+    assert loaded(DOCUMENTED.replace('stop_after = ""', 'stop_after = "pick"').replace("resolution = 25.0", "")).stages == ("pick",)
+    assert loaded(DOCUMENTED.replace('synthetic_shape_voxels = ""', "synthetic_shape_voxels = [8, 9, 10]")).noise_shape == (8, 9, 10)
+    for old, new in (("resolution = 25.0", ""), ("tool =", "tools ="), ("[plots]", "[plot]"), ('"intersection"', '"both"'), ("maker-native", "maker-other"), ('stop_after = ""', 'stop_after = "end"'), ("[stage.refine]", "[stage.refinement]"), ('segmentation_dir = "data/seg"', ""), ("max_shift_angstrom = 600.0", "max_shift_angstrom = 6.0")):
+        with pytest.raises(ValueError):
+            loaded(DOCUMENTED.replace(old, new))
+
+
+def test_components_with_a_large_offset(spark, monkeypatch):
+    """From sums of 40 parts, far from the origin, against numpy; and of tables without rows."""
+    from voxframe.kernels.cluster import pca
+    from voxframe.operators import grouping
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 5)) * (5, 3, 2, 1, 0.5) + 1e6
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "k long, x array<double>").repartition(40)
+    want = pca(x, 3)[0]
+    got = {r.k: r.scores for r in grouping.reduce(df, "k", "x", 3).collect()}
+    assert np.allclose([got[k] for k in range(400)], want, atol=1e-6)
+    n, mean, square = grouping.products(df, "x")
+    assert n == 400 and np.allclose(mean, x.mean(axis=0), rtol=1e-14) and np.allclose(square / n, np.cov(x.T, bias=True), rtol=1e-9)
+    empty = grouping.reduce(df.limit(0), "k", "x", 3)
+    assert empty.count() == 0 and empty.columns == ["k", "scores"]
+    with pytest.raises(ValueError):
+        grouping.reduce(df.limit(2), "k", "x", 3)
+
+
+def test_nearest_of_rows_far_away(spark):
+    from voxframe.operators.joins import nearest
+
+    rng = np.random.default_rng(7)
+    right = np.concatenate([rng.normal(0, 20, (300, 2)), rng.normal(500, 5, (40, 2))])
+    left = np.concatenate([rng.normal(0, 20, (60, 2)), rng.uniform(-3000, 3000, (12, 2)), [[1e7, -3.0], [-1e7, 1e7]]])
+    frame = lambda a, name: spark.createDataFrame([("a" if k % 5 else None, k, *map(float, v)) for k, v in enumerate(a)], f"g string, {name} long, x double, y double")
+    for by, same in (([], lambda i, j: True), (["g"], lambda i, j: (i % 5 == 0) == (j % 5 == 0))):
+        got = {r.i: (r.distance, r.nearest_j) for r in nearest(frame(left, "i"), frame(right, "j"), "i", ["x", "y"], ["j"], 4.0, by).collect()}
+        for i, v in enumerate(left):
+            d = {j: np.linalg.norm(w - v) for j, w in enumerate(right) if same(i, j)}
+            best = min(d, key=lambda j: (d[j], j))
+            assert np.isclose(got[i][0], d[best]) and (got[i][1] == best or np.isclose(d[got[i][1]], d[best], rtol=1e-12))
+    assert nearest(frame(left, "i"), frame(right[:0], "j"), "i", ["x", "y"], ["j"], 4.0).count() == 0

@@ -32,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "run":
         Run(spark, RunSettings.from_file(args.config)).go(args.force, args.start)
     else:
-        Run(spark, RunSettings(args.segmentations, args.tomograms, args.out, args.voxel, rule=args.rule, stages=("pick",))).go()
+        Run(spark, RunSettings(args.segmentations, args.tomograms, args.out, args.voxel, rule=args.rule, stop_after="pick")).go()
 
 
 if __name__ == "__main__":

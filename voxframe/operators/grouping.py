@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..kernels import cluster as K
-from ..scratch import discard, written
+from ..scratch import discard, in_ranges, written
 from .joins import within
 from .windows import nearest_attributes, representatives
 
@@ -302,26 +302,82 @@ def k_means(df: DataFrame, key: str, array: str, k: int, seed: int = 0, starts:
 
 #: Rows of a block; a task compares two blocks at a time.
 BLOCK = 4096
+#: Bits of a row's place on the curve that blocks are cut from, and how many of its values have a part in it.
+CURVE_BITS, CURVE_VALUES = 56, 8
+
+
+def on_a_curve(rows: DataFrame) -> DataFrame:
+    """rows (k, x) with z, their place on a curve that keeps near rows near: the bits of their first values in turn."""
+
+    def extremes(batches):
+        low, high = None, None
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch["x"].to_numpy())[:, :CURVE_VALUES]
+                low, high = (x.min(0) if low is None else np.minimum(low, x.min(0))), (x.max(0) if high is None else np.maximum(high, x.max(0)))
+        if low is not None:
+            yield pd.DataFrame({"low": [low.tolist()], "high": [high.tolist()]})
+
+    found = rows.select("x").mapInPandas(extremes, "low array<double>, high array<double>").collect()  # a row for each task
+    low, high = np.min([r.low for r in found], axis=0), np.max([r.high for r in found], axis=0)
+    bits = CURVE_BITS // len(low)
+
+    def place(batches):
+        for batch in batches:
+            x = np.stack(batch["x"].to_numpy())[:, : len(low)] if len(batch) else np.zeros((0, len(low)))
+            cell = np.minimum((x - low) / np.where(high > low, high - low, 1.0) * (1 << bits), (1 << bits) - 1).astype(np.int64)
+            z = np.zeros(len(x), np.int64)
+            for bit in reversed(range(bits)):
+                for d in range(len(low)):
+                    z = z << 1 | cell[:, d] >> bit & 1
+            yield batch.assign(z=z)
+
+    return rows.mapInPandas(place, f"k {rows.schema['k'].dataType.simpleString()}, x array<double>, z long")
+
+
+def balls(rows: DataFrame) -> DataFrame:
+    """i, centre, radius of each block of rows (i, x)."""
+
+    def around(key, own: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(own["x"].to_numpy())
+        centre = x.mean(axis=0)
+        return pd.DataFrame({"i": [key[0]], "centre": [centre.tolist()], "radius": [float(np.sqrt(((x - centre) ** 2).sum(axis=1).max()))]})
+
+    return rows.select("i", "x").groupBy("i").applyInPandas(around, "i int, centre array<double>, radius double")
+
+
+def ball_pairs(blocks: DataFrame, count: int) -> DataFrame:
+    """i and j of all pairs of different blocks, with the least and the most that rows of the two can be apart."""
+    one = blocks.select("i", F.col("centre").alias("_a"), F.col("radius").alias("_r"), F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("j")).where("i <> j")
+    both = one.join(blocks.select(F.col("i").alias("j"), F.col("centre").alias("_b"), F.col("radius").alias("_s")), "j")
+    apart = F.sqrt(F.aggregate(F.zip_with("_a", "_b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    return both.select("i", "j", F.greatest(F.lit(0.0), (apart - F.col("_r") - F.col("_s")) * (1 - 1e-9) - 1e-12).alias("least"), ((apart + F.col("_r") + F.col("_s")) * (1 + 1e-9) + 1e-12).alias("most"))
 
 
 def density_clusters(df: DataFrame, key: str, array: str, least_size: int, block: int | None = None) -> DataFrame:
     """key and label of density clusters by excess of mass; -1 is noise. Keys are unique.
 
-    Core distances and, in rounds, each component's nearest row of another one come from tasks that compare a block of rows
-    with another; of these comparisons only the least leave the task. So no task holds more than two blocks, and rounds
-    halve the components until one spanning tree is left. Its edges, three values a row, are condensed in one task.
+    Blocks are stretches of a curve through the rows, each with a ball around it. Core distances and, in rounds, each
+    component's nearest row of another one come first from the blocks themselves; these are bounds, and a pair of blocks is
+    compared only if their balls are near enough to beat them. Only the least edges leave a task. So no task holds more than two blocks, few of all
+    pairs are shuffled where rows lie in clusters, and rounds halve the components until one spanning tree is left. Its edges, three values
+    a row, are condensed in one task.
     """
     n = df.count()
     if n < least_size:
         raise ValueError("fewer rows than the least cluster size")
-    kind, blocks = df.schema[key].dataType.simpleString(), max(1, -(-n // (block or BLOCK)))
-    rows = df.select(F.col(key).alias("k"), F.col(array).cast("array<double>").alias("x"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("i"))
-    rows, near = written(rows, "rows"), min(max(least_size - 1, 1), n - 1)
-
-    def compared(state: DataFrame, function, form: str) -> DataFrame:
-        each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-        one = state.withColumn("j", each)
-        two = state.select(F.col("i").alias("j"), each.alias("i"), *(F.col(c).alias(c) for c in state.columns if c != "i"))  # columns of its own
+    kind, count = df.schema[key].dataType.simpleString(), max(1, -(-n // (block or BLOCK)))
+    rows = on_a_curve(df.select(F.col(key).alias("k"), F.col(array).cast("array<double>").alias("x")))
+    rows, near = in_ranges(rows, ["z", "k"], count).withColumnRenamed("_p", "i").drop("z"), min(max(least_size - 1, 1), n - 1)
+    ball = written(balls(rows), "balls")
+    apart = ball_pairs(ball, count)
+
+    def compared(state: DataFrame, pairs: DataFrame | None, function, form: str) -> DataFrame:
+        """function(rows of i, rows of j) of the pairs, or of each block and itself."""
+        if pairs is None:
+            return state.groupBy("i").applyInPandas(lambda own: function(own, own), form)
+        one = state.join(pairs, "i")
+        two = state.withColumnRenamed("i", "j").join(pairs, "j").select("i", "j", *(F.col(c).alias(c) for c in state.columns if c != "i"))
         return one.groupBy("i", "j").cogroup(two.groupBy("i", "j")).applyInPandas(function, form)
 
     def slices(one: pd.DataFrame, two: pd.DataFrame):
@@ -333,9 +389,15 @@ def density_clusters(df: DataFrame, key: str, array: str, least_size: int, block
 
     def nearest(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
         parts = [(k, np.sort(np.partition(d, min(near, d.shape[1] - 1), axis=1)[:, : near + 1], axis=1)) for k, d in slices(one, two)]
-        return pd.DataFrame([(key, own.tolist()) for at, d in parts for key, own in zip(one["k"].to_numpy()[at], d, strict=True)], columns=["k", "d"])
-
-    core = compared(rows, nearest, f"k {kind}, d array<double>").groupBy("k").agg(F.array_sort(F.flatten(F.collect_list("d")))[near].alias("core"))
+        return pd.DataFrame([(key, block, own.tolist()) for at, d in parts for key, block, own in zip(one["k"].to_numpy()[at], one["i"].to_numpy()[at], d, strict=True)], columns=["k", "i", "d"])
+
+    form = f"k {kind}, i int, d array<double>"
+    inside = written(compared(rows, None, nearest, form), "inside")
+    # the furthest that a row of the block may have to look; blocks with few rows look everywhere
+    reach = inside.groupBy("i").agg(F.max(F.when(F.size("d") > near, F.col("d")[near]).otherwise(F.lit(float("inf")))).alias("reach"))
+    close = apart.join(reach, "i").where("least <= reach").select("i", "j")
+    lists = inside.unionByName(compared(rows, written(close, "close"), nearest, form))
+    core = lists.groupBy("k").agg(F.array_sort(F.flatten(F.collect_list("d")))[near].alias("core"))
     rows = written(rows.join(core, "k"), "cores")
 
     def outside(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
@@ -356,9 +418,22 @@ def density_clusters(df: DataFrame, key: str, array: str, least_size: int, block
                     best[c] = min(best.get(c, (np.inf,)), (w, *ends))
         return pd.DataFrame([(names[c], *edge) for c, edge in best.items()], columns=["c", "w", "a", "b"])
 
-    labels, tree = rows.select("k", F.col("k").alias("c")), None
+    labels, tree, form = rows.select("k", F.col("k").alias("c")), None, f"c {kind}, w double, a {kind}, b {kind}"
     while True:
-        found = compared(rows.join(labels, "k"), outside, f"c {kind}, w double, a {kind}, b {kind}")
+        state = written(rows.join(labels, "k"), "state")
+        own = written(compared(state, None, outside, form), "inside")
+        found = own
+        if count > 1:
+            # what a component's best edge is at most: one inside a block, else one between two blocks that aren't both all its own
+            some = state.groupBy("i").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("core").alias("least_core"), F.max("core").alias("most_core"))
+            pairs = apart.join(some.withColumnsRenamed({"c0": "ci", "c1": "di", "least_core": "li", "most_core": "mi"}), "i")
+            pairs = pairs.join(some.withColumnsRenamed({"i": "j", "c0": "cj", "c1": "dj", "least_core": "lj", "most_core": "mj"}), "j").where("not (ci = di and cj = dj and ci = cj)")
+            pairs = written(pairs.select("i", "j", "ci", "di", F.greatest("least", "li", "lj").alias("least"), F.greatest("most", "mi", "mj").alias("most")), "pairs")
+            between = pairs.where("ci = di").groupBy(F.col("ci").alias("c")).agg(F.min("most").alias("w"))
+            bound = own.select("c", "w").unionByName(between).groupBy("c").agg(F.min("w").alias("w"))
+            reach = state.select("i", "c").distinct().join(bound, "c", "left").groupBy("i").agg(F.max(F.coalesce("w", F.lit(float("inf")))).alias("reach"))
+            needed = written(pairs.join(reach, "i").where("least <= reach").select("i", "j"), "needed")
+            found = own.unionByName(compared(state, needed, outside, form))
         found = written(found.groupBy("c").agg(F.min(F.struct("w", "a", "b")).alias("e")).select("e.*").distinct(), "edges")
         if not found.limit(1).count():
             break

@@ -120,15 +120,15 @@ def standardised(raw: DataFrame, flat: int, by_tomogram: bool = True, least: int
     return joined.mapInPandas(scale, raw.schema)
 
 
-def assign(features: DataFrame, method: str = "kmeans", k: int = 8, least_size: int = 10, components: int = 10, strict: bool = False) -> DataFrame:
+def assign(features: DataFrame, method: str = "kmeans", k: int = 8, least_size: int = 10, components: int = 10, strict: bool = False, seed: int = 0) -> DataFrame:
     """particle_id, cluster_id. Strict: each half for itself in common components, B's classes renamed to the A ones they match;
     a class of B that has no match gets a number that A doesn't use."""
     reduced = written(reduce(features, "particle_id", "features", components).join(features.select("particle_id", "half_set"), "particle_id"), "reduced")
     if not strict:
-        return cluster(reduced, "particle_id", "scores", method, None, k, least_size).select("particle_id", cluster_name(F.col("label")).alias("cluster_id"))
+        return cluster(reduced, "particle_id", "scores", method, None, k, least_size, seed).select("particle_id", cluster_name(F.col("label")).alias("cluster_id"))
     if {r[0] for r in reduced.select("half_set").distinct().collect()} != {"A", "B"}:
         raise ValueError("both halves need particles")
-    labels = written(cluster(reduced, "particle_id", "scores", method, "half_set", k, least_size).join(reduced.select("particle_id", "half_set"), "particle_id"), "labels")
+    labels = written(cluster(reduced, "particle_id", "scores", method, "half_set", k, least_size, seed).join(reduced.select("particle_id", "half_set"), "particle_id"), "labels")
     means = [centroids(single_half(reduced.where(F.col("half_set") == h)), labels.select("particle_id", "label"), "particle_id", "scores").withColumn("half", F.lit(i)) for i, h in enumerate("AB")]
     both = means[0].unionByName(means[1])
     mapping = match_halves(both, "half", "label")

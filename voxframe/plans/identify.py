@@ -82,10 +82,10 @@ def control(real: DataFrame, decoy: DataFrame) -> dict:
     return decoy_control(best(real), best(decoy))
 
 
-def resolve(folder: str, cluster: str, threshold: float = 0.143, halves: dict[str, str] | None = None) -> dict:
-    """Shell correlation of a class's two half maps: those of the halves' own folders if they have one, else the averages."""
+def resolve(folder: str, cluster: str, threshold: float = 0.143, halves: dict[str, str] | None = None, mask: np.ndarray | None = None) -> dict:
+    """Shell correlation of a class's two half maps: those of the halves' own folders if they have one, else the averages. Under the mask, or a soft sphere."""
     found = {half: half_map((halves or {}).get(half), folder, cluster, half) for half in "AB"}
     if missing := [half for half, path in found.items() if not path]:
         raise ValueError(f"{cluster} has no half {missing[0]}")
     a, b = (mrc.read_volume(found[half]).astype(float) for half in "AB")
-    return S.half_map_fsc(a, b, V.soft_sphere(a.shape[0]), mrc.read_header(found["B"]).voxel[0], threshold)
+    return S.half_map_fsc(a, b, V.soft_sphere(a.shape[0]) if mask is None else mask.astype(float), mrc.read_header(found["B"]).voxel[0], threshold)

@@ -10,86 +10,142 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import box_voxels, decoys_wanted, effective_threshold, quaternion_from_normal
+from ..functions.geometry import box_voxels, decoys_wanted, quaternion_from_normal
 from ..functions.text import stage_folder
 from ..operators import decoys as D
-from ..operators.joins import labels_for
+from ..operators.joins import labels_for, with_roll
 from ..sources import mrc, records, sinks
 from . import classify, identify, pick, slabs
 from .state import RunState, half_tree, resumed, signatures, symmetry
 
 
+# The settings file's names and what they are called here.
+NAMES = {
+    "run": {"segmentation_dir": "segmentations", "raw_tomogram_dir": "tomograms", "raw_dir": "tomograms", "output_dir": "out", "voxel_size_angstrom": "voxel", "stop_after": "stop_after", "vesicle_labels": "vesicle_labels"},
+    "decoy": {
+        "enabled": "decoys", "method": "decoy_method", "n_decoys_per_tomogram": "decoy_count", "min_distance_from_real_angstrom": "decoy_distance_angstrom", "min_distance_from_picks_angstrom": "decoy_pick_distance_angstrom",
+        "min_shift_angstrom": "decoy_least_shift_angstrom", "max_shift_angstrom": "decoy_most_shift_angstrom", "n_synthetic_tomograms": "noise_count", "synthetic_shape_voxels": "noise_shape",
+    },
+    "pick": {"pickers": "pickers", "consensus_rule": "rule", "distance_threshold": "threshold_voxels", "half_set_seed": "seed", "max_beam_angle": "max_beam_angle", "vesicle_labels": "vesicle_labels"},
+    "classify": {
+        "method": "method", "min_cluster_size": "least_size", "n_clusters": "k", "n_components": "components", "box_angstrom": "box_angstrom", "n_radial_bins": "radial_bins", "strict_halfset_independence": "strict",
+        "inplane_alignment": "align", "inplane_angular_step_degrees": "align_step_degrees", "inplane_iterations": "align_rounds", "random_state": "random_state", "feature_normalisation": "normalisation",
+    },
+    "identify": {"candidates": "candidates", "resolution": "resolution", "search": "search"},
+    "refine": {"class_id": "class_id", "threshold": "fsc_threshold", "mask": "mask"},
+}
+#: Known names without a meaning here: Spark is the scheduler, nothing is fetched or plotted, and refinement itself is another program's.
+WITHOUT_EFFECT = {"n_workers", "keep_raw", "backend", "fitter", "fetch_missing", "tool", "iterations"}
+PATHS = ("segmentations", "tomograms", "out", "vesicle_labels", "candidates", "mask")
+
+
 @dataclass
 class RunSettings:
+    """Settings of a run. Distances are angstrom, save the consensus threshold, which is voxels."""
+
     segmentations: str
     tomograms: str
     out: str
     voxel: float | None = None
+    stop_after: str | None = None
     pick: pick.PickSettings = field(default_factory=pick.PickSettings)
     pickers: tuple[str, ...] = ("native",)
-    threshold_voxels: float = 5.0
-    rule: str = "union"
+    threshold_voxels: float = 15.0
+    rule: str = "intersection"
     seed: int = 0
     max_beam_angle: float | None = None
+    vesicle_labels: str | None = None
+    decoys: bool = True
+    decoy_method: str = "rejected-surface"
     decoy_ratio: float = 1.0
     decoy_count: int | None = None
-    decoy_distance_voxels: float = 6.0
-    decoy_method: str = "rejected-surface"
-    decoy_shift_voxels: tuple[float, float] = (8.0, 20.0)
-    decoy_off_surface_voxels: float = 4.0
-    noise_count: int | None = None
-    noise_shape: tuple[int, int, int] = (64, 64, 64)
-    vesicle_labels: str | None = None
+    decoy_distance_angstrom: float = 100.0
+    decoy_pick_distance_angstrom: float = 60.0
+    decoy_least_shift_angstrom: float = 200.0
+    decoy_most_shift_angstrom: float = 600.0
+    noise_count: int | None = 3
+    #: z, y, x; the first tomogram's, if none is given.
+    noise_shape: tuple[int, int, int] | None = None
     box_angstrom: float = 300.0
-    method: str = "kmeans"
-    k: int = 4
-    least_size: int = 10
-    components: int = 10
-    align: bool = False
-    strict: bool = False
+    method: str = "density"
+    k: int = 5
+    least_size: int = 20
+    components: int = 20
+    radial_bins: int = 12
+    normalisation: str = "both"
+    strict: bool = True
+    align: bool = True
+    align_step_degrees: float = 10.0
+    align_rounds: int = 3
+    random_state: int = 0
     candidates: str | None = None
     resolution: float | None = None
-    fsc_threshold: float = 0.143
     search: dict = field(default_factory=dict)
-    stages: tuple[str, ...] = ("pick", "classify", "identify", "refine")
+    class_id: str = "all"
+    fsc_threshold: float = 0.143
+    mask: str | None = None
 
     @classmethod
     def from_file(cls, path: str) -> RunSettings:
-        """Settings of a run's TOML file; names that no stage knows are an error."""
-        config = records.read_config(path)
-        run, stage = config["run"], config["stage"]
-        flat = {"segmentations": run.get("segmentation_dir"), "tomograms": run.get("raw_dir"), "out": run.get("output_dir"), "voxel": run.get("voxel_size_angstrom")}
-        if not (flat["segmentations"] and flat["tomograms"] and flat["out"]):
-            raise ValueError("run needs segmentation_dir, raw_dir and output_dir")
-        for name, own in stage.items():
-            for key, value in own.items():
-                if key == "backend" or value is None:
+        """Settings of a run's TOML file; names that no stage knows are an error, blank values are unset, paths lie beside the file.
+
+        [stage.pick] also takes the native picker's own settings, as PickSettings has them.
+        """
+        config, flat, own = records.read_config(path), {}, {}
+        sections = {"run": config.get("run", {}), "decoy": config.get("decoy", {}), **config.get("stage", {})}
+        for name, values in sections.items():
+            if name not in NAMES:
+                raise ValueError(f"unknown stage {name}")
+            for key, value in values.items():
+                if value is None or key in WITHOUT_EFFECT:
                     continue
-                if name == "pick" and key in pick.PickSettings.__dataclass_fields__:
-                    flat.setdefault("_pick", {})[key] = value
-                elif key in cls.__dataclass_fields__:
-                    flat[key] = str((Path(path).parent / value).resolve()) if key == "candidates" else value
+                if key in NAMES[name]:
+                    flat[NAMES[name][key]] = value
+                elif name == "pick" and key in pick.PickSettings.__dataclass_fields__:
+                    own[key] = value
                 else:
-                    raise ValueError(f"stage.{name} doesn't know {key}")
-        for key, value in config.get("decoy", {}).items():
-            name = key if key.startswith(("decoy_", "noise_")) else f"decoy_{key}"
-            if name not in cls.__dataclass_fields__:
-                raise ValueError(f"decoy doesn't know {key}")
-            flat[name] = value
-        own = flat.pop("_pick", {})
+                    raise ValueError(f"{name} doesn't know {key}")
+        if not all(flat.get(x) for x in ("segmentations", "tomograms", "out")):
+            raise ValueError("run needs segmentation_dir, raw_tomogram_dir and output_dir")
+        if flat.get("stop_after") in ("pick", "classify"):
+            flat.pop("candidates", None), flat.pop("resolution", None)
+        for key in PATHS:
+            if flat.get(key):
+                flat[key] = str((Path(path).parent / flat[key]).resolve())
+        if "pickers" in flat:
+            flat["pickers"] = tuple(x.rpartition("-")[2] for x in flat["pickers"])  # a picker's maker may stand before its name
+        if flat.get("method") == "hdbscan":
+            flat["method"] = "density"
+        for key in ("noise_shape",):
+            if key in flat:
+                flat[key] = tuple(flat[key])
         if "windows" in own:
             own["windows"] = [tuple(w) for w in own["windows"]]
         return cls(pick=pick.PickSettings(**own), **flat)
 
+    @property
+    def stages(self) -> tuple[str, ...]:
+        """Stages of the run; candidates are needed from identify on."""
+        own = ("pick", "classify", "identify", "refine")
+        return own[: own.index(self.stop_after) + 1] if self.stop_after else own
+
     def __post_init__(self):
         if unknown := [p for p in self.pickers if p not in pick.PICKERS]:
             raise ValueError(f"unknown pickers: {', '.join(unknown)}")
         if not self.pickers:
             raise ValueError("a picker is needed")
+        if self.rule not in ("union", "intersection"):
+            raise ValueError(f"unknown rule {self.rule}")
+        if self.stop_after not in (None, "pick", "classify", "identify", "refine"):
+            raise ValueError(f"unknown stage {self.stop_after}")
+        if self.method not in ("density", "kmeans"):
+            raise ValueError(f"unknown method {self.method}")
         if self.decoy_method not in DECOYS:
             raise ValueError(f"unknown decoy method {self.decoy_method}")
         if self.decoy_method == "synthetic-noise" and not self.noise_count:
             raise ValueError("the number of noise volumes is needed")
+        if self.decoy_least_shift_angstrom > self.decoy_most_shift_angstrom:
+            raise ValueError("shifts must not fall")
         if (self.candidates is None) != (self.resolution is None):
             raise ValueError("candidates and a resolution go together")
 
@@ -161,19 +217,19 @@ class Run:
 
     def decoy_points(self, real: DataFrame) -> DataFrame:
         """tomogram_id, x, y, z, nx, ny, nz of the decoys, by the method asked for."""
-        s, xyz = self.s, ["x", "y", "z"]
+        s, xyz, voxel = self.s, ["x", "y", "z"], self.voxel()
         scored = self.spark.read.parquet(*(str(p.with_suffix("")) for p in Path(f"{self.where('real', 'pick')}/scored").glob("*.done")))
         if s.decoy_method == "rejected-surface":
-            threshold = effective_threshold(s.pick.n_mad, len(s.pick.windows))
-            return D.from_rejected(scored, real, threshold, s.decoy_distance_voxels, s.decoy_count, s.decoy_ratio)
+            return D.from_rejected(scored, real, s.pick.threshold, s.decoy_distance_angstrom / voxel, s.decoy_count, s.decoy_ratio)
         if s.decoy_method == "shifted":
             shapes = mrc.volumes(self.spark, s.segmentations, voxels=False).select(F.col("stem").alias("tomogram_id"), "nz", "ny", "nx")
             surface = scored.select("tomogram_id", *xyz, "nx", "ny", "nz").dropDuplicates(["tomogram_id", *xyz])
-            return D.shifted(real.select("tomogram_id", "particle_id", *xyz), surface, shapes, "particle_id", *s.decoy_shift_voxels, s.decoy_off_surface_voxels, s.decoy_distance_voxels)
+            return D.shifted(real.select("tomogram_id", "particle_id", *xyz), surface, shapes, "particle_id", *(x / voxel for x in (s.decoy_least_shift_angstrom, s.decoy_most_shift_angstrom, s.decoy_distance_angstrom, s.decoy_pick_distance_angstrom)))
         wanted = s.decoy_count or real.groupBy("tomogram_id").count().agg(F.max(decoys_wanted(F.col("count"), s.decoy_ratio))).first()[0]
-        folder, shape = self.where("decoy", "pick"), tuple(s.noise_shape)
+        first = s.noise_shape or mrc.volumes(self.spark, s.tomograms, voxels=False).orderBy("stem").select("nz", "ny", "nx").first()
+        folder, shape = self.where("decoy", "pick"), tuple(first)
         sign = -1.0 if s.pick.dark else 1.0
-        self.put("decoy", "pick", manifests=D.noise_manifests(self.spark, s.noise_count, shape, f"{folder}/volumes", self.voxel(), sign))
+        self.put("decoy", "pick", manifests=D.noise_manifests(self.spark, s.noise_count, shape, f"{folder}/volumes", voxel, sign))
         sinks.put_rows(self.table("decoy", "pick", "manifests").orderBy("tomogram_id"), f"{folder}/decoy_manifests.json")
         return D.synthetic(self.spark, s.noise_count, wanted, shape, sign)
 
@@ -193,10 +249,11 @@ class Run:
         particles = self.table(track, "pick", "particles")
         rows = particles.agg(F.count(F.lit(1)), F.sum(F.xxhash64("particle_id", "x", "y", "z").cast("decimal(38,0)"))).first()
         boxes = self.resumed(track, "classify", "boxes", particles, "tomogram_id", {"box": box, "particles": tuple(rows)}, lambda work: classify.extract(work, found, box))
-        assigned = classify.assign(classify.feature_rows(boxes, box), s.method, s.k, s.least_size, s.components, s.strict)
+        features = classify.feature_rows(boxes, box, s.normalisation, radial=s.radial_bins)
+        assigned = classify.assign(features, s.method, s.k, s.least_size, s.components, s.strict, s.random_state)
         self.put(track, "classify", assignments=assigned)
         assigned = self.table(track, "classify", "assignments")
-        angles = classify.inplane_angles(boxes, assigned, box) if s.align else None
+        angles = classify.inplane_angles(boxes, assigned, box, s.align_rounds, s.align_step_degrees) if s.align else None
         if angles is not None:
             self.put(track, "classify", angles=angles)
             angles = self.table(track, "classify", "angles")
@@ -213,12 +270,12 @@ class Run:
             atoms[p.name] = rows[:, :3], rows[:, 3]
         names = self.spark.createDataFrame([(p.name, k) for k, p in enumerate(panel)], "name string, at int")
         tracks = {}
-        for track in ("real", "decoy"):
+        for track in ("real", "decoy") if self.s.decoys else ("real",):
             folder = f"{self.where(track, 'classify')}/averages"
             averages = identify.load_averages(self.spark, folder)
             made = {"averages": signatures({track: folder}), "panel": sorted(atoms), "resolution": self.s.resolution, "search": self.s.search}
             tracks[track] = self.resumed("real", "identify", f"scores_{track}", averages, "cluster_id", made, lambda work: identify.fit_all(work, names, atoms, self.s.resolution, **self.s.search))
-        verdict = identify.control(tracks["real"], tracks["decoy"])
+        verdict = identify.control(tracks["real"], tracks["decoy"]) if self.s.decoys else {"passed": None, "reason": "there are no decoys"}
         folder = self.where("real", "identify")
         self.put("real", "identify", identified=identify.identified(tracks["real"]))
         sinks.put_rows(self.table("real", "identify", "identified").orderBy("cluster_id"), f"{folder}/identification.json")
@@ -227,10 +284,17 @@ class Run:
         self.finish("real", "identify")
 
     def refine(self) -> None:
-        """Resolution of each class from its two half averages; a star file of its particles for other programs."""
+        """Resolution of each class from its two half averages; a star file of its particles, rolled as they were aligned, for other programs."""
         folder, out = f"{self.where('real', 'classify')}/averages", self.where("real", "refine")
         classes = sorted({Path(p).stem.split("_half")[0] for p in mrc.list_volumes(folder)})
+        if self.s.class_id != "all":
+            classes = [c for c in classes if c == self.s.class_id or c == f"c{int(self.s.class_id):02d}"] if self.s.class_id.removeprefix("c").isdigit() else []
+            if not classes:
+                raise ValueError(f"there is no class {self.s.class_id}")
         particles, assigned = self.table("real", "pick", "particles"), self.table("real", "classify", "assignments")
+        if self.s.align:
+            particles = with_roll(particles, self.table("real", "classify", "angles"))
+        mask = mrc.read_volume(self.s.mask) if self.s.mask else None
         rows = []
         for c in classes:
             tree = half_tree(out, c)
@@ -239,7 +303,7 @@ class Run:
             for half in "AB":
                 sinks.put_star(members.where(F.col("half_set") == half), f"{tree[half]}/particles.star")
             try:
-                found = identify.resolve(folder, c, self.s.fsc_threshold, tree)
+                found = identify.resolve(folder, c, self.s.fsc_threshold, tree, mask)
             except ValueError:
                 rows.append((c, None, False))
                 continue
@@ -257,7 +321,7 @@ class Run:
     def go(self, force: bool = False, start: str | None = None) -> list[tuple[str, str]]:
         """Run what isn't finished, in order; what was run."""
         stages = [s for s in self.s.stages if s != "identify" or self.s.candidates]
-        plan = self.state.planned(stages, force, start)
+        plan = [x for x in self.state.planned(stages, force, start) if self.s.decoys or x[0] == "real"]
         for track, stage in plan:
             if stage == "pick":
                 self.pick_real() if track == "real" else self.pick_decoy()

@@ -143,16 +143,10 @@ def read_config(path: str) -> dict:
     config = clean(tomllib.loads(Path(path).read_text()))
     if extra := set(config) - SECTIONS:
         raise ValueError(f"unknown sections: {', '.join(sorted(extra))}")
-    run = config.setdefault("run", {})
-    for key in ("segmentation_dir", "raw_dir", "output_dir"):
-        if run.get(key):
-            run[key] = str((Path(path).parent / run[key]).resolve())
     stage = config.setdefault("stage", {})
-    identify = stage.get("identify")
-    if identify is not None and not (identify.get("candidates") and identify.get("resolution")):
+    identify, stop = stage.get("identify"), config.setdefault("run", {}).get("stop_after")
+    if identify is not None and stop not in ("pick", "classify") and not (identify.get("candidates") and identify.get("resolution")):
         raise ValueError("identify needs candidates and a resolution")
-    for own in stage.values():
-        own.setdefault("backend", run.get("backend", "local"))
     return config
 
 
