@@ -105,7 +105,11 @@ def test_fsc_of_equal_and_unequal_maps():
     mask = V.soft_sphere(24)
     same = S.half_map_fsc(a, a, mask, 3.0)
     assert np.allclose(same["fsc_unmasked"][1:], 1) and not same["crossed"]
-    assert S.half_map_fsc(a, b, mask, 3.0)["resolution"] > same["resolution"]
+    apart = S.half_map_fsc(a + 0.5, b + 0.5, mask, 3.0)
+    assert apart["resolution"] > same["resolution"] and apart["crossed"]
+    # where shell 0 is below the threshold, that of the finest shell
+    opposed = S.half_map_fsc(a + 0.5, b - 0.5, mask, 3.0)
+    assert opposed["fsc_masked"][0] < 0 and opposed["resolution"] == same["resolution"] and not opposed["crossed"]
 
 
 def test_soft_sphere_falls_to_nothing_at_its_radius():

@@ -188,7 +188,7 @@ def test_records(spark, tmp_path):
         records.read_panel(spark, str(tmp_path / "panel.yaml"))
     (tmp_path / "run.toml").write_text('[run]\nraw_dir = "x"\noutput_dir = ""\n[stage.pick]\nrule = "union"\n')
     config = records.read_config(str(tmp_path / "run.toml"))
-    assert config["run"]["raw_dir"] == str(tmp_path / "x") and config["run"]["output_dir"] is None
+    assert config["run"]["raw_dir"] == "x" and config["run"]["output_dir"] is None
     (tmp_path / "run.toml").write_text("[other]\n")
     with pytest.raises(ValueError):
         records.read_config(str(tmp_path / "run.toml"))
@@ -378,7 +378,7 @@ def test_groups_are_told_apart(spark):
 def curved(tmp_path_factory):
     """Two tomograms of different shapes with labelled shells, dips beside them, and one without a membrane."""
     root, rng = tmp_path_factory.mktemp("curved"), np.random.default_rng(11)
-    for k, shape in enumerate(((44, 52, 48), (36, 40, 60), (20, 20, 20))):
+    for k, shape in enumerate(((36, 40, 38), (34, 36, 60), (20, 20, 20))):
         grid = np.indices(shape).astype(float)
         tomo, seg, labels = rng.normal(size=shape), np.zeros(shape), np.zeros(shape)
         for v, centre in enumerate(((18, 20, 18), (22, 24, 40))[: 2 - k] if k < 2 else ()):
@@ -401,7 +401,7 @@ def test_slabs_give_what_whole_volumes_give(spark, curved, monkeypatch, normalis
 
     monkeypatch.setattr(slabs, "SLAB_BYTES", 4 * 52 * 60 * 5)  # five planes
     monkeypatch.setattr(slabs, "POINTS", 300)
-    s = pick.PickSettings(windows=[(20.0, 50.0), (30.0, 60.0)], n_mad=2.0 if mode == "mean" else 0.5, separation_angstrom=45.0, spacing_angstrom=15.0, boundary_margin_angstrom=30.0, normalisation=normalisation, mode=mode, local_radius_angstrom=60.0, min_local_neighbours=30)
+    s = pick.PickSettings(windows=[(20.0, 50.0), (30.0, 60.0)], n_mad=2.0 if mode == "mean" else 0.5, separation_angstrom=45.0, spacing_angstrom=15.0 if mode == "mean" else 25.0, boundary_margin_angstrom=30.0, normalisation=normalisation, mode=mode, local_radius_angstrom=50.0, min_local_neighbours=20)
     found = mrc.manifests(spark, f"{curved}/seg", f"{curved}/tomo")[0]
     if labelled:
         found = labels_for(found, mrc.volumes(spark, f"{curved}/labels", voxels=False).select("stem", F.col("path").alias("label_path"))).drop("stem")
@@ -413,7 +413,7 @@ def test_slabs_give_what_whole_volumes_give(spark, curved, monkeypatch, normalis
         tomo, seg, labels = (mrc.read_volume(f"{curved}/{x}") for x in (f"tomo/c{k}.mrc", f"seg/c{k}_mask.mrc", f"labels/c{k}_mask_labelled.mrc"))
         for r in by_hand.score_surface(tomo, seg, 10.0, s, labels if labelled else None, f"c{k}_mask").itertuples():
             want[r.tomogram_id, r.x, r.y, r.z, round(r.nx, 6), round(r.ny, 6), round(r.nz, 6)] = r
-    assert got.keys() == want.keys() and len(want) > 600
+    assert got.keys() == want.keys() and len(want) > 300
     for key, w in want.items():
         g = got[key]
         assert np.allclose((g.score, g.mean_score, g.profile_score), (w.score, w.mean_score, w.profile_score), atol=1e-9), key
@@ -479,7 +479,7 @@ def test_heavy_rows_reach_many_tasks(spark, curved):
     volume = mrc.read_volume(f"{curved}/tomo/c0.mrc")
     rows = {r.particle_id: r for r in boxes.collect()}
     kept = [r for r in rows.values() if r.kept]
-    assert len(rows) == 400 and 300 < len(kept) < 400 and count(boxes.where("kept")) >= 8
+    assert len(rows) == 400 and 250 < len(kept) < 400 and count(boxes.where("kept")) >= 8
     for r in kept[::37]:
         z = int(r.particle_id[1:]) / 10
         assert np.allclose(np.frombuffer(r.data, np.float32).reshape(5, 5, 5), V.extract_box(volume, np.array([20, 20, z]), np.array([1.0, 0, 0, 0]), 5), atol=1e-5)

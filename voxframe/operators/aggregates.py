@@ -50,20 +50,22 @@ def centre_and_scale(df: DataFrame, x: str, by: list[str]) -> DataFrame:
     values are written and counted. One row a group comes out.
     """
     rows = df.select(F.struct(F.lit(0).alias("_0"), *by).alias("_all"), F.col(x).cast("double").alias("_x"))  # a struct equals another with the same nulls
-    std = written(rows.groupBy("_all").agg(F.stddev_pop("_x").alias("_std"), F.count(F.lit(1)).alias("_rows")), "spreads")
-    small = (std.agg(F.max("_rows")).first()[0] or 0) <= IN_A_TASK
+    off, spread = F.abs(F.col("_x") - F.col("centre")), F.stddev_pop("_x").alias("_std")
+    if (rows.groupBy("_all").count().agg(F.max("count")).first()[0] or 0) <= IN_A_TASK:
+        centre = rows.groupBy("_all").agg(spread, F.median("_x").alias("centre"))
+        mad = _back(rows, centre, by).groupBy("_all").agg(F.first("centre").alias("centre"), F.first("_std").alias("_std"), F.median(off).alias("_mad"))
+    else:
+        std = written(rows.groupBy("_all").agg(spread), "spreads")
+        centre = written(std.join(medians(rows, F.col("_x"), ["_all"], "centre"), "_all", "left"), "centres")
+        mad = written(centre.join(medians(_back(rows, centre, by), off, ["_all"], "_mad"), "_all", "left"), "scales")
+        discard(std, centre)
+    scale = F.when(F.col("_mad") > 0, MAD_SCALE * F.col("_mad")).otherwise(F.coalesce("_std", F.lit(0.0)))
+    return mad.select(*(F.col(f"_all.{c}").alias(c) for c in by), "centre", scale.alias("scale"))
 
-    def middles(of: DataFrame, value: Column, out: str) -> DataFrame:
-        return of.groupBy("_all").agg(F.median(value).alias(out)) if small else medians(of, value, ["_all"], out)
 
-    centre = written(std.join(middles(rows, F.col("_x"), "centre"), "_all", "left"), "centres")
-    # without groups there is one key, so its row has to be sent to the others
-    joined = rows.join(centre if by else F.broadcast(centre), "_all")
-    mad = centre.join(middles(joined, F.abs(F.col("_x") - F.col("centre")), "_mad"), "_all", "left")
-    scale = F.when(F.col("_mad") > 0, MAD_SCALE * F.col("_mad")).otherwise(F.coalesce("_std", F.lit(0.0)))
-    out = written(mad.select(*(F.col(f"_all.{c}").alias(c) for c in by), "centre", scale.alias("scale")), "scales")
-    discard(std, centre)
-    return out
+def _back(rows: DataFrame, centre: DataFrame, by: list[str]) -> DataFrame:
+    """rows with their group's statistics; without groups there is one key, so its row has to be sent to the others."""
+    return rows.join(centre if by else F.broadcast(centre), "_all")
 
 
 def _with_statistics(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
