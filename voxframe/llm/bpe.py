@@ -7,6 +7,9 @@ inside the tokens go on as if the neighbours weren't there, so the first merge o
 happen in that pair alone. The encoding follows by walking back from the end. As a prefix's last token never
 depends on later bytes, appending is exact, and after an edit only the places from it to where the array
 agrees with the old one again, over the longest token's length, are computed anew.
+
+A null text is an empty one and gives no ids; texts of any length are encoded whole, a match at a time. Rows are encoded by
+themselves: repeated rows and ties come out alike, an empty table gives no rows, and extra columns are left out, whatever their names.
 """
 
 from __future__ import annotations

@@ -18,6 +18,8 @@ replaced down to 0.8, 38 bits have 99.7 %, 40 bits 99.9 %, and RADIUS all.
 
 Null and empty texts, and texts without words, have a fingerprint of zeros. Repeated rows have equal fingerprints.
 An empty table gives no rows.
+
+Extra columns are left out, whatever their names.
 """
 
 from __future__ import annotations

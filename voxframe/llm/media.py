@@ -8,6 +8,9 @@ type; confirmed finds elsewhere are embedded media and can be carved out. Inside
 are looked for, except where its samples are raw, as in WAV and PGM.
 
 Null bytes have no finds; empty ones neither. A format that isn't known leaves the declared type.
+
+Rows are stored and told by themselves: repeated rows and ties come out alike, an empty table gives no rows. `text_payloads`
+leaves extra columns out, whatever their names; `sniff_column` keeps them, save those named like its own.
 """
 
 from __future__ import annotations

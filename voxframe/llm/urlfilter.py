@@ -13,6 +13,8 @@ their share where the url lies; only places with rarer n-grams are shuffled, and
 A null url, or one without "://", has an empty host and path, meets no rule, and is judged by the models on its
 own characters; a null or empty one has no characters, so no score, and like all urls where nothing could be learned
 `allow`. Pages are judged by url, so repeated rows get equal verdicts. An empty table gives no rows.
+
+Extra columns are left out, whatever their names.
 """
 
 from __future__ import annotations
