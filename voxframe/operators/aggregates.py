@@ -169,8 +169,8 @@ def whole_moments(own: DataFrame, group: str) -> tuple[int, np.ndarray, np.ndarr
         if have:
             yield pd.DataFrame([(have[0], have[1].tolist(), have[2].tolist())], columns=["n", "m", "q"])
 
-    parts = own.select("n", "m", "q").mapInPandas(add, "n long, m array<double>, q array<double>")
-    return functools.reduce(joined_moments, [(r.n, np.array(r.m), np.array(r.q)) for r in parts.collect()]) if parts.limit(1).count() else None
+    parts = own.select("n", "m", "q").mapInPandas(add, "n long, m array<double>, q array<double>").collect()
+    return functools.reduce(joined_moments, [(r.n, np.array(r.m), np.array(r.q)) for r in parts]) if parts else None
 
 
 def class_averages(df: DataFrame, array: str, cluster: str = "cluster_id") -> DataFrame:
