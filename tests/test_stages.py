@@ -210,6 +210,38 @@ def test_documents_come_back(spark, picked, tmp_path):
     assert records.read_json(spark, f"{tmp_path}/vesicles.json", records.VESICLE).first() == ("t:v0001", "t", 1, 500.0, 2.0)
 
 
+def test_documents_are_written_by_tasks(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+    from voxframe.sources.documents import put_document
+
+    def no(*_, **__):
+        raise AssertionError("rows came to the driver")
+
+    df = spark.range(5000).repartition(7)
+    particles = df.select(
+        F.format_string("p%06d", "id").alias("particle_id"), F.lit('t"\\n\u00e9').alias("tomogram_id"), *((F.col("id") / k).alias(c) for k, c in ((3, "x"), (7, "y"), (9, "z"))),
+        F.when(F.col("id") % 2 == 0, F.struct(*(F.lit(v).alias(c) for v, c in zip((1.0, 0.0, 0.0, 0.0), "wxyz")))).alias("orientation"), F.lit("A").alias("half_set"),
+    )
+    with monkeypatch.context() as m:
+        m.setattr(Frame, "toLocalIterator", no)
+        sinks.put_particle_set(particles, f"{tmp_path}/set.json", "union", ["b", "a"])
+        sinks.put_star(particles, f"{tmp_path}/set.star")
+        sinks.put_rows(particles.limit(0), f"{tmp_path}/none.json")
+    whole = json.loads((tmp_path / "set.json").read_text())
+    assert (whole["consensus_rule"], whole["contributing_pickers"]) == ("union", ["a", "b"])
+    assert [r["particle_id"] for r in whole["particles"]] == [f"p{k:06d}" for k in range(5000)]
+    assert all(r["position"] == [k / 3, k / 7, k / 9] and r["vesicle_id"] is None and r["tomogram_id"] == 't"\\n\u00e9' for k, r in enumerate(whole["particles"]))
+    assert json.loads((tmp_path / "none.json").read_text()) == []
+    lines = (tmp_path / "set.star").read_text().splitlines()
+    assert lines[:4] == ["", "data_particles", "", "loop_"] and lines[4:12] == [f"_{c} #{k}" for k, c in enumerate(sinks.star_rows(particles).columns, 1)]
+    assert [x.split()[-1] for x in lines[12:]] == [f"p{k:06d}" for k in range(5000)] and lines[13].split()[1:4] == ["0.333333", "0.142857", "0.111111"]
+    assert lines[12].split()[4:7] == lines[13].split()[4:7] == ["0.000000"] * 3  # an upright particle, and one without an orientation
+    # a job that fails leaves the document of before and no parts
+    with pytest.raises(Exception, match="no"):
+        put_document(df, F.when(F.col("id") == 4000, F.raise_error(F.lit("no"))).otherwise("x"), f"{tmp_path}/set.star")
+    assert (tmp_path / "set.star").read_text().splitlines() == lines and sorted(p.name for p in tmp_path.iterdir()) == ["none.json", "set.json", "set.star"]
+
+
 def test_a_review_goes_on(spark, data, picked, tmp_path):
     sinks.put_particle_set(picked[0], f"{tmp_path}/set.json", "union", ["native"])
     particles, volumes, review = load_review(spark, f"{tmp_path}/set.json", f"{data}/seg", f"{data}/tomo", str(tmp_path))
@@ -621,6 +653,36 @@ def test_review(spark):
         review.saved(particles)
 
 
+def test_a_long_review_has_a_short_plan(spark, tmp_path):
+    """Random operations with undo and redo against sets in plain Python; the plan doesn't grow, and a review goes on from its folder."""
+    rng, size = np.random.default_rng(3), 12
+    frame = lambda ids: spark.createDataFrame([(int(i),) for i in ids], "id long")
+    operators = lambda r: sum(line.lstrip(" :+-*()0123456789").split(" ")[0].isalpha() for line in r.rejected._jdf.queryExecution().sparkPlan().toString().splitlines())
+    review, states, at = Review([frame([1, 2])], "id", f"{tmp_path}/log"), [{1, 2}], 0
+    plain = operators(review)
+    for k in range(20):
+        what, ids = rng.choice(["toggle", "toggle", "reject", "reset", "put", "undo", "redo"]), set(rng.choice(size, 4).tolist())
+        if what in ("undo", "redo"):
+            getattr(review, what)()
+            at = max(0, at - 1) if what == "undo" else min(len(states) - 1, at + 1)
+        else:
+            getattr(review, what)(frame([*ids, *ids]))
+            now = states[at]
+            states[at + 1 :] = [{"toggle": now ^ ids, "reject": now | ids, "reset": now - ids, "put": ids}[what]]
+            at += 1
+        if k % 8 == 7:
+            review = Review([], "id", f"{tmp_path}/log")
+        assert {r[0] for r in review.rejected.collect()} == states[at], (k, what)
+    assert len(states) > 5 and review.n > 5 and operators(review) == plain
+    review.toggle(spark.createDataFrame([(None,), (99,)], "id long"))
+    assert {r[0] for r in review.rejected.collect()} == states[at] | {99}
+    # the rest of an operation that failed doesn't count
+    frame([7777]).withColumn("rejected", F.lit(True)).write.parquet(f"{tmp_path}/log/op={review.at + 1}")
+    assert {r[0] for r in Review([], "id", f"{tmp_path}/log").rejected.collect()} == states[at] | {99}
+    with pytest.raises(ValueError):
+        Review([], "id", f"{tmp_path}/none")
+
+
 def test_state(tmp_path):
     assert not sync(f"{tmp_path}/s", {"a": 1})
     assert sync(f"{tmp_path}/s", {"a": 1})

@@ -47,7 +47,7 @@ def tilt_psi(q: Column) -> Column:
     """struct(tilt, psi) in degrees of the rotated z axis; zeros for null."""
     nx, ny, nz = 2 * (q["x"] * q["z"] + q["y"] * q["w"]), 2 * (q["y"] * q["z"] - q["x"] * q["w"]), 1 - 2 * (q["x"] * q["x"] + q["y"] * q["y"])
     tilt = F.degrees(F.acos(F.least(F.greatest(nz, F.lit(-1.0)), F.lit(1.0))))
-    return F.struct(F.coalesce(tilt, F.lit(0.0)).alias("tilt"), F.coalesce(F.degrees(F.atan2(ny, nx)), F.lit(0.0)).alias("psi"))
+    return F.struct(F.when(nz.isNotNull(), tilt).otherwise(0.0).alias("tilt"), F.coalesce(F.degrees(F.atan2(ny, nx)), F.lit(0.0)).alias("psi"))
 
 
 def beam_angle(nx: Column, ny: Column, nz: Column) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import new_path
 from .filters import in_slab
 
 
@@ -19,37 +21,83 @@ def symmetric(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.union(b).exceptAll(a.intersect(b)).exceptAll(a.intersect(b))
 
 
-@dataclass
+#: Rows of a review's places: the last one counts.
+PLACE = "turn long, at int, n int, kind string"
+
+
+def fold(log: DataFrame, key: str, upto: int | Column) -> DataFrame:
+    """key of what is rejected after operation `upto`: the last of an id's rows (op, key, rejected) tells, so one aggregate folds any number of operations."""
+    return log.where(F.col("op") <= upto).groupBy(key).agg(F.max_by("rejected", "op").alias("_rejected")).where("_rejected").select(key)
+
+
 class Review:
-    """Snapshots of a rejected set (ids); undo and redo move between them."""
+    """A log of operations on a rejected set; undo and redo move the place in it up to which it counts.
+
+    Operation n is a table of its own (op=n in the folder): an id that it changed, and whether that is rejected from then on. The
+    rejected set is the fold of the operations up to the place, so its plan is the same after any number of them, and folders of
+    operations that were taken back aren't read. An operation after some that were taken back replaces them. Place and number of
+    operations are a row that is written last, so what a failed run left half-written doesn't count. A review
+    of the same folder goes on where the last one ended. Null ids are left out; ids that come twice in an operation count once.
 
-    states: list[DataFrame]
-    at: int = 0
-    key: str = field(default="particle_id")
+    states: the rejected set to begin with, and further ones, each an operation; none for a folder that has a log.
+    """
+
+    def __init__(self, states: list[DataFrame], key: str = "particle_id", folder: str | None = None):
+        self.key, self.spark = key, (states[0].sparkSession if states else SparkSession.active())
+        self.folder = folder or new_path(self.spark, "review")
+        self.kind = states[0].schema[key].dataType.simpleString() if states else None
+        self.at = self.n = -1
+        if (mark := read_place(self.spark, self.folder)) is not None:
+            self.at, self.n, self.kind = mark
+        elif not states:
+            raise ValueError("a new review needs a rejected set to begin with")
+        else:
+            self._append(states[0].select(key, F.lit(True).alias("rejected")))
+        for s in states[1:] if mark is None else []:
+            self.put(s)
+
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(f"`{self.key}` {self.kind}, rejected boolean, op int").option("basePath", self.folder).parquet(f"{self.folder}/op=*")
 
     @property
     def rejected(self) -> DataFrame:
-        return self.states[self.at]
+        return fold(self._log(), self.key, self.at)
+
+    def _append(self, changes: DataFrame) -> None:
+        if self.n > self.at:
+            # what was taken back can't be done again from here on, whatever becomes of the next write
+            self.n = self.at
+            self._note()
+        changes.where(F.col(self.key).isNotNull()).dropDuplicates([self.key]).write.mode("overwrite").parquet(f"{self.folder}/op={self.at + 1}")
+        self.at = self.n = self.at + 1
+        self._note()
+
+    def _note(self) -> None:
+        self.spark.createDataFrame([(time.time_ns(), self.at, self.n, self.kind)], PLACE).coalesce(1).write.mode("append").parquet(f"{self.folder}/place")
 
     def put(self, rejected: DataFrame) -> None:
-        del self.states[self.at + 1 :]
-        self.states.append(rejected)
-        self.at += 1
+        """Make this the rejected set; what is in it and wasn't, and what was and isn't, is the operation."""
+        now, new = self.rejected.withColumn("_was", F.lit(True)), rejected.select(self.key).distinct().withColumn("rejected", F.lit(True))
+        both = now.join(new, self.key, "full_outer").where("_was is null or rejected is null")
+        self._append(both.select(self.key, F.coalesce("rejected", F.lit(False)).alias("rejected")))
 
     def toggle(self, ids: DataFrame) -> None:
-        self.put(symmetric(self.rejected, ids))
+        was = self.rejected.withColumn("_was", F.lit(True))
+        self._append(ids.select(self.key).distinct().join(was, self.key, "left").select(self.key, F.col("_was").isNull().alias("rejected")))
 
     def reject(self, ids: DataFrame) -> None:
-        self.put(self.rejected.union(ids).distinct())
+        self._append(ids.select(self.key, F.lit(True).alias("rejected")))
 
     def reset(self, ids: DataFrame) -> None:
-        self.put(self.rejected.exceptAll(ids))
+        self._append(ids.select(self.key, F.lit(False).alias("rejected")))
 
     def undo(self) -> None:
         self.at = max(0, self.at - 1)
+        self._note()
 
     def redo(self) -> None:
-        self.at = min(len(self.states) - 1, self.at + 1)
+        self.at = min(self.n, self.at + 1)
+        self._note()
 
     def saved(self, particles: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Accepted particles and the rejected (id, tomogram); an error if nothing is accepted."""
@@ -59,6 +107,15 @@ class Review:
         return accepted, particles.join(self.rejected, self.key, "left_semi").select(self.key, "tomogram_id")
 
 
+def read_place(spark: SparkSession, folder: str) -> tuple[int, int, str] | None:
+    """Place, number of the last operation and the ids' type of a log; None if there is none."""
+    try:
+        last = spark.read.schema(PLACE).parquet(f"{folder}/place").orderBy(F.desc("turn")).first()
+    except AnalysisException:
+        return None
+    return (last["at"], last["n"], last["kind"]) if last else None
+
+
 def load_review(spark: SparkSession, particle_set: str, segmentations: str | None = None, tomograms: str | None = None, folder: str | None = None) -> tuple[DataFrame, DataFrame, Review]:
     """Particles, the volumes of their tomograms (tomogram_id, segmentation_path, raw_tomogram_path; exact stems), and a review.
 

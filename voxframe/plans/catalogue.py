@@ -598,6 +598,31 @@ def set4_rejected_sets(spark, sf_dir):
     return R.toggled(some("o_orderpriority like '1%'"), some("o_totalprice > 200000"), some("o_orderstatus = 'F'"))
 
 
+@query("""
+with start as (select o_orderkey as id, 0 as op, true as r from orders where o_orderpriority like '1%'),
+first as (select id, 1 as op, r from (select o_orderkey as id, not o_orderpriority like '1%' as r from orders where o_totalprice > 200000)),
+kept as (select o_orderkey as id, 2 as op, true as r from orders where o_orderkey % 3 = 0),
+back as (select o_orderkey as id, 3 as op, false as r from orders where o_orderstatus = 'F'),
+before as (select id, max_by(r, op) as r from (from start union all from first union all from kept union all from back) group by id),
+last as (select o_orderkey as id, 4 as op, not coalesce(r, false) as r from orders left join before on id = o_orderkey where o_orderdate >= date '1997-01-01')
+select id as o_orderkey from (from start union all from first union all from kept union all from back union all from last) group by id having max_by(r, op)
+""")
+def set4_review_history(spark, sf_dir):
+    """Toggled, rejected, undone, done again, reset, taken back and replaced: a review's log over the orders."""
+    o = table(spark, sf_dir, "orders")
+    some = lambda condition: o.where(condition).select("o_orderkey")
+    review = R.Review([some("o_orderpriority like '1%'")], "o_orderkey")
+    review.toggle(some("o_totalprice > 200000"))
+    review.reject(some("o_orderkey % 3 = 0"))
+    review.undo()
+    review.redo()
+    review.reset(some("o_orderstatus = 'O'"))
+    review.undo()
+    review.reset(some("o_orderstatus = 'F'"))
+    review.toggle(some("o_orderdate >= date '1997-01-01'"))
+    return review.rejected
+
+
 @query(f"with p as ({POINTS}) select vec_id, side::int as side, round(x * side, 6) + 0.0 as nx from p, (select unnest([1, -1]) as side)")
 def set2_both_faces(spark, sf_dir):
     return C.both_faces(points(spark, sf_dir), ["x"]).select("vec_id", "side", r6("n_x").alias("nx"))

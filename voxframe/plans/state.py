@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import shutil
 import tomllib
@@ -9,10 +10,12 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import file_sha256, file_signature, stage_folder
+from ..scratch import written
 from ..sources.sinks import put_json
 
 STAGES = ("pick", "classify", "identify", "refine")
@@ -54,6 +57,90 @@ def resumed(work: DataFrame, key: str, folder: str, fingerprint: dict, make: Cal
     return work.sparkSession.read.parquet(*(str(m.with_suffix("")) for m in marks))
 
 
+def content_digests(members: DataFrame, unit: list[str], *content: Column) -> DataFrame:
+    """unit, digest: a digest of each unit's rows that their order doesn't change; rows that come twice count twice.
+
+    Number, and sums of two hashes of the rows with their nulls told apart, are merged in the tasks before the shuffle, so a unit with
+    most of the rows is no burden.
+    """
+    text = F.to_json(F.array(*(c.cast("string") for c in content)), {"ignoreNullFields": "false"})
+    wide = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
+    sums = members.select(*unit, F.xxhash64(text).cast("decimal(38,0)").alias("_x"), wide.alias("_w")).groupBy(*unit).agg(F.count(F.lit(1)).alias("_n"), F.sum("_x").alias("_x"), F.sum("_w").alias("_w"))
+    return sums.select(*unit, F.concat_ws(":", "_n", "_x", "_w").alias("digest"))
+
+
+class ContentCache:
+    """Results of units of work (a tomogram, a class, a class with a candidate), kept by the digest of what they were made from.
+
+    A digest holds the unit's members and the settings, so a change makes only the units anew that it reaches: an anti-join of the
+    digests with those of the parts that are there. Missing units are made some at a time; a part has a table of its units and one of their
+    results, and counts once its mark lies beside them, so a run that died goes on after its last whole part. Parts without a unit
+    that is still wanted go; superseded results in other parts stay until then, and aren't read. The names of units don't come to the driver.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, unit: list[str]):
+        self.spark, self.folder, self.unit = spark, folder, unit
+        #: Units that the last call made.
+        self.made = 0
+
+    def _parts(self) -> list[str]:
+        return sorted(str(m.with_suffix("")) for m in Path(self.folder).glob("*.done"))
+
+    def _units(self, parts: list[str], like: DataFrame) -> DataFrame:
+        schema = T.StructType([*like.select(*self.unit, "digest").schema.fields, T.StructField("part", T.StringType())])
+        return self.spark.read.schema(schema).parquet(*(f"{p}/units" for p in parts)) if parts else self.spark.createDataFrame([], schema)
+
+    def results(self, digests: DataFrame, settings: dict, make: Callable[[DataFrame], DataFrame], size: int = BATCH) -> DataFrame:
+        """What make(units) gives for all units, with their digest; it is called with the units (unit columns, digest) that are missing.
+
+        digests: unit, digest, as content_digests gives them; a unit comes once. make's rows carry the unit's columns; a unit
+        may give none.
+        """
+        mark = F.sha2(F.concat_ws("|", F.col("digest"), F.lit(json.dumps(settings, sort_keys=True, default=str))), 256)
+        wanted = written(digests.where(all_named(digests, self.unit)).select(*self.unit, mark.alias("digest")), "wanted")
+        on = [*self.unit, "digest"]
+        missing = written(wanted.join(self._units(self._parts(), wanted).select(*on), on, "left_anti"), "missing")
+        self.made = missing.count()
+        batches = -(-self.made // size)
+        schema = None
+        for k in range(batches):
+            some = missing.where(F.pmod(F.xxhash64(*self.unit), F.lit(batches)) == k)
+            part = Path(self.folder) / uuid.uuid4().hex
+            made = make(some).join(some, self.unit)
+            made.write.parquet(f"{part}/results")
+            some.withColumn("part", F.lit(part.name)).write.parquet(f"{part}/units")
+            put_json(f"{part}.done", k)
+            schema = made.schema
+        parts = self._parts()
+        if not parts:
+            return make(wanted.limit(0)).join(wanted.limit(0), self.unit)
+        alive = self._units(parts, wanted).join(wanted, on, "left_semi").dropDuplicates(on)
+        used = {r[0] for r in alive.select("part").distinct().collect()}  # parts, not units
+        for p in parts:
+            if Path(p).name not in used:
+                Path(f"{p}.done").unlink()
+                shutil.rmtree(p, ignore_errors=True)
+        kept = [f"{p}/results" for p in parts if Path(p).name in used]
+        if not kept:
+            return make(wanted.limit(0)).join(wanted.limit(0), self.unit)
+        out = (self.spark.read.schema(schema) if schema else self.spark.read).parquet(*kept)
+        return out.join(wanted.select(*on), on, "left_semi").select(*out.columns)
+
+
+def all_named(df: DataFrame, unit: list[str]) -> Column:
+    """An error where a unit has a null in its name: such a one would be made again each time."""
+    named = functools.reduce(Column.__and__, (F.col(c).isNotNull() for c in unit))
+    return F.when(named, F.lit(True)).otherwise(F.raise_error(F.lit("a unit of work has no name")).cast("boolean"))
+
+
+def file_marks(spark: SparkSession, folder: str | None) -> DataFrame:
+    """path, mark (size and time) of a folder's files; Spark lists them, and doesn't read what is in them."""
+    if not folder:
+        return spark.createDataFrame([], "path string, mark string")
+    found = spark.read.format("binaryFile").load(folder).select("path", "length", "modificationTime")
+    return found.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.concat_ws(":", "length", F.col("modificationTime").cast("double").cast("decimal(20,3)")).alias("mark"))
+
+
 def signatures(folders: dict[str, str | None]) -> dict[str, str]:
     """role/name -> size:mtime of all files; a missing folder has none."""
     out = {}

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import tilt_psi
+from .documents import as_json, put_document
 
 
 def put_text(path: str, text: str) -> None:
@@ -30,8 +31,8 @@ def put_json(path: str, value) -> None:
 
 
 def put_rows(df: DataFrame, path: str) -> None:
-    """A document of a stage's rows; a small result. Large ones are Parquet."""
-    put_json(path, [r.asDict(recursive=True) for r in df.toLocalIterator()])
+    """A JSON list of the rows in their order, a row a line; tasks write it."""
+    put_document(df, as_json(df), path, "[\n", ",\n", "\n]\n")
 
 
 def particle_documents(particles: DataFrame) -> DataFrame:
@@ -47,11 +48,12 @@ def particle_documents(particles: DataFrame) -> DataFrame:
 
 
 def put_particle_set(particles: DataFrame, path: str, rule: str, pickers: list[str]) -> None:
-    """The document that records.read_particles reads."""
-    rows = [r.asDict(recursive=True) for r in particle_documents(particles).toLocalIterator()]
-    if not rows:
+    """The document that records.read_particles reads, particles by their ids; tasks write it."""
+    if not particles.limit(1).count():
         raise ValueError("the particle set is empty")
-    put_json(path, {"particles": rows, "consensus_rule": rule, "contributing_pickers": sorted(pickers)})
+    rows = particle_documents(particles).orderBy("particle_id")
+    rest = json.dumps({"consensus_rule": rule, "contributing_pickers": sorted(pickers)})[1:]
+    put_document(rows, as_json(rows), path, '{"particles": [\n', ",\n", f"\n], {rest}\n")
 
 
 def put_assignments(assignments: DataFrame, path: str, classifier: str = "native", angles: DataFrame | None = None) -> None:
@@ -81,10 +83,11 @@ def star_rows(particles: DataFrame) -> DataFrame:
 
 
 def put_star(particles: DataFrame, path: str) -> None:
-    rows = star_rows(particles)
-    lines = ["", "data_particles", "", "loop_", *(f"_{c} #{k}" for k, c in enumerate(rows.columns, 1))]
-    lines += [" ".join(f"{v:.6f}" if isinstance(v, float) else str(v) for v in r) for r in rows.toLocalIterator()]
-    put_text(path, "\n".join(lines) + "\n")
+    """A star file of the particles by their ids; tasks write it. What is missing is written as None."""
+    rows = star_rows(particles).orderBy("rlnTomoParticleName")
+    show = [F.when(F.col(c).isNull(), "None").otherwise(F.format_string("%.6f", c) if kind == "double" else F.col(c)) for c, kind in rows.dtypes]
+    head = ["", "data_particles", "", "loop_", *(f"_{c} #{k}" for k, c in enumerate(rows.columns, 1)), ""]
+    put_document(rows, F.concat_ws(" ", *show), path, "\n".join(head))
 
 
 def put_fsc(result: dict, folder: str, threshold: float = 0.143) -> None:
