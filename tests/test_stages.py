@@ -1,6 +1,7 @@
 """Volumes to report on small generated data."""
 
 import json
+import os
 from dataclasses import replace
 
 import numpy as np
@@ -278,6 +279,49 @@ def test_work_goes_on_where_it_stopped(spark, tmp_path):
     assert resumed(work.limit(0), "tomogram_id", f"{tmp_path}/none", {}, lambda rows: rows).count() == 0
 
 
+def test_only_what_changed_is_made_again(spark, tmp_path):
+    from voxframe.plans.state import ContentCache, content_digests
+
+    calls = []
+
+    def go(rows, settings=None, size=2, fail=None):
+        df = spark.createDataFrame(rows, "t string, id int, x double")
+
+        def make(units):
+            names = sorted(r[0] for r in units.select("t").collect())
+            if fail in names:
+                raise RuntimeError("lost")
+            calls.extend(names)
+            return df.join(units.select("t"), "t").where("x <> 0").groupBy("t").agg(F.sum("x").alias("total"))
+
+        cache = ContentCache(spark, f"{tmp_path}/c", ["t"])
+        out = cache.results(content_digests(df, ["t"], F.col("id"), F.col("x")), settings or {}, make, size)
+        made, calls[:] = sorted(calls), []
+        return {r.t: r.total for r in out.collect()}, made
+
+    rows = [(f"t{k}", i, float(k)) for k in range(5) for i in range(3)]
+    want = {f"t{k}": 3.0 * k for k in range(1, 5)}  # t0 gives no row, and counts as made all the same
+    with pytest.raises(RuntimeError):
+        go(rows, fail="t3")
+    calls[:] = []
+    rest = go(rows)
+    assert rest[0] == want and "t3" in rest[1]
+    assert go(rows[::-1]) == (want, [])
+    assert go([*rows, ("t2", 9, 1.0)]) == (want | {"t2": 7.0}, ["t2"])
+    assert go([r for r in rows if r[0] != "t4"])[0] == {k: v for k, v in want.items() if k != "t4"}
+    assert go([(t, i, None if (t, i) == ("t1", 0) else x) for t, i, x in rows])[0]["t1"] == 2.0
+    assert go(rows, {"a": 1}) == (want, [f"t{k}" for k in range(5)])
+    # parts without a unit that counts are gone
+    assert len(list((tmp_path / "c").glob("*.done"))) == len([p for p in (tmp_path / "c").iterdir() if p.is_dir()]) <= 3
+    assert go([])[0] == {}
+    with pytest.raises(Exception, match="no name"):
+        go([(None, 1, 1.0)])
+    # rows that come twice, and nulls, make a difference
+    digest = lambda *own: content_digests(spark.createDataFrame([("t", *r) for r in own], "t string, a string, b string"), ["t"], F.col("a"), F.col("b")).first().digest
+    kinds = [digest(*own) for own in ([("a", None)], [(None, "a")], [("a", "")], [("a", None)] * 2, [("a", None), (None, "a")])]
+    assert len(set(kinds)) == 5 and digest(("x", "y"), ("z", "w")) == digest(("z", "w"), ("x", "y"))
+
+
 def test_scores_by_neighbours_and_vesicles():
     rng = np.random.default_rng(3)
     points, x = rng.uniform(0, 30, (150, 3)), rng.normal(size=150)
@@ -517,6 +561,15 @@ def test_heavy_rows_reach_many_tasks(spark, curved):
         assert np.allclose(np.frombuffer(r.data, np.float32).reshape(5, 5, 5), V.extract_box(volume, np.array([20, 20, z]), np.array([1.0, 0, 0, 0]), 5), atol=1e-5)
 
 
+def test_a_box_does_not_depend_on_the_others(spark, data, picked):
+    found = mrc.manifests(spark, f"{data}/seg", f"{data}/tomo")[0]
+    particles = picked[0].withColumn("z", F.col("z") + 0.3).withColumn("y", F.col("y") + 0.7)
+    cut = lambda rows, **o: {r.particle_id: bytes(r.data) for r in classify.extract(rows, found, 9, **o).where("kept").collect()}
+    all_of, alone = cut(particles), cut(particles, each=1)
+    one = cut(particles.where("z > 20"))
+    assert all_of == alone and one and all(all_of[k] == v for k, v in one.items())
+
+
 def test_search_by_fourier_is_the_loop(spark):
     """Scores at all shifts, against shifting and correlating one by one."""
     rng = np.random.default_rng(12)
@@ -792,6 +845,18 @@ def test_whole_run(spark, data, tmp_path):
     run.state.done["real"].pop("pick")
     run.pick_real()
     assert made == {p: p.stat().st_mtime_ns for p in (out / "pick/scored").rglob("*.parquet")}
+    # the content of each tomogram, class and pair tells what is made anew
+    again = Run(spark, settings)
+    for stage in (again.pick_real, again.pick_decoy, lambda: again.classify("real"), again.identify):
+        stage()
+    made = {(track, name): c.made for (track, _, name), c in again.caches.items()}
+    assert made == {(t, n): 0 for t, n in (("real", "scored"), ("decoy", "points"), ("real", "boxes"), ("real", "features"), ("real", "turned"), ("real", "scores_real"), ("real", "scores_decoy"))}
+    (tmp_path / "panel.yaml").write_text((tmp_path / "panel.yaml").read_text() + "- {name: third, structure_path: small.pdb}\n")
+    os.utime(f"{data}/tomo/t02.mrc")
+    for stage in (again.pick_real, lambda: again.classify("real"), again.identify):
+        stage()
+    made = {name: c.made for (track, _, name), c in again.caches.items() if track == "real"}
+    assert made == {"scored": 1, "boxes": 1, "features": 1, "turned": 0, "scores_real": 1, "scores_decoy": 1}
     for method, more in (("shifted", {"decoy_least_shift_angstrom": 60.0, "decoy_most_shift_angstrom": 140.0}), ("synthetic-noise", {"noise_count": 2, "noise_shape": (24, 24, 24)})):
         other = Run(spark, replace(settings, decoy_method=method, decoy_pick_distance_angstrom=20.0, decoy_distance_angstrom=20.0, **more))
         other.pick_decoy()

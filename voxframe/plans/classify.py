@@ -51,7 +51,7 @@ def extract(particles: DataFrame, manifests: DataFrame, box: int, subtract: bool
                 for p in own.itertuples():
                     q = p.orientation
                     q = np.array([q[k] for k in "wxyz"] if isinstance(q, dict) else [q.w, q.x, q.y, q.z])
-                    data = V.extract_box(volume, np.array([p.x, p.y, p.z - start]), q, box).tobytes()
+                    data = V.extract_box(volume, np.array([p.x, p.y, p.z]), q, box, start).tobytes()
                     out.append((p.particle_id, p.tomogram_id, p.half_set, p.vesicle_id, True, data))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in BOXES.split(", ")])
 
@@ -68,23 +68,28 @@ PLANES = 64
 NORMALISATIONS = ("none", "particle", "tomogram", "both")
 
 
-def feature_rows(boxes: DataFrame, box: int, normalisation: str = "both", least: int = 50, **options) -> DataFrame:
-    """particle_id, half_set, tomogram_id, features; boxes that are empty or cut off are left out.
-
-    The columns of the further modes are standardised over all particles that aren't cut off, empty ones with their zeros,
-    and then, for "tomogram" and "both", within each tomogram of `least` or more; for "particle" and "both", each particle's further modes have unit length before. Tasks add up their own rows' sums, so two rows of
-    statistics a task and tomogram are all that moves.
-    """
-
+def raw_features(boxes: DataFrame, box: int, normalisation: str = "both", **options) -> DataFrame:
+    """particle_id, half_set, tomogram_id, features as they are, mark (a hash of the box), of the boxes that aren't cut off."""
     if normalisation not in NORMALISATIONS:
         raise ValueError(f"unknown normalisation {normalisation}")
 
     def compute(batches):
         for rows in batches:
             f = [S.features(np.frombuffer(d, np.float32).reshape((box,) * 3).astype(float), power=normalisation in ("particle", "both"), **options).tolist() for d in rows["data"]]
-            yield pd.DataFrame({"particle_id": rows["particle_id"], "half_set": rows["half_set"], "tomogram_id": rows["tomogram_id"], "features": f})
+            yield rows[["particle_id", "half_set", "tomogram_id", "mark"]].assign(features=f)[["particle_id", "half_set", "tomogram_id", "features", "mark"]]
+
+    return boxes.where("kept").withColumn("mark", F.xxhash64("data")).mapInPandas(compute, "particle_id string, half_set string, tomogram_id string, features array<double>, mark long")
 
-    raw = written(boxes.where("kept").mapInPandas(compute, "particle_id string, half_set string, tomogram_id string, features array<double>"), "features")
+
+def feature_rows(boxes: DataFrame | None, box: int, normalisation: str = "both", least: int = 50, raw: DataFrame | None = None, **options) -> DataFrame:
+    """particle_id, half_set, tomogram_id, features; boxes that are empty or cut off are left out.
+
+    The columns of the further modes are standardised over all particles that aren't cut off, empty ones with their zeros,
+    and then, for "tomogram" and "both", within each tomogram of `least` or more; for "particle" and "both", each particle's further modes have unit length before. Tasks add up their own rows' sums, so two rows of
+    statistics a task and tomogram are all that moves.
+    raw: what raw_features gave, if it is there.
+    """
+    raw = (written(raw_features(boxes, box, normalisation, **options), "features") if raw is None else raw).select("particle_id", "half_set", "tomogram_id", "features")
     flat = S.mode_zero_width(box, **options)
     return standardised(raw, flat, normalisation in ("tomogram", "both"), least).where(F.exists("features", lambda x: x != 0))
 

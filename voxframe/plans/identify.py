@@ -40,8 +40,8 @@ def load_averages(spark: SparkSession, folder: str) -> DataFrame:
 FITS = 4
 
 
-def fit_all(averages: DataFrame, panel: DataFrame, atoms: dict[str, tuple[np.ndarray, np.ndarray]], resolution: float, done: DataFrame | None = None, absolute: bool = True, **search) -> DataFrame:
-    """cluster_id, candidate_protein, at, fit_score for every class with every candidate; finished pairs are left out.
+def fit_all(averages: DataFrame, panel: DataFrame, atoms: dict[str, tuple[np.ndarray, np.ndarray]], resolution: float, done: DataFrame | None = None, absolute: bool = True, wanted: DataFrame | None = None, **search) -> DataFrame:
+    """cluster_id, candidate_protein, at, fit_score for every class with every candidate, or the wanted pairs; finished pairs are left out.
 
     Pairs are dealt out, FITS to a task at most; candidates' atoms are a few thousand numbers each. Averages and candidates are
     compared at one resolution and smeared about z.
@@ -52,7 +52,11 @@ def fit_all(averages: DataFrame, panel: DataFrame, atoms: dict[str, tuple[np.nda
             means = [V.to_comparable(np.array(r.mean).reshape((r.box,) * 3), V.blur_sigma(resolution, r.voxel)).ravel().tolist() for r in rows.itertuples()]
             yield rows.assign(mean=means)
 
+    if wanted is not None:
+        averages = averages.join(wanted, "cluster_id", "left_semi")
     pairs = all_candidates(averages.mapInPandas(comparable, averages.schema), panel.select(F.col("name").alias("candidate_protein"), F.col("at")))
+    if wanted is not None:
+        pairs = pairs.join(wanted, ["cluster_id", "candidate_protein"], "left_semi")
     if done is not None:
         pairs = pending(pairs, done, ["cluster_id", "candidate_protein"])
     shared = averages.sparkSession.sparkContext.broadcast(atoms)

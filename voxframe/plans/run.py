@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -16,7 +17,7 @@ from ..operators import decoys as D
 from ..operators.joins import labels_for, with_roll
 from ..sources import mrc, records, sinks
 from . import classify, identify, pick, slabs
-from .state import RunState, half_tree, resumed, signatures, symmetry
+from .state import ContentCache, RunState, content_digests, half_tree, signatures, symmetry, with_source
 
 
 # The settings file's names and what they are called here.
@@ -158,6 +159,7 @@ class Run:
 
     def __init__(self, spark: SparkSession, settings: RunSettings):
         self.spark, self.s, self.state = spark, settings, RunState(settings.out)
+        self.caches: dict[tuple[str, str, str], ContentCache] = {}
 
     def where(self, track: str, stage: str) -> str:
         return stage_folder(self.s.out, stage, track)
@@ -178,9 +180,9 @@ class Run:
     def inputs(self) -> dict[str, str]:
         return signatures({"segmentation": self.s.segmentations, "raw": self.s.tomograms, "labels": self.s.vesicle_labels})
 
-    def resumed(self, track: str, stage: str, name: str, work: DataFrame, key: str, settings: dict, make) -> DataFrame:
-        """A table that goes on where a failed run left off, as long as inputs and settings are the same."""
-        return resumed(work, key, f"{self.where(track, stage)}/{name}", {"inputs": self.inputs(), **{k: str(v) for k, v in settings.items()}}, make)
+    def cache(self, track: str, stage: str, name: str, *unit: str) -> ContentCache:
+        """Results of a stage by the content of their units: what neither inputs nor settings changed isn't made again."""
+        return self.caches.setdefault((track, stage, name), ContentCache(self.spark, f"{self.where(track, stage)}/{name}", list(unit or ("tomogram_id",))))
 
     def manifests(self, track: str = "real") -> DataFrame:
         """Paths of each tomogram, with label_path where vesicles are labelled."""
@@ -198,15 +200,16 @@ class Run:
     def box(self) -> int:
         return box_voxels(self.s.box_angstrom, self.voxel())
 
-    def scored(self, picker: str) -> str:
-        return "scored" if picker == self.s.pickers[0] else f"scored_{picker}"
+    def scored(self, picker: str) -> DataFrame:
+        """The picker's scored points; of a tomogram whose files and settings are the same, those of before."""
+        work = with_source(self.manifests())
+        made = content_digests(work, ["tomogram_id"], F.col("source"), F.col("voxel_size_angstrom"))
+        name = "scored" if picker == self.s.pickers[0] else f"scored_{picker}"
+        return self.cache("real", "pick", name).results(made, vars(self.s.pick), lambda units: pick.PICKERS[picker](self.manifests().join(units, "tomogram_id", "left_semi"), self.s.pick)).drop("digest")
 
     def pick_real(self) -> None:
         """Particles that the pickers found, together by the rule."""
-        picks = []
-        for name in self.s.pickers:
-            scored = self.resumed("real", "pick", self.scored(name), self.manifests(), "tomogram_id", vars(self.s.pick), lambda work, name=name: pick.PICKERS[name](work, self.s.pick))
-            picks.append(pick.raw_picks(scored, name))
+        picks = [pick.raw_picks(self.scored(name), name) for name in self.s.pickers]
         found = functools.reduce(DataFrame.unionByName, picks)
         self.put("real", "pick", particles=pick.particle_set(found, self.s.threshold_voxels, self.s.rule, len(picks), self.s.max_beam_angle, self.s.seed))
         particles, folder = self.table("real", "pick", "particles"), self.where("real", "pick")
@@ -216,15 +219,29 @@ class Run:
         self.finish("real", "pick")
 
     def decoy_points(self, real: DataFrame) -> DataFrame:
-        """tomogram_id, x, y, z, nx, ny, nz of the decoys, by the method asked for."""
+        """tomogram_id, x, y, z, nx, ny, nz of the decoys, by the method asked for; a tomogram whose files, picks and settings are the same keeps its own."""
+        if self.s.decoy_method == "synthetic-noise":
+            return self.noise_points(real)
+        files = with_source(self.manifests()).select("tomogram_id", F.col("source").alias("name"), *(F.lit(None).cast("double").alias(c) for c in "xyz"))
+        picks = real.select("tomogram_id", F.col("particle_id").alias("name"), "x", "y", "z")
+        made = content_digests(files.unionByName(picks), ["tomogram_id"], *(F.col(c) for c in ("name", "x", "y", "z")))
+        of = {k: v for k, v in vars(self.s).items() if k.startswith("decoy_")} | vars(self.s.pick) | {"voxel": self.voxel(), "picker": self.s.pickers[0]}
+        scored, own = self.scored(self.s.pickers[0]), ["tomogram_id", "x", "y", "z", "nx", "ny", "nz"]
+        only = lambda df, units: df.join(units, "tomogram_id", "left_semi")
+        return self.cache("decoy", "pick", "points").results(made, of, lambda units: self.drawn(only(real, units), only(scored, units)).select(own)).drop("digest")
+
+    def drawn(self, real: DataFrame, scored: DataFrame) -> DataFrame:
+        """Decoys from scored points or shifted picks; each tomogram's for itself."""
         s, xyz, voxel = self.s, ["x", "y", "z"], self.voxel()
-        scored = self.spark.read.parquet(*(str(p.with_suffix("")) for p in Path(f"{self.where('real', 'pick')}/scored").glob("*.done")))
         if s.decoy_method == "rejected-surface":
             return D.from_rejected(scored, real, s.pick.threshold, s.decoy_distance_angstrom / voxel, s.decoy_count, s.decoy_ratio)
-        if s.decoy_method == "shifted":
+        else:
             shapes = mrc.volumes(self.spark, s.segmentations, voxels=False).select(F.col("stem").alias("tomogram_id"), "nz", "ny", "nx")
             surface = scored.select("tomogram_id", *xyz, "nx", "ny", "nz").dropDuplicates(["tomogram_id", *xyz])
             return D.shifted(real.select("tomogram_id", "particle_id", *xyz), surface, shapes, "particle_id", *(x / voxel for x in (s.decoy_least_shift_angstrom, s.decoy_most_shift_angstrom, s.decoy_distance_angstrom, s.decoy_pick_distance_angstrom)))
+
+    def noise_points(self, real: DataFrame) -> DataFrame:
+        s, voxel = self.s, self.voxel()
         wanted = s.decoy_count or real.groupBy("tomogram_id").count().agg(F.max(decoys_wanted(F.col("count"), s.decoy_ratio))).first()[0]
         first = s.noise_shape or mrc.volumes(self.spark, s.tomograms, voxels=False).orderBy("stem").select("nz", "ny", "nx").first()
         folder, shape = self.where("decoy", "pick"), tuple(first)
@@ -247,15 +264,27 @@ class Run:
     def classify(self, track: str) -> None:
         box, s, found = self.box(), self.s, self.manifests(track)
         particles = self.table(track, "pick", "particles")
-        rows = particles.agg(F.count(F.lit(1)), F.sum(F.xxhash64("particle_id", "x", "y", "z").cast("decimal(38,0)"))).first()
-        boxes = self.resumed(track, "classify", "boxes", particles, "tomogram_id", {"box": box, "particles": tuple(rows)}, lambda work: classify.extract(work, found, box))
-        features = classify.feature_rows(boxes, box, s.normalisation, radial=s.radial_bins)
+        of = particles.join(with_source(found).select("tomogram_id", "source"), "tomogram_id")
+        made = content_digests(of, ["tomogram_id"], *(F.col(c) for c in ("source", "particle_id", "half_set", "vesicle_id", "x", "y", "z", "orientation")))
+        boxes = self.cache(track, "classify", "boxes").results(made, {"box": box}, lambda units: classify.extract(particles.join(units, "tomogram_id", "left_semi"), found, box))
+        whole = boxes.select("tomogram_id", "digest").distinct()
+        power = s.normalisation in ("particle", "both")
+        raw = self.cache(track, "classify", "features").results(whole, {"box": box, "power": power, "radial": s.radial_bins}, lambda units: classify.raw_features(boxes.drop("digest").join(units, "tomogram_id", "left_semi"), box, s.normalisation, radial=s.radial_bins))
+        features = classify.feature_rows(None, box, s.normalisation, raw=raw, radial=s.radial_bins)
         assigned = classify.assign(features, s.method, s.k, s.least_size, s.components, s.strict, s.random_state)
         self.put(track, "classify", assignments=assigned)
         assigned = self.table(track, "classify", "assignments")
-        angles = classify.inplane_angles(boxes, assigned, box, s.align_rounds, s.align_step_degrees) if s.align else None
-        if angles is not None:
-            self.put(track, "classify", angles=angles)
+        angles = None
+        if s.align:
+            members = assigned.where("cluster_id <> 'noise'")
+            made = content_digests(members.join(raw.select("particle_id", "mark"), "particle_id"), ["cluster_id"], F.col("particle_id"), F.col("mark"))
+
+            def align(units: DataFrame) -> DataFrame:
+                own = members.join(units, "cluster_id", "left_semi")
+                return classify.inplane_angles(boxes, own, box, s.align_rounds, s.align_step_degrees).join(own, "particle_id")
+
+            turned = self.cache(track, "classify", "turned", "cluster_id").results(made, {"box": box, "rounds": s.align_rounds, "step": s.align_step_degrees}, align)
+            self.put(track, "classify", angles=turned.select("particle_id", "inplane_angle_degrees"))
             angles = self.table(track, "classify", "angles")
         folder = self.where(track, "classify")
         sinks.put_assignments(assigned.join(particles.select("particle_id", "vesicle_id"), "particle_id", "left"), f"{folder}/class_assignments.json", s.method, angles)
@@ -268,13 +297,16 @@ class Run:
         for p in panel:
             rows = np.array(records.read_pdb(self.spark, p.structure_path).select("x", "y", "z", "weight").collect(), dtype=float)
             atoms[p.name] = rows[:, :3], rows[:, 3]
-        names = self.spark.createDataFrame([(p.name, k) for k, p in enumerate(panel)], "name string, at int")
+        names = self.spark.createDataFrame([(p.name, k, hashlib.sha256(b"".join(np.ascontiguousarray(x).tobytes() for x in atoms[p.name])).hexdigest()) for k, p in enumerate(panel)], "name string, at int, atoms_mark string")
         tracks = {}
         for track in ("real", "decoy") if self.s.decoys else ("real",):
             folder = f"{self.where(track, 'classify')}/averages"
             averages = identify.load_averages(self.spark, folder)
-            made = {"averages": signatures({track: folder}), "panel": sorted(atoms), "resolution": self.s.resolution, "search": self.s.search}
-            tracks[track] = self.resumed("real", "identify", f"scores_{track}", averages, "cluster_id", made, lambda work: identify.fit_all(work, names, atoms, self.s.resolution, **self.s.search))
+            pairs = averages.select("cluster_id", F.concat_ws(":", F.xxhash64("mean"), "box", "voxel").alias("class_mark")).crossJoin(F.broadcast(names))
+            made = pairs.select("cluster_id", F.col("name").alias("candidate_protein"), F.concat_ws(":", "class_mark", "atoms_mark").alias("digest"))
+            make = lambda units, averages=averages: identify.fit_all(averages, names, atoms, self.s.resolution, wanted=units, **self.s.search).drop("at")
+            scores = self.cache("real", "identify", f"scores_{track}", "cluster_id", "candidate_protein").results(made, {"resolution": self.s.resolution, "search": self.s.search}, make)
+            tracks[track] = scores.drop("digest").join(F.broadcast(names.select(F.col("name").alias("candidate_protein"), "at")), "candidate_protein")
         verdict = identify.control(tracks["real"], tracks["decoy"]) if self.s.decoys else {"passed": None, "reason": "there are no decoys"}
         folder = self.where("real", "identify")
         self.put("real", "identify", identified=identify.identified(tracks["real"]))

@@ -84,7 +84,7 @@ class ContentCache:
         self.made = 0
 
     def _parts(self) -> list[str]:
-        return sorted(str(m.with_suffix("")) for m in Path(self.folder).glob("*.done"))
+        return sorted(str(m.with_suffix("")) for m in Path(self.folder).glob("*.done") if (m.with_suffix("") / "units").exists())
 
     def _units(self, parts: list[str], like: DataFrame) -> DataFrame:
         schema = T.StructType([*like.select(*self.unit, "digest").schema.fields, T.StructField("part", T.StringType())])
@@ -133,12 +133,15 @@ def all_named(df: DataFrame, unit: list[str]) -> Column:
     return F.when(named, F.lit(True)).otherwise(F.raise_error(F.lit("a unit of work has no name")).cast("boolean"))
 
 
-def file_marks(spark: SparkSession, folder: str | None) -> DataFrame:
-    """path, mark (size and time) of a folder's files; Spark lists them, and doesn't read what is in them."""
-    if not folder:
-        return spark.createDataFrame([], "path string, mark string")
-    found = spark.read.format("binaryFile").load(folder).select("path", "length", "modificationTime")
-    return found.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.concat_ws(":", "length", F.col("modificationTime").cast("double").cast("decimal(20,3)")).alias("mark"))
+def with_source(manifests: DataFrame) -> DataFrame:
+    """manifests with source: size and time of the files that each names, looked up by tasks; a missing file is an error."""
+    paths = [c for c in ("segmentation_path", "raw_tomogram_path", "label_path") if c in manifests.columns]
+
+    def look(batches):
+        for rows in batches:
+            yield rows.assign(source=[" ".join(file_signature(p) if p else "-" for p in own) for own in rows[paths].itertuples(index=False)])
+
+    return manifests.mapInPandas(look, T.StructType([*manifests.schema.fields, T.StructField("source", T.StringType())]))
 
 
 def signatures(folders: dict[str, str | None]) -> dict[str, str]:
