@@ -857,6 +857,8 @@ def test_whole_run(spark, data, tmp_path):
         stage()
     made = {name: c.made for (track, _, name), c in again.caches.items() if track == "real"}
     assert made == {"scored": 1, "boxes": 1, "features": 1, "turned": 0, "scores_real": 1, "scores_decoy": 1}
+    names = [p.name for p in (out / "classify_real/averages").glob("*.mrc")]
+    assert len({n.split("_n")[0] for n in names}) == len(names)
     for method, more in (("shifted", {"decoy_least_shift_angstrom": 60.0, "decoy_most_shift_angstrom": 140.0}), ("synthetic-noise", {"noise_count": 2, "noise_shape": (24, 24, 24)})):
         other = Run(spark, replace(settings, decoy_method=method, decoy_pick_distance_angstrom=20.0, decoy_distance_angstrom=20.0, **more))
         other.pick_decoy()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -200,10 +202,10 @@ def class_averages(boxes: DataFrame, assignments: DataFrame, box: int, angles: D
 
 
 def put_averages(averages: DataFrame, folder: str, box: int, voxel: float) -> None:
-    """<class>_half<H>_n<count>.mrc, axes turned to z, y, x."""
-    import os
-
-    os.makedirs(folder, exist_ok=True)
+    """<class>_half<H>_n<count>.mrc, axes turned to z, y, x; those of an earlier run go, since their counts are in their names."""
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    for old in Path(folder).glob("*_half?_n*.mrc"):
+        old.unlink()
     for r in averages.toLocalIterator():
         mrc.write_volume(f"{folder}/{r.cluster_id}_half{r.half_set}_n{r.n}.mrc", np.array(r["mean"]).reshape((box,) * 3).transpose(2, 1, 0), voxel)
 

@@ -286,6 +286,10 @@ class Run:
             turned = self.cache(track, "classify", "turned", "cluster_id").results(made, {"box": box, "rounds": s.align_rounds, "step": s.align_step_degrees}, align)
             self.put(track, "classify", angles=turned.select("particle_id", "inplane_angle_degrees"))
             angles = self.table(track, "classify", "angles")
+        of = assigned.where("cluster_id <> 'noise'").join(raw.select("particle_id", "half_set", "mark"), "particle_id")
+        of = of.join(angles, "particle_id", "left") if angles is not None else of.withColumn("inplane_angle_degrees", F.lit(None).cast("double"))
+        marks = content_digests(of, ["cluster_id"], *(F.col(c) for c in ("particle_id", "half_set", "mark", "inplane_angle_degrees")))
+        self.put(track, "classify", marks=marks.withColumnRenamed("digest", "content"))
         folder = self.where(track, "classify")
         sinks.put_assignments(assigned.join(particles.select("particle_id", "vesicle_id"), "particle_id", "left"), f"{folder}/class_assignments.json", s.method, angles)
         classify.put_averages(classify.class_averages(boxes, assigned, box, angles), f"{folder}/averages", box, self.voxel())
@@ -302,7 +306,10 @@ class Run:
         for track in ("real", "decoy") if self.s.decoys else ("real",):
             folder = f"{self.where(track, 'classify')}/averages"
             averages = identify.load_averages(self.spark, folder)
-            pairs = averages.select("cluster_id", F.concat_ws(":", F.xxhash64("mean"), "box", "voxel").alias("class_mark")).crossJoin(F.broadcast(names))
+            # by what the averages were made from: the order in which sums meet may change a mean's last bits
+            own = F.coalesce("content", F.xxhash64("mean").cast("string"))
+            marked = averages.join(self.table(track, "classify", "marks"), "cluster_id", "left")
+            pairs = marked.select("cluster_id", F.concat_ws(":", own, "box", "voxel").alias("class_mark")).crossJoin(F.broadcast(names))
             made = pairs.select("cluster_id", F.col("name").alias("candidate_protein"), F.concat_ws(":", "class_mark", "atoms_mark").alias("digest"))
             make = lambda units, averages=averages: identify.fit_all(averages, names, atoms, self.s.resolution, wanted=units, **self.s.search).drop("at")
             scores = self.cache("real", "identify", f"scores_{track}", "cluster_id", "candidate_protein").results(made, {"resolution": self.s.resolution, "search": self.s.search}, make)
