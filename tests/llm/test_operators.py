@@ -419,6 +419,29 @@ def test_a_shingle_of_many_components_is_dealt_out(spark, monkeypatch):
     assert got == {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])} and got
 
 
+def test_a_large_star_is_dealt_out(spark, monkeypatch):
+    """A centre of many members has several keys; links are those of the pairs, whatever the number of keys."""
+    rng = random.Random(6)
+    rows = family(rng, 41, 60, (0, 1, 2, 3))
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    sets = {k: shingles_of(t) for k, t in enumerate(rows)}
+    own = neardup.full_sets(df, 5, "doc_id", "text")
+    star = spark.createDataFrame([(0, k) for k in range(1, 40)] + [(1, 40), (2, 40)], "a long, b long")
+    want = {(r.a, r.b) for r in star.collect() if 100 * len(sets[r.a] & sets[r.b]) >= 80 * len(sets[r.a] | sets[r.b])}
+    for each in (3, 256):
+        monkeypatch.setattr(neardup, "DEALT", each)
+        assert sorted(map(tuple, neardup.confirm(star, own, 80).collect())) == sorted(want) and want
+
+
+def test_ranks_are_found_by_blocks(spark):
+    """Lengths that occur in many fillings, few and often: each piece has one place."""
+    rng = random.Random(9)
+    rows = [(k, 0, 0, rng.choice([3, 3, 3, 3, 5, 7, 11, 19, 23, 24, 31, 38, 44]), k) for k in range(4000)]
+    got = packing.place(spark.createDataFrame(rows, packing.PIECES), 50).collect()
+    assert sorted(r.doc_id for r in got) == list(range(4000))
+    assert check_packing(got, 50) == packing.search(Counter(r[3] for r in rows), 50).sequences
+
+
 def test_bands_miss_few():
     miss = lambda x: (1 - x**neardup.ROWS) ** neardup.BANDS
     assert miss(0.85) < 3e-7 and miss(0.8) < 7e-5

@@ -45,7 +45,7 @@ BANDS, ROWS = 32, 6
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 #: Sizes of sets are classed by powers of this for the exact join.
 STEP = 1.05
-#: Members of one shingle's join that one task takes at once.
+#: Members of one shingle's join, or of one star, that go to one key.
 DEALT = 256
 #: Rounds of stars about other members.
 TURNS = 3
@@ -111,14 +111,26 @@ def full_sets(docs: DataFrame, width: int, key: str, column: str) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those with 100 * intersection >= percent * union on the full sets."""
-    left = sets.select(F.col("id").alias("a"), F.col("own").alias("own_a"))
+    """Of the pairs (a, b), those with 100 * intersection >= percent * union on the full sets.
+
+    Each pair brings the set of b, which few pairs have, to that of a. An `a` of many pairs, as a large star's centre, is
+    dealt out: DEALT of its pairs on average go to a key of their own, with a copy of the one set of a. So no key grows with a star, and the
+    centre's set moves once for so many members.
+    """
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / DEALT).cast("int").alias("deals")).where("deals > 1")
+    many = materialise(many.withColumnRenamed("a", "_many"), "many")
+    small = if_small(many)
+    deals = F.coalesce("deals", F.lit(1))
+    left = sets.join(small, F.col("id") == F.col("_many"), "left").select(F.col("id").alias("a"), F.explode(F.sequence(F.lit(0), deals - 1)).alias("deal"), F.col("own").alias("own_a"))
     right = sets.select(F.col("id").alias("b"), F.col("own").alias("own_b"))
+    placed = pairs.join(small, F.col("a") == F.col("_many"), "left").select("a", "b", F.pmod(F.xxhash64("b"), deals).cast("int").alias("deal"))
     both = F.size(F.array_intersect("own_a", "own_b"))
-    possible = pairs.join(left, "a").join(right, "b").where(
+    possible = placed.join(right, "b").join(left, ["a", "deal"]).where(
         (100 * F.least(F.size("own_a"), F.size("own_b")) >= percent * F.greatest(F.size("own_a"), F.size("own_b")))
     )
-    return possible.where(100 * both >= percent * (F.size("own_a") + F.size("own_b") - both)).select("a", "b")
+    out = materialise(possible.where(100 * both >= percent * (F.size("own_a") + F.size("own_b") - both)).select("a", "b"), "links")
+    discard(many)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -218,7 +230,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(column).alias("text"))
     picked = texts.join(if_small(materialise(wanted, "wanted")), "id", "left_semi")
     sets = materialise(full_sets(picked, width, "id", "text").groupBy("id").agg(F.first("own").alias("own")), "sets")
-    links = materialise(confirm(candidates, sets, percent), "links")
+    links = confirm(candidates, sets, percent)
     final = materialise(components(links), "components")
     in_bucket = ["band", "bucket"]
     for turn in range(TURNS):
@@ -227,7 +239,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str
         others = placed.groupBy(*in_bucket).agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.min_by(F.struct("id", "component"), drawn).alias("o")).where("c0 <> c1")
         others = others.select(*in_bucket, F.col("o.id").alias("a"), F.col("o.component").alias("_c"))
         again = materialise(placed.join(others, in_bucket).where("component <> _c").select("a", F.col("id").alias("b")).distinct(), "stars")
-        more = materialise(confirm(again, sets, percent), "links")
+        more = confirm(again, sets, percent)
         found_some = more.limit(1).count()
         if found_some:
             final = joined_up(final, more)
@@ -237,8 +249,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str
     placed = members.join(final, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_buckets = placed.groupBy(*in_bucket).agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select(*in_bucket)
     rest = materialise(placed.join(open_buckets, in_bucket).select("id", "component").distinct(), "rest")
-    final = joined_up(final, materialise(confirm(rare_prefix_pairs(rest, sets, percent), sets, percent), "links"))
-    discard(members, candidates, sets, links, rest)
+    last = materialise(rare_prefix_pairs(rest, sets, percent), "pairs")
+    final = joined_up(final, confirm(last, sets, percent))
+    discard(members, candidates, sets, links, rest, last)
     named = classes.join(final, "id", "left").select("set_a", "set_b", F.col("n_shingles").alias("size"), F.coalesce("component", "id").alias("component"))
     s, n = signed.alias("s"), named.alias("n")
     same = (F.col("s.set_a") == F.col("n.set_a")) & (F.col("s.set_b") == F.col("n.set_b")) & (F.col("s.n_shingles") == F.col("n.size"))
