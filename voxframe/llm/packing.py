@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -347,20 +348,24 @@ def place(pieces: DataFrame, size: int = SIZE, steps: int = STEPS) -> DataFrame:
     for r in salted.groupBy("length", "salt").count().orderBy("length", "salt").collect():
         before.append((r.length, r.salt, total.get(r.length, 0)))
         total[r.length] = total.get(r.length, 0) + r["count"]
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("p_length", "p_rank", "p_ranks", "p_sequence", "p_times", "p_offset")])
     rows = plan_rows(completion(by_length, size, steps))
-    # which plan row a group's rank falls into is known by length: the rows of a length in order of rank
-    plan = spark.createDataFrame(rows, schema).groupBy("p_length").agg(F.array_sort(F.collect_list(F.struct("p_rank", "p_ranks", "p_sequence", "p_times", "p_offset"))).alias("p_rows"))
-    firsts = spark.createDataFrame(before, "f_length long, f_salt int, f_rank long")
+    # a length's ranks are cut into as many blocks as it has rows of the plan; so there are at most twice as many (row,
+    # block) as rows, and a rank is looked for among two of them on average
+    rows_of = Counter(r[0] for r in rows)
+    width = {x: -(-by_length[x] // n) for x, n in rows_of.items()}
+    blocks = [(block, *r) for r in rows for block in range(r[1] // width[r[0]], (r[1] + r[2] - 1) // width[r[0]] + 1)]
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("p_block", "p_length", "p_rank", "p_ranks", "p_sequence", "p_times", "p_offset")])
+    plan = spark.createDataFrame(blocks, schema)
+    firsts = spark.createDataFrame([(x, salt, rank, width[x]) for x, salt, rank in before], "f_length long, f_salt int, f_rank long, f_width long")
     over = "row_number() over (partition by length, salt order by doc_id, start, ids_crc32) - 1"
     ranked = salted.withColumn("within", F.expr(over)).join(F.broadcast(firsts), (F.col("length") == F.col("f_length")) & (F.col("salt") == F.col("f_salt")))
-    ranked = ranked.withColumn("rank", F.col("f_rank") + F.col("within")).join(F.broadcast(plan), F.col("length") == F.col("p_length"))
-    row = F.expr("filter(p_rows, r -> rank >= r.p_rank and rank < r.p_rank + r.p_ranks)[0]")
+    ranked = ranked.withColumn("rank", F.col("f_rank") + F.col("within")).withColumn("block", F.expr("rank div f_width"))
+    own_row = (F.col("length") == F.col("p_length")) & (F.col("block") == F.col("p_block")) & (F.col("rank") >= F.col("p_rank")) & (F.col("rank") < F.col("p_rank") + F.col("p_ranks"))
     return (
-        ranked.withColumn("r", row)
+        ranked.join(F.broadcast(plan), own_row)
         .select(
             "doc_id", "piece", "start", "length", "ids_crc32",
-            F.expr("r.p_sequence + (rank - r.p_rank) div r.p_times").alias("sequence_id"),
-            F.expr("r.p_offset + ((rank - r.p_rank) % r.p_times) * length").alias("offset"),
+            F.expr("p_sequence + (rank - p_rank) div p_times").alias("sequence_id"),
+            F.expr("p_offset + ((rank - p_rank) % p_times) * length").alias("offset"),
         )
     )
