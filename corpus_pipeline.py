@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from voxframe.llm import langid, linededup, neardup, packing, quality
 from voxframe.llm._common import materialise, read
 from voxframe.llm.entries import tokenizer_path
+from voxframe.scratch import discard
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +70,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of what all stages keep. A stage's table is removed once the next one's is written; the last one's stays."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
