@@ -1027,3 +1027,110 @@ def k18_shell_correlation(spark, sf_dir):
 
     found = half(0, "a").join(half(1, "b"), "label").mapInPandas(correlate, "label int, shell int, fsc double")
     return found.select("label", "shell", (F.round("fsc", 5) + F.lit(0.0)).alias("fsc"))
+
+
+@query("""
+with n as (select label, count(*) as n from embeddings group by label) select label, n, greatest(1, round_even(n * 0.5, 0))::bigint as decoys from n
+""")
+def fn16_decoys_wanted(spark, sf_dir):
+    n = table(spark, sf_dir, "embeddings").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return n.select("label", "n", G.decoys_wanted(F.col("n"), 0.5).alias("decoys"))
+
+
+@query(f"select vec_id, round(z / 13.48, 6) + 0.0 as a, round(y / 13.48, 6) + 0.0 as b, round(x / 13.48, 6) + 0.0 as c from ({POINTS})")
+def fn13_voxels_by_array_axis(spark, sf_dir):
+    """Positions in voxels, in the order of a volume's axes."""
+    p = points(spark, sf_dir)
+    at = G.reversed_axes(F.struct(*(G.to_voxels(F.col(c), 13.48).alias(c) for c in "xyz")))
+    return p.select("vec_id", at.alias("p")).select("vec_id", r6("p.x").alias("a"), r6("p.y").alias("b"), r6("p.z").alias("c"))
+
+
+VOXELS = "select vec_id, p // 16 as i, p // 4 % 4 as j, p % 4 as k, v from (select vec_id, generate_subscripts(embedding, 1) - 1 as p, unnest(embedding)::double as v from embeddings)"
+
+# the samples at w's points, 0 where one is beyond the cube
+SAMPLED = f"round(case when bool_or(least(a, b, c) < -1e-9 or greatest(a, b, c) > 3 + 1e-9) then 0 else sum(share * embedding[16 * (la + da) + 4 * (lb + db) + (lc + dc) + 1]::double)::float::double end, 6) + 0.0 as v from ({CUBES}), t"
+
+
+@query(f"""
+with g as (select x.s as x, y.s as y, z.s as z from (select unnest([0, 1, 2]) as s) x, (select unnest([0, 1, 2]) as s) y, (select unnest([0, 1, 2]) as s) z),
+p as (select x, y, z, 0.96 * (y - 1) + 0.28 * (z - 1) + 1 as a, 0.28 * (y - 1) - 0.96 * (z - 1) + 1.4 as b, x - 1 + 2.3 as c from g), {TRILINEAR}
+select vec_id, x::int as x, y::int as y, z::int as z, {SAMPLED} group by vec_id, x, y, z
+""")
+def k5_extract_box(spark, sf_dir):
+    """Boxes of three voxels in each cube, turned about x, partly beyond the cube."""
+    at, q = np.array([2.3, 1.4, 1.0]), np.array([0.8, 0.6, 0.0, 0.0])
+    found = per_cube(cubes(spark, sf_dir), lambda v: ((*p, float(x)) for p, x in np.ndenumerate(V.extract_box(v, at, q, 3))), "vec_id long, x int, y int, z int, v double")
+    return found.select("vec_id", "x", "y", "z", r6("v").alias("v"))
+
+
+@query(f"""
+with g as (select x.s as i, y.s as j, z.s as k from (select unnest([0, 1, 2, 3]) as s) x, (select unnest([0, 1, 2, 3]) as s) y, (select unnest([0, 1, 2, 3]) as s) z),
+p as (select i, j, k, 1.5 + cos(pi() / 6) * (i - 1.5) + sin(pi() / 6) * (j - 1.5) as a, 1.5 - sin(pi() / 6) * (i - 1.5) + cos(pi() / 6) * (j - 1.5) as b, k::double as c from g), {TRILINEAR}
+select vec_id, i::int as i, j::int as j, k::int as k, {SAMPLED.replace("::float::double", "")} group by vec_id, i, j, k
+""")
+def k10_turn(spark, sf_dir):
+    """Cubes turned by 30 degrees in the plane of their first two axes."""
+    found = per_cube(cubes(spark, sf_dir), lambda v: ((*p, x) for p, x in np.ndenumerate(V.turn(v, 30.0))), "vec_id long, i int, j int, k int, v double")
+    return found.select("vec_id", "i", "j", "k", r6("v").alias("v"))
+
+
+@query(f"""
+with e as ({VOXELS}), turned as (select vec_id, i, j, k, v from e union all select vec_id, j, 3 - i, k, v from e union all select vec_id, 3 - i, 3 - j, k, v from e union all select vec_id, 3 - j, i, k, v from e)
+select vec_id, i::int as i, j::int as j, k::int as k, round(avg(v), 6) + 0.0 as v from turned group by vec_id, i, j, k
+""")
+def k14_azimuthal_smear(spark, sf_dir):
+    """The mean of each cube's four quarter turns."""
+    found = per_cube(cubes(spark, sf_dir), lambda v: ((*p, x) for p, x in np.ndenumerate(V.azimuthal_smear(v, 4))), "vec_id long, i int, j int, k int, v double")
+    return found.select("vec_id", "i", "j", "k", r6("v").alias("v"))
+
+
+@query(f"select vec_id, floor(sqrt((i - 1.5) * (i - 1.5) + (j - 1.5) * (j - 1.5)))::int as r, k::int as z, round(avg(v), 6) + 0.0 as v from ({VOXELS}) group by all")
+def agg9_rotational_average(spark, sf_dir):
+    found = per_cube(cubes(spark, sf_dir), lambda v: ((*at, x) for at, x in np.ndenumerate(S.rotational_average(v))), "vec_id long, r int, z int, v double")
+    return found.select("vec_id", "r", "z", r6("v").alias("v"))
+
+
+@query(f"""
+with e as ({VOXELS}), m as (select vec_id, median(v)::float::double as m from e where v <= 0.1 group by vec_id)
+select vec_id, count(*) filter (v > 0.1) as n_filled, round(sum(case when v > 0.1 then coalesce(m, v) else v end), 6) + 0.0 as total from e left join m using (vec_id) group by vec_id
+""")
+def agg5_fill_membrane(spark, sf_dir):
+    """Voxels over 0.1, as a segmentation has them, take the median of the others."""
+
+    def filled(v):
+        mask = v > 0.1
+        return [(int(mask.sum()), float(V.fill_membrane(v, mask).astype(float).sum()))]
+
+    return per_cube(cubes(spark, sf_dir), filled, "vec_id long, n_filled long, total double").select("vec_id", "n_filled", r6("total").alias("total"))
+
+
+@query(f"""
+with e as ({VOXELS}), s as (select vec_id, avg(v) as m, stddev_pop(v) as s from e group by vec_id)
+select vec_id, i::int as i, j::int as j, k::int as k from e join s using (vec_id) where abs(v - m) > s
+""")
+def flt13_significant(spark, sf_dir):
+    return per_cube(cubes(spark, sf_dir), lambda v: map(tuple, np.argwhere(V.significant(v)).tolist()), "vec_id long, i int, j int, k int")
+
+
+@query(f"""
+with e as ({VOXELS}), cell as (select x.s as ci, y.s as cj, z.s as ck from (select unnest([0, 1, 2]) as s) x, (select unnest([0, 1, 2]) as s) y, (select unnest([0, 1, 2]) as s) z),
+way(w, a, b) as (values (0, 0, 1), (1, 0, 2), (2, 1, 0), (3, 1, 2), (4, 2, 0), (5, 2, 1)), corner as (select unnest([0, 1, 2, 3]) as c),
+-- a tetrahedron's corners: the cell's first, one step along axis a, one more along b, and the last
+placed as (select ci, cj, ck, w, c, ci + (c = 3 or c >= 1 and a = 0 or c >= 2 and b = 0)::int as i, cj + (c = 3 or c >= 1 and a = 1 or c >= 2 and b = 1)::int as j, ck + (c = 3 or c >= 1 and a = 2 or c >= 2 and b = 2)::int as k from cell, way, corner),
+valued as (select vec_id, ci, cj, ck, w, c, i, j, k, v, v >= 0.05 as inside from placed join e using (i, j, k)),
+ranked as (select *, row_number() over (partition by vec_id, ci, cj, ck, w order by inside desc, c) - 1 as r, count(*) filter (inside) over (partition by vec_id, ci, cj, ck, w) as n from valued),
+-- which edges, by rank of their ends, are a triangle's corners
+part(n, t, q, r0, r1) as (values (1, 0, 0, 0, 1), (1, 0, 1, 0, 2), (1, 0, 2, 0, 3), (3, 0, 0, 0, 3), (3, 0, 1, 1, 3), (3, 0, 2, 2, 3), (2, 0, 0, 0, 2), (2, 0, 1, 0, 3), (2, 0, 2, 1, 3), (2, 1, 0, 0, 2), (2, 1, 1, 1, 3), (2, 1, 2, 1, 2)),
+cut as (select x.vec_id, x.ci, x.cj, x.ck, x.w, t, q, x.i + (0.05 - x.v) / (y.v - x.v) * (y.i - x.i) as i, x.j + (0.05 - x.v) / (y.v - x.v) * (y.j - x.j) as j, x.k + (0.05 - x.v) / (y.v - x.v) * (y.k - x.k) as k
+    from ranked x join part on part.n = x.n and part.r0 = x.r join ranked y on y.vec_id = x.vec_id and y.ci = x.ci and y.cj = x.cj and y.ck = x.ck and y.w = x.w and y.r = part.r1),
+side as (select a.vec_id, b.i - a.i as ui, b.j - a.j as uj, b.k - a.k as uk, c.i - a.i as vi, c.j - a.j as vj, c.k - a.k as vk from cut a join cut b using (vec_id, ci, cj, ck, w, t) join cut c using (vec_id, ci, cj, ck, w, t) where a.q = 0 and b.q = 1 and c.q = 2)
+select vec_id, count(*) as n_triangles, round(sum(sqrt(pow(uj * vk - uk * vj, 2) + pow(uk * vi - ui * vk, 2) + pow(ui * vj - uj * vi, 2)) / 2), 6) + 0.0 as area from side group by vec_id
+""")
+def k1_surface_area(spark, sf_dir):
+    """Triangles of each cube's surface at 0.05 and their area."""
+
+    def area(v):
+        triangles = V.surface_triangles(v, 0.05)
+        return [(len(triangles), float(V.triangle_areas(triangles).sum()))] if len(triangles) else []
+
+    return per_cube(cubes(spark, sf_dir), area, "vec_id long, n_triangles long, area double").select("vec_id", "n_triangles", r6("area").alias("area"))
