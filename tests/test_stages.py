@@ -645,6 +645,21 @@ def test_density_clusters_over_blocks(spark, name):
         cluster(df.limit(5), "k", "x", "density", least_size=8)
 
 
+def test_density_clusters_of_a_cloud(spark):
+    """One cloud cut into blocks that all touch: the labels of all distances, and few rows are near enough to another block's box."""
+    from voxframe.kernels.cluster import density_clusters as at_once
+    from voxframe.operators.grouping import density_clusters, from_box
+
+    rows = np.random.default_rng(13).normal(size=(600, 3))
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(rows)], "k long, x array<double>")
+    got = {r.k: r.label for r in density_clusters(df, "k", "x", 5, block=150).collect()}
+    assert [got[k] for k in range(600)] == at_once(rows, 5).tolist()
+    low, high = np.array([0.5, -0.25, 0.0]), np.array([1.0, 0.25, 0.5])
+    boxed = df.withColumns({"low": F.array(*map(F.lit, low.tolist())), "high": F.array(*map(F.lit, high.tolist()))})
+    near = {r.k for r in boxed.where(from_box(3) <= 0.3).collect()}
+    assert near == set(np.flatnonzero(np.linalg.norm(np.maximum(0, np.maximum(low - rows, rows - high)), axis=1) <= 0.3).tolist()) and len(near) < 150
+
+
 def test_few_blocks_are_compared(spark):
     """Of clustered rows, pairs of blocks that are near enough grow with the blocks, not with their square."""
     from voxframe.operators.grouping import ball_pairs, balls, on_a_curve

@@ -354,13 +354,20 @@ def ball_pairs(blocks: DataFrame, count: int) -> DataFrame:
     return both.select("i", "j", F.greatest(F.lit(0.0), (apart - F.col("_r") - F.col("_s")) * (1 - 1e-9) - 1e-12).alias("least"), ((apart + F.col("_r") + F.col("_s")) * (1 + 1e-9) + 1e-12).alias("most"))
 
 
+def from_box(width: int) -> Column:
+    """The least that a row (x) can be from rows in the box from low to high."""
+    gap = [F.greatest(F.lit(0.0), F.col("low")[d] - F.col("x")[d], F.col("x")[d] - F.col("high")[d]) for d in range(width)]
+    return F.sqrt(sum((g * g for g in gap), F.lit(0.0))) * (1 - 1e-9) - 1e-12
+
+
 def density_clusters(df: DataFrame, key: str, array: str, least_size: int, block: int | None = None) -> DataFrame:
     """key and label of density clusters by excess of mass; -1 is noise. Keys are unique.
 
     Blocks are stretches of a curve through the rows, each with a ball around it. Core distances and, in rounds, each
     component's nearest row of another one come first from the blocks themselves; these are bounds, and a pair of blocks is
-    compared only if their balls are near enough to beat them. Only the least edges leave a task. So no task holds more than two blocks, few of all
-    pairs are shuffled where rows lie in clusters, and rounds halve the components until one spanning tree is left. Its edges, three values
+    compared only if their balls are near enough to beat them, and of such a pair only the rows that are near enough to the box around the others. The
+    largest component doesn't look, as the others find it. Only the least edges leave a task. So no task holds more than two blocks, what is
+    compared between blocks are their rims, and rounds halve the components until one spanning tree is left. Its edges, three values
     a row, are condensed in one task.
     """
     n = df.count()
@@ -370,58 +377,68 @@ def density_clusters(df: DataFrame, key: str, array: str, least_size: int, block
     rows = on_a_curve(df.select(F.col(key).alias("k"), F.col(array).cast("array<double>").alias("x")))
     rows, near = in_ranges(rows, ["z", "k"], count).withColumnRenamed("_p", "i").drop("z"), min(max(least_size - 1, 1), n - 1)
     ball = written(balls(rows), "balls")
-    apart = ball_pairs(ball, count)
+    apart, width, tasks = ball_pairs(ball, count), len(ball.select("centre").first()[0]), 4 * df.sparkSession.sparkContext.defaultParallelism
+
+    def box(state: DataFrame, *others: Column) -> DataFrame:
+        """i with the box around its rows as low and high."""
+        return state.groupBy("i").agg(*(F.array(*(f(F.col("x")[d]) for d in range(width))).alias(name) for f, name in ((F.min, "low"), (F.max, "high"))), *others)
+
+    def inside_blocks(state: DataFrame, function, form: str) -> DataFrame:
+        return state.repartition(max(1, min(count, tasks)), "i").groupBy("i").applyInPandas(lambda own: function(own, own), form)
 
-    def compared(state: DataFrame, pairs: DataFrame | None, function, form: str) -> DataFrame:
-        """function(rows of i, rows of j) of the pairs, or of each block and itself."""
-        if pairs is None:
-            return state.groupBy("i").applyInPandas(lambda own: function(own, own), form)
-        one = state.join(pairs, "i")
-        two = state.withColumnRenamed("i", "j").join(pairs, "j").select("i", "j", *(F.col(c).alias(c) for c in state.columns if c != "i"))
-        return one.groupBy("i", "j").cogroup(two.groupBy("i", "j")).applyInPandas(function, form)
+    def compared(searching: DataFrame, state: DataFrame, pairs: DataFrame, function, form: str) -> DataFrame:
+        """function(searching rows of i, rows of j) of the pairs; of both, only the rows that are no further from the other's box than a
+        searching row's bound."""
+        mine, theirs = box(searching, F.max("bound").alias("most")), box(state).withColumnRenamed("i", "j")
+        one = searching.join(pairs.join(theirs, "j"), "i").where(from_box(width) <= F.col("bound")).select("i", "j", *(c for c in searching.columns if c != "i"))
+        two = state.withColumnRenamed("i", "j").join(pairs.join(mine, "i"), "j").where(from_box(width) <= F.col("most")).select("i", "j", *(c for c in state.columns if c != "i"))
+        return one.repartition(tasks, "i", "j").groupBy("i", "j").cogroup(two.repartition(tasks, "i", "j").groupBy("i", "j")).applyInPandas(function, form)
 
     def slices(one: pd.DataFrame, two: pd.DataFrame):
         """Rows of the one side, a few at a time, and their distances to all of the other."""
-        y = np.stack(two["x"].to_numpy()) if len(two) else None
-        for at in range(0, len(one) if len(two) else 0, 256):
-            x = np.stack(one["x"].to_numpy()[at : at + 256])
-            yield slice(at, at + 256), np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2))
+        y = np.stack(two["x"].to_numpy()).T if len(two) else None
+        for at in range(0, len(one) if len(two) else 0, 64):
+            x = np.stack(one["x"].to_numpy()[at : at + 64]).T
+            yield slice(at, at + 64), np.sqrt(sum((x[d][:, None] - y[d][None]) ** 2 for d in range(width)))
 
     def nearest(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
         parts = [(k, np.sort(np.partition(d, min(near, d.shape[1] - 1), axis=1)[:, : near + 1], axis=1)) for k, d in slices(one, two)]
-        return pd.DataFrame([(key, block, own.tolist()) for at, d in parts for key, block, own in zip(one["k"].to_numpy()[at], one["i"].to_numpy()[at], d, strict=True)], columns=["k", "i", "d"])
-
-    form = f"k {kind}, i int, d array<double>"
-    inside = written(compared(rows, None, nearest, form), "inside")
-    # the furthest that a row of the block may have to look; blocks with few rows look everywhere
-    reach = inside.groupBy("i").agg(F.max(F.when(F.size("d") > near, F.col("d")[near]).otherwise(F.lit(float("inf")))).alias("reach"))
-    close = apart.join(reach, "i").where("least <= reach").select("i", "j")
-    lists = inside.unionByName(compared(rows, written(close, "close"), nearest, form))
+        return pd.DataFrame([(key, own.tolist()) for at, d in parts for key, own in zip(one["k"].to_numpy()[at], d, strict=True)], columns=["k", "d"])
+
+    form = f"k {kind}, d array<double>"
+    inside = written(inside_blocks(rows, nearest, form), "inside")
+    # the furthest that a row may have to look; one with few rows in its block looks everywhere
+    searching = written(rows.join(inside, "k").withColumn("bound", F.when(F.size("d") > near, F.col("d")[near]).otherwise(F.lit(float("inf")))).drop("d"), "searching")
+    close = apart.join(searching.groupBy("i").agg(F.max("bound").alias("reach")), "i").where("least <= reach").select("i", "j")
+    lists = inside.unionByName(compared(searching, rows, written(close, "close"), nearest, form)) if count > 1 else inside
     core = lists.groupBy("k").agg(F.array_sort(F.flatten(F.collect_list("d")))[near].alias("core"))
     rows = written(rows.join(core, "k"), "cores")
+    discard(inside, searching)
 
     def outside(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
         """Of each component of the one side, the least (reach, lesser key, greater key) to a row of another component."""
-        best: dict = {}
-        names, own = np.unique(np.concatenate([one["c"].to_numpy(), two["c"].to_numpy()]), return_inverse=True)
-        left, right = own[: len(one)], own[len(one) :]
+        two = two.sort_values("k")
+        _, own = np.unique(np.concatenate([one["c"].to_numpy(), two["c"].to_numpy()]), return_inverse=True)
+        left, right, edges = own[: len(one)], own[len(one) :], []
         for at, d in slices(one, two):
             reach = np.maximum(d, np.maximum(one["core"].to_numpy()[at, None], two["core"].to_numpy()[None]))
             reach[left[at, None] == right[None]] = np.inf
-            least = reach.min(axis=1)
-            for c in np.unique(left[at]):
-                w = least[left[at] == c].min()
-                if w == np.inf or w > best.get(c, (np.inf,))[0]:
-                    continue
-                for i, j in zip(*np.nonzero((reach == w) & (left[at] == c)[:, None]), strict=True):
-                    ends = sorted((one["k"].iat[at.start + i], two["k"].iat[j]))
-                    best[c] = min(best.get(c, (np.inf,)), (w, *ends))
-        return pd.DataFrame([(names[c], *edge) for c, edge in best.items()], columns=["c", "w", "a", "b"])
+            to = reach.argmin(axis=1)  # of equals the least key, which makes the least edge
+            w, c, k, j = reach[np.arange(len(to)), to], one["c"].to_numpy()[at], one["k"].to_numpy()[at], two["k"].to_numpy()[to]
+            edges += [(*e[:2], *sorted(e[2:])) for e, any_ in zip(zip(c.tolist(), w.tolist(), k.tolist(), j.tolist(), strict=True), np.isfinite(w), strict=True) if any_]
+        best: dict = {}
+        for c, *edge in edges:
+            best[c] = min(best.get(c, edge), edge)
+        return pd.DataFrame([(c, *edge) for c, edge in best.items()], columns=["c", "w", "a", "b"])
 
     labels, tree, form = rows.select("k", F.col("k").alias("c")), None, f"c {kind}, w double, a {kind}, b {kind}"
     while True:
+        # the largest component is found by the others
+        largest = labels.groupBy("c").count().orderBy(F.desc("count"), "c").first()
+        if largest["count"] == n:
+            break
         state = written(rows.join(labels, "k"), "state")
-        own = written(compared(state, None, outside, form), "inside")
+        own = written(inside_blocks(state, lambda one, two, c=largest.c: outside(one[one["c"] != c], two), form), "inside")
         found = own
         if count > 1:
             # what a component's best edge is at most: one inside a block, else one between two blocks that aren't both all its own
@@ -430,13 +447,13 @@ def density_clusters(df: DataFrame, key: str, array: str, least_size: int, block
             pairs = pairs.join(some.withColumnsRenamed({"i": "j", "c0": "cj", "c1": "dj", "least_core": "lj", "most_core": "mj"}), "j").where("not (ci = di and cj = dj and ci = cj)")
             pairs = written(pairs.select("i", "j", "ci", "di", F.greatest("least", "li", "lj").alias("least"), F.greatest("most", "mi", "mj").alias("most")), "pairs")
             between = pairs.where("ci = di").groupBy(F.col("ci").alias("c")).agg(F.min("most").alias("w"))
-            bound = own.select("c", "w").unionByName(between).groupBy("c").agg(F.min("w").alias("w"))
-            reach = state.select("i", "c").distinct().join(bound, "c", "left").groupBy("i").agg(F.max(F.coalesce("w", F.lit(float("inf")))).alias("reach"))
-            needed = written(pairs.join(reach, "i").where("least <= reach").select("i", "j"), "needed")
-            found = own.unionByName(compared(state, needed, outside, form))
+            bound = own.select("c", "w").unionByName(between).groupBy("c").agg(F.min("w").alias("bound"))
+            searching = state.where(F.col("c") != F.lit(largest.c)).join(bound, "c", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+            searching = written(searching.where("core <= bound"), "searching")
+            needed = pairs.join(searching.groupBy("i").agg(F.max("bound").alias("reach")), "i").where("least <= reach").select("i", "j")
+            found = own.unionByName(compared(searching, state, written(needed, "needed"), outside, form))
         found = written(found.groupBy("c").agg(F.min(F.struct("w", "a", "b")).alias("e")).select("e.*").distinct(), "edges")
-        if not found.limit(1).count():
-            break
+        discard(state, own, *([pairs, searching] if count > 1 else []))
         tree = found if tree is None else tree.unionByName(found)
         ends = found.join(labels.select(F.col("k").alias("a"), F.col("c").alias("ca")), "a").join(labels.select(F.col("k").alias("b"), F.col("c").alias("cb")), "b")
         ends = ends.select(F.explode(F.array(F.struct(F.col("ca").alias("a"), F.col("cb").alias("b")), F.struct(F.col("cb").alias("a"), F.col("ca").alias("b")))).alias("e")).select("e.*")
