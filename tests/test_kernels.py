@@ -218,3 +218,12 @@ def test_medians_and_rank_sums_hold_no_group(spark, monkeypatch):
     real, fake = ([v for g, v in rows if v is not None and (g == "a") == own] for own in (True, False))
     assert out.first().u == sum((r > f) + 0.5 * (r == f) for r in real for f in fake)
     assert "windowspecdefinition(s#" not in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_many_candidates_score_as_one_by_one():
+    rng = np.random.default_rng(14)
+    reference, candidates = rng.normal(size=(4, 4, 4)), rng.normal(size=(30, 4, 4, 4))
+    candidates[3], candidates[4] = 0, np.flip(reference, 2)
+    want = [V.fit_score(reference, c, turns=1, tilts=(0,), shifts=(-1, 0, 1)) for c in candidates]
+    assert np.allclose(V.fit_scores(reference, candidates, (-1, 0, 1)), want, atol=1e-9) and want[3] == 0 and want[4] > 0.999
+    assert not V.fit_scores(np.ones((4, 4, 4)), candidates, (-1, 0, 1)).any()

@@ -22,7 +22,6 @@ from ..operators import grouping as C
 from ..operators import joins as J
 from ..operators import review as R
 from ..operators import windows as W
-from ..scratch import dealt
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -982,6 +981,10 @@ def k17_soft_sphere(spark, sf_dir):
     return per_cube(cubes(spark, sf_dir), lambda v: [(float((v * V.soft_sphere(4, 0.8, 2)).sum()),)], "vec_id long, under double").select("vec_id", r6("under").alias("under"))
 
 
+#: Cubes of one side that a task of k16_fit_score takes together.
+FIT_BLOCK = 256
+
+
 @query("""
 with e as (select vec_id, label, generate_subscripts(embedding, 1) - 1 as p, unnest(embedding)::double as v from embeddings),
 voxel as (select vec_id, label, p // 16 as i, p // 4 % 4 as j, p % 4 as k, v from e), stat as (select vec_id, avg(v) as m, stddev_pop(v) as s from e group by vec_id),
@@ -994,17 +997,32 @@ scored as (select vec_id, other, coalesce(corr(a, b), 0) as c from moved group b
 select vec_id, other, round(max(abs(c)), 6) + 0.0 as score from scored group by all
 """)
 def k16_fit_score(spark, sf_dir):
-    """Cubes of label 0 against those of label 1, both ways up, at 27 shifts."""
-    e = cubes(spark, sf_dir)
-    a, b = e.where("label = 0").select("vec_id", F.col("v").alias("reference")), e.where("label = 1").select(F.col("vec_id").alias("other"), F.col("v").alias("candidate"))
-    pairs = a.join(b, F.col("vec_id") % 5 == F.col("other") % 5)
-
-    def fit(batches):
-        for rows in batches:
-            score = [V.fit_score(np.reshape(r, (4, 4, 4)), np.reshape(c, (4, 4, 4)), turns=1, tilts=(0,), shifts=(-1, 0, 1)) for r, c in zip(rows["reference"], rows["candidate"], strict=True)]
-            yield rows[["vec_id", "other"]].assign(score=score)
-
-    return dealt(pairs, F.lit(1), ["vec_id", "other"], 5000).mapInPandas(fit, "vec_id long, other long, score double").select("vec_id", "other", r6("score").alias("score"))
+    """Cubes of label 0 against those of label 1, both ways up, at 27 shifts.
+
+    A task takes a block of references and one of candidates, so cubes are sent once for each block of the other side and not once a pair.
+    """
+    e = cubes(spark, sf_dir).withColumn("rest", F.col("vec_id") % 5)
+    a, b = e.where("label = 0").select("vec_id", "rest", "v"), e.where("label = 1").select(F.col("vec_id").alias("other"), *(F.col(c).alias(c) for c in ("rest", "v")))
+
+    def blocks(side: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        """The side with its blocks, and how many each rest has."""
+        counts = F.broadcast(side.groupBy("rest").agg(F.ceil(F.count(F.lit(1)) / FIT_BLOCK).cast("int").alias("n")))  # five rows at most
+        return side.join(counts, "rest").withColumn("block", F.pmod(F.xxhash64(key), F.col("n")).cast("int")).drop("n"), counts
+
+    (one, left), (two, right) = blocks(a, "vec_id"), blocks(b, "other")
+    one = one.join(right, "rest").withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n")
+    two = two.withColumnRenamed("block", "beside").join(left, "rest").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n")
+
+    def fit(ones: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        if not len(ones) or not len(others):
+            return pd.DataFrame({"vec_id": np.zeros(0, np.int64), "other": np.zeros(0, np.int64), "score": np.zeros(0)})
+        candidates = np.stack(others["v"].to_numpy()).reshape(-1, 4, 4, 4)
+        score = [V.fit_scores(np.reshape(v, (4, 4, 4)), candidates, (-1, 0, 1)) for v in ones["v"]]
+        return pd.DataFrame({"vec_id": np.repeat(ones["vec_id"].to_numpy(), len(others)), "other": np.tile(others["other"].to_numpy(), len(ones)), "score": np.concatenate(score)})
+
+    tasks, keys = 4 * spark.sparkContext.defaultParallelism, ["rest", "block", "beside"]
+    found = one.repartition(tasks, *keys).groupBy(*keys).cogroup(two.repartition(tasks, *keys).groupBy(*keys)).applyInPandas(fit, "vec_id long, other long, score double")
+    return found.select("vec_id", "other", r6("score").alias("score"))
 
 
 @query("""
