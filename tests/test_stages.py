@@ -612,6 +612,22 @@ def test_each_tomogram_has_its_own_number_of_decoys(spark):
     assert {r["count"] for r in D.from_rejected(scored, real, 0.35, 5.0, ratio=0.5).groupBy("tomogram_id").count().collect()} == {3, 1}
 
 
+def test_nearest_of_a_crowd(spark):
+    """Many rows within the radius: cells get narrow, and each row has its nearest, the first of those in one place."""
+    from voxframe.operators import joins
+
+    rng = np.random.default_rng(15)
+    to, at = rng.normal(50, 10, (3000, 3)), rng.normal(50, 20, (60, 3))
+    right = spark.createDataFrame([("t", *map(float, p), k) for k, p in enumerate(np.concatenate([to, to[:50]]))], "g string, x double, y double, z double, n long")
+    left = spark.createDataFrame([("t", k, *map(float, p)) for k, p in enumerate(at)], "g string, k long, x double, y double, z double")
+    assert joins.uncrowded_side(right.where("n < 3000").withColumn("_g", F.struct("g")), ["x", "y", "z"], 40.0) <= 10
+    found = {r.k: r for r in joins.nearest(left, right, "k", ["x", "y", "z"], ["n"], 40.0, ["g"]).collect()}
+    d = np.linalg.norm(at[:, None] - to[None], axis=2)
+    assert [found[k].nearest_n for k in range(60)] == d.argmin(axis=1).tolist() and np.allclose([found[k].distance for k in range(60)], d.min(axis=1))
+    apart = {r.k for r in joins.far_from(left, right, ["x", "y", "z"], 6.0, ["g"]).collect()}
+    assert apart == set(np.flatnonzero(d.min(axis=1) >= 6).tolist()) and 0 < len(apart) < 60
+
+
 def test_shifted_decoys_keep_to_their_own_volume(spark):
     rng = np.random.default_rng(8)
     picks = spark.createDataFrame([(t, f"{t}p{k}", *map(float, rng.uniform(5, s - 5, 3))) for t, s in (("t0", 30), ("t1", 60), ("t2", 60), ("t3", 60)) for k in range(12)], "tomogram_id string, particle_id string, x double, y double, z double")

@@ -56,11 +56,14 @@ def shifted(picks: DataFrame, surfaces: DataFrame, shapes: DataFrame, key: str,
     xyz = ["x", "y", "z"]
     by = surfaces.select("tomogram_id").distinct()
     rest = picks.select("tomogram_id", key, *xyz).join(by, "tomogram_id", "left_semi").join(shapes.select("tomogram_id", "nz", "ny", "nx"), "tomogram_id")
-    rest, found, tried = written(rest, "open"), None, 0
+    rest, found, tried, tasks = written(rest, "open"), None, 0, 4 * picks.sparkSession.sparkContext.defaultParallelism
     for n in rounds:
-        at = rest.withColumn("_try", F.explode(F.sequence(F.lit(tried), F.lit(tried + n - 1))))
+        # dealt before they get many, and each hash made once
+        draw = lambda t: F.struct(t.alias("_try"), *(hashed(seed, F.col(key), t, part=k).alias(f"_u{k}") for k in range(3)))
+        tries = F.transform(F.sequence(F.lit(tried), F.lit(tried + n - 1)), draw)
+        at = rest.repartition(tasks, "tomogram_id", key).withColumn("_t", F.explode(tries)).select("*", "_t.*").drop("_t")
         tried += n
-        u = [hashed(seed, F.col(key), F.col("_try"), part=k) for k in range(3)]
+        u = [F.col(f"_u{k}") for k in range(3)]
         rise, turn, length = 2 * u[0] - 1, 2 * math.pi * u[1], least + (most - least) * u[2]
         flat = F.sqrt(1 - rise * rise) * length
         place = [F.col("x") + flat * F.cos(turn), F.col("y") + flat * F.sin(turn), F.col("z") + rise * length]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
@@ -55,8 +56,17 @@ def within(left: DataFrame, right: DataFrame, xyz: list[str], radius: float, by:
 
 
 def far_from(left: DataFrame, right: DataFrame, xyz: list[str], distance: float, by: list[str] | None = None) -> DataFrame:
-    """Rows of left whose nearest row of right is at least distance away, also if there is none."""
+    """Rows of left whose nearest row of right is at least distance away, also if there is none.
+
+    A row that shares a cell with any of right, so small that rows in one are nearer than the distance, goes by that cell alone; so what
+    meets rows of right one by one are those at the rims of dense places.
+    """
     by = by or []
+    side = distance / len(xyz) ** 0.5 * (1 - 1e-9)
+    small = {f"_s_{c}": F.when(F.abs(c) < 1e6 * side, F.floor(F.col(c) / side)) for c in xyz}
+    taken = right.select(*(F.col(k).alias(f"_k_{k}") for k in by), *(c.alias(f"_t{n}") for n, c in small.items())).distinct()
+    same = [F.col(n) == F.col(f"_t{n}") for n in small] + [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]
+    left = left.withColumns(small).join(taken, functools.reduce(Column.__and__, same), "left_anti").drop(*small)
     one = _celled(left, xyz, distance, False)
     two = _celled(right.select(*by, *xyz), xyz, distance, True).select(F.col("_cell").alias("_c"), *(F.col(k).alias(f"_k_{k}") for k in by), *(F.col(c).alias(f"_r_{c}") for c in xyz))
     on = (F.col("_cell") == F.col("_c")) & (_square([F.col(c) for c in xyz], [F.col(f"_r_{c}") for c in xyz]) < distance * distance)
@@ -102,21 +112,43 @@ def _far_nearest(rest: DataFrame, right: DataFrame, xyz: list[str], radius: floa
     return found
 
 
+#: Different places that a cell may have at most, and how often cells are halved for that.
+CROWD, HALVINGS = 32, 12
+
+
+def uncrowded_side(right: DataFrame, xyz: list[str], radius: float) -> float:
+    """The radius, or so small a part of it that no group's cell of that side has more than CROWD of right (_g, xyz), whose places differ."""
+    side = radius
+    for _ in range(HALVINGS):
+        fullest = right.groupBy("_g", *(c.alias(f"_c{k}") for k, c in enumerate(cells([F.col(c) for c in xyz], side)))).count().agg(F.max("count")).first()[0]
+        if (fullest or 0) <= CROWD:
+            break
+        side /= 2
+    return side
+
+
 def nearest(left: DataFrame, right: DataFrame, key: str, xyz: list[str], carry: list[str], radius: float, by: list[str] | None = None) -> DataFrame:
     """left with the nearest row of right: distance and carried columns; rows whose group has none are left out.
 
-    Rows that find none within the radius look for it in nested grids, so one that is far from all meets few others. key tells rows of a group apart.
+    Cells are as wide as the radius, or less where right is crowded, so a row meets few others however dense right is. Rows that find none
+    that near look for it in nested grids, so one that is far from all meets few others, too. key tells rows of a group apart.
     """
     by = by or []
     best = F.min_by(F.struct(F.sqrt("distance2").alias("distance"), *(F.col(f"r.{c}").alias(f"nearest_{c}") for c in carry)), F.struct("distance2", *(F.col(f"r.{c}") for c in carry)))
     group = F.struct(F.lit(0), *by)
     ids = left.withColumn("_id", F.struct(*by, key)).withColumn("_g", group)
-    close = within(ids.select("_id", *by, *xyz), right.select(*dict.fromkeys([*by, *xyz, *carry])), xyz, radius, by)
+    # of the rows in one place only the first can be the nearest
+    place = list(dict.fromkeys([*by, *xyz]))
+    others = [c for c in dict.fromkeys(carry) if c not in place]
+    first = [F.min(F.struct(*others)).alias("_f")] if others else [F.first(F.lit(0)).alias("_f")]
+    right = written(right.groupBy(*place).agg(*first).select(*place, *(F.col(f"_f.{c}").alias(c) for c in others)), "places")
+    side = uncrowded_side(right.withColumn("_g", group), xyz, radius)
+    close = within(ids.select("_id", *by, *xyz), right, xyz, side, by)
     found = written(close.groupBy(F.col("l._id").alias("_id")).agg(best.alias("_n")), "nearest")
     rest = written(ids.join(found, "_id", "left_anti").select("_id", "_g", *xyz), "rest")
     if rest.limit(1).count():
         sided = right.select(group.alias("_g"), F.struct(*dict.fromkeys([*xyz, *carry])).alias("r"))
-        found = found.unionByName(_far_nearest(rest, sided, xyz, radius, best))
+        found = found.unionByName(_far_nearest(rest, sided, xyz, side, best))
     return ids.join(found, "_id").select(*left.columns, "_n.*")
 
 
