@@ -227,3 +227,19 @@ def test_many_candidates_score_as_one_by_one():
     want = [V.fit_score(reference, c, turns=1, tilts=(0,), shifts=(-1, 0, 1)) for c in candidates]
     assert np.allclose(V.fit_scores(reference, candidates, (-1, 0, 1)), want, atol=1e-9) and want[3] == 0 and want[4] > 0.999
     assert not V.fit_scores(np.ones((4, 4, 4)), candidates, (-1, 0, 1)).any()
+
+
+def test_linkage_looks_at_few_places(monkeypatch):
+    """Rows in one dense cloud: most groups find their partners in narrow cells."""
+    from voxframe.kernels import cluster
+
+    seen, own = [], cluster._Around.of
+
+    def counted(self, place):
+        found = own(self, place)
+        seen.append(len(found))
+        return found
+
+    monkeypatch.setattr(cluster._Around, "of", counted)
+    labels = cluster.complete_linkage(np.random.default_rng(16).normal(50, 25, (1500, 3)), 25.0)
+    assert len(set(labels)) > 50 and np.median(seen) < 100

@@ -47,34 +47,69 @@ def complete_linkage(points: np.ndarray, threshold: float) -> np.ndarray:
 
     Chains of nearest neighbours give the same groups as a matrix of all distances, ties aside, as merging never brings a group
     nearer to another one. A group's partners lie in the grid cells around its first member, so what is held are the
-    distances of one group to the places around it. Equal places are one from the start.
+    distances of one group to the places around it. Cells are narrow first, and as wide as the threshold only for groups whose partners
+    are that far; of large groups, members furthest out along some ways bound the distances, and only groups that may be the
+    nearest are compared as a whole. So the work doesn't grow with the square of the rows. Equal places are one from the start.
     """
     n = len(points)
     if n < 2 or threshold <= 0:
         return np.arange(n)
     places, of = np.unique(points, axis=0, return_inverse=True)
     of, m, most = of.ravel(), len(places), threshold * threshold
-    around, members, label, size = _Around(places, threshold), [np.array([i]) for i in range(m)], np.arange(m), np.ones(m, dtype=np.int64)
+    members, label, size = [np.array([i]) for i in range(m)], np.arange(m), np.ones(m, dtype=np.int64)
+    sides = [threshold]
+    while len(sides) < 24 and len(np.unique(np.floor(places / sides[-1]), axis=0)) < m / 2:
+        sides.append(sides[-1] / 2)
+    sides = sides[::-1]
+    around, level = [_Around(places, side) for side in sides], np.zeros(m, dtype=np.int64)
+    ways = np.array([w for w in product((-1, 0, 1), repeat=places.shape[1]) if any(w)], float)
 
-    def nearest(group: int, before: int) -> tuple[int, float]:
-        """The group whose furthest member is nearest, `before` among equals; -1 if none is near enough."""
-        own, near = members[group], around.of(members[group][0])
+    def furthest(own: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Of each place of near, the square of how far the furthest of own is."""
         far = np.zeros(len(near))
         for k in range(0, len(own), max(1, HELD // len(near))):
             some = places[own[k : k + max(1, HELD // len(near))]]
             far = np.maximum(far, ((some[:, None] - places[near][None]) ** 2).sum(axis=2).max(axis=0))
-        names = label[near]
+        return far
+
+    def within(group: int, before: int, near: np.ndarray, most: float) -> tuple[int, float]:
+        """The group of near whose furthest member is nearest, and below the most."""
+        own = members[group]
+        some = own if len(own) <= len(ways) else own[np.unique((places[own] @ ways.T).argmax(axis=0))]
+        far, names = furthest(some, near), label[near]
         order = np.argsort(names, kind="stable")
         starts = np.flatnonzero(np.diff(names[order], prepend=-1))
         names, worst, count = names[order][starts], np.maximum.reduceat(far[order], starts), np.diff(starts, append=len(near))
         fits = (names != group) & (count == size[names]) & (worst < most)
-        if not fits.any():
-            return -1, np.inf
         names, worst = names[fits], worst[fits]
+        if len(some) < len(own):  # then these are the least they can be
+            least = most
+            for k in np.argsort(worst, kind="stable"):
+                if worst[k] > least:
+                    worst[k] = np.inf
+                    continue
+                worst[k] = furthest(own, members[names[k]]).max()
+                least = min(least, worst[k])
+            fits = worst < most
+            names, worst = names[fits], worst[fits]
+        if not len(names):
+            return -1, np.inf
         least = worst.min()
         equal = names[worst == least]
         return (before if before in equal else int(equal.min())), float(least)
 
+    def nearest(group: int, before: int) -> tuple[int, float]:
+        """The group whose furthest member is nearest, `before` among equals; -1 if none is near enough.
+
+        Merging never brings a group nearer, so the cells that had none before need no other look.
+        """
+        for k in range(level[group], len(sides)):
+            level[group] = k
+            found = within(group, before, around[k].of(members[group][0]), min(most, sides[k] * sides[k]))
+            if found[0] >= 0:
+                return found
+        return -1, np.inf
+
     for start in range(m):
         chain = [start] if label[start] == start else []
         while chain:
@@ -85,7 +120,7 @@ def complete_linkage(points: np.ndarray, threshold: float) -> np.ndarray:
             elif len(chain) > 1 and other == chain[-2]:
                 del chain[-2:]
                 kept, gone = min(top, other), max(top, other)
-                label[members[gone]] = kept
+                label[members[gone]], level[kept] = kept, max(level[kept], level[gone])
                 members[kept] = np.concatenate([members[kept], members[gone]])
                 members[gone], size[kept], size[gone] = members[gone][:0], size[kept] + size[gone], 0
                 if not chain:
