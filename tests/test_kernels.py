@@ -62,6 +62,25 @@ def test_suppression():
     assert len(K.suppress(p, s, 0)) == 60
 
 
+def test_surely_kept():
+    """All that is kept where a tile has all rows; never more where some are missing."""
+    rng = np.random.default_rng(10)
+    p, s, d = rng.uniform(0, 12, (600, 2)), rng.integers(0, 6, 600), 2.0
+    p, cell = (x[np.lexsort((np.arange(600), -s))] for x in (p, np.floor(p / (d / 2**0.5)).astype(int) + 4))
+    names, own = np.unique(cell @ [100, 1], return_inverse=True)
+    low, high = (np.array([f(p[own == c], axis=0) for c in range(len(names))])[own] for f in (np.min, np.max))
+    want = K.suppress(p, -np.arange(600.0), d)
+    decide = lambda some, more, wide: np.flatnonzero(some)[K.surely_kept(np.zeros(some.sum(), int), cell[some], p[some], low[some], high[some], more[some], wide, 2, d)]
+    every = np.ones(600, bool)
+    assert decide(every, ~every, 17).tolist() == want.tolist()
+    rank = np.array([(own[:k] == own[k]).sum() for k in range(600)])
+    first = decide(rank < 2, np.bincount(own)[own] > 2, 17)
+    assert 0 < len(first) < len(want) and set(first) <= set(want)
+    inside = (cell < 10).all(axis=1)
+    part = decide(inside, ~every, 10)
+    assert 0 < len(part) and set(part) <= set(want)
+
+
 def blobs():
     rng = np.random.default_rng(5)
     return np.concatenate([rng.normal(c, 0.3, (40, 2)) for c in ((0, 0), (8, 0), (0, 8))])

@@ -603,6 +603,54 @@ def test_suppression_in_rounds_is_the_greedy_one(spark):
     assert suppress(df, [], ["x", "y", "z"], "s", "k", 0.0).count() == 160
 
 
+def test_suppression_makes_no_pairs(spark, monkeypatch):
+    """Of rows that share a place, no table has more rows than the input."""
+    from voxframe.kernels.cluster import suppress as greedy
+    from voxframe.operators import grouping
+
+    made = []
+
+    def counted(df, name, by=None, write=grouping.written):
+        made.append(write(df, name, by))
+        assert made[-1].count() <= 700, name
+        return made[-1]
+
+    monkeypatch.setattr(grouping, "written", counted)
+    rng = np.random.default_rng(8)
+    points, score = np.concatenate([rng.uniform(0, 6, (400, 3)), rng.normal(2, 1e-3, (200, 3)), np.full((100, 3), 4.0)]), rng.integers(0, 5, 700).astype(float)
+    df = spark.createDataFrame([(k, *map(float, p), float(s)) for k, (p, s) in enumerate(zip(points, score, strict=True))], "k long, x double, y double, z double, s double")
+    assert sorted(r.k for r in grouping.suppress(df, [], ["x", "y", "z"], "s", "k", 3.0).collect()) == greedy(points, score, 3.0).tolist()
+    assert made
+
+
+def test_suppression_over_tiles(spark, monkeypatch):
+    """Small tiles and few rows of a cell at a time; groups, one of them without a name; chains through many tiles; lists that are copied."""
+    from voxframe.kernels.cluster import suppress as greedy
+    from voxframe.operators import grouping
+
+    for name, value in (("FRONT", 2), ("TILE", 3), ("RIM", 2), ("DEALT", 100), ("TOGETHER", 3)):
+        monkeypatch.setattr(grouping, name, value)
+    rng = np.random.default_rng(9)
+    points, group = rng.uniform(-12, 12, (260, 2)), rng.integers(0, 2, 260)
+    points[:30] = np.stack([np.arange(30) * 1.5 - 22, np.zeros(30)], 1)
+    score = np.concatenate([np.arange(30.0), np.floor(points[30:, 0] / 5)])
+    df = spark.createDataFrame([("a" if g else None, k, *map(float, p), float(s)) for k, (g, p, s) in enumerate(zip(group, points, score, strict=True))], "g string, k long, x double, y double, s double")
+    want = sorted(int(p[i]) for p in (np.flatnonzero(group == g) for g in (0, 1)) for i in greedy(points[p], score[p], 2.0))
+    assert sorted(r.k for r in grouping.suppress(df, ["g"], ["x", "y"], "s", "k", 2.0).collect()) == want
+    assert sorted(r.k for r in grouping.suppress(df, [], ["x", "y"], "s", "k", 2.0).collect()) == greedy(points, score, 2.0).tolist()
+
+
+def test_suppression_of_rows_without_a_score_or_place(spark):
+    """Rows without a score come last, as in SQL; those without a place are near to none; places far out."""
+    from voxframe.operators.grouping import suppress
+
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, 0.0, None), (1, 1.0, None), (2, 2.0, 1.0), (3, 10.0, None), (4, 11.0, None), (5, None, 5.0), (6, nan, 5.0), (7, inf, 5.0), (8, inf, 4.0), (9, 1e30, 1.0), (10, 1e30, 2.0), (11, -2e30, 0.0), (12, 20.0, nan), (13, 21.0, 7.0)]
+    df = spark.createDataFrame(rows, "k int, x double, s double").withColumn("y", F.lit(0.0))
+    assert sorted(r.k for r in suppress(df, [], ["x", "y"], "s", "k", 2.0).collect()) == [2, 3, 5, 6, 7, 8, 10, 11, 12]
+    assert suppress(df.limit(0), [], ["x", "y"], "s", "k", 2.0).count() == 0
+
+
 def test_each_tomogram_has_its_own_number_of_decoys(spark):
     scored = spark.createDataFrame([(t, k, float(10 * k), 0.0, 0.0, 0.01 * k) for t in ("t0", "t1", "t2") for k in range(40)], "tomogram_id string, idx long, x double, y double, z double, score double")
     real = scored.where("(tomogram_id = 't0' and idx < 6) or (tomogram_id = 't1' and idx in (5, 9))")

@@ -23,6 +23,56 @@ def suppress(points: np.ndarray, scores: np.ndarray, distance: float) -> np.ndar
     return np.sort(np.array(kept, dtype=int))
 
 
+def surely_kept(tile: np.ndarray, cell: np.ndarray, points: np.ndarray, low: np.ndarray, high: np.ndarray, more: np.ndarray, wide: int, reach: int, distance: float) -> np.ndarray:
+    """Which rows greedy suppression keeps, as far as these rows tell; rows come tile by tile, best first.
+
+    cell: numbers from 0 up to wide, along each axis of the tile; rows that are near enough are reach cells apart at most. low, high: the box around
+    all rows of the cell; more: whether some of them, worse than those here, are missing. Outside of a tile there may be others.
+    So a row is kept if none that may be kept before it is near; where that is open, its cell is in doubt from then on, and with it what is near the cell's box.
+    """
+    n, axes = points.shape
+    steps = (wide + 2 * reach) ** np.arange(axes)[::-1]
+    numbers, first, own = np.unique(tile * (wide + 2 * reach) ** axes + (cell + reach) @ steps, return_index=True, return_inverse=True)
+    around = np.array(list(product(range(-reach, reach + 1), repeat=axes))) @ steps
+    ordered = np.argsort(own, kind="stable")
+    counts = np.bincount(own)
+    place = np.empty(n, dtype=np.int64)
+    place[ordered] = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts)
+    # the rows of a cell side by side
+    grid = np.full((axes, len(numbers), counts.max()), np.nan)
+    grid[:, own, place] = points.T
+    low, high, last = low[first].T, high[first].T, np.where(more[first], counts - 1, -1)
+    rim = ((cell[first] < reach) | (cell[first] >= wide - reach)).any(axis=1)
+    gone, unsure = np.zeros((2, *grid.shape[1:]), dtype=bool)
+    covered, doubted = np.zeros((2, len(numbers)), dtype=bool)
+    kept = np.zeros(n, dtype=bool)
+
+    def near(c: int) -> np.ndarray:
+        wanted = numbers[c] + around
+        found = np.minimum(np.searchsorted(numbers, wanted), len(numbers) - 1)
+        return found[numbers[found] == wanted]
+
+    def doubt(c: int) -> None:
+        doubted[c] = True
+        cells = near(c)
+        gaps = (np.maximum(np.maximum(low[a, c] - grid[a, cells], grid[a, cells] - high[a, c]), 0) for a in range(axes))
+        unsure[cells] |= sum(g * g for g in gaps) <= distance * distance
+
+    for k, (c, p) in enumerate(zip(own.tolist(), place.tolist(), strict=True)):
+        if not gone[c, p]:
+            if not rim[c] and not unsure[c, p]:
+                kept[k] = True
+                cells = near(c)
+                gone[cells] |= sum(d * d for d in (grid[a, cells] - points[k, a] for a in range(axes))) <= distance * distance
+                furthest = (np.maximum(np.abs(low[a, cells] - points[k, a]), np.abs(high[a, cells] - points[k, a])) for a in range(axes))
+                covered[cells] |= sum(d * d for d in furthest) <= distance * distance
+            elif not doubted[c]:
+                doubt(c)
+        if p == last[c] and not covered[c] and not doubted[c]:
+            doubt(c)
+    return kept
+
+
 #: Distances that are held at once.
 HELD = 1 << 20
 

@@ -33,33 +33,85 @@ def downsample(df: DataFrame, xyz: list[str], spacing: float, order: str, by: li
     return df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), order).alias("_r")).select("_r.*")
 
 
+#: Suppression: best rows of a cell that a round looks at, cells of a tile's side and of the rim around it, rows that a task has of the tiles (about), rows
+#: of a cell that are looked up together.
+FRONT, TILE, RIM, DEALT, TOGETHER = 32, 16, 4, 50_000, 20_000
+#: Cells that far out are one.
+FURTHEST = float(1 << 50)
+
+
 def suppress(df: DataFrame, by: list[str], xyz: list[str], score: str, order: str, distance: float) -> DataFrame:
-    """Greedy non-maximum suppression within groups, best score first (lowest order of ties), inclusive distance.
+    """Greedy non-maximum suppression within groups, best score first (lowest order of ties, rows without a score last), inclusive distance.
 
-    Rounds of local maxima instead of one pass: a row that beats all its undecided neighbours is kept, and its neighbours
-    go. Neighbours come from a join by cells, once; no task holds a group, and each round leaves a table. Rows are
-    told apart by group and order; those without a group are one.
+    Rounds over cells so small that one keeps a row at most or so, without pairs of rows. In a round the best rows of each cell go to
+    the tiles around it, tasks find which of them are kept whatever the others are (`kernels.cluster.surely_kept`), and all rows
+    near one of these go. The best row left is always found, and chains of rows that hang on each other as far as they stay in a tile with its
+    rim; the tiles of the next round lie half a tile further. Rows without a place are near to none. Rows without a group are one.
     """
     if distance <= 0:
         return df
-    key = lambda side="": F.struct(*(F.col(f"{side}{c}").alias(c) for c in [*by, order]))
-    slim = df.select(*by, *xyz, score, order)
-    pairs = within(slim, slim, xyz, distance, by).where(F.col(f"l.{order}") != F.col(f"r.{order}"))
-    beats = (F.col(f"r.{score}") > F.col(f"l.{score}")) | ((F.col(f"r.{score}") == F.col(f"l.{score}")) & (F.col(f"r.{order}") < F.col(f"l.{order}")))
-    edges = written(pairs.select(key("l.").alias("i"), key("r.").alias("j"), beats.alias("loses")), "pairs")
-    open_rows = written(df.select(key().alias("i")), "open")
-    kept = open_rows.limit(0)
-    while open_rows.limit(1).count():
-        live = edges.join(open_rows, "i").join(open_rows.withColumnRenamed("i", "j"), "j")
-        top = written(open_rows.join(live.where("loses").select("i"), "i", "left_anti"), "top")
-        gone = live.join(top.withColumnRenamed("i", "j"), "j", "left_semi").select("i")
-        kept = kept.unionByName(top)
-        rest = written(open_rows.join(top, "i", "left_anti").join(gone, "i", "left_anti"), "open")
-        discard(open_rows)
+    names, at = [f"_c{k}" for k in range(len(xyz))], [f"_x{k}" for k in range(len(xyz))]
+    side, reach, cell = distance / len(xyz) ** 0.5, int(len(xyz) ** 0.5 * (1 + 1e-6)) + 1, ["_g", *names]
+    rows = written(df.withColumn("_id", F.monotonically_increasing_id()), "rows")
+    placed = functools.reduce(Column.__and__, (F.coalesce(F.abs(F.col(c).cast("double")) < math.inf, F.lit(False)) for c in xyz))
+    slim = rows.where(placed).select("_id", F.struct(F.lit(0), *by).alias("_g"), F.col(score).alias("_s"), F.col(order).alias("_o"), *(F.col(c).cast("double").alias(x) for c, x in zip(xyz, at, strict=True)))
+    open_rows = written(slim.withColumns({c: F.floor(F.least(F.greatest(F.col(x) / side, F.lit(-FURTHEST)), F.lit(FURTHEST))) for c, x in zip(names, at, strict=True)}), "open")
+    kept = [rows.where(~placed).select("_id")]
+    while True:
+        boxes = written(open_rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"), *(f(x).alias(f"{n}{x}") for x in at for n, f in (("low", F.min), ("high", F.max)))), "boxes")
+        total, fullest, front = boxes.agg(F.sum("_n"), F.max("_n"), F.sum(F.least("_n", F.lit(FRONT)))).first()
+        if not total:
+            break
+        sure = written(_sure(open_rows, boxes, names, at, distance, reach, TILE // 2 * (len(kept) % 2), front), "sure")
+        kept.append(sure)
+        rest = written(_far_from_kept(open_rows, open_rows.join(sure, "_id", "left_semi"), names, at, distance, reach, total, fullest), "open")
+        discard(boxes, open_rows)
         open_rows = rest
-    kept = written(kept, "kept")
-    discard(edges)
-    return df.withColumn("_i", key()).join(kept.withColumnRenamed("i", "_i"), "_i", "left_semi").drop("_i")
+    all_kept = written(functools.reduce(DataFrame.unionByName, kept), "kept")
+    discard(boxes, open_rows, *kept)
+    return rows.join(all_kept, "_id", "left_semi").select(*df.columns)
+
+
+def _sure(rows: DataFrame, boxes: DataFrame, names: list[str], at: list[str], distance: float, reach: int, shift: int, front: int) -> DataFrame:
+    """_id of rows that are kept for certain (some more than once): the best of each cell (front rows of all), dealt by tiles with what lies around them."""
+    best, rim = [F.col("_s").desc_nulls_last(), F.col("_o").asc_nulls_last(), F.col("_id")], max(RIM, reach)
+    wide, corners = TILE + 2 * rim, [f"{n}{x}" for n in ("low", "high") for x in at]
+    fronts = rows.withColumn("_r", F.row_number().over(Window.partitionBy("_g", *names).orderBy(*best))).where(F.col("_r") <= FRONT).drop("_r")
+    tiled = fronts.join(boxes.withColumn("_more", F.col("_n") > FRONT).drop("_n"), ["_g", *names])
+    tiles = [f"_t{c}" for c in names]
+    for c, t in zip(names, tiles, strict=True):
+        low, high = (F.floor((F.col(c) + (shift + r)) / TILE) for r in (-rim, rim))
+        tiled = tiled.withColumn(t, F.explode(F.sequence(low, high))).withColumn(c, F.col(c) + (shift + rim) - F.col(t) * TILE)
+    spark = rows.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(front * (wide / TILE) ** len(names) / DEALT))
+    # a stated number of partitions, which adaptive execution leaves alone
+    dealt = tiled.repartition(parts, "_g", *tiles).withColumn("_r", F.row_number().over(Window.partitionBy("_g", *tiles).orderBy(*best)))
+
+    def decide(batches):
+        some = [b for b in batches if len(b)]
+        if some:
+            r = pd.concat(some)
+            numbers = lambda columns: r[columns].to_numpy()
+            low, high = (numbers([f"{n}{x}" for x in at]) for n in ("low", "high"))
+            found = K.surely_kept(np.cumsum(r["_r"].to_numpy() == 1), numbers(names), numbers(at), low, high, r["_more"].to_numpy(), wide, reach, distance)
+            yield pd.DataFrame({"_id": r["_id"].to_numpy()[found]})
+
+    return dealt.select("_id", "_r", "_more", *names, *at, *corners).mapInPandas(decide, "_id long")
+
+
+def _far_from_kept(rows: DataFrame, kept: DataFrame, names: list[str], at: list[str], distance: float, reach: int, total: int, fullest: int) -> DataFrame:
+    """Rows with none of the kept ones within the distance: each looks at those of the cells around its own, as a list, so no row is joined twice.
+
+    A cell with far more rows than others has its list copied, so that its rows go to several tasks.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = math.ceil(fullest / max(TOGETHER, total / partitions))
+    for c in names:
+        kept = kept.withColumn(c, F.explode(F.sequence(F.col(c) - reach, F.col(c) + reach)))
+    lists = kept.groupBy("_g", *names).agg(F.collect_set(F.struct(*at)).alias("_near")).withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))))
+    near = F.exists("_near", lambda k: sum(((F.col(x) - k[x]) * (F.col(x) - k[x]) for x in at), F.lit(0.0)) <= distance * distance)
+    joined = rows.withColumn("_p", F.col("_id") % copies).join(lists, ["_g", *names, "_p"], "left")
+    return joined.where(~F.coalesce(near, F.lit(False))).select(*rows.columns)
 
 
 def consensus(df: DataFrame, by: list[str], picker: str, confidence: str, rule: str, n_pickers: int) -> DataFrame:
